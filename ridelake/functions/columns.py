@@ -1,6 +1,6 @@
 """Casts, date parts and money."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,16 @@ def date_parts(time: str) -> dict[str, Column]:
     }
 
 
+def spread(df: DataFrame, n: int) -> Column:
+    """A number in ``[0, n)`` that breaks up rows which would otherwise share a shuffle key.
+
+    It depends on the row and on its task's place in the input, so copies of one
+    row differ too, and a task that is run again after a lost executor gives every
+    row the same number. A random number would not, and rows could get lost.
+    """
+    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(n)).cast("int")
+
+
 def cents(fare: str) -> Column:
     """The fare in whole cents, so that sums are exact in any order."""
     return F.round(F.col(fare).cast("double") * 100).try_cast("bigint")

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridelake.functions.columns import spread
+
 SALTS = 64
 NULL_SPREAD = 4096
 
@@ -16,10 +18,10 @@ def left_join_salted(rides: DataFrame, dim: DataFrame, on: str, salts: int = SAL
     """The same join for a ``dim`` too large to broadcast.
 
     The join column has few values, so joining on it alone would send a third of
-    the rides to one task. Each ride draws one of ``salts`` numbers and each
+    the rides to one task. Each ride gets one of ``salts`` numbers and each
     ``dim`` row is repeated once per number: every pair still meets exactly once.
     """
-    salted = rides.withColumn("_salt", (F.rand(1) * salts).cast("int"))
+    salted = rides.withColumn("_salt", spread(rides, salts))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [on, "_salt"], "left").drop("_salt")
 
@@ -29,12 +31,11 @@ def _bucket(micros: str, width: int) -> Column:
     return F.expr(f"(({micros}) - pmod({micros}, {width}L)) div {width}L")
 
 
-def _left_bucket(key: str, time: str, width: int) -> Column:
-    """The slot of a left row; rows that can match nothing are spread so they form no hot group."""
+def _with_slot(left: DataFrame, key: str, time: str, width: int) -> DataFrame:
+    """Adds the slot of a left row; rows that can match nothing are spread so they form no hot group."""
     unmatchable = F.col(key).isNull() | F.col(time).isNull()
-    return F.when(unmatchable, (F.rand(2) * NULL_SPREAD).cast("bigint")).otherwise(
-        _bucket(f"unix_micros(`{time}`)", width)
-    )
+    slot = F.when(unmatchable, spread(left, NULL_SPREAD).cast("bigint"))
+    return left.withColumn("_slot", slot.otherwise(_bucket(f"unix_micros(`{time}`)", width)))
 
 
 def interval_left_join(
@@ -71,7 +72,7 @@ def interval_left_join(
         f" AND `{right_time}` + INTERVAL {minutes} MINUTES"
     )
     return (
-        left.withColumn("_slot", _left_bucket(key, time, width))
+        _with_slot(left, key, time, width)
         .join(placed, near, "left")
         .drop("_slot", "_right_slot", right_key, right_time)
     )
@@ -115,7 +116,7 @@ def reattach(
         .agg(F.min("_since").alias("_since"), F.max("_until").alias("_until"))
     )
     return (
-        rides.withColumn("_slot", _left_bucket(key, time, reach))
+        _with_slot(rides, key, time, reach)
         .join(
             labels,
             F.expr(

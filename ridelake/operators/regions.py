@@ -112,9 +112,11 @@ def assign_cluster(
     return known.unionByName(rides.filter(~valid).withColumn(cluster, F.lit(None).cast("int")))
 
 
-def _region_dim(model: KMeansModel, neighborhoods: DataFrame) -> DataFrame:
+def _region_dim(model: KMeansModel, neighborhoods: DataFrame, small: bool) -> DataFrame:
+    # In one partition the distinct below needs no shuffle.
+    places = neighborhoods.coalesce(1) if small else neighborhoods
     return (
-        label_neighborhoods(model, neighborhoods)
+        label_neighborhoods(model, places)
         .withColumnRenamed("cluster", "pickup_cluster")
         .withColumnRenamed("neighborhood", "pickup_region")
         .distinct()
@@ -138,7 +140,7 @@ def build_regions(
     """Fits the clusters and labels the neighbourhoods. Runs jobs on the neighbourhoods only."""
     small = is_small(neighborhoods, broadcast_bytes)
     model = fit_regions(neighborhoods, k, seed, small)
-    dim = _region_dim(model, neighborhoods)
+    dim = _region_dim(model, neighborhoods, small)
     return Regions(model, dim, k, seed, small, _are_separate(dim, len(model.clusterCenters())))
 
 

@@ -296,7 +296,7 @@ def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = to_events(source, keep=("pickup_datetime",))
     by = time_part(source, TIME_PARTS)
     for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, by):
-        rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), shards=2)
+        rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), thin=True)
         finish(start_append(rows, f"{folder}/out", f"{folder}/checkpoint", DATE_PARTS, available_now=True))
     return _flat(read_table(spark, f"{folder}/out", RAW).select("key", "fare_amount", "pickup_datetime"))
 

@@ -1,5 +1,8 @@
 """Raw rides to the curated table."""
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,11 +18,13 @@ from ridelake.operators.regions import (
     load_or_build_regions,
 )
 from ridelake.operators.rows import distinct_rows, with_coordinates
-from ridelake.schemas import CURATED, RAW, REGION_PARTS
-from ridelake.sources.lake import append_partitioned, require_zone
+from ridelake.schemas import CURATED, DATE_PARTS, RAW, REGION_PARTS
+from ridelake.sources.lake import append_partitioned, gathered, partitioned_for_write, require_zone
 from ridelake.streaming.landing import with_lateness
 from ridelake.streaming.sinks import start_append
 
+CLUSTER_PARTS = [*DATE_PARTS, "pickup_cluster"]
+
 
 def to_curated(rides: DataFrame, distinct: bool = True) -> DataFrame:
     """Rides with regions in the curated types, optionally without exact duplicates."""
@@ -32,23 +37,23 @@ def _typed(rides: DataFrame, *more: str) -> DataFrame:
 
 
 def _enriched(rides: DataFrame, regions: Regions, distinct: bool) -> DataFrame:
-    """Each ride with the regions of its own pickup point."""
+    """Each ride with the cluster of its own pickup point."""
     typed = _typed(assign_cluster(rides, regions.model, "keep"), "pickup_cluster")
-    if distinct:
-        typed = distinct_rows(with_lateness(typed) if rides.isStreaming else typed)
-    return attach_regions(typed, regions)
+    if not distinct:
+        return typed
+    return distinct_rows(with_lateness(typed) if rides.isStreaming else typed)
 
 
 def _reattached(rides: DataFrame, regions: Regions, distinct: bool, minutes: int) -> DataFrame:
-    """Each ride with the regions of all rides of its key within ``minutes``."""
+    """Each ride with the clusters of all rides of its key within ``minutes``."""
     assigned = assign_cluster(rides, regions.model, "skip").select("key", "pickup_datetime", "pickup_cluster")
     typed = _typed(rides)
-    if distinct and not rides.isStreaming:
-        return attach_regions(reattach(distinct_rows(typed), assigned, "pickup_cluster", minutes=minutes), regions)
     if rides.isStreaming:
         typed, assigned = with_lateness(typed), with_lateness(assigned)
+    elif distinct:
+        return reattach(distinct_rows(typed), assigned, "pickup_cluster", minutes=minutes)
     renamed = assigned.withColumnsRenamed({"key": "final_key", "pickup_datetime": "final_pickup_datetime"})
-    return attach_regions(interval_left_join(typed, renamed, minutes=minutes), regions)
+    return interval_left_join(typed, renamed, minutes=minutes)
 
 
 def curated(
@@ -57,6 +62,7 @@ def curated(
     distinct: bool | None = None,
     by_interval: bool = False,
     minutes: int = 10,
+    before_fan_out: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The curated rows of raw rides, batch or stream: one row per ride and region.
 
@@ -67,13 +73,19 @@ def curated(
     ``distinct`` (default: on for batch, off for streams, where it would drop late
     rides) removes exact duplicates. They are removed before the fan-out, on the
     final types, and again after it only if two clusters share a region.
+
+    ``before_fan_out`` may lay the rides, with date parts and ``pickup_cluster``,
+    out for a write while there are still few of them.
     """
     distinct = not raw.isStreaming if distinct is None else distinct
-    rides = with_coordinates(raw)
-    if by_interval:
-        rows = _reattached(rides, regions, distinct, minutes).select(*CURATED.names)
-    else:
-        rows = _enriched(rides, regions, distinct).select(*CURATED.names)
+    clustered = (
+        _reattached(with_coordinates(raw), regions, distinct, minutes)
+        if by_interval
+        else _enriched(with_coordinates(raw), regions, distinct)
+    )
+    if before_fan_out is not None:
+        clustered = before_fan_out(clustered)
+    rows = attach_regions(clustered, regions).select(*CURATED.names)
     settled = regions.separate and not (by_interval and raw.isStreaming)
     return distinct_rows(rows) if distinct and not settled else rows
 
@@ -90,21 +102,36 @@ def curate(
     by_interval: bool = False,
     fmt: str = "parquet",
     available_now: bool = False,
+    files_per_region: int | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery | None:
     """Writes the curated table, partitioned by date and region.
 
     A batch frame is appended and None returned. A stream is started and its query
     returned; its regions are fitted once, kept beside the checkpoint, and used
-    again on restart.
+    again on restart. ``files_per_region`` bounds the files a micro-batch adds to
+    one day and region, at the price of a shuffle.
+
+    Rides are gathered by day and cluster, before the fan-out: their regions' rows
+    are then made in the task that writes them and are never shuffled.
     """
     require_zone(raw.sparkSession, zone)
     if not raw.isStreaming:
-        rows = curated(raw, build_regions(neighborhoods, k, seed), distinct, by_interval)
-        append_partitioned(rows, path, REGION_PARTS, fmt)
+        regions = build_regions(neighborhoods, k, seed)
+        rows = curated(
+            raw,
+            regions,
+            distinct,
+            by_interval,
+            before_fan_out=lambda rides: partitioned_for_write(rides, CLUSTER_PARTS) if regions.separate else rides,
+        )
+        append_partitioned(rows, path, REGION_PARTS, fmt, rebalance=not regions.separate)
         return None
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
     regions = load_or_build_regions(neighborhoods, f"{checkpoint.rstrip('/')}_regions", k, seed)
-    rows = curated(raw, regions, distinct, by_interval)
+    layout = None
+    if files_per_region is not None:
+        layout = partial(gathered, cols=CLUSTER_PARTS, tasks=files_per_region)
+    rows = curated(raw, regions, distinct, by_interval, before_fan_out=layout)
     return start_append(rows, path, checkpoint, REGION_PARTS, fmt, available_now)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridelake.functions.columns import spread
 from ridelake.schemas import DATE_PARTS
 
 UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
@@ -32,6 +33,11 @@ def partitioned_for_write(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in cols])
 
 
+def gathered(df: DataFrame, cols: list[str], tasks: int) -> DataFrame:
+    """Rows of equal ``cols`` brought together in at most ``tasks`` tasks; for streams, which plan once."""
+    return df.withColumn("_task", spread(df, tasks)).repartition(*cols, "_task").drop("_task")
+
+
 def append_partitioned(
     df: DataFrame, path: str, cols: list[str] = DATE_PARTS, fmt: str = "parquet", rebalance: bool = True
 ) -> None:

@@ -1,12 +1,15 @@
 """Event streams into the raw table."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.operators.events import parse_events
 from ridelake.schemas import DATE_PARTS, RAW
-from ridelake.sources.lake import require_zone
+from ridelake.sources.lake import gathered, require_zone
 from ridelake.streaming.sinks import start_append
 
 
@@ -15,24 +18,26 @@ def with_lateness(rides: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return rides.withWatermark("pickup_datetime", delay)
 
 
-def first_deliveries(rides: DataFrame, delay: str = "10 minutes", shards: int = 1) -> DataFrame:
+def first_deliveries(rides: DataFrame, delay: str = "10 minutes", thin: bool = False) -> DataFrame:
     """Drops a ride whose key came before, within ``delay``. Streams only.
 
     Rows with no key or no time cannot be told apart and all pass. Rows later than
-    ``delay`` are dropped, so feed it events roughly in time order. With ``shards``
-    above one, copies of a hot key are first thinned out in that many separate
-    groups, so that no task gets all of them.
+    ``delay`` are dropped, so feed it events roughly in time order. All rows of a
+    key meet in one task; where one ride may be delivered very often, ``thin``
+    drops its copies batch by batch before that.
     """
     known = F.col("key").isNotNull() & F.col("pickup_datetime").isNotNull()
-    marked = with_lateness(rides, delay)
-    keyed = marked.filter(known)
-    if shards > 1:
-        keyed = (
-            keyed.withColumn("_shard", (F.rand(3) * shards).cast("int"))
-            .dropDuplicatesWithinWatermark(["key", "_shard"])
-            .drop("_shard")
-        )
-    return keyed.dropDuplicatesWithinWatermark(["key"]).unionByName(marked.filter(~known))
+    keyed = rides.filter(known)
+
+    def one_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            again = batch.select(["key", "pickup_datetime"]).to_pandas().duplicated()
+            yield batch.filter(pa.array(~again))
+
+    if thin:
+        keyed = keyed.mapInArrow(one_of_each, rides.schema)
+    first = with_lateness(keyed, delay).dropDuplicatesWithinWatermark(["key"])
+    return first.unionByName(with_lateness(rides.filter(~known), delay))
 
 
 def land(
@@ -45,16 +50,21 @@ def land(
     every: str | None = None,
     first_only: bool = False,
     delay: str = "10 minutes",
+    files_per_day: int | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery:
     """Starts landing an event stream in the raw table, partitioned by date.
 
-    Without ``first_only`` this keeps no state and moves no row between tasks.
+    As it stands this keeps no state and moves no row between tasks, so each task
+    writes a file for each day it holds. ``files_per_day`` bounds the files a
+    micro-batch adds to a day, at the price of a shuffle.
     """
     require_zone(events.sparkSession, zone)
     rides = parse_events(events)
     if first_only:
         rides = first_deliveries(rides, delay)
+    if files_per_day is not None:
+        rides = gathered(rides, DATE_PARTS, files_per_day)
     return start_append(rides, path, checkpoint, DATE_PARTS, fmt, available_now, every)
 
 
