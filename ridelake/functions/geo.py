@@ -1,8 +1,8 @@
-"""Nearest cluster centre as a plain column expression."""
+"""Nearest cluster centre in plain column expressions."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,17 +12,28 @@ def is_point(latitude: str, longitude: str) -> Column:
     return present & ~F.isnan(F.col(latitude).cast("double")) & ~F.isnan(F.col(longitude).cast("double"))
 
 
-def nearest_center(latitude: str, longitude: str, centers: Sequence[tuple[float, float]]) -> Column:
-    """Index of the closest centre by Euclidean distance in degrees; the first one wins a tie.
+def with_nearest_center(
+    df: DataFrame, latitude: str, longitude: str, centers: Sequence[tuple[float, float]], name: str
+) -> DataFrame:
+    """Adds the index of the closest centre by Euclidean distance in degrees; the first one wins a tie.
 
-    The centres become literals, so the whole search is compiled into the scan's
-    stage: no vectors are built and no function is called per row.
+    A row whose point is null or not a number gets NULL. The centres become
+    literals, so the whole search is compiled into the scan's stage: no vectors
+    are built and no function is called per row. The distances are columns of
+    their own, so each is worked out once.
     """
     lat, lon = F.col(latitude).cast("double"), F.col(longitude).cast("double")
-    distances = F.array(
-        *[
-            (lat - F.lit(c_lat)) * (lat - F.lit(c_lat)) + (lon - F.lit(c_lon)) * (lon - F.lit(c_lon))
-            for c_lat, c_lon in centers
-        ]
+    distances = {
+        f"_distance_{i}": (lat - F.lit(c_lat)) * (lat - F.lit(c_lat)) + (lon - F.lit(c_lon)) * (lon - F.lit(c_lon))
+        for i, (c_lat, c_lon) in enumerate(centers)
+    }
+    shortest = F.least(*distances) if len(distances) > 1 else F.col("_distance_0")
+    found = F.when(F.isnan("_shortest"), F.lit(None).cast("int"))
+    for i, distance in enumerate(distances):
+        found = found.when(F.col(distance) == F.col("_shortest"), F.lit(i))
+    return (
+        df.withColumns(distances)
+        .withColumn("_shortest", shortest)
+        .withColumn(name, found)
+        .drop(*distances, "_shortest")
     )
-    return (F.array_position(distances, F.array_min(distances)) - 1).cast("int")

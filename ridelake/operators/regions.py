@@ -5,10 +5,10 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.functions.geo import is_point, nearest_center
+from ridelake.functions.geo import is_point, with_nearest_center
 from ridelake.operators.joins import left_join_salted, left_join_small
 
 CLUSTERS = 12
@@ -74,10 +74,10 @@ def centers_of(model: KMeansModel) -> list[tuple[float, float]]:
 
 
 def _clustered(df: DataFrame, model: KMeansModel, point: tuple[str, str], cluster: str) -> DataFrame:
-    """Adds the nearest cluster; every row of ``df`` must have a valid point."""
+    """Adds the nearest cluster. Rows without a valid point get NULL, or with many centres are dropped."""
     centers = centers_of(model)
     if len(centers) <= LITERAL_CENTERS:
-        return df.withColumn(cluster, nearest_center(*point, centers))
+        return with_nearest_center(df, *point, centers, cluster)
     predictor = model.copy().setFeaturesCol("_features").setPredictionCol("_cluster")
     return (
         predictor.transform(assemble(df, list(point), "skip", "_features"))
@@ -103,10 +103,8 @@ def assign_cluster(
         return _clustered(rides.filter(is_point(*PICKUP_POINT)), model, PICKUP_POINT, cluster)
     if handle_invalid != "keep":
         raise ValueError(f"handle_invalid must be 'skip' or 'keep', not {handle_invalid!r}")
-    centers = centers_of(model)
-    if len(centers) <= LITERAL_CENTERS:
-        found: Column = F.when(is_point(*PICKUP_POINT), nearest_center(*PICKUP_POINT, centers))
-        return rides.withColumn(cluster, found)
+    if len(model.clusterCenters()) <= LITERAL_CENTERS:
+        return _clustered(rides, model, PICKUP_POINT, cluster)
     valid = F.coalesce(is_point(*PICKUP_POINT), F.lit(False))
     known = _clustered(rides.filter(valid), model, PICKUP_POINT, cluster)
     return known.unionByName(rides.filter(~valid).withColumn(cluster, F.lit(None).cast("int")))
