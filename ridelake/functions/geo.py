@@ -19,21 +19,19 @@ def with_nearest_center(
 
     A row whose point is null or not a number gets NULL. The centres become
     literals, so the whole search is compiled into the scan's stage: no vectors
-    are built and no function is called per row. The distances are columns of
+    are built and no function is called per row. The distances are a column of
     their own, so each is worked out once.
     """
     lat, lon = F.col(latitude).cast("double"), F.col(longitude).cast("double")
-    distances = {
-        f"_distance_{i}": (lat - F.lit(c_lat)) * (lat - F.lit(c_lat)) + (lon - F.lit(c_lon)) * (lon - F.lit(c_lon))
-        for i, (c_lat, c_lon) in enumerate(centers)
-    }
-    shortest = F.least(*distances) if len(distances) > 1 else F.col("_distance_0")
-    found = F.when(F.isnan("_shortest"), F.lit(None).cast("int"))
-    for i, distance in enumerate(distances):
-        found = found.when(F.col(distance) == F.col("_shortest"), F.lit(i))
+    distances = F.array(
+        *[
+            (lat - F.lit(c_lat)) * (lat - F.lit(c_lat)) + (lon - F.lit(c_lon)) * (lon - F.lit(c_lon))
+            for c_lat, c_lon in centers
+        ]
+    )
+    closest = F.array_position("_distances", F.array_min("_distances")) - 1
     return (
-        df.withColumns(distances)
-        .withColumn("_shortest", shortest)
-        .withColumn(name, found)
-        .drop(*distances, "_shortest")
+        df.withColumn("_distances", distances)
+        .withColumn(name, F.when(is_point(latitude, longitude), closest.cast("int")))
+        .drop("_distances")
     )

@@ -1,0 +1,142 @@
+from collections import Counter
+
+import pytest
+from helpers import BROOKLYN, MANHATTAN, bag, places, plan, rides
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from ridelake.operators import regions as R
+from ridelake.sources import driver_tables
+
+TABLES = "/root/testdata/sf0.001"
+NOON = "2024-01-01 12:00:00"
+
+
+@pytest.fixture(scope="module")
+def nations(spark):
+    return driver_tables.neighborhoods(spark, TABLES)
+
+
+@pytest.fixture(scope="module")
+def regions(nations):
+    return R.build_regions(nations)
+
+
+def test_two_points_make_two_clusters(spark):
+    two = places(spark, MANHATTAN, BROOKLYN)
+    model = R.fit_regions(two, k=2, seed=1)
+    labelled = R.label_neighborhoods(model, two)
+    assert labelled.columns == ["neighborhood", "cluster"]
+    assert labelled.count() == 2
+    assert {r["cluster"] for r in labelled.collect()} == {0, 1}
+    assert sorted(round(c[0], 4) for c in R.centers_of(model)) == [40.6782, 40.7831]
+
+
+def test_features_are_latitude_then_longitude_in_plain_degrees(spark):
+    row = R.assemble(places(spark, MANHATTAN), ["latitude", "longitude"]).first()
+    assert list(row["features"]) == [40.7831, -73.9712]
+
+
+def test_invalid_points_fail_or_are_skipped(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 1.0), (float("nan"), 1.0)], "a double, b double")
+    assert R.assemble(df, ["a", "b"], "skip").count() == 1
+    with pytest.raises(Exception, match="null|NaN|invalid"):
+        R.assemble(df, ["a", "b"]).collect()
+    with pytest.raises(Exception, match="null|NaN|invalid"):
+        R.fit_regions(places(spark, MANHATTAN, BROOKLYN).unionAll(
+            spark.createDataFrame([("x", None, None)], "n string, a decimal(8,6), b decimal(8,6)")), k=2)
+
+
+def test_known_groups_are_found_and_repeatable(nations, regions):
+    groups = Counter()
+    for row in regions.dim.groupBy("pickup_cluster").agg(F.sort_array(F.collect_list("pickup_region")).alias("r")).collect():
+        groups[tuple(row["r"])] += 1
+    assert sorted(len(g) for g in groups) == [2] * 11 + [3]
+    again = R.build_regions(nations.repartition(5))
+    assert R.centers_of(again.model) == R.centers_of(regions.model)
+
+
+def test_nearest_centre_is_what_the_model_predicts(spark, regions):
+    source = driver_tables.rides(spark, "/root/testdata/sf0.01")
+    ours = R.assign_cluster(source, regions.model)
+    vectors = VectorAssembler(
+        inputCols=["pickup_latitude", "pickup_longitude"], outputCol="features", handleInvalid="skip"
+    ).transform(source)
+    theirs = regions.model.transform(vectors).select("key", F.col("cluster").alias("pickup_cluster"))
+    assert bag(ours, "key", "pickup_cluster") == bag(theirs, "key", "pickup_cluster")
+
+
+def test_many_centres_use_the_model_and_agree(spark, regions, monkeypatch):
+    source = driver_tables.rides(spark, TABLES)
+    few = {mode: bag(R.assign_cluster(source, regions.model, mode)) for mode in ("skip", "keep")}
+    monkeypatch.setattr(R, "LITERAL_CENTERS", 1)
+    many = {mode: bag(R.assign_cluster(source, regions.model, mode)) for mode in ("skip", "keep")}
+    assert few == many
+
+
+def test_rides_without_a_point_are_dropped_or_kept(spark, regions):
+    df = rides(
+        spark,
+        ("ok", 1.0, NOON, -74.2, 40.5),
+        ("null", 1.0, NOON, None, 40.5),
+        ("nan", 1.0, NOON, -74.2, float("nan")),
+    )
+    assert bag(R.assign_cluster(df, regions.model), "key") == {("ok",): 1}
+    kept = {r["key"]: r["pickup_cluster"] for r in R.assign_cluster(df, regions.model, "keep").collect()}
+    assert kept["ok"] is not None and kept["null"] is None and kept["nan"] is None
+    with pytest.raises(ValueError, match="skip"):
+        R.assign_cluster(df, regions.model, "ignore")
+
+
+def test_a_ride_gets_one_row_per_region_of_its_cluster(spark, regions):
+    source = driver_tables.rides(spark, TABLES)
+    sizes = {r["pickup_cluster"]: r["count"] for r in regions.dim.groupBy("pickup_cluster").count().collect()}
+    clusters = {r["key"]: r["pickup_cluster"] for r in R.assign_cluster(source, regions.model).collect()}
+    rows = Counter(r["key"] for r in R.assign_regions(source, regions).collect())
+    assert rows == {key: sizes[cluster] for key, cluster in clusters.items()}
+
+
+def test_regions_are_broadcast_and_rides_not_shuffled(spark, regions):
+    text = plan(R.assign_regions(driver_tables.rides(spark, TABLES), regions))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text and "ScalaUDF" not in text
+
+
+def test_a_table_too_large_to_broadcast_gives_the_same_rows(spark, nations, regions):
+    source = driver_tables.rides(spark, TABLES)
+    large = R.Regions(regions.model, regions.dim, regions.k, regions.seed, False, regions.separate)
+    assert bag(R.assign_regions(source, large)) == bag(R.assign_regions(source, regions))
+
+
+def test_a_large_table_is_fitted_as_weighted_points(spark, nations):
+    assert R.is_small(nations) and not R.is_small(nations, limit=100)
+    copies = nations.unionAll(nations).unionAll(nations)
+    built = R.build_regions(copies, broadcast_bytes=100)
+    assert not built.small
+    groups = built.dim.groupBy("pickup_cluster").count()
+    assert groups.agg(F.sum("count")).first()[0] == 25
+    model = R.fit_regions(places(spark, *[MANHATTAN] * 3, BROOKLYN, ("Far", 10.0, 10.0)), k=2, small=False)
+    assert sorted(c[0] for c in R.centers_of(model)) == pytest.approx([10.0, (3 * 40.7831 + 40.6782) / 4])
+
+
+def test_separate_means_no_region_in_two_clusters(spark):
+    far = ("Manhattan", 10.0, 10.0)
+    assert R.build_regions(places(spark, MANHATTAN, BROOKLYN, MANHATTAN), k=2).separate
+    assert not R.build_regions(places(spark, MANHATTAN, BROOKLYN, far), k=3).separate
+
+
+def test_saved_regions_are_used_again(spark, nations, regions, folder):
+    assert R.load_regions(spark, f"{folder}/none") is None
+    first = R.load_or_build_regions(nations, f"{folder}/saved")
+    moved = nations.withColumn("latitude", (F.col("latitude") + 1).cast("decimal(8,6)"))
+    second = R.load_or_build_regions(moved, f"{folder}/saved")
+    assert R.centers_of(first.model) == R.centers_of(second.model) == R.centers_of(regions.model)
+    assert bag(second.dim) == bag(regions.dim)
+    assert (second.small, second.separate) == (regions.small, regions.separate)
+    with pytest.raises(ValueError, match="k=12"):
+        R.load_or_build_regions(nations, f"{folder}/saved", k=3)
+
+
+def test_an_unfinished_save_is_done_again(spark, nations, regions, folder):
+    regions.model.write().save(f"{folder}/half/model")
+    assert R.load_regions(spark, f"{folder}/half") is None
+    assert R.load_or_build_regions(nations, f"{folder}/half").k == 12
