@@ -36,8 +36,9 @@ def first_deliveries(rides: DataFrame, delay: str = "10 minutes", thin: bool = F
 
     if thin:
         keyed = keyed.mapInArrow(one_of_each, rides.schema)
+    # Only one branch carries a watermark: a second one, without rows, would hold it back for ever.
     first = with_lateness(keyed, delay).dropDuplicatesWithinWatermark(["key"])
-    return first.unionByName(with_lateness(rides.filter(~known), delay))
+    return first.unionByName(rides.filter(~known))
 
 
 def land(
