@@ -10,8 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators.events import parse_events, split_bad_records, to_events
-from ridelake.operators.joins import interval_left_join
-from ridelake.operators.regions import Regions, assign_regions, build_regions
+from ridelake.operators.joins import interval_left_join, left_join_small
+from ridelake.operators.regions import (
+    Regions,
+    assign_cluster,
+    assign_regions,
+    build_regions,
+    fit_regions,
+    label_neighborhoods,
+)
 from ridelake.operators.rows import distinct_rows, first_rows, random_parts, with_coordinates, with_part
 from ridelake.plans.curation import curate, curated, to_curated
 from ridelake.plans.fares import fares_by_day, fares_by_day_region, fares_by_day_region_of
@@ -142,7 +149,17 @@ def region_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ride_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides per cluster; a cluster is named by its first neighbourhood, as its number means nothing."""
+    places = neighborhoods(spark, sf_dir)
+    model = fit_regions(places)
+    names = label_neighborhoods(model, places).groupBy("cluster").agg(F.min("neighborhood").alias("first_region"))
+    counts = assign_cluster(rides(spark, sf_dir), model, cluster="cluster").groupBy("cluster").agg(F.count("*").alias("n"))
+    return left_join_small(counts, names, "cluster").drop("cluster")
+
+
+@_query
+def interval_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a user's rides at most ten minutes apart."""
     left = rides_by_user(spark, sf_dir).select("key", "ride", "pickup_datetime")
     right = left.withColumnsRenamed(
@@ -318,7 +335,28 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides delivered twice, curated as a stream by the interval join and without duplicates."""
+    folder = new_folder(spark, "reattach")
+    source = delivered_twice(rides(spark, sf_dir))
+    events = to_events(source, keep=("pickup_datetime",))
+    by = time_part(source, TIME_PARTS)
+    for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, by):
+        query = curate(
+            parse_events(read_event_stream(spark, f"{folder}/log")),
+            neighborhoods(spark, sf_dir),
+            f"{folder}/out",
+            f"{folder}/checkpoint",
+            distinct=True,
+            by_interval=True,
+            available_now=True,
+        )
+        finish(query)
+    return _flat(read_table(spark, f"{folder}/out", CURATED))
+
+
+@_query
+def replay_land_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay, landing and curation in one run, with the neighbourhoods from CSV."""
     folder = new_folder(spark, "pipeline")
     neighborhoods(spark, sf_dir).select(*NEIGHBORHOODS.names).write.option("header", True).csv(f"{folder}/places")

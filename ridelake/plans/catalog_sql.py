@@ -101,7 +101,10 @@ FROM rides GROUP BY 1""",
     "region_assign": f"""WITH {_REGION_RIDES}
 SELECT key, fare_amount, pickup_datetime, neighborhood AS pickup_region
 FROM grouped JOIN places ON grouped.grp = places.grp""",
-    "interval_join": f"""WITH {_USER_RIDES}
+    "ride_clusters": f"""WITH {_REGION_RIDES}, firsts AS (
+  SELECT grp, MIN(neighborhood) AS first_region FROM places GROUP BY grp)
+SELECT first_region, COUNT(*) AS n FROM grouped JOIN firsts ON grouped.grp = firsts.grp GROUP BY 1""",
+    "interval_reattach": f"""WITH {_USER_RIDES}
 SELECT a.key, a.ride, a.pickup_datetime, b.ride AS near_ride
 FROM rides a LEFT JOIN rides b ON a.key = b.key
  AND a.pickup_datetime BETWEEN b.pickup_datetime - INTERVAL 10 MINUTES AND b.pickup_datetime + INTERVAL 10 MINUTES""",
@@ -150,5 +153,6 @@ SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_da
 SELECT a.key, a.pickup_datetime, CAST(CAST(b.fare_amount AS FLOAT) AS DOUBLE) AS near_fare
 FROM rides a LEFT JOIN rides b ON a.key = b.key
  AND a.pickup_datetime BETWEEN b.pickup_datetime - INTERVAL 10 MINUTES AND b.pickup_datetime + INTERVAL 10 MINUTES""",
-    "pipeline_run": _CURATED_TABLE,
+    "stream_reattach": _CURATED_TABLE,
+    "replay_land_curate": _CURATED_TABLE,
 }
