@@ -90,18 +90,23 @@ def reattach(
     """Rides with each distinct ``label`` that ``assigned`` gives their key within ``minutes``.
 
     Equal to ``interval_left_join`` followed by a distinct over rides that are
-    themselves distinct, but no pair of rides is formed. Slots are exactly
-    ``minutes`` wide, so for one key, slot and label three facts decide a match:
-    a labelled time in the same slot always matches; of those in the slot before
-    only the latest counts, and of those in the slot after only the earliest.
-    They are a max and a min, which combine in the map tasks. Batch only.
+    themselves distinct, but no pair of rides is formed. Slots are twice
+    ``minutes`` wide, so a labelled time reaches exactly two of them: from the
+    first half of its slot, all of that slot up to some moment and the end of the
+    slot before; from the second half, all of its slot since some moment and the
+    start of the slot after. Each slot and label thus needs two facts only, the
+    latest such "until" and the earliest "since". They are a max and a min, which
+    combine in the map tasks. Batch only.
     """
     reach = minutes * 60 * 1_000_000
+    width = 2 * reach
+    early = f"pmod(_at, {width}L) < {reach}L"
+    since, until, no = f"_at - {reach}L", f"_at + {reach}L", "CAST(NULL AS BIGINT)"
     spans = F.expr(
-        "stack(3,"
-        f" _own - 1, _at - {reach}L, CAST(NULL AS BIGINT),"
-        f" _own, CAST(NULL AS BIGINT), {2**63 - 1}L,"
-        f" _own + 1, CAST(NULL AS BIGINT), _at + {reach}L) AS (_label_slot, _since, _until)"
+        "stack(2,"
+        f" _own, IF({early}, {no}, {since}), IF({early}, {until}, {no}),"
+        f" IF({early}, _own - 1, _own + 1), IF({early}, {since}, {no}), IF({early}, {no}, {until}))"
+        " AS (_label_slot, _since, _until)"
     )
     labels = (
         assigned.filter(F.col(key).isNotNull() & F.col(time).isNotNull())
@@ -109,14 +114,14 @@ def reattach(
             F.col(key).alias("_label_key"),
             F.col(label),
             F.unix_micros(time).alias("_at"),
-            _bucket(f"unix_micros(`{time}`)", reach).alias("_own"),
+            _bucket(f"unix_micros(`{time}`)", width).alias("_own"),
         )
         .select("_label_key", label, spans)
         .groupBy("_label_key", "_label_slot", label)
         .agg(F.min("_since").alias("_since"), F.max("_until").alias("_until"))
     )
     return (
-        _with_slot(rides, key, time, reach)
+        _with_slot(rides, key, time, width)
         .join(
             labels,
             F.expr(

@@ -11,7 +11,7 @@ from ridelake.streaming.landing import with_lateness
 def window_fares(rides: DataFrame, regions: Regions, width: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """Rides, fare cents and average fare per window and region; a window comes out once it is closed.
 
-    Where no region lies in two clusters the state holds one row per window and
+    A ride without a time is in no window. Where no region lies in two clusters the state holds one row per window and
     cluster, and regions are attached to the finished windows only.
     """
     clustered = assign_cluster(with_lateness(rides, delay), regions.model, "keep")

@@ -6,6 +6,7 @@ import pytest
 from helpers import bag, plan
 from pyspark.sql import functions as F
 
+from ridelake.functions.columns import spread
 from ridelake.operators.joins import interval_left_join, left_join_salted, left_join_small, reattach
 
 TEN = timedelta(minutes=10)
@@ -96,7 +97,7 @@ def test_reattach_equals_the_distinct_pairs(spark, base):
 def test_reattach_counts_both_ends(spark):
     tick = timedelta(microseconds=1)
     marks = {"low": BASE - TEN, "high": BASE + TEN, "under": BASE - TEN - tick, "over": BASE + TEN + tick}
-    for shift in (timedelta(0), timedelta(minutes=3, microseconds=7), TEN - tick):
+    for shift in (timedelta(0), timedelta(minutes=3, microseconds=7), TEN - tick, TEN, 2 * TEN - tick):
         rides = left_rows(spark, [("k", 1, text(BASE + shift))])
         assigned = right_rows(spark, [("k", n, text(t + shift)) for n, t in marks.items()]).withColumnsRenamed(
             {"final_key": "key", "final_pickup_datetime": "pickup_datetime"}
@@ -130,8 +131,12 @@ def test_salted_join_equals_the_broadcast_join(spark):
 
 def test_copies_are_spread_by_the_salt(spark):
     copies = spark.range(4000, numPartitions=16).select(F.lit(0).alias("cluster"))
-    from ridelake.functions.columns import spread
-
     numbers = copies.withColumn("n", spread(copies, 64))
     assert numbers.select("n").distinct().count() == 16
     assert bag(numbers) == bag(copies.withColumn("n", spread(copies, 64)))
+
+
+def test_labels_combine_before_they_are_shuffled(spark):
+    rides = left_rows(spark, [("k", 1, text(BASE))])
+    out = reattach(rides, rides.withColumn("label", F.lit("c")).drop("id"), "label")
+    assert "partial_max(_until" in plan(out) and "partial_min(_since" in plan(out)
