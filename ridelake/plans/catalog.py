@@ -45,21 +45,21 @@ PARTS = 10
 TIME_PARTS = 3
 
 
-def _query(run: Query) -> Query:
-    """Registers ``run`` under its name; it runs with the session in UTC."""
+def _plain(df: DataFrame) -> DataFrame:
+    """Column types that tools show alike: NULL-able small numbers as doubles, times as UTC wall-clock time."""
+    plain = {"float": "double", "tinyint": "double", "smallint": "double", "timestamp": "timestamp_ntz", "date": "string"}
+    casts = {c: plain.get(t, "double" if t.startswith("decimal") else t) for c, t in df.dtypes}
+    return df.select(*[F.col(c).cast(t).alias(c) for c, t in casts.items()])
 
-    def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return run(use_zone(spark), sf_dir)
 
-    QUERIES[run.__name__] = in_utc
-    return in_utc
+def _query(run: Query) -> Query:
+    """Registers ``run`` under its name; it runs with the session in UTC and gives plain types."""
 
+    def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _plain(run(use_zone(spark), sf_dir))
 
-def _flat(df: DataFrame) -> DataFrame:
-    """Plain column types: floats and decimals as doubles, small integers as integers."""
-    plain = {"float": "double", "tinyint": "int", "smallint": "int"}
-    casts = {c: plain.get(t, "double" if t.startswith("decimal") else t) for c, t in df.dtypes}
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in casts.items()])
+    QUERIES[run.__name__] = registered
+    return registered
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,16 +83,16 @@ def _published_in_time_order(spark: SparkSession, sf_dir: str, log: str, staging
 @_query
 def event_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides to events and back to typed raw rides."""
-    return _flat(_raw(spark, sf_dir))
+    return _raw(spark, sf_dir)
 
 
 @_query
 def bad_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and unreadable records of a log with broken and repeated events."""
     good, bad = split_bad_records(delivered_twice(broken_events(spark, sf_dir)))
-    kept = _flat(good.select("key", F.lit(0).alias("is_bad"), "fare_amount", F.lit(None).cast("string").alias("text")))
+    kept = good.select("key", F.lit(0).alias("is_bad"), "fare_amount", F.lit(None).cast("string").alias("text"))
     return kept.unionAll(
-        bad.select("key", F.lit(1), F.lit(None).cast("double").alias("fare_amount"), F.col("value").alias("text"))
+        bad.select("key", F.lit(1), F.lit(None).cast("float").alias("fare_amount"), F.col("value").alias("text"))
     )
 
 
@@ -106,7 +106,7 @@ def filter_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curate_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated types of all rides, without duplicates, before any region is known."""
     raw = parse_events(delivered_twice(to_events(rides(spark, sf_dir))))
-    return _flat(to_curated(raw.withColumn("pickup_region", F.lit(None).cast("string")))).drop("pickup_region")
+    return to_curated(raw.withColumn("pickup_region", F.lit(None).cast("string"))).drop("pickup_region")
 
 
 @_query
@@ -172,14 +172,14 @@ def interval_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated rides of users, with the regions of all their rides within ten minutes."""
     raw = parse_events(to_events(rides_by_user(spark, sf_dir)))
-    return _flat(curated(raw, _regions(spark, sf_dir), by_interval=True))
+    return curated(raw, _regions(spark, sf_dir), by_interval=True)
 
 
 @_query
 def curate_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Curated rides, with the regions of their own pickup point, from a log with repeats."""
     raw = parse_events(delivered_twice(to_events(rides(spark, sf_dir))))
-    return _flat(curated(raw, _regions(spark, sf_dir)))
+    return curated(raw, _regions(spark, sf_dir))
 
 
 # --- fares ----------------------------------------------------------------------
@@ -211,7 +211,7 @@ def date_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A time range of the raw table, read from the partitions it touches."""
     path = new_folder(spark, "range")
     append_partitioned(_raw(spark, sf_dir), path)
-    return _flat(read_date_range(spark, path, *RANGE, schema=RAW))
+    return read_date_range(spark, path, *RANGE, schema=RAW)
 
 
 @_query
@@ -220,7 +220,7 @@ def raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "append")
     for _ in range(2):
         append_partitioned(_raw(spark, sf_dir), path)
-    return _flat(read_table(spark, path, RAW))
+    return read_table(spark, path, RAW)
 
 
 @_query
@@ -230,7 +230,7 @@ def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     overwrite_table(raw, path, DATE_PARTS)
     overwrite_table(with_coordinates(raw), path, DATE_PARTS)
-    return _flat(read_table(spark, path, RAW))
+    return read_table(spark, path, RAW)
 
 
 @_query
@@ -240,7 +240,7 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     append_partitioned(raw, path)
     append_partitioned(raw.withColumn("fare_cents", F.round(F.col("fare_amount").cast("double") * 100)), path)
-    return _flat(read_table(spark, path, merge_schema=True).select("key", "fare_amount", "fare_cents"))
+    return read_table(spark, path, merge_schema=True).select("key", "fare_amount", "fare_cents")
 
 
 @_query
@@ -257,7 +257,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "log")
     events = to_events(rides(spark, sf_dir))
     replay(events, f"{folder}/log", f"{folder}/staged", PARTS, pause=0)
-    return _flat(parse_events(read_events(spark, f"{folder}/log"))).select("key", "fare_amount", "pickup_datetime")
+    return parse_events(read_events(spark, f"{folder}/log")).select("key", "fare_amount", "pickup_datetime")
 
 
 @_query
@@ -265,7 +265,7 @@ def curate_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated table, written by date and region, and read back."""
     path = new_folder(spark, "curated")
     curate(_raw(spark, sf_dir), neighborhoods(spark, sf_dir), path)
-    return _flat(read_table(spark, path, CURATED))
+    return read_table(spark, path, CURATED)
 
 
 # --- streams, each run until its input is done ------------------------------------
@@ -278,7 +278,7 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_events(delivered_twice(broken_events(spark, sf_dir)), f"{folder}/log")
     stream = read_event_stream(spark, f"{folder}/log")
     finish(land(stream, f"{folder}/raw", f"{folder}/checkpoint", available_now=True))
-    return _flat(read_table(spark, f"{folder}/raw", RAW))
+    return read_table(spark, f"{folder}/raw", RAW)
 
 
 @_query
@@ -291,7 +291,7 @@ def stream_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream, neighborhoods(spark, sf_dir), f"{folder}/out", f"{folder}/checkpoint", available_now=True
     )
     finish(query)
-    return _flat(read_table(spark, f"{folder}/out", CURATED))
+    return read_table(spark, f"{folder}/out", CURATED)
 
 
 @_query
@@ -315,7 +315,7 @@ def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, by):
         rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), thin=True)
         finish(start_append(rows, f"{folder}/out", f"{folder}/checkpoint", DATE_PARTS, available_now=True))
-    return _flat(read_table(spark, f"{folder}/out", RAW).select("key", "fare_amount", "pickup_datetime"))
+    return read_table(spark, f"{folder}/out", RAW).select("key", "fare_amount", "pickup_datetime")
 
 
 @_query
@@ -331,7 +331,7 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         rows = interval_left_join(raw.select("key", "pickup_datetime"), near)
         finish(start_append(rows, f"{folder}/out", f"{folder}/checkpoint", available_now=True))
-    return _flat(spark.read.parquet(f"{folder}/out"))
+    return spark.read.parquet(f"{folder}/out")
 
 
 @_query
@@ -352,7 +352,7 @@ def stream_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
             available_now=True,
         )
         finish(query)
-    return _flat(read_table(spark, f"{folder}/out", CURATED))
+    return read_table(spark, f"{folder}/out", CURATED)
 
 
 @_query
@@ -361,4 +361,4 @@ def replay_land_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "pipeline")
     neighborhoods(spark, sf_dir).select(*NEIGHBORHOODS.names).write.option("header", True).csv(f"{folder}/places")
     places = read_neighborhoods_csv(spark, f"{folder}/places")
-    return _flat(run_pipeline(rides(spark, sf_dir), places, folder, parts=PARTS, pause=0))
+    return run_pipeline(rides(spark, sf_dir), places, folder, parts=PARTS, pause=0)

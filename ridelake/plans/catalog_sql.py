@@ -23,10 +23,10 @@ _TWICE = "twice AS (SELECT * FROM rides UNION ALL SELECT * FROM rides WHERE CAST
 
 _RAW_COLUMNS = """key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime,
        pickup_longitude, pickup_latitude, dropoff_longitude, dropoff_latitude,
-       CAST(TRY_CAST(passenger_count AS TINYINT) AS INTEGER) AS passenger_count,
-       CAST(year(pickup_datetime) AS INTEGER) AS year,
-       CAST(month(pickup_datetime) AS INTEGER) AS month,
-       CAST(day(pickup_datetime) AS INTEGER) AS day"""
+       CAST(TRY_CAST(passenger_count AS TINYINT) AS DOUBLE) AS passenger_count,
+       CAST(year(pickup_datetime) AS DOUBLE) AS year,
+       CAST(month(pickup_datetime) AS DOUBLE) AS month,
+       CAST(day(pickup_datetime) AS DOUBLE) AS day"""
 
 
 def _coordinate(name: str) -> str:
@@ -36,10 +36,10 @@ def _coordinate(name: str) -> str:
 _CURATED_COLUMNS = f"""key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime,
        {_coordinate('pickup_longitude')}, {_coordinate('pickup_latitude')},
        {_coordinate('dropoff_longitude')}, {_coordinate('dropoff_latitude')},
-       CAST(TRY_CAST(passenger_count AS TINYINT) AS INTEGER) AS passenger_count,
-       CAST(year(pickup_datetime) AS INTEGER) AS year,
-       CAST(month(pickup_datetime) AS INTEGER) AS month,
-       CAST(day(pickup_datetime) AS INTEGER) AS day"""
+       CAST(TRY_CAST(passenger_count AS TINYINT) AS DOUBLE) AS passenger_count,
+       CAST(year(pickup_datetime) AS DOUBLE) AS year,
+       CAST(month(pickup_datetime) AS DOUBLE) AS month,
+       CAST(day(pickup_datetime) AS DOUBLE) AS day"""
 
 # Neighbourhoods in twelve known groups, the groups' mean points, and the group
 # whose mean lies nearest to each ride's pickup point.
@@ -74,7 +74,7 @@ _FARES = f"""COUNT(*) AS rides, {_CENTS} AS fare_cents,
        CAST({_CENTS} AS DOUBLE) / COUNT(fare_amount) / 100 AS avg_fare"""
 
 _FARE_BY_DAY_REGION = f"""WITH {_REGION_RIDES}
-SELECT CAST(pickup_datetime AS DATE) AS pickup_day, neighborhood AS pickup_region, {_FARES}
+SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, neighborhood AS pickup_region, {_FARES}
 FROM grouped JOIN places ON grouped.grp = places.grp GROUP BY 1, 2"""
 
 _RAW_TABLE = f"WITH {_RIDES} SELECT {_RAW_COLUMNS} FROM rides"
@@ -118,7 +118,7 @@ SELECT DISTINCT {_CURATED_COLUMNS}, neighborhood AS pickup_region
 FROM near LEFT JOIN places ON near.grp = places.grp""",
     "curate_direct": _CURATED_TABLE,
     "fare_by_day": f"""WITH {_RIDES}
-SELECT CAST(pickup_datetime AS DATE) AS pickup_day, {_FARES} FROM rides GROUP BY 1""",
+SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, {_FARES} FROM rides GROUP BY 1""",
     "fare_by_day_region": _FARE_BY_DAY_REGION,
     "fare_by_day_region_early": _FARE_BY_DAY_REGION,
     "date_range_read": f"""{_RAW_TABLE}
