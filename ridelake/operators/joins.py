@@ -44,8 +44,8 @@ def interval_left_join(
     *,
     key: str = "key",
     time: str = "pickup_datetime",
-    right_key: str = "final_key",
-    right_time: str = "final_pickup_datetime",
+    right_key: str = "near_key",
+    right_time: str = "near_time",
     minutes: int = 10,
 ) -> DataFrame:
     """Left rows with every right row of the same key whose time is at most ``minutes`` away.
@@ -53,6 +53,9 @@ def interval_left_join(
     Both ends count, unmatched left rows stay, and the right key and time are
     dropped. On streams both sides need a watermark.
 
+    The pairs are the result, so a key with many rows close together gives many;
+    where only the distinct labels near a ride are wanted, ``reattach`` forms none.
+
     Joining on the key alone would compare all rows of a hot key with each other.
     Time is cut into slots instead: a left row belongs to one slot, a right row
     goes to the one or two slots its interval touches, and the join is on

@@ -155,6 +155,7 @@ def ride_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_regions(places)
     names = label_neighborhoods(model, places).groupBy("cluster").agg(F.min("neighborhood").alias("first_region"))
     counts = assign_cluster(rides(spark, sf_dir), model, cluster="cluster").groupBy("cluster").agg(F.count("*").alias("n"))
+    # One row per cluster on either side.
     return left_join_small(counts, names, "cluster").drop("cluster")
 
 
@@ -163,7 +164,7 @@ def interval_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a user's rides at most ten minutes apart."""
     left = rides_by_user(spark, sf_dir).select("key", "ride", "pickup_datetime")
     right = left.withColumnsRenamed(
-        {"key": "final_key", "ride": "near_ride", "pickup_datetime": "final_pickup_datetime"}
+        {"key": "near_key", "ride": "near_ride", "pickup_datetime": "near_time"}
     )
     return interval_left_join(left, right)
 
@@ -325,8 +326,8 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in _published_in_time_order(spark, sf_dir, f"{folder}/log", f"{folder}/staged"):
         raw = with_lateness(parse_events(read_event_stream(spark, f"{folder}/log")))
         near = raw.select(
-            F.col("key").alias("final_key"),
-            F.col("pickup_datetime").alias("final_pickup_datetime"),
+            F.col("key").alias("near_key"),
+            F.col("pickup_datetime").alias("near_time"),
             F.col("fare_amount").alias("near_fare"),
         )
         rows = interval_left_join(raw.select("key", "pickup_datetime"), near)

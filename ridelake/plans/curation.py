@@ -52,7 +52,7 @@ def _reattached(rides: DataFrame, regions: Regions, distinct: bool, minutes: int
         typed, assigned = with_lateness(typed), with_lateness(assigned)
     elif distinct:
         return reattach(distinct_rows(typed), assigned, "pickup_cluster", minutes=minutes)
-    renamed = assigned.withColumnsRenamed({"key": "final_key", "pickup_datetime": "final_pickup_datetime"})
+    renamed = assigned.withColumnsRenamed({"key": "near_key", "pickup_datetime": "near_time"})
     return interval_left_join(typed, renamed, minutes=minutes)
 
 
@@ -74,6 +74,9 @@ def curated(
     rides) removes exact duplicates. They are removed before the fan-out, on the
     final types, and again after it only if two clusters share a region.
 
+    With ``by_interval`` a stream, or a batch that keeps duplicates, forms every pair
+    of a key's rides in reach of each other; a distinct batch forms none.
+
     ``before_fan_out`` may lay the rides, with date parts and ``pickup_cluster``,
     out for a write while there are still few of them.
     """

@@ -20,8 +20,8 @@ def left_rows(spark, rows):
 
 
 def right_rows(spark, rows):
-    return spark.createDataFrame(rows, "final_key string, label string, at string").select(
-        "final_key", "label", F.col("at").cast("timestamp").alias("final_pickup_datetime")
+    return spark.createDataFrame(rows, "near_key string, label string, at string").select(
+        "near_key", "label", F.col("at").cast("timestamp").alias("near_time")
     )
 
 
@@ -87,7 +87,7 @@ def test_reattach_equals_the_distinct_pairs(spark, base):
     right = [(key, f"c{number % 4}", at) for key, number, at in random_rows(4, 200, base)]
     rides = left_rows(spark, [(k, n, text(t)) for k, n, t in left])
     assigned = right_rows(spark, [(k, n, text(t)) for k, n, t in right]).withColumnsRenamed(
-        {"final_key": "key", "final_pickup_datetime": "pickup_datetime"}
+        {"near_key": "key", "near_time": "pickup_datetime"}
     )
     out = reattach(rides, assigned, "label")
     assert out.columns == ["key", "id", "pickup_datetime", "label"]
@@ -100,7 +100,7 @@ def test_reattach_counts_both_ends(spark):
     for shift in (timedelta(0), timedelta(minutes=3, microseconds=7), TEN - tick, TEN, 2 * TEN - tick):
         rides = left_rows(spark, [("k", 1, text(BASE + shift))])
         assigned = right_rows(spark, [("k", n, text(t + shift)) for n, t in marks.items()]).withColumnsRenamed(
-            {"final_key": "key", "final_pickup_datetime": "pickup_datetime"}
+            {"near_key": "key", "near_time": "pickup_datetime"}
         )
         assert bag(reattach(rides, assigned, "label"), "label") == {("low",): 1, ("high",): 1}
 
@@ -113,7 +113,7 @@ def test_a_hot_key_is_spread_over_time_slots(spark):
     assigned = hot.withColumn("label", F.lit("c"))
     assert reattach(hot, assigned, "label").count() == 2880
     pairs = interval_left_join(
-        hot, hot.select(F.col("key").alias("final_key"), F.col("pickup_datetime").alias("final_pickup_datetime"))
+        hot, hot.select(F.col("key").alias("near_key"), F.col("pickup_datetime").alias("near_time"))
     )
     # 41 partners within +/-10 minutes at 30 s steps, fewer at both ends.
     assert pairs.count() == 2880 * 41 - 2 * sum(range(1, 21))

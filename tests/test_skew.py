@@ -1,0 +1,114 @@
+"""Hot groups: a third or more of all rows in one day, key or time slot."""
+
+from contextlib import contextmanager
+
+import pytest
+from helpers import bag
+from pyspark.sql import functions as F
+
+from ridelake.operators.joins import left_join_salted, reattach
+from ridelake.operators.regions import build_regions
+from ridelake.plans.curation import curate, curated
+from ridelake.schemas import CURATED, RAW
+from ridelake.sources import driver_tables
+from ridelake.sources.lake import append_partitioned, read_table
+
+TABLES = "/root/testdata/sf0.001"
+
+
+@contextmanager
+def settings(spark, **confs):
+    named = {name.replace("__", "."): value for name, value in confs.items()}
+    before = {name: spark.conf.get(name, None) for name in named}
+    for name, value in named.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def raw_rides(spark, count, hot_key=False):
+    """Rides of which two thirds fall on one day, and optionally share a key and ten minutes."""
+    hot = F.col("id") % 3 != 0
+    day = F.when(hot, F.lit(1704067200)).otherwise(1704067200 + F.col("id") % 20 * 86400)
+    second = F.when(hot & F.lit(hot_key), F.col("id") % 600).otherwise(F.col("id") % 86400)
+    key = F.when(hot & F.lit(hot_key), F.lit("hot")).otherwise(F.col("id").cast("string"))
+    rides = spark.range(count, numPartitions=8).select(
+        key.alias("key"),
+        (F.col("id") % 9000 / 100).cast("float").alias("fare_amount"),
+        F.timestamp_seconds(day + second).alias("pickup_datetime"),
+        (-74.23 + 0.0071 * (F.col("id") % 53)).alias("pickup_longitude"),
+        (40.48 + 0.0037 * (F.col("id") % 47)).alias("pickup_latitude"),
+        F.lit(-74.0).alias("dropoff_longitude"),
+        F.lit(40.7).alias("dropoff_latitude"),
+        F.lit(1).cast("tinyint").alias("passenger_count"),
+    )
+    parts = {"year": F.year("pickup_datetime").cast("smallint"), "month": F.month("pickup_datetime").cast("tinyint")}
+    return rides.withColumns({**parts, "day": F.dayofmonth("pickup_datetime").cast("tinyint")}).select(*RAW.names)
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, folder):
+    raw = raw_rides(spark, 120_000)
+    limits = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": "256KB", "spark__sql__shuffle__partitions": "200"}
+    with settings(spark, **limits):
+        append_partitioned(raw, f"{folder}/raw")
+    back = read_table(spark, f"{folder}/raw", RAW)
+    assert back.count() == 120_000
+    files = back.groupBy("day").agg(F.count_distinct(F.col("_metadata.file_path")).alias("n"))
+    counts = {r["day"]: r["n"] for r in files.collect()}
+    assert counts[1] > 3 and max(n for day, n in counts.items() if day != 1) <= 2
+
+
+def executed_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def small_skew_limits(spark):
+    return settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="128KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__shuffle__partitions="16",
+    )
+
+
+def test_a_hot_slot_is_split_by_the_adaptive_join(spark):
+    raw = raw_rides(spark, 60_000, hot_key=True)
+    labels = raw.select("key", "pickup_datetime", (F.col("fare_amount") % 3).cast("int").alias("label"))
+    with small_skew_limits(spark):
+        out = reattach(raw, labels, "label")
+        rows = out.collect()
+        assert "skew=true" in executed_plan(out)
+    hot = [r for r in rows if r["key"] == "hot"]
+    # Ids within ten minutes carry every label, so each hot ride has all three.
+    assert len(hot) == 3 * 40_000
+    assert len(rows) == len(hot) + 20_000
+
+
+def test_a_hot_cluster_is_split_by_the_salt(spark):
+    rides = spark.range(50_000, numPartitions=8).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 12).otherwise(0).cast("int").alias("cluster"))
+    dim = spark.createDataFrame([(c, f"r{c}{n}") for c in range(12) for n in range(2)], "cluster int, region string")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16"):
+        joined = left_join_salted(rides, dim, "cluster", salts=64)
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 100_000
+    assert joined.select("id", "region").distinct().count() == 100_000
+
+
+@pytest.mark.parametrize("by_interval", [False, True])
+def test_curation_of_a_hot_key_is_whole(spark, folder, by_interval):
+    nations = driver_tables.neighborhoods(spark, TABLES)
+    regions = build_regions(nations)
+    raw = raw_rides(spark, 6_000, hot_key=True)
+    copies = raw.unionAll(raw)
+    out = curated(copies, regions, by_interval=by_interval)
+    assert bag(out) == bag(out.distinct())
+    assert out.select("key", "fare_amount", "pickup_datetime").distinct().count() == raw.select(
+        "key", "fare_amount", "pickup_datetime"
+    ).distinct().count()
+    curate(copies, nations, f"{folder}/out", by_interval=by_interval)
+    assert bag(read_table(spark, f"{folder}/out", CURATED)) == bag(out)

@@ -202,8 +202,8 @@ def test_interval_join_on_streams_keeps_unmatched_rows(spark, folder):
         write_events(to_events(part), f"{folder}/log")
         raw = with_lateness(parse_events(read_event_stream(spark, f"{folder}/log")))
         right = raw.filter("key <> 'b'").select(
-            F.col("key").alias("final_key"),
-            F.col("pickup_datetime").alias("final_pickup_datetime"),
+            F.col("key").alias("near_key"),
+            F.col("pickup_datetime").alias("near_time"),
             F.col("fare_amount").alias("near"),
         )
         rows = interval_left_join(raw.select("key", "pickup_datetime"), right)
