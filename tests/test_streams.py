@@ -2,7 +2,7 @@ import pytest
 from helpers import bag, rides
 from pyspark.sql import functions as F
 
-from ridelake.operators.events import parse_events, to_events
+from ridelake.operators.events import parse_events, split_bad_records, to_events
 from ridelake.operators.joins import interval_left_join
 from ridelake.operators.regions import build_regions
 from ridelake.operators.rows import with_coordinates
@@ -115,6 +115,30 @@ def test_stream_curation_equals_batch_and_keeps_its_regions(spark, source, natio
     assert bag(run(moved)) == bag(curated(raw, regions).unionAll(curated(raw, regions)))
 
 
+def test_default_streams_keep_no_state_and_shuffle_no_ride(spark, source, nations, folder):
+    write_events(to_events(source.limit(20)), f"{folder}/log")
+    landing = land(read_event_stream(spark, f"{folder}/log"), f"{folder}/raw", f"{folder}/c1", available_now=True)
+    finish(landing)
+    curating = curate(
+        read_raw_stream(spark, f"{folder}/raw"), nations, f"{folder}/out", f"{folder}/c2", available_now=True
+    )
+    finish(curating)
+    plans = [query._jsq.explainInternal(False) for query in (landing, curating)]
+    assert "BroadcastHashJoin" in plans[1] and "LeftOuter" in plans[1]
+    for query, text in zip((landing, curating), plans):
+        assert "Exchange hashpartitioning" not in text and "StateStore" not in text
+        assert all(not p["stateOperators"] for p in query.recentProgress)
+
+
+def test_bad_records_can_be_split_on_a_stream(spark, folder):
+    write_events(spark.createDataFrame([("a", '{"fare_amount": 1.0}'), ("b", "{bad")], "key string, value string"), f"{folder}/log")
+    good, bad = split_bad_records(read_event_stream(spark, f"{folder}/log"))
+    finish(start_append(good, f"{folder}/good", f"{folder}/c1", available_now=True))
+    finish(start_append(bad, f"{folder}/bad", f"{folder}/c2", available_now=True))
+    assert bag(spark.read.parquet(f"{folder}/good"), "key", "fare_amount") == {("a", 1.0): 1}
+    assert bag(spark.read.parquet(f"{folder}/bad"), "key", "value") == {("b", "{bad"): 1}
+
+
 def test_stream_curation_needs_a_checkpoint(spark, source, nations, folder):
     append_partitioned(parse_events(to_events(source)), f"{folder}/raw")
     with pytest.raises(ValueError, match="checkpoint"):
