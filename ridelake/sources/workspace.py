@@ -1,20 +1,28 @@
-"""Where a job keeps tables it writes only to read them again."""
+"""Folders for tables that a query writes for itself."""
 
-import tempfile
-import uuid
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder in the shared checkpoint folder the session names.
+    """A fresh folder path that the driver and every executor can reach.
 
-    Only a local session may lack one; a cluster's executors cannot share a
-    machine's temporary folder.
+    It lies under the session's ``spark.checkpoint.dir``; where that is unset, under
+    its warehouse folder, which a cluster shares as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="ridelake-")
-    return f"{base.rstrip('/')}/ridelake-{name}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that ``new_folder`` named, in whichever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` as a table in a folder of its own, so that nothing computes them again."""
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
