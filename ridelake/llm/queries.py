@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import line_runs, mixing, slots
+from ridelake.llm import containment, forest, line_runs, mixing, slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
@@ -31,6 +31,13 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = forest.near_components(docs, "doc_id", "text", 85, 100)
+    kept = (F.col("id") == F.col("component")).alias("kept")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     planned = mixing.with_copies(docs, "text", "source", "doc_id")
@@ -38,6 +45,14 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", taken)
 
 
+def op7_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = containment.found_items(docs, "doc_id", "text", _table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return found.select(
+        F.col("item").alias("item_id"), F.col("id").alias("doc_id"), "shared", F.col("size").alias("item_shingles")
+    )
+
+
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(LINE_BATCHES))
@@ -48,6 +63,8 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_virtual_slots": op2_virtual_slots,
+    "op3_near_components": op3_near_components,
     "op6_mix_sources": op6_mix_sources,
+    "op7_benchmark_items": op7_benchmark_items,
     "op10_line_runs": op10_line_runs,
 }
