@@ -2,10 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import containment, forest, line_runs, mixing, slots
+from ridelake.llm import chunks, containment, forest, line_runs, mixing, slots, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
@@ -38,6 +38,24 @@ def op3_near_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept)
 
 
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = labelled_chain(docs, _table(spark, sf_dir, "labels"))
+    return chain.scored(docs, "text").select(
+        F.col("row.doc_id").alias("doc_id"), "quality", F.col("toxic").alias("toxicity"), rejected().alias("toxic")
+    )
+
+
+def labelled_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
+    """A chain over the two label columns: quality first, which toxicity goes with."""
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", "quality", "toxic"), "doc_id")
+    return toxicity.fit_chain(labelled, "doc_id", "text", ["quality", "toxic"])
+
+
+def rejected() -> Column:
+    return (F.col("toxic") >= 0.5) & (F.col("n_terms") > 0)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     planned = mixing.with_copies(docs, "text", "source", "doc_id")
@@ -53,6 +71,13 @@ def op7_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = chunks.repeated_passages(docs, "doc_id", "text")
+    kept = (F.col("n_dropped") == 0).alias("kept")
+    return found.select(F.col("id").alias("doc_id"), "start", "n_bytes", "n_dropped", kept)
+
+
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(LINE_BATCHES))
@@ -64,7 +89,9 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_virtual_slots": op2_virtual_slots,
     "op3_near_components": op3_near_components,
+    "op4_toxicity_chain": op4_toxicity_chain,
     "op6_mix_sources": op6_mix_sources,
     "op7_benchmark_items": op7_benchmark_items,
+    "op8_repeated_passages": op8_repeated_passages,
     "op10_line_runs": op10_line_runs,
 }
