@@ -10,7 +10,8 @@ Where nothing is smallest (one character over and over), a chunk ends after ``LO
 Chunks are compared by a 128-bit digest. A chunk found in two documents or more is repeated; it stays
 in the one with the smallest id (there at its first place) and goes from the others. Repeated
 chunks in a row are one passage; passages of fewer than ``PASSAGE`` bytes are left alone, as a few common words may
-be. Repeats within a single document stay.
+be. A shared text of 51 words or more is found as such a passage unless it repeats one word all along. Repeats
+within a single document stay.
 
 Digests are counted in the map tasks before they are shuffled and joined back by a join that
 adaptive execution splits, so a passage that a third of all documents share is no task of its own.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ridelake.sources.workspace import written
 
-WINDOW, REACH, LONGEST, PASSAGE = 16, 24, 4096, 64
+WINDOW, REACH, LONGEST, PASSAGE = 8, 20, 4096, 128
 GEAR = np.random.default_rng(3).integers(0, 2**32, 256, dtype=np.uint32)
 CHUNKS = "array<struct<start int, length int, h1 long, h2 long>>"
 
