@@ -2,13 +2,16 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import chunks, containment, forest, line_runs, mixing, slots, toxicity
+from ridelake.llm import chunks, containment, forest, line_runs, mixing, slots, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS = 24
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKEN_LIMIT = 1024
 LINE_BATCHES = 4
 
 
@@ -56,6 +59,13 @@ def rejected() -> Column:
     return (F.col("toxic") >= 0.5) & (F.col("n_terms") > 0)
 
 
+def op5_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.counted(docs, "text", token_counts.read_vocabulary(spark, TOKENIZER))
+    over = (F.col("table.n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    return counted.select(F.col("row.doc_id").alias("doc_id"), "table.n_bytes", "table.n_tokens", over)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     planned = mixing.with_copies(docs, "text", "source", "doc_id")
@@ -90,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op2_virtual_slots": op2_virtual_slots,
     "op3_near_components": op3_near_components,
     "op4_toxicity_chain": op4_toxicity_chain,
+    "op5_prefix_tokens": op5_prefix_tokens,
     "op6_mix_sources": op6_mix_sources,
     "op7_benchmark_items": op7_benchmark_items,
     "op8_repeated_passages": op8_repeated_passages,
