@@ -99,7 +99,8 @@ def drop_common_lines(docs: DataFrame, text: str, batch: Column, batches: int, e
     runs = LineRuns(spark, enough)
     for number in range(batches):
         runs.add(counts.filter(F.col("batch") == number).select("key", "n"))
-    common = runs.common()
+    # Written, so that the join below deals both sides itself and can split a hot line.
+    common = written(runs.common(), "common-lines")
     lines = keyed.select("id", F.posexplode("keys").alias("pos", "key")).filter("key is not null")
     dropped = (
         lines.join(common, "key", "left_semi").groupBy("id").agg(F.collect_set("pos").alias("dropped"))
