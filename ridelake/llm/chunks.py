@@ -102,15 +102,21 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """``id``, ``rid``, ``start``, ``length`` and ``first`` (it stays) of all chunks found in several documents."""
-    chunked = F.explode(F.arrow_udf(_chunks, CHUNKS)("text")).alias("chunk")
-    every = written(rows.select("id", "rid", chunked).select("id", "rid", "chunk.*"), "chunks")
+    """``id``, ``rid``, ``start``, ``length`` and ``first`` (it stays) of all chunks found in several documents.
+
+    Chunks are cut twice rather than kept in between: they take more room than the texts. Only half
+    of the digest goes through the first grouping; what it lets through is told apart by all of it.
+    """
+    chunk = F.explode(F.arrow_udf(_chunks, CHUNKS)("text")).alias("chunk")
+    every = rows.select("rid", chunk).select("rid", "chunk.*")
+    several = F.min("rid") != F.max("rid")
+    shared = every.groupBy("h1").agg(several.alias("several")).filter("several").select("h1")
+    near = written(every.join(shared, "h1", "left_semi"), "repeated-chunks")
     digest = ["h1", "h2"]
-    spread = every.groupBy(*digest).agg(F.min("rid").alias("least"), F.max("rid").alias("most"))
-    shared = spread.filter("least != most").select(*digest)
-    found = every.join(shared, digest)
-    origin = found.groupBy(*digest).agg(F.min(F.struct("id", "rid", "start")).alias("origin"))
-    return found.join(origin, digest).select(
+    owned = near.join(rows.select("rid", "id").distinct(), "rid")
+    origin = owned.groupBy(*digest).agg(several.alias("several"), F.min(F.struct("id", "rid", "start")).alias("origin"))
+    origin = origin.filter("several").drop("several")
+    return owned.join(origin, digest).select(
         "id", "rid", "start", "length", (F.struct("id", "rid", "start") == F.col("origin")).alias("first")
     )
 
