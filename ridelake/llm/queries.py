@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import chunks, containment, forest, line_runs, mixing, slots, token_counts, toxicity
+from ridelake.llm import chunks, containment, forest, line_runs, mixing, neighbours, slots, token_counts, tool_calls, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
+QUERY_EVERY, NEAREST = 20, 20
 SHARDS = 24
+# The label columns there are; toxicity last, so that it can lean on quality.
+CATEGORIES = ["quality", "toxic"]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 TOKEN_LIMIT = 1024
 LINE_BATCHES = 4
@@ -19,6 +22,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = neighbours.nearest(vectors, "vec_id", "embedding", F.col("id") % QUERY_EVERY == 0, NEAREST)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     placed = slots.sharded(docs, "doc_id", "text", SHARDS)
@@ -43,22 +52,12 @@ def op3_near_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    chain = labelled_chain(docs, _table(spark, sf_dir, "labels"))
+    chain = toxicity.fit_chain(docs, _table(spark, sf_dir, "labels"), "doc_id", "text", CATEGORIES)
     return chain.scored(docs, "text").select(
-        F.col("row.doc_id").alias("doc_id"), "quality", F.col("toxic").alias("toxicity"), rejected().alias("toxic")
+        F.col("row.doc_id").alias("doc_id"), "quality", F.col("toxic").alias("toxicity"), toxicity.rejected("toxic").alias("toxic")
     )
 
 
-def labelled_chain(docs: DataFrame, labels: DataFrame) -> toxicity.Chain:
-    """A chain over the two label columns: quality first, which toxicity goes with."""
-    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", "quality", "toxic"), "doc_id")
-    return toxicity.fit_chain(labelled, "doc_id", "text", ["quality", "toxic"])
-
-
-def rejected() -> Column:
-    return (F.col("toxic") >= 0.5) & (F.col("n_terms") > 0)
-
-
 def op5_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.counted(docs, "text", token_counts.read_vocabulary(spark, TOKENIZER))
@@ -88,6 +87,61 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "n_bytes", "n_dropped", kept)
 
 
+# The tools that assistant turns are taken to call, and what their arguments may be.
+SCHEMAS = {
+    "search": {
+        "required": ["query", "limit"],
+        "properties": {"query": {"type": "string"}, "limit": {"type": "integer", "minimum": 1, "maximum": 50}},
+    },
+    "summarise": {
+        "required": ["text"],
+        "properties": {"text": {"type": "string"}, "words": {"type": "integer", "minimum": 10}},
+    },
+    "translate": {
+        "required": ["text", "to"],
+        "properties": {"text": {"type": "string"}, "to": {"type": "string", "enum": ["en", "de", "fr", "es"]}},
+    },
+}
+
+
+def calls_of(turns: DataFrame) -> DataFrame:
+    """Assistant turns as calls: the tool goes by the turn, its arguments come from the text, and it needs the turn's predecessor."""
+    name = F.element_at(F.array(*map(F.lit, SCHEMAS)), (F.floor(F.col("turn") / 2) % 3 + 1).cast("int"))
+    length = F.char_length("text")
+    search = F.to_json(F.struct((length % 60).alias("limit"), F.substring("text", 1, 60).alias("query")))
+    summarise = F.to_json(F.struct((length % 100).alias("words"), "text"))
+    languages = F.array(*map(F.lit, ["en", "de", "fr", "es", "la"]))
+    translate = F.to_json(F.struct(F.element_at(languages, (F.col("conv_id") % 5 + 1).cast("int")).alias("to"), "text"))
+    arguments = F.when(name == "search", search).when(name == "summarise", summarise).otherwise(translate)
+    needs = F.when(F.col("turn") > 1, F.array(_call_id(-2))).otherwise(F.array().cast("array<string>"))
+    return turns.filter("role = 'assistant'").select(
+        F.col("conv_id").alias("conv"),
+        _call_id(0).alias("call_id"),
+        F.col("turn").alias("position"),
+        name.alias("name"),
+        arguments.alias("arguments"),
+        needs.alias("needs"),
+    )
+
+
+def results_of(turns: DataFrame) -> DataFrame:
+    """User turns after the first as results of the turn before them."""
+    return turns.filter("role = 'user' and turn > 0").select(
+        F.col("conv_id").alias("conv"), _call_id(-1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
+    )
+
+
+def _call_id(back: int) -> Column:
+    return F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), F.col("turn") + back)
+
+
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    found = tool_calls.linked(calls_of(turns), results_of(turns), SCHEMAS)
+    problems = F.array_join("problems", "; ").alias("problems")
+    return found.select(F.col("conv").alias("conv_id"), "call_id", "position", "level", "status", problems, "line")
+
+
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(LINE_BATCHES))
@@ -97,6 +151,7 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_multiprobe": op1_multiprobe,
     "op2_virtual_slots": op2_virtual_slots,
     "op3_near_components": op3_near_components,
     "op4_toxicity_chain": op4_toxicity_chain,
@@ -104,5 +159,6 @@ QUERIES: dict[str, Query] = {
     "op6_mix_sources": op6_mix_sources,
     "op7_benchmark_items": op7_benchmark_items,
     "op8_repeated_passages": op8_repeated_passages,
+    "op9_tool_calls": op9_tool_calls,
     "op10_line_runs": op10_line_runs,
 }

@@ -37,6 +37,11 @@ def terms(text: Column) -> Column:
     return F.concat(words, F.array_distinct(begun))
 
 
+def rejected(category: str, threshold: float = 0.5) -> Column:
+    """Whether a scored document is taken to be of a category; one without words never is."""
+    return (F.col(category) >= threshold) & (F.col("n_terms") > 0)
+
+
 class Chain:
     """Fitted models, in the order of their categories."""
 
@@ -76,18 +81,20 @@ def _predicted(model, rows: DataFrame, name: str) -> DataFrame:
     return scored.select(*[c for c in rows.columns if c not in ("features", name)], probability)
 
 
-def fit_chain(labelled: DataFrame, key: str, text: str, categories: Sequence[str], fit_rows: int = FIT_ROWS) -> Chain:
-    """A chain for 0/1 label columns, in the order given, from labelled documents."""
-    plain = labelled.select(
-        F.col(key).alias("id"),
-        F.col(text).alias("text"),
-        *[F.col(c).cast("double").alias(f"is_{i}") for i, c in enumerate(categories)],
-    )
-    plain = plain.dropna(subset=[f"is_{i}" for i in range(len(categories))])
-    place = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000))
-    share = min(1.0, fit_rows / max(1, plain.count()))
-    sample = plain.filter(place < int(share * 1_000_000)).withColumn("terms", terms(F.col("text")))
-    sample = written(sample.withColumn("fold", F.pmod(F.xxhash64("id"), F.lit(FOLDS))).drop("text"), "toxicity-sample")
+def fit_chain(
+    docs: DataFrame, labels: DataFrame, key: str, text: str, categories: Sequence[str], fit_rows: int = FIT_ROWS
+) -> Chain:
+    """A chain for 0/1 label columns, in the order given; ``labels`` names its documents by ``key``."""
+    marks = [F.col(c).cast("double").alias(f"is_{i}") for i, c in enumerate(categories)]
+    marked = labels.select(F.col(key).alias("id"), *marks).dropna().dropDuplicates(["id"])
+    share = min(1.0, fit_rows / max(1, marked.count()))
+    place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    chosen = marked.filter(place < int(share * 1_000_000))
+    # At most about fit_rows rows of numbers; no text is shuffled for documents that are not chosen.
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    texts = texts.groupBy("id", *[f"is_{i}" for i in range(len(categories))]).agg(F.min("text").alias("text"))
+    sample = texts.withColumn("terms", terms(F.col("text"))).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)))
+    sample = written(sample.drop("text"), "toxicity-sample")
     if not sample.count():
         return Chain(None, [(category, 0.0) for category in categories])
     vocabulary = CountVectorizer(
