@@ -1,22 +1,26 @@
 """Toxicity by a chain of linear classifiers.
 
 Categories are predicted one after another. The model of a category is a logistic regression with an
-L1 penalty over the words of a text and their first letters, and over the probabilities of all
+L1 penalty over the words of a text and their beginnings, and over the probabilities of all
 earlier categories. For fitting, those are out-of-fold: a document's probability comes from a model
 fitted without the document's fold. For prediction they come from the earlier final models.
 
 Models are fitted on a bounded sample of labelled documents (``FIT_ROWS``, chosen by a hash of the id) and a
 bounded vocabulary (``TERMS``) of words and beginnings found in ``LEAST`` of them; a word that is not in it has no
-weight, so rare words cannot collide with telling ones. All documents are scored, whole.
+weight, so rare words cannot collide with telling ones. The penalty leaves few weights; they are sent to
+the tasks, which score all documents, whole.
 
-Rows whose label is null are not fitted on. A category whose sample lacks one of the two
+Rows whose labels are null are not fitted on. A category whose sample lacks one of the two
 classes gets its base rate, 0 without any label. Null and empty texts have no words; they are scored by
-the rest of the model and never rejected. Repeated rows get the same result. An empty table gives an
-empty result. Columns of any name stay as they are.
+the rest of the model and never rejected. Repeated rows get the same result; of texts that share an id
+the least is fitted on. An empty table gives an empty result. Columns of any name stay as they are.
 """
 
-from collections.abc import Sequence
+import math
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -25,16 +29,21 @@ from pyspark.sql import functions as F
 
 from ridelake.sources.workspace import written
 
-FIT_ROWS, TERMS, LEAST, FOLDS = 30_000, 30_000, 5, 3
+FIT_ROWS, TERMS, LEAST, FOLDS = 8_000, 30_000, 4, 3
 BEGINNING = 4
-PENALTY = 0.0005
+PENALTY, STEPS = 0.0001, 20
+WORDS = re.compile(r"[^\W_]+")
 
 
-def terms(text: Column) -> Column:
-    """The different words of a text, and their different beginnings."""
-    words = F.array_remove(F.array_distinct(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")), "")
-    begun = F.transform(words, lambda word: F.concat(F.substring(word, 1, BEGINNING), F.lit("-")))
-    return F.concat(words, F.array_distinct(begun))
+def terms_of(text: str | None) -> list[str]:
+    """The different words of a text, and their different beginnings, marked by a dash."""
+    words = set(WORDS.findall(text.lower())) if text else set()
+    return [*words, *{word[:BEGINNING] + "-" for word in words}]
+
+
+def _terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for texts in batches:
+        yield pa.array([sorted(terms_of(text)) for text in texts.to_pylist()], pa.list_(pa.string()))
 
 
 def rejected(category: str, threshold: float = 0.5) -> Column:
@@ -42,96 +51,124 @@ def rejected(category: str, threshold: float = 0.5) -> Column:
     return (F.col(category) >= threshold) & (F.col("n_terms") > 0)
 
 
-class Chain:
-    """Fitted models, in the order of their categories."""
+class Link:
+    """One category's model: a base, a weight for every telling term and one for every earlier category."""
 
-    def __init__(self, vocabulary, links: list):
-        self._vocabulary, self._links = vocabulary, links
+    def __init__(self, base: float, terms: dict[str, float], earlier: Sequence[float]):
+        self.base, self.terms, self.earlier = base, terms, earlier
 
-    def scored(self, docs: DataFrame, text: str) -> DataFrame:
-        """``row`` (the whole input row), ``n_terms`` and the probability of every category, named as it."""
-        rows = docs.select(F.struct("*").alias("row"), terms(F.col(text)).alias("terms"))
-        rows = rows.withColumn("n_terms", F.size("terms"))
-        if self._vocabulary:
-            rows = self._vocabulary.transform(rows)
-        done: list[str] = []
-        for category, link in self._links:
-            if isinstance(link, float):
-                rows = rows.withColumn(category, F.lit(link))
-            else:
-                rows = _predicted(link, _assembled(rows, done), category)
-            done.append(category)
-        return rows.select("row", "n_terms", *done)
+    def probability(self, terms: list[str], before: list[float]) -> float:
+        weight = self.terms.get
+        total = self.base + sum(weight(term, 0.0) for term in terms) + sum(w * p for w, p in zip(self.earlier, before))
+        return 1 / (1 + math.exp(-total)) if total > -700 else 0.0
 
 
-def _assembled(rows: DataFrame, earlier: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=["vector", *earlier], outputCol="features").transform(rows)
+def _scorer(links: list[Link]):
+    telling = set().union(*(link.terms for link in links))
 
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            counts, columns = [], [[] for _ in links]
+            for text in texts.to_pylist():
+                found = terms_of(text)
+                counts.append(len(found))
+                found = sorted(telling.intersection(found))
+                before: list[float] = []
+                for link, column in zip(links, columns):
+                    before.append(link.probability(found, before))
+                    column.append(before[-1])
+            arrays = [pa.array(counts, pa.int32()), *(pa.array(column, pa.float64()) for column in columns)]
+            yield pa.StructArray.from_arrays(arrays, names=["n_terms", *(f"p{i}" for i in range(len(links)))])
+
+    return score
 
-def _fitted(rows: DataFrame, label: str):
-    learner = LogisticRegression(
-        featuresCol="features", labelCol=label, regParam=PENALTY, elasticNetParam=1.0, maxIter=40, standardization=False
-    )
-    return learner.fit(rows)
 
+class Chain:
+    """Fitted links, in the order of their categories."""
+
+    def __init__(self, categories: Sequence[str], links: list[Link]):
+        self.categories, self.links = list(categories), links
 
-def _predicted(model, rows: DataFrame, name: str) -> DataFrame:
-    scored = model.transform(rows)
-    probability = vector_to_array("probability")[1].alias(name)
-    return scored.select(*[c for c in rows.columns if c not in ("features", name)], probability)
+    def scored(self, docs: DataFrame, text: str) -> DataFrame:
+        """``row`` (the whole input row), ``n_terms`` and the probability of every category, named as it."""
+        kind = "n_terms int" + "".join(f", p{i} double" for i in range(len(self.links)))
+        score = F.arrow_udf(_scorer(self.links), kind)(F.coalesce(F.col(text), F.lit(""))).alias("score")
+        named = [F.col(f"score.p{i}").alias(category) for i, category in enumerate(self.categories)]
+        return docs.select(F.struct("*").alias("row"), score).select("row", "score.n_terms", *named)
 
 
 def fit_chain(
     docs: DataFrame, labels: DataFrame, key: str, text: str, categories: Sequence[str], fit_rows: int = FIT_ROWS
 ) -> Chain:
     """A chain for 0/1 label columns, in the order given; ``labels`` names its documents by ``key``."""
-    marks = [F.col(c).cast("double").alias(f"is_{i}") for i, c in enumerate(categories)]
-    marked = labels.select(F.col(key).alias("id"), *marks).dropna().dropDuplicates(["id"])
+    marks = [f"is_{i}" for i in range(len(categories))]
+    marked = labels.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(m) for c, m in zip(categories, marks)])
+    marked = marked.dropna().dropDuplicates(["id"])
     share = min(1.0, fit_rows / max(1, marked.count()))
-    place = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
-    chosen = marked.filter(place < int(share * 1_000_000))
+    chosen = marked.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # At most about fit_rows rows of numbers; no text is shuffled for documents that are not chosen.
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
-    texts = texts.groupBy("id", *[f"is_{i}" for i in range(len(categories))]).agg(F.min("text").alias("text"))
-    sample = texts.withColumn("terms", terms(F.col("text"))).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)))
-    sample = written(sample.drop("text"), "toxicity-sample")
-    if not sample.count():
-        return Chain(None, [(category, 0.0) for category in categories])
-    vocabulary = CountVectorizer(
-        inputCol="terms", outputCol="vector", vocabSize=TERMS, minDF=LEAST, binary=True
-    )
-    try_fit = sample.select(F.explode("terms").alias("term")).groupBy("term").count().filter(F.col("count") >= LEAST)
-    if try_fit.isEmpty():
-        vocabulary = vocabulary.setMinDF(1)
-    vocabulary = vocabulary.fit(sample)
+    texts = texts.groupBy("id", *marks).agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
+    terms = F.arrow_udf(_terms, "array<string>")
+    fold = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS))
+    sample = written(texts.select("id", *marks, terms("text").alias("terms"), fold.alias("fold")), "toxicity-sample")
+    if sample.isEmpty():
+        return Chain(categories, [_constant(0.0) for _ in categories])
+    often = sample.select(F.explode("terms").alias("term")).groupBy("term").count().filter(F.col("count") >= LEAST)
+    least = 1 if often.isEmpty() else LEAST
+    counted = CountVectorizer(inputCol="terms", outputCol="vector", vocabSize=TERMS, minDF=least, binary=True)
+    if not sample.filter(F.size("terms") > 0).count():
+        rates = sample.agg(*[F.avg(m) for m in marks]).first()
+        return Chain(categories, [_constant(rate) for rate in rates])
+    vocabulary = counted.fit(sample)
     rows = written(vocabulary.transform(sample).drop("terms"), "toxicity-vectors")
     links, done = [], []
-    for i, category in enumerate(categories):
-        label = f"is_{i}"
-        held = rows.agg(F.min(label), F.max(label), F.avg(label)).first()
-        if held[0] == held[1]:
-            link = float(held[2])
-            rows = rows.withColumn(category, F.lit(link))
+    for i, (category, mark) in enumerate(zip(categories, marks)):
+        name = f"p_{i}"
+        low, high, rate = rows.agg(F.min(mark), F.max(mark), F.avg(mark)).first()
+        if low == high:
+            links.append(_constant(rate))
+            rows = rows.withColumn(name, F.lit(float(rate)))
         else:
-            link = _fitted(_assembled(rows, done), label)
+            links.append(_link(_fitted(_assembled(rows, done), mark), vocabulary.vocabulary))
             if i + 1 < len(categories):
-                rows = _out_of_fold(rows, done, label, category)
-        links.append((category, link))
-        done.append(category)
-    return Chain(vocabulary, links)
+                rows = _out_of_fold(rows, done, mark, name)
+        done.append(name)
+    return Chain(categories, links)
+
+
+def _constant(rate: float) -> Link:
+    base = math.log(rate / (1 - rate)) if 0 < rate < 1 else math.copysign(800.0, rate - 0.5)
+    return Link(base, {}, [])
+
+
+def _link(model, vocabulary: list[str]) -> Link:
+    weights = model.coefficients.toArray()
+    terms = {term: float(w) for term, w in zip(vocabulary, weights) if w}
+    return Link(float(model.intercept), terms, [float(w) for w in weights[len(vocabulary) :]])
+
+
+def _assembled(rows: DataFrame, earlier: Sequence[str]) -> DataFrame:
+    return VectorAssembler(inputCols=["vector", *earlier], outputCol="features").transform(rows)
+
+
+def _fitted(rows: DataFrame, label: str):
+    learner = LogisticRegression(
+        featuresCol="features", labelCol=label, regParam=PENALTY, elasticNetParam=1.0, maxIter=STEPS, standardization=False
+    )
+    return learner.fit(rows)
 
 
 def _out_of_fold(rows: DataFrame, earlier: Sequence[str], label: str, name: str) -> DataFrame:
     """Adds every row's probability from a model fitted on the other folds."""
-    parts = []
+    joined = None
     for fold in range(FOLDS):
-        own, others = rows.filter(F.col("fold") == fold), _assembled(rows.filter(F.col("fold") != fold), earlier)
-        held = others.agg(F.min(label), F.max(label), F.avg(label)).first()
-        if held[0] is None or held[0] == held[1]:
-            parts.append(own.withColumn(name, F.lit(float(held[2] or 0.0))))
+        own, others = rows.filter(F.col("fold") == fold), rows.filter(F.col("fold") != fold)
+        low, high, rate = others.agg(F.min(label), F.max(label), F.avg(label)).first()
+        if low is None or low == high:
+            part = own.withColumn(name, F.lit(float(rate or 0.0)))
         else:
-            parts.append(_predicted(_fitted(others, label), _assembled(own, earlier), name))
-    joined = parts[0]
-    for part in parts[1:]:
-        joined = joined.unionByName(part)
+            scored = _fitted(_assembled(others, earlier), label).transform(_assembled(own, earlier))
+            part = scored.select(*rows.columns, vector_to_array("probability")[1].alias(name))
+        joined = part if joined is None else joined.unionByName(part)
     return written(joined, "toxicity-folds")
