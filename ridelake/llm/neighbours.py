@@ -143,6 +143,8 @@ def _part_search(k: int):
     """The k best rows for every query among the buckets of one part."""
 
     def search(entries: pa.Table, visits: pa.Table) -> pa.Table:
+        if not entries.num_rows or not visits.num_rows:
+            return RESULT.empty_table()
         vectors, asked = _matrix(entries["vector"]), _matrix(visits["vector"])
         ids = entries["id"].to_numpy()
         cells = list(zip(entries["bucket"].to_pylist(), entries["salt"].to_pylist()))

@@ -94,7 +94,8 @@ def _lines(schemas: dict):
                     problems.append("the tool is unknown")
                 elif value is not None:
                     problems += broken_rules(value, schemas[name])
-                record = {"arguments": value, "id": call_id, "name": name, "needs": sorted(needed or []), "result": result}
+                needed = sorted(need for need in needed or [] if need is not None)
+                record = {"arguments": value, "id": call_id, "name": name, "needs": needed, "result": result}
                 rows.append({"line": canonical(record), "problems": problems})
             yield pa.array(rows, _LINE_ARROW)
 

@@ -1,0 +1,102 @@
+"""Nearest neighbours against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ridelake.llm import neighbours
+
+VECTORS = "vec_id long, embedding array<double>, id long, query string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 1, "q") for i, v in rows], VECTORS)
+
+
+def asked(spark, rows, k, every=5):
+    found = neighbours.nearest(frame(spark, rows), "vec_id", "embedding", F.col("id") % every == 0, k).collect()
+    out = {}
+    for r in sorted(found, key=lambda r: (r["query"], r["rank"])):
+        out.setdefault(r["query"], []).append((r["rank"], r["id"], r["score"]))
+    return out
+
+
+def by_hand(rows, k, every=5):
+    rows = {i: np.array(v, dtype=float) for i, v in rows}
+    out = {}
+    for q, vector in rows.items():
+        if q % every == 0:
+            scored = sorted((-(vector * v).sum(), i) for i, v in rows.items() if i != q)
+            out[q] = [(n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return out
+
+
+@pytest.mark.parametrize("scale", [False, True])
+def test_recall_and_exact_scores(spark, scale):
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((40, 32))
+    vectors = centres[rng.integers(0, 40, 3000)] + 0.7 * rng.standard_normal((3000, 32))
+    if scale:
+        vectors *= rng.uniform(0.5, 2, (3000, 1))
+    rows = [(i, v) for i, v in enumerate(vectors)]
+    found, true = asked(spark, rows, 20, 30), by_hand(rows, 20, 30)
+    assert found.keys() == true.keys() and all(len(f) == 20 for f in found.values())
+    recall = np.mean([len({i for _, i, _ in found[q]} & {i for _, i, _ in true[q]}) / 20 for q in true])
+    assert recall >= 0.9
+    scores = dict(rows)
+    for q, list_ in found.items():
+        assert [r for r, _, _ in list_] == list(range(1, 21))
+        assert list_ == sorted(list_, key=lambda x: (-x[2], x[1]))
+        assert all(s == pytest.approx((scores[q] * scores[i]).sum(), abs=1e-12) for _, i, s in list_)
+
+
+def test_few_rows_copies_and_ties_are_exact(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [1.0, 2.0, -0.0]) for i in range(0, 60)] + [(i, rng.standard_normal(3)) for i in range(60, 75)]
+    rows += [(i, [1.0, 2.0, 0.0]) for i in range(75, 80)]
+    found, true = asked(spark, rows, 8), by_hand(rows, 8)
+    assert {q: [i for _, i, _ in f] for q, f in found.items()} == {q: [i for _, i, _ in f] for q, f in true.items()}
+
+
+def test_fewer_candidates_than_asked_for(spark):
+    rows = [(0, [1, 0]), (5, [-1, 0]), (7, [0, 1])]
+    assert asked(spark, rows, 20) == by_hand(rows, 20)
+    assert asked(spark, [(0, [1, 2])], 20) == {}
+    assert asked(spark, [], 20) == {}
+
+
+def test_vectors_that_take_no_part(spark):
+    good = [(i, [1 + i, 2, 3]) for i in range(12)]
+    bad = [
+        (20, None), (25, []), (30, [0, 0, 0]), (35, [1, None, 2]), (40, [1, math.nan, 2]), (45, [1, math.inf, 2]),
+        (50, [1, 2]), (None, [9, 9, 9]), good[3],
+    ]
+    assert asked(spark, good + bad, 4) == by_hand(good, 4)
+
+
+def test_crowded_buckets_are_cut(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, np.array([3.0, 1, 2]) + 1e-3 * rng.standard_normal(3)) for i in range(400)]
+    monkeypatch.setattr(neighbours, "PART", 64)
+    assert {q: [i for _, i, _ in f] for q, f in asked(spark, rows, 5).items()} == {
+        q: [i for _, i, _ in f] for q, f in by_hand(rows, 5).items()
+    }
+
+
+def test_short_answers_are_searched_whole(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.standard_normal(16)) for i in range(300)]
+    monkeypatch.setattr(neighbours, "_fitted_width", lambda *_: 1e-6)
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    assert {q: [i for _, i, _ in f] for q, f in asked(spark, rows, 6).items()} == {
+        q: [i for _, i, _ in f] for q, f in by_hand(rows, 6).items()
+    }
+
+
+def test_perturbations_come_in_order_of_cost():
+    sets = neighbours.perturbations(6, 60)
+    assert sets[:2] == [(), (0,)] and len(set(sets)) == 60
+    assert all(11 - r not in ranks for ranks in sets for r in ranks)
+    assert max(map(len, sets)) >= 3

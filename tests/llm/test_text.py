@@ -1,0 +1,227 @@
+"""Prefix token tables, the toxicity chain and tool-call linking."""
+
+import json
+import random
+
+import public_tokenizers
+import pytest
+from llm.tables import DOC, documents, prose
+from tokenizers import Tokenizer
+
+from ridelake.llm import token_counts, tool_calls, toxicity
+
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+PARTS = [
+    "a", "b", " ", "  ", "\n", "'", "'re", "'ll", "'s", "<|endoftext|>", "<|endof", "é", "ß", "漢", "🙂", "the", "aaa", "aaaa", "!!",
+    "2024", "\t", "\x1c", "\x85", "İ", "ing", " the", "=", "----", "\r\n", "The", " unbelievable", " ", "'t", "̈",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(FILE)
+    return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(FILE, encoding="utf-8") as file:
+        return token_counts.Vocabulary(file.read())
+
+
+def table_row(vocabulary, text):
+    total, starts, before, within = vocabulary.table(text)
+    return {"n_tokens": total, "starts": starts.tobytes(), "before": before.tobytes(), "within": within}
+
+
+def test_every_prefix_as_the_library(vocabulary, library):
+    rng = random.Random(2)
+    for _ in range(1500):
+        text = "".join(rng.choice(PARTS) for _ in range(rng.randrange(1, 14)))
+        row = table_row(vocabulary, text)
+        assert row["n_tokens"] == library(text), text
+        assert [token_counts.tokens_of_prefix(row, i) for i in range(len(text) + 1)] == [
+            library(text[:i]) for i in range(len(text) + 1)
+        ], text
+
+
+def test_longest_prefix_within_a_budget(vocabulary, library):
+    text = prose(1, 60)[0] + "  \n\n won't  <|endoftext|> İé"
+    row = table_row(vocabulary, text)
+    for budget in (0, 1, 7, 40, 10_000):
+        fits = [i for i in range(len(text) + 1) if library(text[:i]) <= budget]
+        assert token_counts.longest_prefix(row, budget) == max(fits)
+
+
+def test_a_full_memory_gives_the_same(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 3)
+    with open(FILE, encoding="utf-8") as file:
+        small = token_counts.Vocabulary(file.read())
+    text = prose(1, 80)[0]
+    assert small.table(text)[0] == library(text)
+
+
+def test_tables_of_a_column(spark, library):
+    texts = [None, "", "word", "x" * 30_000, " " * 3000, "a b " * 8000, "word", "é" * 500]
+    docs = documents(spark, texts)
+    sent = token_counts.read_vocabulary(spark, FILE)
+    counted = token_counts.counted(docs, "text", sent)
+    rows = counted.select("row", "table", token_counts.fitting_length(counted["table"], 5).alias("fits")).collect()
+    assert len(rows) == len(texts) and set(rows[0]["row"].asDict()) == set(docs.columns)
+    for r in rows:
+        text = r["row"]["text"] or ""
+        assert (r["table"]["n_bytes"], r["table"]["n_tokens"]) == (len(text.encode()), library(text))
+        assert library(text[: r["fits"]]) <= 5 and (r["fits"] == len(text) or library(text[: r["fits"] + 1]) > 5)
+    assert token_counts.counted(spark.createDataFrame([], DOC), "text", sent).count() == 0
+
+
+INSULTS = ["idiot", "moron", "scum", "vequais", "vequel", "vequort"]
+LABELS = "doc_id long, quality int, toxic int, row int"
+
+
+def labelled(count, seed):
+    rng = random.Random(seed)
+    texts, marks = [], []
+    for i, text in enumerate(prose(count, 60, seed=seed, vocabulary=3000)):
+        words = text.split(" ")
+        toxic, junk = i % 5 == 0, i % 5 == 1
+        if toxic:
+            words[rng.randrange(60)] = rng.choice(INSULTS).capitalize() + rng.choice([",", ".", ""])
+        if junk:
+            words = [w + "###" if rng.random() < 0.5 else "zzq" for w in words]
+        texts.append(" ".join(words))
+        marks.append((i, int(not junk), int(toxic), 1))
+    return texts, marks
+
+
+def test_held_out_documents_are_told_apart(spark):
+    texts, marks = labelled(700, 1)
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame(marks[:500] + [(None, 1, 1, 1), (600, None, 1, 1)], LABELS)
+    chain = toxicity.fit_chain(docs, labels, "doc_id", "text", ["quality", "toxic"])
+    assert len(chain.links[1].earlier) == 1
+    rows = chain.scored(docs, "text").select("row.doc_id", "quality", toxicity.rejected("toxic").alias("out")).collect()
+    assert len(rows) == 700
+    held = [r for r in rows if r["doc_id"] >= 500]
+    right = sum(r["out"] == bool(marks[r["doc_id"]][2]) for r in held)
+    assert right >= 0.97 * len(held)
+    assert sum((r["quality"] > 0.5) == bool(marks[r["doc_id"]][1]) for r in held) >= 0.97 * len(held)
+
+
+def test_later_links_are_fitted_on_out_of_fold_probabilities(spark, monkeypatch):
+    texts, marks = labelled(120, 2)
+    fitted = []
+    own = toxicity._fitted
+    monkeypatch.setattr(toxicity, "_fitted", lambda rows, label: fitted.append((label, rows.count())) or own(rows, label))
+    toxicity.fit_chain(documents(spark, texts), spark.createDataFrame(marks, LABELS), "doc_id", "text", ["quality", "toxic"])
+    first = [n for label, n in fitted if label == "is_0"]
+    # The whole sample, then the sample without each fold.
+    assert first[0] == 120 and sum(120 - n for n in first[1:]) == 120 and len(first) == 1 + toxicity.FOLDS
+    assert [n for label, n in fitted if label == "is_1"] == [120]
+
+
+def test_awkward_labels_and_texts(spark):
+    docs = documents(spark, [None, "", "...", "idiot", "idiot " * 50_000, "fine", "fine"], ids=[0, 1, 2, 3, 4, 5, None])
+    for labels, expected in (([], 0.0), ([(3, 1, 1, 1)], 1.0), ([(0, 1, 0, 1), (1, 0, 0, 1)], 0.0)):
+        frame = spark.createDataFrame(labels, LABELS)
+        chain = toxicity.fit_chain(docs, frame, "doc_id", "text", ["quality", "toxic"])
+        rows = chain.scored(docs, "text").select("row", "toxic", "n_terms", toxicity.rejected("toxic").alias("out")).collect()
+        assert {r["toxic"] for r in rows} == {expected}
+        assert all(r["out"] == (expected == 1.0 and r["n_terms"] > 0) for r in rows) and len(rows) == 7
+    assert chain.scored(docs.limit(0), "text").count() == 0
+
+
+def test_the_fitted_sample_is_bounded(spark, monkeypatch):
+    texts, marks = labelled(400, 3)
+    sizes = []
+    own = toxicity._fitted
+    monkeypatch.setattr(toxicity, "_fitted", lambda rows, label: sizes.append(rows.count()) or own(rows, label))
+    labels = spark.createDataFrame(marks, LABELS)
+    toxicity.fit_chain(documents(spark, texts), labels, "doc_id", "text", ["toxic"], fit_rows=100)
+    assert 60 < sizes[0] < 140
+
+
+SCHEMAS = {
+    "add": {
+        "required": ["a", "b"],
+        "properties": {"a": {"type": "number"}, "b": {"type": "integer", "minimum": 0, "maximum": 9}, "c": {"type": "string", "enum": ["x"]}},
+    },
+    "say": {"required": [], "properties": {"on": {"type": "boolean"}, "o": {"type": "object"}, "l": {"type": "array"}}},
+}
+CALLS = "conv long, call_id string, position long, name string, arguments string, needs array<string>, status string"
+RESULTS = "conv long, call_id string, position long, content string, line string"
+
+
+def calls_by_hand(calls, results):
+    out, first = [], {}
+    for row in sorted(calls, key=lambda c: ((c[2] is not None, c[2]), (c[3] is not None, c[3] or ""), (c[4] is not None, c[4] or ""), str(c[5]))):
+        key = (row[0], row[1])
+        if None not in key and key in first:
+            out.append((*key, row[2], None, "repeated"))
+        elif None in key:
+            out.append((*key, row[2], 0, "no result"))
+        else:
+            first[key] = row
+
+    def level(key, above=()):
+        if key in above:
+            return None
+        below = [level((key[0], need), (*above, key)) for need in first[key][5] or [] if (key[0], need) in first]
+        return None if None in below else max(below, default=-1) + 1
+
+    answered = {(r[0], r[1]) for r in results}
+    for key, row in first.items():
+        own = level(key)
+        out.append((*key, row[2], own, "cycle" if own is None else "linked" if key in answered else "no result"))
+    out += [(r[0], r[1], r[2], None, "no call") for r in results if (r[0], r[1]) not in first]
+    return sorted(out, key=str)
+
+
+def test_links_levels_and_statuses_as_by_hand(spark):
+    rng = random.Random(8)
+    calls, results = [], []
+    for conv in range(12):
+        for i in range(25):
+            needs = [f"c{rng.randrange(25)}" for _ in range(rng.randrange(3))] if conv % 3 else [f"c{j}" for j in (i - 1, i - 7) if j >= 0]
+            calls.append((conv, f"c{i}", i, "say", "{}", rng.choice([None, needs, needs]), "s"))
+            if rng.random() < 0.7:
+                results.append((conv, f"c{i}", i + 1, f"r{i}", "l"))
+    calls += [calls[3], calls[3], (None, "c1", 1, "say", "{}", None, "s"), (1, None, 1, "say", "{}", [], "s"), (5, "c3", None, "say", "{}", [], "s")]
+    calls += [(20, "a", 0, "say", "{}", ["a"], "s"), (20, "b", 0, "say", "{}", ["a", "nowhere", None], "s")]
+    results += [(30, "c1", 1, "x", "l"), (None, "c1", 2, None, "l"), results[0]]
+    found = tool_calls.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS).collect()
+    assert sorted(((r["conv"], r["call_id"], r["position"], r["level"], r["status"]) for r in found), key=str) == calls_by_hand(calls, results)
+    b = next(r for r in found if (r["conv"], r["call_id"]) == (20, "b"))
+    assert b["problems"] == ["nowhere is no call"]
+
+
+@pytest.mark.parametrize(
+    ("name", "arguments", "problems", "shown"),
+    [
+        ("add", '{"b": 3, "a": 1.50}', [], '{"a":1.5,"b":3}'),
+        ("add", ' {"b":3 ,"a":-2,"c":"x"} ', [], '{"a":-2,"b":3,"c":"x"}'),
+        ("add", '{"b": true, "a": "1"}', ["a is no number", "b is no integer"], '{"a":"1","b":true}'),
+        ("add", '{"b": 12, "c": "y", "d": 0}', ["a is missing", "b is out of range", "c is none of its values", "d is unknown"], None),
+        ("add", '{"a": 1, "a": 2, "b": 1}', ["arguments are not JSON"], "null"),
+        ("add", '{"a": NaN, "b": 1}', ["arguments are not JSON"], "null"),
+        ("add", "[1]", ["arguments are no object"], "null"),
+        ("add", None, ["arguments are missing"], "null"),
+        ("add", "", ["arguments are not JSON"], "null"),
+        ("nope", "{}", ["the tool is unknown"], "{}"),
+        ("say", '{"on": true, "l": [1, {"z": 1, "é": "\\u00e9\\n"}], "o": {}}', [], '{"l":[1,{"z":1,"é":"é\\n"}],"o":{},"on":true}'),
+        ("say", '{"o": {"half": "\\ud800"}}', [], '{"o":{"half":"\\ud800"}}'),
+    ],
+)
+def test_arguments_are_checked_and_canonical(spark, name, arguments, problems, shown):
+    calls = spark.createDataFrame([(1, "k", 0, name, arguments, [], "s")], CALLS)
+    results = spark.createDataFrame([(1, "k", 2, "late", "l"), (1, "k", 1, 'so "said"', "l")], RESULTS)
+    (row,) = tool_calls.linked(calls, results, SCHEMAS).collect()
+    assert row["problems"] == problems
+    if shown:
+        assert row["line"] == '{"arguments":' + shown + f',"id":"k","name":"{name}","needs":[],"result":"so \\"said\\""}}'
+    assert json.loads(row["line"])["result"] == 'so "said"'
+
+
+def test_no_calls_and_no_results(spark):
+    calls, results = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
+    assert tool_calls.linked(calls, results, SCHEMAS).count() == 0
