@@ -12,8 +12,12 @@ TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def ride_to_json() -> Column:
-    """Every ride column but the key, as one JSON string; NULL fields are left out."""
-    body = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RIDES.fields if f.name != "key"]
+    """Every ride column but the key, as one JSON string.
+
+    NULL fields are left out, and so are values that are not of their type, such as a
+    time that is none, with ANSI mode on and off.
+    """
+    body = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RIDES.fields if f.name != "key"]
     return F.to_json(F.struct(*body), {"timestampFormat": TIMESTAMP_FORMAT})
 
 

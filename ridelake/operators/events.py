@@ -29,11 +29,22 @@ def parse_events(events: DataFrame, corrupt_column: str | None = None) -> DataFr
     return parsed.withColumns(typed).select(*RAW.names, *extra)
 
 
-def split_bad_records(events: DataFrame, corrupt_column: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
-    """(good raw rides, bad records with the key and the text that could not be read)."""
-    parsed = parse_events(events, corrupt_column)
-    good = parsed.filter(F.col(corrupt_column).isNull()).drop(corrupt_column)
-    bad = parsed.filter(F.col(corrupt_column).isNotNull()).select("key", F.col(corrupt_column).alias("value"))
+def flag_bad_records(events: DataFrame, bad_text: str = "bad_text") -> DataFrame:
+    """Raw rides with ``bad_text``, the text of a record that could not be read, else NULL.
+
+    For whoever needs good and bad records: everything is read and parsed once.
+    """
+    return parse_events(events, bad_text)
+
+
+def split_bad_records(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good raw rides, bad records with the key and the text that could not be read).
+
+    Two frames, each of which parses the events when it is used.
+    """
+    flagged = flag_bad_records(events, "_corrupt")
+    good = flagged.filter(F.col("_corrupt").isNull()).drop("_corrupt")
+    bad = flagged.filter(F.col("_corrupt").isNotNull()).select("key", F.col("_corrupt").alias("value"))
     return good, bad
 
 

@@ -14,8 +14,10 @@ from ridelake.operators.joins import left_join_salted, left_join_small
 CLUSTERS = 12
 SEED = 1
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Beyond this many centres the literal search makes too long an expression.
+# Beyond this many centres the literal search makes too long an expression; the model then finds the same cluster.
 LITERAL_CENTERS = 64
+# Tasks that the fit runs in, whatever the session says: the model depends on them.
+FIT_TASKS = 16
 
 PICKUP_POINT = ("pickup_latitude", "pickup_longitude")
 FACTS = "k INT, seed BIGINT, small BOOLEAN, separate BOOLEAN"
@@ -51,20 +53,16 @@ def is_small(neighborhoods: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= limit
 
 
-def fit_regions(neighborhoods: DataFrame, k: int = CLUSTERS, seed: int = SEED, small: bool | None = None) -> KMeansModel:
-    """KMeans on (latitude, longitude), in plain degrees.
+def fit_regions(neighborhoods: DataFrame, k: int = CLUSTERS, seed: int = SEED) -> KMeansModel:
+    """KMeans on (latitude, longitude), in plain degrees; equal points are one weighted point.
 
-    The result depends on row order and partitions as well as on the seed, so a
-    small table is sorted in one partition. A large one is never gathered:
-    equal points are first merged into one weighted point.
+    The result depends on row order and partitions as well as on the seed. Points
+    are therefore always dealt by their place to the same number of tasks and sorted
+    there, at every size of the table and under every setting of the session.
     """
-    if is_small(neighborhoods) if small is None else small:
-        points = neighborhoods.coalesce(1).sortWithinPartitions("latitude", "longitude", "neighborhood")
-        kmeans = KMeans(k=k, seed=seed, predictionCol="cluster")
-    else:
-        weighted = neighborhoods.groupBy("latitude", "longitude").agg(F.count("*").cast("double").alias("weight"))
-        points = weighted.sortWithinPartitions("latitude", "longitude")
-        kmeans = KMeans(k=k, seed=seed, predictionCol="cluster", weightCol="weight")
+    weighted = neighborhoods.groupBy("latitude", "longitude").agg(F.count("*").cast("double").alias("weight"))
+    points = weighted.repartition(FIT_TASKS, "latitude", "longitude").sortWithinPartitions("latitude", "longitude")
+    kmeans = KMeans(k=k, seed=seed, predictionCol="cluster", weightCol="weight")
     return kmeans.fit(assemble(points, ["latitude", "longitude"]))
 
 
@@ -74,16 +72,13 @@ def centers_of(model: KMeansModel) -> list[tuple[float, float]]:
 
 
 def _clustered(df: DataFrame, model: KMeansModel, point: tuple[str, str], cluster: str) -> DataFrame:
-    """Adds the nearest cluster. Rows without a valid point get NULL, or with many centres are dropped."""
+    """Adds the nearest cluster; rows without a valid point get NULL."""
     centers = centers_of(model)
     if len(centers) <= LITERAL_CENTERS:
         return with_nearest_center(df, *point, centers, cluster)
     predictor = model.copy().setFeaturesCol("_features").setPredictionCol("_cluster")
-    return (
-        predictor.transform(assemble(df, list(point), "skip", "_features"))
-        .withColumnRenamed("_cluster", cluster)
-        .drop("_features")
-    )
+    predicted = predictor.transform(assemble(df, list(point), "keep", "_features"))
+    return predicted.withColumn(cluster, F.when(is_point(*point), F.col("_cluster"))).drop("_features", "_cluster")
 
 
 def label_neighborhoods(model: KMeansModel, neighborhoods: DataFrame) -> DataFrame:
@@ -103,18 +98,12 @@ def assign_cluster(
         return _clustered(rides.filter(is_point(*PICKUP_POINT)), model, PICKUP_POINT, cluster)
     if handle_invalid != "keep":
         raise ValueError(f"handle_invalid must be 'skip' or 'keep', not {handle_invalid!r}")
-    if len(model.clusterCenters()) <= LITERAL_CENTERS:
-        return _clustered(rides, model, PICKUP_POINT, cluster)
-    valid = F.coalesce(is_point(*PICKUP_POINT), F.lit(False))
-    known = _clustered(rides.filter(valid), model, PICKUP_POINT, cluster)
-    return known.unionByName(rides.filter(~valid).withColumn(cluster, F.lit(None).cast("int")))
+    return _clustered(rides, model, PICKUP_POINT, cluster)
 
 
-def _region_dim(model: KMeansModel, neighborhoods: DataFrame, small: bool) -> DataFrame:
-    # In one partition the distinct below needs no shuffle.
-    places = neighborhoods.coalesce(1) if small else neighborhoods
+def _region_dim(model: KMeansModel, neighborhoods: DataFrame) -> DataFrame:
     return (
-        label_neighborhoods(model, places)
+        label_neighborhoods(model, neighborhoods)
         .withColumnRenamed("cluster", "pickup_cluster")
         .withColumnRenamed("neighborhood", "pickup_region")
         .distinct()
@@ -135,10 +124,13 @@ def _are_separate(dim: DataFrame, clusters: int) -> bool:
 def build_regions(
     neighborhoods: DataFrame, k: int = CLUSTERS, seed: int = SEED, broadcast_bytes: int = BROADCAST_BYTES
 ) -> Regions:
-    """Fits the clusters and labels the neighbourhoods. Runs jobs on the neighbourhoods only."""
+    """Fits the clusters and labels the neighbourhoods. Runs jobs on the neighbourhoods only.
+
+    The measured size decides how regions are joined later, and nothing else.
+    """
     small = is_small(neighborhoods, broadcast_bytes)
-    model = fit_regions(neighborhoods, k, seed, small)
-    dim = _region_dim(model, neighborhoods, small)
+    model = fit_regions(neighborhoods, k, seed)
+    dim = _region_dim(model, neighborhoods)
     return Regions(model, dim, k, seed, small, _are_separate(dim, len(model.clusterCenters())))
 
 

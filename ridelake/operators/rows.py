@@ -1,4 +1,4 @@
-"""Row-level operators: coordinate filter, row cap, parts, distinct."""
+"""Row-level operators: coordinate filter, parts, distinct."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,15 +9,6 @@ def with_coordinates(rides: DataFrame) -> DataFrame:
     return rides.filter(F.col("pickup_latitude").isNotNull() & F.col("pickup_longitude").isNotNull())
 
 
-def first_rows(df: DataFrame, n: int, by: str = "key") -> DataFrame:
-    """The first ``n`` rows by ``by``, ties settled by the other columns, so reruns agree.
-
-    Spark runs this as a per-partition top-n followed by a merge, not as a full sort.
-    """
-    rest = [c for c in df.columns if c != by]
-    return df.orderBy(by, *rest).limit(n)
-
-
 def random_parts(df: DataFrame, parts: int = 10, seed: int | None = None) -> list[DataFrame]:
     """``parts`` disjoint random frames of about equal size that together hold every row.
 

@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ridelake.operators.events import parse_events, split_bad_records, to_events
+from ridelake.operators.events import flag_bad_records, parse_events, to_events
 from ridelake.operators.joins import interval_left_join, left_join_small
 from ridelake.operators.regions import (
     Regions,
@@ -19,20 +20,28 @@ from ridelake.operators.regions import (
     fit_regions,
     label_neighborhoods,
 )
-from ridelake.operators.rows import distinct_rows, first_rows, random_parts, with_coordinates, with_part
+from ridelake.operators.rows import distinct_rows, with_coordinates, with_part
 from ridelake.plans.curation import curate, curated, to_curated
-from ridelake.plans.fares import fares_by_day, fares_by_day_region, fares_by_day_region_of
+from ridelake.plans.fares import fares_by_day, fares_by_day_region_of, fares_of_raw
 from ridelake.plans.pipeline import run_pipeline
 from ridelake.schemas import CURATED, DATE_PARTS, NEIGHBORHOODS, RAW
 from ridelake.session import use_zone
-from ridelake.sources.driver_tables import broken_events, delivered_twice, neighborhoods, rides, rides_by_user
+from ridelake.sources.driver_tables import (
+    broken_events,
+    closing_ride,
+    delivered_twice,
+    neighborhoods,
+    rides,
+    rides_by_user,
+    untimed,
+)
 from ridelake.sources.event_log import read_event_stream, read_events, write_events
 from ridelake.sources.files import read_neighborhoods_csv, require_rides_csv
 from ridelake.sources.lake import append_partitioned, overwrite_table, read_date_range, read_table
 from ridelake.sources.workspace import new_folder
 from ridelake.streaming.fares import window_fares
 from ridelake.streaming.landing import first_deliveries, land, read_raw_stream, with_lateness
-from ridelake.streaming.replay import replay, replay_parts, time_part
+from ridelake.streaming.replay import random_part, replay, replay_parts, time_part
 from ridelake.streaming.sinks import finish, start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +49,6 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed values of the queries' SQL.
 RANGE = ("2024-01-05 06:30:00", "2024-01-12 18:00:00")
-TOP_ROWS = 1000
 PARTS = 10
 TIME_PARTS = 3
 
@@ -70,11 +78,12 @@ def _regions(spark: SparkSession, sf_dir: str) -> Regions:
     return build_regions(neighborhoods(spark, sf_dir))
 
 
-def _published_in_time_order(spark: SparkSession, sf_dir: str, log: str, staging: str) -> Iterator[int]:
-    """Adds the rides to the log, one span of time after the other."""
-    source = rides(spark, sf_dir)
+def _published_in_time_order(source: DataFrame, folder: str) -> Iterator[int]:
+    """Adds the rides to the log, one span of time after the other, and at last a ride long after them."""
     events = to_events(source, keep=("pickup_datetime",))
-    return replay_parts(events, log, staging, TIME_PARTS, time_part(source, TIME_PARTS))
+    yield from replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, time_part(source, TIME_PARTS))
+    write_events(to_events(closing_ride(source)), f"{folder}/log")
+    yield TIME_PARTS
 
 
 # --- rows ---------------------------------------------------------------------
@@ -89,11 +98,8 @@ def event_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def bad_record_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Good and unreadable records of a log with broken and repeated events."""
-    good, bad = split_bad_records(delivered_twice(broken_events(spark, sf_dir)))
-    kept = good.select("key", F.lit(0).alias("is_bad"), "fare_amount", F.lit(None).cast("string").alias("text"))
-    return kept.unionAll(
-        bad.select("key", F.lit(1), F.lit(None).cast("float").alias("fare_amount"), F.col("value").alias("text"))
-    )
+    flagged = flag_bad_records(delivered_twice(broken_events(spark, sf_dir)), "text")
+    return flagged.select("key", F.col("text").isNotNull().cast("int").alias("is_bad"), "fare_amount", "text")
 
 
 @_query
@@ -115,12 +121,6 @@ def dedupe_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_rows(delivered_twice(rides(spark, sf_dir)))
 
 
-@_query
-def row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first rides by key."""
-    return first_rows(rides(spark, sf_dir), TOP_ROWS).select("key", "fare_amount", "pickup_datetime")
-
-
 @_query
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and fares of each part of a fixed split."""
@@ -130,12 +130,9 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random parts put together again: they hold every ride once."""
-    parts = random_parts(to_events(rides(spark, sf_dir)), PARTS, seed=7)
-    whole = parts[0].select("key")
-    for part in parts[1:]:
-        whole = whole.unionAll(part.select("key"))
-    return whole.groupBy("key").agg(F.count("*").alias("n"))
+    """A random split, made in one pass: its parts together hold every ride once."""
+    parted = with_part(to_events(rides(spark, sf_dir)), PARTS, random_part(PARTS, seed=7))
+    return parted.groupBy("key").agg(F.count_if(F.col("part").between(0, PARTS - 1)).alias("n"))
 
 
 # --- joins and regions ----------------------------------------------------------
@@ -195,7 +192,7 @@ def fare_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def fare_by_day_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fares per day and region of the curated rides."""
-    return fares_by_day_region(curated(_raw(spark, sf_dir), _regions(spark, sf_dir)))
+    return fares_of_raw(_raw(spark, sf_dir), _regions(spark, sf_dir))
 
 
 @_query
@@ -236,12 +233,15 @@ def table_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw table after a second append that brought a new column."""
-    path = new_folder(spark, "evolution")
-    raw = _raw(spark, sf_dir)
-    append_partitioned(raw, path)
-    append_partitioned(raw.withColumn("fare_cents", F.round(F.col("fare_amount").cast("double") * 100)), path)
-    return read_table(spark, path, merge_schema=True).select("key", "fare_amount", "fare_cents")
+    """The curated table of a raw table whose second append brought a new column."""
+    folder = new_folder(spark, "evolution")
+    raw, new = _raw(spark, sf_dir), T.StructField("fare_cents", T.DoubleType())
+    append_partitioned(raw, f"{folder}/raw")
+    append_partitioned(raw.withColumn("fare_cents", F.round(F.col("fare_amount").cast("double") * 100)), f"{folder}/raw")
+    grown = read_table(spark, f"{folder}/raw", T.StructType([*RAW.fields, new]))
+    curate(grown, neighborhoods(spark, sf_dir), f"{folder}/curated", more=["fare_cents"])
+    rows = read_table(spark, f"{folder}/curated", T.StructType([*CURATED.fields, new]))
+    return rows.select("key", "pickup_region", "fare_amount", "fare_cents")
 
 
 @_query
@@ -297,10 +297,10 @@ def stream_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stream_window_fare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly fares per region, from events that arrive in time order."""
+    """Hourly fares per region, from events that arrive in time order; every window with a ride comes out."""
     folder = new_folder(spark, "window")
     regions = _regions(spark, sf_dir)
-    for _ in _published_in_time_order(spark, sf_dir, f"{folder}/log", f"{folder}/staged"):
+    for _ in _published_in_time_order(rides(spark, sf_dir), folder):
         raw = with_coordinates(parse_events(read_event_stream(spark, f"{folder}/log")))
         finish(start_append(window_fares(raw, regions), f"{folder}/out", f"{folder}/checkpoint", available_now=True))
     return spark.read.parquet(f"{folder}/out")
@@ -308,41 +308,43 @@ def stream_window_fare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rides delivered twice as a stream, each landed once."""
+    """Rides of which some are delivered again a part later; each lands once."""
     folder = new_folder(spark, "first")
-    source = delivered_twice(rides(spark, sf_dir))
-    events = to_events(source, keep=("pickup_datetime",))
-    by = time_part(source, TIME_PARTS)
-    for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, by):
-        rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), thin=True)
+    source = rides(spark, sf_dir)
+    first = source.withColumn("delivered", time_part(source, TIME_PARTS))
+    again = first.filter(F.col("key").cast("bigint") % 20 == 0).withColumn("delivered", F.col("delivered") + 1)
+    events = to_events(first.unionAll(again), keep=("delivered",))
+    for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS + 1, F.col("delivered")):
+        # So long a delay that no copy is too late: only the state can tell that it is one.
+        rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), "400 days")
         finish(start_append(rows, f"{folder}/out", f"{folder}/checkpoint", DATE_PARTS, available_now=True))
     return read_table(spark, f"{folder}/out", RAW).select("key", "fare_amount", "pickup_datetime")
 
 
 @_query
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rides joined as a stream with their own copies within ten minutes, in time order."""
+    """Users' rides joined as a stream with their rides that have coordinates, at most ten minutes apart."""
     folder = new_folder(spark, "interval")
-    for _ in _published_in_time_order(spark, sf_dir, f"{folder}/log", f"{folder}/staged"):
+    for _ in _published_in_time_order(rides_by_user(spark, sf_dir), folder):
         raw = with_lateness(parse_events(read_event_stream(spark, f"{folder}/log")))
-        near = raw.select(
+        near = with_coordinates(raw).select(
             F.col("key").alias("near_key"),
             F.col("pickup_datetime").alias("near_time"),
+            # A plain time: a stream may have one event time only.
+            F.timestamp_micros(F.unix_micros("pickup_datetime")).alias("near_pickup"),
             F.col("fare_amount").alias("near_fare"),
         )
-        rows = interval_left_join(raw.select("key", "pickup_datetime"), near)
+        rows = interval_left_join(raw.select("key", "pickup_datetime", "fare_amount"), near)
         finish(start_append(rows, f"{folder}/out", f"{folder}/checkpoint", available_now=True))
-    return spark.read.parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").filter("key <> 'closing'")
 
 
 @_query
 def stream_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rides delivered twice, curated as a stream by the interval join and without duplicates."""
+    """Users' rides, some of them delivered twice or without a time, curated as a stream by the interval join."""
     folder = new_folder(spark, "reattach")
-    source = delivered_twice(rides(spark, sf_dir))
-    events = to_events(source, keep=("pickup_datetime",))
-    by = time_part(source, TIME_PARTS)
-    for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, by):
+    source = delivered_twice(untimed(rides_by_user(spark, sf_dir), "ride"))
+    for _ in _published_in_time_order(source, folder):
         query = curate(
             parse_events(read_event_stream(spark, f"{folder}/log")),
             neighborhoods(spark, sf_dir),
@@ -353,7 +355,7 @@ def stream_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
             available_now=True,
         )
         finish(query)
-    return read_table(spark, f"{folder}/out", CURATED)
+    return read_table(spark, f"{folder}/out", CURATED).filter("key <> 'closing'")
 
 
 @_query

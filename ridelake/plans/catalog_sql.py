@@ -3,10 +3,10 @@
 RANGE_FROM, RANGE_TO = "2024-01-05 06:30:00", "2024-01-12 18:00:00"
 
 
-def _rides(key: str, more: str = "") -> str:
+def _rides(key: str, more: str = "", time: str = "CAST(ts AS TIMESTAMP)") -> str:
     return f"""SELECT CAST({key} AS VARCHAR) AS key,
        value AS fare_amount,
-       CAST(ts AS TIMESTAMP) AS pickup_datetime,
+       {time} AS pickup_datetime,
        CASE WHEN event_id % 50 = 0 THEN NULL
             ELSE CAST(-74.23 AS DOUBLE) + CAST(0.0071 AS DOUBLE) * (event_id % 53) END AS pickup_longitude,
        CAST(40.48 AS DOUBLE) + CAST(0.0037 AS DOUBLE) * (user_id % 47) AS pickup_latitude,
@@ -19,6 +19,8 @@ def _rides(key: str, more: str = "") -> str:
 
 _RIDES = f"rides AS ({_rides('event_id')})"
 _USER_RIDES = f"rides AS ({_rides('user_id', ', CAST(event_id AS VARCHAR) AS ride')})"
+_UNTIMED = "CASE WHEN event_id % 71 <> 0 THEN CAST(ts AS TIMESTAMP) END"
+_UNTIMED_RIDES = f"rides AS ({_rides('user_id', time=_UNTIMED)})"
 _TWICE = "twice AS (SELECT * FROM rides UNION ALL SELECT * FROM rides WHERE CAST(key AS BIGINT) % 20 = 0)"
 
 _RAW_COLUMNS = """key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime,
@@ -77,6 +79,15 @@ _FARE_BY_DAY_REGION = f"""WITH {_REGION_RIDES}
 SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, neighborhood AS pickup_region, {_FARES}
 FROM grouped JOIN places ON grouped.grp = places.grp GROUP BY 1, 2"""
 
+# Rides with the groups of all rides of their key within ten minutes.
+_REATTACHED = f"""near AS (
+  SELECT a.*, b.grp FROM (SELECT * FROM rides WHERE pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL) a
+  LEFT JOIN grouped b ON a.key = b.key
+   AND a.pickup_datetime BETWEEN b.pickup_datetime - INTERVAL 10 MINUTES
+                             AND b.pickup_datetime + INTERVAL 10 MINUTES)
+SELECT DISTINCT {_CURATED_COLUMNS}, neighborhood AS pickup_region
+FROM near LEFT JOIN places ON near.grp = places.grp"""
+
 _RAW_TABLE = f"WITH {_RIDES} SELECT {_RAW_COLUMNS} FROM rides"
 _CURATED_TABLE = f"WITH {_REGION_RIDES} {_CURATED}"
 
@@ -92,8 +103,6 @@ SELECT key, fare_amount, pickup_latitude, pickup_longitude FROM rides
 WHERE pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL""",
     "curate_types": f"WITH {_RIDES}, {_TWICE} SELECT DISTINCT {_CURATED_COLUMNS} FROM twice",
     "dedupe_rides": f"WITH {_RIDES}, {_TWICE} SELECT DISTINCT * FROM twice",
-    "row_cap": f"""WITH {_RIDES}
-SELECT key, fare_amount, pickup_datetime FROM rides ORDER BY key LIMIT 1000""",
     "split_counts": f"""WITH {_RIDES}
 SELECT CAST(CAST(key AS BIGINT) % 10 AS INTEGER) AS part, COUNT(*) AS n, MAX(fare_amount) AS max_fare
 FROM rides GROUP BY 1""",
@@ -108,14 +117,7 @@ SELECT first_region, COUNT(*) AS n FROM grouped JOIN firsts ON grouped.grp = fir
 SELECT a.key, a.ride, a.pickup_datetime, b.ride AS near_ride
 FROM rides a LEFT JOIN rides b ON a.key = b.key
  AND a.pickup_datetime BETWEEN b.pickup_datetime - INTERVAL 10 MINUTES AND b.pickup_datetime + INTERVAL 10 MINUTES""",
-    "region_reattach": f"""WITH {_USER_RIDES}, {_PLACES},
-near AS (
-  SELECT a.*, b.grp FROM (SELECT * FROM rides WHERE pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL) a
-  LEFT JOIN grouped b ON a.key = b.key
-   AND a.pickup_datetime BETWEEN b.pickup_datetime - INTERVAL 10 MINUTES
-                             AND b.pickup_datetime + INTERVAL 10 MINUTES)
-SELECT DISTINCT {_CURATED_COLUMNS}, neighborhood AS pickup_region
-FROM near LEFT JOIN places ON near.grp = places.grp""",
+    "region_reattach": f"WITH {_USER_RIDES}, {_PLACES}, {_REATTACHED}",
     "curate_direct": _CURATED_TABLE,
     "fare_by_day": f"""WITH {_RIDES}
 SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, {_FARES} FROM rides GROUP BY 1""",
@@ -125,10 +127,11 @@ SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, {_FARES} FR
 WHERE pickup_datetime >= TIMESTAMP '{RANGE_FROM}' AND pickup_datetime < TIMESTAMP '{RANGE_TO}'""",
     "raw_append": f"{_RAW_TABLE} UNION ALL SELECT {_RAW_COLUMNS} FROM rides",
     "table_overwrite": f"{_RAW_TABLE} WHERE pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL",
-    "schema_evolution": f"""WITH {_RIDES},
-typed AS (SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount FROM rides)
-SELECT key, fare_amount, CAST(NULL AS DOUBLE) AS fare_cents FROM typed
-UNION ALL SELECT key, fare_amount, ROUND(fare_amount * 100) FROM typed""",
+    "schema_evolution": f"""WITH {_REGION_RIDES},
+curated AS ({_CURATED}),
+typed AS (SELECT DISTINCT key, pickup_region, fare_amount FROM curated)
+SELECT key, pickup_region, fare_amount, CAST(NULL AS DOUBLE) AS fare_cents FROM typed
+UNION ALL SELECT key, pickup_region, fare_amount, ROUND(fare_amount * 100) FROM typed""",
     "csv_source": f"WITH {_RIDES} SELECT * FROM rides",
     "event_log": f"""WITH {_RIDES}
 SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime FROM rides""",
@@ -144,15 +147,14 @@ SELECT date_trunc('hour', pickup_datetime) AS window_start,
        date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR AS window_end,
        neighborhood AS pickup_region, {_FARES}
 FROM grouped JOIN places ON grouped.grp = places.grp
-WHERE date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR
-   <= (SELECT date_trunc('millisecond', MAX(pickup_datetime)) - INTERVAL 10 MINUTES FROM grouped)
 GROUP BY 1, 2, 3""",
     "stream_first_deliveries": f"""WITH {_RIDES}
 SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime FROM rides""",
-    "stream_interval_join": f"""WITH {_RIDES}
-SELECT a.key, a.pickup_datetime, CAST(CAST(b.fare_amount AS FLOAT) AS DOUBLE) AS near_fare
-FROM rides a LEFT JOIN rides b ON a.key = b.key
+    "stream_interval_join": f"""WITH {_USER_RIDES},
+typed AS (SELECT * REPLACE (CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount) FROM rides)
+SELECT a.key, a.pickup_datetime, a.fare_amount, b.pickup_datetime AS near_pickup, b.fare_amount AS near_fare
+FROM typed a LEFT JOIN typed b ON a.key = b.key AND b.pickup_longitude IS NOT NULL AND b.pickup_latitude IS NOT NULL
  AND a.pickup_datetime BETWEEN b.pickup_datetime - INTERVAL 10 MINUTES AND b.pickup_datetime + INTERVAL 10 MINUTES""",
-    "stream_reattach": _CURATED_TABLE,
+    "stream_reattach": f"WITH {_UNTIMED_RIDES}, {_PLACES}, {_REATTACHED}",
     "replay_land_curate": _CURATED_TABLE,
 }

@@ -1,9 +1,10 @@
 """Raw rides to the curated table."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.functions.columns import narrowed
@@ -24,11 +25,12 @@ from ridelake.streaming.landing import with_lateness
 from ridelake.streaming.sinks import start_append
 
 CLUSTER_PARTS = [*DATE_PARTS, "pickup_cluster"]
+NEAR = {"key": "near_key", "pickup_datetime": "near_time"}
 
 
-def to_curated(rides: DataFrame, distinct: bool = True) -> DataFrame:
-    """Rides with regions in the curated types, optionally without exact duplicates."""
-    typed = rides.select(*narrowed(CURATED))
+def to_curated(rides: DataFrame, distinct: bool = True, more: Sequence[str] = ()) -> DataFrame:
+    """Rides with regions in the curated types, optionally without exact duplicates; ``more`` columns stay as they are."""
+    typed = rides.select(*narrowed(CURATED), *more)
     return distinct_rows(typed) if distinct else typed
 
 
@@ -36,24 +38,51 @@ def _typed(rides: DataFrame, *more: str) -> DataFrame:
     return rides.select(*narrowed(CURATED, RAW.names), *more)
 
 
-def _enriched(rides: DataFrame, regions: Regions, distinct: bool) -> DataFrame:
+def _enriched(rides: DataFrame, regions: Regions, distinct: bool, delay: str, more: Sequence[str]) -> DataFrame:
     """Each ride with the cluster of its own pickup point."""
-    typed = _typed(assign_cluster(rides, regions.model, "keep"), "pickup_cluster")
+    typed = _typed(assign_cluster(rides, regions.model, "keep"), *more, "pickup_cluster")
     if not distinct:
         return typed
-    return distinct_rows(with_lateness(typed) if rides.isStreaming else typed)
+    return distinct_rows(with_lateness(typed, delay) if rides.isStreaming else typed)
 
 
-def _reattached(rides: DataFrame, regions: Regions, distinct: bool, minutes: int) -> DataFrame:
+def _reattached(
+    rides: DataFrame, regions: Regions, distinct: bool, minutes: int, delay: str, more: Sequence[str]
+) -> DataFrame:
     """Each ride with the clusters of all rides of its key within ``minutes``."""
     assigned = assign_cluster(rides, regions.model, "skip").select("key", "pickup_datetime", "pickup_cluster")
-    typed = _typed(rides)
-    if rides.isStreaming:
-        typed, assigned = with_lateness(typed), with_lateness(assigned)
-    elif distinct:
-        return reattach(distinct_rows(typed), assigned, "pickup_cluster", minutes=minutes)
-    renamed = assigned.withColumnsRenamed({"key": "near_key", "pickup_datetime": "near_time"})
-    return interval_left_join(typed, renamed, minutes=minutes)
+    typed = _typed(rides, *more)
+    if not rides.isStreaming:
+        if distinct:
+            return reattach(distinct_rows(typed), assigned, "pickup_cluster", minutes=minutes)
+        return interval_left_join(typed, assigned.withColumnsRenamed(NEAR), minutes=minutes)
+    # A ride without a time meets none. The join would keep it until the watermark has passed a time it
+    # does not have, so it goes around.
+    timed = F.col("pickup_datetime").isNotNull()
+    untimed = typed.filter(~timed).withColumn("pickup_cluster", F.lit(None).cast("int"))
+    typed, assigned = with_lateness(typed.filter(timed), delay), with_lateness(assigned.filter(timed), delay)
+    if distinct:
+        # Copies of a ride would each meet all copies of all others.
+        typed, assigned = distinct_rows(typed), distinct_rows(assigned)
+    met = interval_left_join(typed, assigned.withColumnsRenamed(NEAR), minutes=minutes)
+    return met.unionByName(untimed)
+
+
+def clustered_rides(
+    raw: DataFrame,
+    regions: Regions,
+    distinct: bool | None = None,
+    by_interval: bool = False,
+    minutes: int = 10,
+    delay: str = "10 minutes",
+    more: Sequence[str] = (),
+) -> DataFrame:
+    """Curated rides before the fan-out: with the cluster whose regions they will get."""
+    distinct = not raw.isStreaming if distinct is None else distinct
+    kept = with_coordinates(raw)
+    if by_interval:
+        return _reattached(kept, regions, distinct, minutes, delay, more)
+    return _enriched(kept, regions, distinct, delay, more)
 
 
 def curated(
@@ -63,6 +92,8 @@ def curated(
     by_interval: bool = False,
     minutes: int = 10,
     before_fan_out: Callable[[DataFrame], DataFrame] | None = None,
+    delay: str = "10 minutes",
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """The curated rows of raw rides, batch or stream: one row per ride and region.
 
@@ -72,23 +103,21 @@ def curated(
 
     ``distinct`` (default: on for batch, off for streams, where it would drop late
     rides) removes exact duplicates. They are removed before the fan-out, on the
-    final types, and again after it only if two clusters share a region.
+    final types, and again after it only if two clusters share a region or a stream's ride met
+    several others. ``delay`` is how late a stream's rides may be for that and for the interval.
 
     With ``by_interval`` a stream, or a batch that keeps duplicates, forms every pair
     of a key's rides in reach of each other; a distinct batch forms none.
 
     ``before_fan_out`` may lay the rides, with date parts and ``pickup_cluster``,
-    out for a write while there are still few of them.
+    out for a write while there are still few of them. ``more`` names columns that the raw
+    table has grown and that the curated one is to have.
     """
     distinct = not raw.isStreaming if distinct is None else distinct
-    clustered = (
-        _reattached(with_coordinates(raw), regions, distinct, minutes)
-        if by_interval
-        else _enriched(with_coordinates(raw), regions, distinct)
-    )
+    clustered = clustered_rides(raw, regions, distinct, by_interval, minutes, delay, more)
     if before_fan_out is not None:
         clustered = before_fan_out(clustered)
-    rows = attach_regions(clustered, regions).select(*CURATED.names)
+    rows = attach_regions(clustered, regions).select(*CURATED.names, *more)
     settled = regions.separate and not (by_interval and raw.isStreaming)
     return distinct_rows(rows) if distinct and not settled else rows
 
@@ -103,8 +132,12 @@ def curate(
     seed: int = SEED,
     distinct: bool | None = None,
     by_interval: bool = False,
+    minutes: int = 10,
+    delay: str = "10 minutes",
+    more: Sequence[str] = (),
     fmt: str = "parquet",
     available_now: bool = False,
+    every: str | None = None,
     files_per_region: int | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery | None:
@@ -112,8 +145,9 @@ def curate(
 
     A batch frame is appended and None returned. A stream is started and its query
     returned; its regions are fitted once, kept beside the checkpoint, and used
-    again on restart. ``files_per_region`` bounds the files a micro-batch adds to
-    one day and region, at the price of a shuffle.
+    again on restart. ``every`` is its trigger; ``files_per_region`` bounds the files a
+    micro-batch adds to one day and region, at the price of a shuffle. ``distinct``,
+    ``by_interval``, ``minutes``, ``delay`` and ``more`` are those of ``curated``.
 
     Rides are gathered by day and cluster, before the fan-out: their regions' rows
     are then made in the task that writes them and are never shuffled.
@@ -126,7 +160,9 @@ def curate(
             regions,
             distinct,
             by_interval,
+            minutes,
             before_fan_out=lambda rides: partitioned_for_write(rides, CLUSTER_PARTS) if regions.separate else rides,
+            more=more,
         )
         append_partitioned(rows, path, REGION_PARTS, fmt, rebalance=not regions.separate)
         return None
@@ -136,5 +172,5 @@ def curate(
     layout = None
     if files_per_region is not None:
         layout = partial(gathered, cols=CLUSTER_PARTS, tasks=files_per_region)
-    rows = curated(raw, regions, distinct, by_interval, before_fan_out=layout)
-    return start_append(rows, path, checkpoint, REGION_PARTS, fmt, available_now)
+    rows = curated(raw, regions, distinct, by_interval, minutes, layout, delay, more)
+    return start_append(rows, path, checkpoint, REGION_PARTS, fmt, available_now, every)

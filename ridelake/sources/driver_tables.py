@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridelake.operators.events import to_events
-from ridelake.schemas import COORDINATE
+from ridelake.schemas import COORDINATE, RIDES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,19 @@ def rides_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rides(spark, sf_dir, "user_id", F.col("event_id").cast("string").alias("ride"))
 
 
+def untimed(df: DataFrame, ride: str) -> DataFrame:
+    """The rides, of which every seventy-first has no pickup time."""
+    gone = F.col(ride).cast("bigint") % 71 == 0
+    return df.withColumn("pickup_datetime", F.when(~gone, F.col("pickup_datetime")))
+
+
+def closing_ride(df: DataFrame) -> DataFrame:
+    """One more ride, a day after the last: once a stream has seen it, all others are settled. Its key is ``closing``."""
+    last = df.agg((F.max("pickup_datetime") + F.expr("INTERVAL 1 DAY")).alias("pickup_datetime"))
+    numbers = {f.name: F.lit(0).cast(f.dataType) for f in RIDES.fields if f.name not in ("key", "pickup_datetime")}
+    return last.withColumns({"key": F.lit("closing"), **numbers}).select(*RIDES.names)
+
+
 def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ride as an event; the text of some is cut to an unreadable stub."""
     stub = F.when(F.col("key").cast("bigint") % 97 == 0, "{bad").otherwise(F.col("value"))

@@ -1,12 +1,11 @@
 """Event streams into the raw table."""
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ridelake.functions.columns import spread
 from ridelake.operators.events import parse_events
 from ridelake.schemas import DATE_PARTS, RAW
 from ridelake.sources.lake import gathered, require_zone
@@ -18,27 +17,23 @@ def with_lateness(rides: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return rides.withWatermark("pickup_datetime", delay)
 
 
-def first_deliveries(rides: DataFrame, delay: str = "10 minutes", thin: bool = False) -> DataFrame:
+def first_deliveries(rides: DataFrame, delay: str = "10 minutes", spread_over: int | None = None) -> DataFrame:
     """Drops a ride whose key came before, within ``delay``. Streams only.
 
-    Rows with no key or no time cannot be told apart and all pass. Rows later than
-    ``delay`` are dropped, so feed it events roughly in time order. All rows of a
-    key meet in one task; where one ride may be delivered very often, ``thin``
-    drops its copies batch by batch before that.
+    Rows with no key or no time cannot be told apart and all pass: each gets a key of its
+    own. Rows later than ``delay`` are dropped, so feed it events roughly in time order.
+
+    All rows of a key meet in one task. Where one ride may be delivered very often,
+    ``spread_over`` drops its copies in that many tasks first, so that as many
+    rows at most are left for the one; this keeps a second state.
     """
     known = F.col("key").isNotNull() & F.col("pickup_datetime").isNotNull()
-    keyed = rides.filter(known)
-
-    def one_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            again = batch.select(["key", "pickup_datetime"]).to_pandas().duplicated()
-            yield batch.filter(pa.array(~again))
-
-    if thin:
-        keyed = keyed.mapInArrow(one_of_each, rides.schema)
-    # Only one branch carries a watermark: a second one, without rows, would hold it back for ever.
-    first = with_lateness(keyed, delay).dropDuplicatesWithinWatermark(["key"])
-    return first.unionByName(rides.filter(~known))
+    name = F.when(known, F.concat(F.lit("key "), "key")).otherwise(F.expr("uuid()"))
+    named = with_lateness(rides, delay).withColumn("_delivery", name)
+    if spread_over is not None:
+        named = named.withColumn("_task", spread(rides, spread_over))
+        named = named.dropDuplicatesWithinWatermark(["_delivery", "_task"]).drop("_task")
+    return named.dropDuplicatesWithinWatermark(["_delivery"]).drop("_delivery")
 
 
 def land(
@@ -51,6 +46,7 @@ def land(
     every: str | None = None,
     first_only: bool = False,
     delay: str = "10 minutes",
+    spread_over: int | None = None,
     files_per_day: int | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery:
@@ -58,22 +54,29 @@ def land(
 
     As it stands this keeps no state and moves no row between tasks, so each task
     writes a file for each day it holds. ``files_per_day`` bounds the files a
-    micro-batch adds to a day, at the price of a shuffle.
+    micro-batch adds to a day, at the price of a shuffle. ``first_only`` drops repeated
+    deliveries; ``delay`` and ``spread_over`` are those of ``first_deliveries``.
     """
     require_zone(events.sparkSession, zone)
     rides = parse_events(events)
     if first_only:
-        rides = first_deliveries(rides, delay)
+        rides = first_deliveries(rides, delay, spread_over)
     if files_per_day is not None:
         rides = gathered(rides, DATE_PARTS, files_per_day)
     return start_append(rides, path, checkpoint, DATE_PARTS, fmt, available_now, every)
 
 
-def read_raw_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
-    """The raw table as a stream."""
+def read_raw_stream(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    max_files: int | None = None,
+    schema: T.StructType = RAW,
+) -> DataFrame:
+    """The raw table as a stream; give the ``schema`` of a table that has grown columns."""
     reader = spark.readStream.format(fmt)
     if fmt != "delta":
-        reader = reader.schema(RAW)
+        reader = reader.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

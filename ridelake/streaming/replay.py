@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ridelake.operators.rows import with_part
 from ridelake.schemas import EVENTS
 from ridelake.sources.event_log import write_events
+from ridelake.sources.lake import partitioned_for_write
+from ridelake.sources.workspace import drop_folder
 
 
 def random_part(parts: int, seed: int | None = None) -> Column:
@@ -28,8 +30,9 @@ def time_part(rides: DataFrame, parts: int, at: str = "pickup_datetime") -> Colu
 
 
 def write_parts(events: DataFrame, path: str, parts: int = 10, by: Column | None = None) -> None:
-    """Writes all events once, in ``parts`` folders. No shuffle: each task adds to every part."""
-    with_part(events, parts, by).select(*EVENTS.names, "part").write.partitionBy("part").parquet(path)
+    """Writes all events once, in ``parts`` folders, gathered by part so that each has few files."""
+    parted = with_part(events, parts, by).select(*EVENTS.names, "part")
+    partitioned_for_write(parted, ["part"]).write.partitionBy("part").parquet(path)
 
 
 def replay_parts(
@@ -45,7 +48,8 @@ def replay_parts(
 
     Parts are random unless ``by`` (an integer column) fixes them. The source is
     read once: a single write to the new folder ``staging`` holds all parts, and
-    publishing one reads its folder only. Empty parts are skipped.
+    publishing one reads its folder only. Empty parts are skipped. The staging folder
+    is deleted when all parts are out.
     """
     write_parts(events, staging, parts, random_part(parts) if by is None else by)
     staged = events.sparkSession.read.schema("key STRING, value STRING, part INT").parquet(staging)
@@ -54,6 +58,7 @@ def replay_parts(
         if not part.isEmpty():
             write_events(part, target, fmt, **options)
             yield number
+    drop_folder(events.sparkSession, staging)
 
 
 def replay(
