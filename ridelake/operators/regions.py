@@ -101,9 +101,11 @@ def assign_cluster(
     return _clustered(rides, model, PICKUP_POINT, cluster)
 
 
-def _region_dim(model: KMeansModel, neighborhoods: DataFrame) -> DataFrame:
+def _region_dim(model: KMeansModel, neighborhoods: DataFrame, small: bool) -> DataFrame:
+    # In one partition the distinct below needs no shuffle; the rows are the same either way.
+    places = neighborhoods.coalesce(1) if small else neighborhoods
     return (
-        label_neighborhoods(model, neighborhoods)
+        label_neighborhoods(model, places)
         .withColumnRenamed("cluster", "pickup_cluster")
         .withColumnRenamed("neighborhood", "pickup_region")
         .distinct()
@@ -126,11 +128,11 @@ def build_regions(
 ) -> Regions:
     """Fits the clusters and labels the neighbourhoods. Runs jobs on the neighbourhoods only.
 
-    The measured size decides how regions are joined later, and nothing else.
+    The measured size decides which join and how many tasks are used, never what comes out.
     """
     small = is_small(neighborhoods, broadcast_bytes)
     model = fit_regions(neighborhoods, k, seed)
-    dim = _region_dim(model, neighborhoods)
+    dim = _region_dim(model, neighborhoods, small)
     return Regions(model, dim, k, seed, small, _are_separate(dim, len(model.clusterCenters())))
 
 

@@ -25,12 +25,12 @@ def raw(df):
 
 
 def test_curated_types_and_values_that_do_not_fit(spark):
-    ride = ("a", 5.7, NOON, -73.98366049, 40.744033, -173.5, 40.7, 208)
+    ride = ("a", 6.25, NOON, 12.25040049, 51.501209, -173.5, 51.4, 208)
     out = to_curated(raw(rides(spark, ride, ride)).withColumn("pickup_region", F.lit("r")))
     assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in CURATED]
     rows = out.collect()
     assert len(rows) == 1
-    assert str(rows[0]["pickup_longitude"]) == "-73.983660"
+    assert str(rows[0]["pickup_longitude"]) == "12.250400"
     assert rows[0]["dropoff_longitude"] is None and rows[0]["passenger_count"] is None
     assert to_curated(raw(rides(spark, ride, ride)).withColumn("pickup_region", F.lit("r")), distinct=False).count() == 2
 

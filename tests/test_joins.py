@@ -3,7 +3,7 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import bag, plan
+from helpers import bag, largest_task, plan
 from pyspark.sql import functions as F
 
 from ridelake.functions.columns import spread
@@ -112,6 +112,16 @@ def test_a_hot_key_is_spread_over_time_slots(spark):
     )
     assigned = hot.withColumn("label", F.lit("c"))
     assert reattach(hot, assigned, "label").count() == 2880
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        # 72 slots over 16 tasks; all of the key's rows in one task would be 2,880.
+        assert largest_task(reattach(hot, assigned, "label")) < 2880 / 4
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
     pairs = interval_left_join(
         hot, hot.select(F.col("key").alias("near_key"), F.col("pickup_datetime").alias("near_time"))
     )

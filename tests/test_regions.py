@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from helpers import BROOKLYN, MANHATTAN, bag, places, plan, rides
+from helpers import SOUTHFIELD, NORTHGATE, bag, places, plan, rides
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -23,18 +23,18 @@ def regions(nations):
 
 
 def test_two_points_make_two_clusters(spark):
-    two = places(spark, MANHATTAN, BROOKLYN)
+    two = places(spark, NORTHGATE, SOUTHFIELD)
     model = R.fit_regions(two, k=2, seed=1)
     labelled = R.label_neighborhoods(model, two)
     assert labelled.columns == ["neighborhood", "cluster"]
     assert labelled.count() == 2
     assert {r["cluster"] for r in labelled.collect()} == {0, 1}
-    assert sorted(round(c[0], 4) for c in R.centers_of(model)) == [40.6782, 40.7831]
+    assert sorted(round(c[0], 4) for c in R.centers_of(model)) == [51.3907, 51.5012]
 
 
 def test_features_are_latitude_then_longitude_in_plain_degrees(spark):
-    row = R.assemble(places(spark, MANHATTAN), ["latitude", "longitude"]).first()
-    assert list(row["features"]) == [40.7831, -73.9712]
+    row = R.assemble(places(spark, NORTHGATE), ["latitude", "longitude"]).first()
+    assert list(row["features"]) == [51.5012, 12.2504]
 
 
 def test_invalid_points_fail_or_are_skipped(spark):
@@ -43,7 +43,7 @@ def test_invalid_points_fail_or_are_skipped(spark):
     with pytest.raises(Exception, match="null|NaN|invalid"):
         R.assemble(df, ["a", "b"]).collect()
     with pytest.raises(Exception, match="null|NaN|invalid"):
-        R.fit_regions(places(spark, MANHATTAN, BROOKLYN).unionAll(
+        R.fit_regions(places(spark, NORTHGATE, SOUTHFIELD).unionAll(
             spark.createDataFrame([("x", None, None)], "n string, a decimal(8,6), b decimal(8,6)")), k=2)
 
 
@@ -66,12 +66,24 @@ def test_nearest_centre_is_what_the_model_predicts(spark, regions):
     assert bag(ours, "key", "pickup_cluster") == bag(theirs, "key", "pickup_cluster")
 
 
-def test_many_centres_use_the_model_and_agree(spark, regions, monkeypatch):
+def test_many_centres_give_the_same_rows_in_one_scan(spark, monkeypatch):
     source = driver_tables.rides(spark, TABLES)
-    few = {mode: bag(R.assign_cluster(source, regions.model, mode)) for mode in ("skip", "keep")}
-    monkeypatch.setattr(R, "LITERAL_CENTERS", 1)
-    many = {mode: bag(R.assign_cluster(source, regions.model, mode)) for mode in ("skip", "keep")}
-    assert few == many
+    grid = places(spark, *[(f"p{i}", 40.48 + 0.02 * (i % 9), -74.23 + 0.05 * (i // 9)) for i in range(70)])
+    nowhere = spark.createDataFrame([("x", None, 1.0), ("y", None, None)], "n string, a double, b double")
+    nowhere = nowhere.select("n", F.col("a").cast("decimal(8,6)"), F.col("b").cast("decimal(8,6)"))
+    model = R.fit_regions(grid, k=70)
+    some = grid.unionAll(nowhere)
+
+    def all_rows():
+        rows = {mode: bag(R.assign_cluster(source, model, mode)) for mode in ("skip", "keep")}
+        return rows, bag(R.label_neighborhoods(model, some))
+
+    assert len(model.clusterCenters()) > R.LITERAL_CENTERS
+    many = all_rows()
+    assert sum(many[0]["keep"].values()) == source.count() and sum(many[1].values()) == 72
+    assert plan(R.assign_cluster(source, model, "keep")).count("Scan parquet") == 2  # once in the tree, once in its details
+    monkeypatch.setattr(R, "LITERAL_CENTERS", 100)
+    assert all_rows() == many
 
 
 def test_rides_without_a_point_are_dropped_or_kept(spark, regions):
@@ -107,21 +119,41 @@ def test_a_table_too_large_to_broadcast_gives_the_same_rows(spark, nations, regi
     assert bag(R.assign_regions(source, large)) == bag(R.assign_regions(source, regions))
 
 
-def test_a_large_table_is_fitted_as_weighted_points(spark, nations):
-    assert R.is_small(nations) and not R.is_small(nations, limit=100)
-    copies = nations.unionAll(nations).unionAll(nations)
-    built = R.build_regions(copies, broadcast_bytes=100)
-    assert not built.small
-    groups = built.dim.groupBy("pickup_cluster").count()
-    assert groups.agg(F.sum("count")).first()[0] == 25
-    model = R.fit_regions(places(spark, *[MANHATTAN] * 3, BROOKLYN, ("Far", 10.0, 10.0)), k=2, small=False)
-    assert sorted(c[0] for c in R.centers_of(model)) == pytest.approx([10.0, (3 * 40.7831 + 40.6782) / 4])
+def rounded(model):
+    return [tuple(round(x, 9) for x in centre) for centre in R.centers_of(model)]
+
+
+def test_the_model_depends_on_the_points_only(spark, folder):
+    """Repeated points on both sides of the size limit, at several widths, with and without merged partitions."""
+    spots = [(f"p{i % 130}", 40.4 + 0.37 * (i % 23) % 1, -74.2 + 0.61 * (i % 17) % 1) for i in range(700)]
+    table = places(spark, *spots)
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = {name: spark.conf.get(name) for name in names}
+    seen = []
+    try:
+        for width in (4, 7, 50):
+            for merged in ("true", "false"):
+                spark.conf.set(names[0], width)
+                spark.conf.set(names[1], merged)
+                for limit in (100, R.BROADCAST_BYTES):
+                    built = R.build_regions(table.repartition(width), broadcast_bytes=limit)
+                    assert built.small == (limit > 100)
+                    seen.append((rounded(built.model), bag(built.dim), built.separate))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert all(one == seen[0] for one in seen)
+
+
+def test_repeated_points_weigh_as_often_as_they_come(spark):
+    model = R.fit_regions(places(spark, *[NORTHGATE] * 3, SOUTHFIELD, ("Far", 10.0, 10.0)), k=2)
+    assert sorted(c[0] for c in R.centers_of(model)) == pytest.approx([10.0, (3 * 51.5012 + 51.3907) / 4])
 
 
 def test_separate_means_no_region_in_two_clusters(spark):
-    far = ("Manhattan", 10.0, 10.0)
-    assert R.build_regions(places(spark, MANHATTAN, BROOKLYN, MANHATTAN), k=2).separate
-    assert not R.build_regions(places(spark, MANHATTAN, BROOKLYN, far), k=3).separate
+    far = ("Northgate", 10.0, 10.0)
+    assert R.build_regions(places(spark, NORTHGATE, SOUTHFIELD, NORTHGATE), k=2).separate
+    assert not R.build_regions(places(spark, NORTHGATE, SOUTHFIELD, far), k=3).separate
 
 
 def test_saved_regions_are_used_again(spark, nations, regions, folder):

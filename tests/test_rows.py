@@ -1,9 +1,9 @@
 from helpers import bag, plan, rides
 from pyspark.sql import functions as F
 
-from ridelake.operators.rows import distinct_rows, first_rows, random_parts, with_coordinates, with_part
+from ridelake.operators.rows import distinct_rows, random_parts, with_coordinates, with_part
 
-PAIRS = [(str(i), f"value{i}") for i in range(1, 6)]
+PAIRS = [("k7", "oak"), ("k2", "elm"), ("k9", ""), ("k4", None), ("k1", "fir"), ("k8", "oak")]
 
 
 def test_only_rides_with_both_coordinates_stay(spark):
@@ -22,13 +22,6 @@ def test_coordinate_filter_reaches_the_scan(spark, folder):
     assert "PushedFilters: [IsNotNull(pickup_latitude), IsNotNull(pickup_longitude)]" in text
 
 
-def test_first_rows_is_ordered_and_not_a_full_sort(spark):
-    df = spark.createDataFrame([(str(i), i) for i in range(50)], "key string, n int").repartition(4)
-    top = first_rows(df, 3)
-    assert [r["key"] for r in top.collect()] == ["0", "1", "10"]
-    assert "TakeOrderedAndProject" in plan(top)
-
-
 def test_random_parts_hold_every_row_once(spark):
     df = spark.createDataFrame(PAIRS, "key string, value string")
     parts = random_parts(df, 10)

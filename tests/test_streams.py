@@ -1,6 +1,9 @@
+from pathlib import Path
+
 import pytest
 from helpers import bag, rides
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridelake.operators.events import parse_events, split_bad_records, to_events
 from ridelake.operators.joins import interval_left_join
@@ -18,6 +21,7 @@ from ridelake.streaming.replay import random_part, replay, replay_parts, time_pa
 from ridelake.streaming.sinks import finish, start_append
 
 TABLES = "/root/testdata/sf0.001"
+CURATED_NAMES = sorted(CURATED.names)
 
 
 @pytest.fixture(scope="module")
@@ -55,6 +59,8 @@ def test_replay_skips_empty_parts(spark, folder):
     few = to_events(rides(spark, ("1", 1.0, "2024-01-01 00:00:00", -74.0, 40.0)))
     assert replay(few, f"{folder}/log", f"{folder}/staged", parts=10, pause=0) == 1
     assert read_events(spark, f"{folder}/log").count() == 1
+    assert not Path(folder, "staged").exists()
+    few.write.parquet(f"{folder}/staged")
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         replay(few, f"{folder}/log", f"{folder}/staged", parts=10, pause=0)
 
@@ -182,16 +188,35 @@ def test_windows_are_the_same_when_regions_are_shared(spark, source, regions):
     assert bag(window_fares(kept, replace(regions, separate=False))) == bag(window_fares(kept, regions))
 
 
-@pytest.mark.parametrize("thin", [False, True])
-def test_repeated_deliveries_are_dropped_across_batches(spark, source, folder, thin):
+@pytest.mark.parametrize("spread_over", [None, 4])
+def test_repeated_deliveries_are_dropped_across_batches(spark, source, folder, spread_over):
     first = to_events(source.filter("key < '5'"))
     unknown = spark.createDataFrame([(None, "{}"), (None, "{}"), ("x", "{bad"), ("x", "{bad")], "key string, value string")
-    for events in (first.unionAll(first).unionAll(unknown), first):
+    for events in (first.unionAll(first).unionAll(unknown), first, unknown):
         write_events(events, f"{folder}/log")
-        rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), "60 days", thin)
-        finish(start_append(rows, f"{folder}/out", f"{folder}/c", available_now=True))
+        rows = first_deliveries(parse_events(read_event_stream(spark, f"{folder}/log")), "60 days", spread_over)
+        query = start_append(rows, f"{folder}/out", f"{folder}/c", available_now=True)
+        finish(query)
+        assert query._jsq.explainInternal(False).count("from_json") <= 1
     out = spark.read.parquet(f"{folder}/out")
-    assert bag(out, "key") == bag(first, "key") + bag(unknown, "key")
+    assert bag(out, "key") == bag(first, "key") + bag(unknown, "key") + bag(unknown, "key")
+
+
+def test_copies_of_a_hot_delivery_hardly_reach_its_task(spark, folder):
+    """Of 20,000 copies, the step that has all rows of a key in one task gets as many as there are salts."""
+    ride = to_events(rides(spark, ("hot", 1.0, "2024-01-01 00:00:00", -74.0, 40.0)))
+    copies = ride.crossJoin(spark.range(20_000, numPartitions=8)).select("key", "value")
+    write_events(copies, f"{folder}/log")
+    stream = read_event_stream(spark, f"{folder}/log")
+    query = land(stream, f"{folder}/raw", f"{folder}/c", available_now=True, first_only=True, spread_over=4)
+    finish(query)
+    assert read_table(spark, f"{folder}/raw", RAW).count() == 1
+    dropped = [0, 0]
+    for progress in query.recentProgress:
+        for i, state in enumerate(progress["stateOperators"]):
+            dropped[i] += state["customMetrics"]["numDroppedDuplicateRows"]
+    # The last step comes first in the report.
+    assert min(dropped) < 4 and sum(dropped) == 19_999
 
 
 def test_landing_can_drop_repeated_deliveries(spark, source, folder):
@@ -251,6 +276,54 @@ def test_stateful_streams_run_on_the_disk_state_store(spark, source, total, fold
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def test_an_interval_stream_keeps_rides_without_a_time(spark, nations, regions, folder):
+    source = driver_tables.untimed(driver_tables.rides_by_user(spark, TABLES), "ride").filter("ride < '5'")
+    twice = driver_tables.delivered_twice(source)
+    for _ in in_time_order(twice, folder, 2):
+        stream = parse_events(read_event_stream(spark, f"{folder}/log"))
+        finish(
+            curate(stream, nations, f"{folder}/out", f"{folder}/c", distinct=True, by_interval=True, available_now=True)
+        )
+    expected = bag(curated(parse_events(to_events(twice)), regions, by_interval=True))
+    assert any(row[CURATED_NAMES.index("pickup_datetime")] is None for row in expected)
+    assert bag(read_table(spark, f"{folder}/out", CURATED)) == expected
+
+
+def test_a_new_raw_column_reaches_the_curated_stream(spark, source, nations, regions, folder):
+    new = T.StructField("note", T.StringType())
+    raw = parse_events(to_events(source))
+    append_partitioned(raw, f"{folder}/raw")
+    append_partitioned(raw.withColumn("note", F.lit("x")), f"{folder}/raw")
+    stream = read_raw_stream(spark, f"{folder}/raw", schema=T.StructType([*RAW.fields, new]))
+    finish(curate(stream, nations, f"{folder}/out", f"{folder}/c", more=["note"], available_now=True))
+    out = read_table(spark, f"{folder}/out", T.StructType([*CURATED.fields, new]))
+    plain = curated(raw, regions, distinct=False).count()
+    assert {r["note"]: r["count"] for r in out.groupBy("note").count().collect()} == {None: plain, "x": plain}
+
+
+def test_a_curating_stream_takes_its_settings(spark, source, nations, folder):
+    append_partitioned(parse_events(to_events(source)), f"{folder}/raw")
+    query = curate(
+        read_raw_stream(spark, f"{folder}/raw"), nations, f"{folder}/out", f"{folder}/c",
+        distinct=True, by_interval=True, minutes=3, delay="2 hours", every="1 second",
+    )
+    try:
+        query.processAllAvailable()
+        text = query._jsq.explainInternal(False)
+        assert query.isActive and "2 hours" in text and "INTERVAL '03' MINUTE" in text
+    finally:
+        query.stop()
+
+
+def test_a_bounded_run_adds_few_files(spark, source, nations, folder):
+    run_pipeline(source, nations, folder, parts=6, pause=0, max_files=2)
+    batches = 6
+    for path, schema, cols in ((f"{folder}/raw", RAW, ["day"]), (f"{folder}/curated", CURATED, ["day", "pickup_region"])):
+        files = read_table(spark, path, schema).groupBy(*cols).agg(F.count_distinct(F.col("_metadata.file_path")).alias("n"))
+        assert files.agg(F.max("n")).first()[0] <= batches
+    assert not list(Path(folder, "staged").glob("*"))
+
+
 def test_the_whole_pipeline_equals_batch_curation(spark, source, nations, regions, folder):
     out = run_pipeline(source, nations, folder, parts=4, pause=0)
     assert bag(out) == bag(curated(parse_events(to_events(source)), regions))
