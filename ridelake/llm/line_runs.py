@@ -102,9 +102,9 @@ def drop_common_lines(docs: DataFrame, text: str, batch: Column, batches: int, e
     # Written, so that the join below deals both sides itself and can split a hot line.
     common = written(runs.common(), "common-lines")
     lines = keyed.select("id", F.posexplode("keys").alias("pos", "key")).filter("key is not null")
-    dropped = (
-        lines.join(common, "key", "left_semi").groupBy("id").agg(F.collect_set("pos").alias("dropped"))
-    )
+    dropped = lines.join(common, "key", "left_semi").groupBy("id").agg(F.collect_set("pos").alias("dropped"))
+    # Written as well: the join with the documents can then split a text that many of them share.
+    dropped = written(dropped, "dropped-lines")
     rows = docs.select(F.struct("*").alias("row"), _text_id(text).alias("id"), text.alias("text"))
     joined = rows.join(dropped, "id", "left").withColumn("lines", lines_of(F.col("text")))
     stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("dropped", F.array().cast("array<int>")))

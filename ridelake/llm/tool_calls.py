@@ -21,7 +21,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridelake.sources.workspace import written
@@ -102,26 +102,26 @@ def _lines(schemas: dict):
     return lines
 
 
-def _levels(edges: DataFrame) -> DataFrame:
-    """``conv``, ``call_id`` and ``level`` of every call that needs another; null for those in or behind a cycle."""
-    spark = edges.sparkSession
-    waiting, placed, level = written(edges, "needs"), [], 0
-    while not waiting.isEmpty():
+def _levels(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """``conv``, ``call_id`` and ``level`` of every call that needs another; null for those in or behind a cycle.
+
+    A call waits while something that it needs waits. Every round places the calls that no longer do.
+    """
+    kind = f"{edges.select('conv').schema[0].simpleString().replace(':', ' ')}, call_id string, level int"
+    placed, level = spark.createDataFrame([], kind), 0
+    waiting = edges.select(*CALL, "need")
+    while True:
         level += 1
-        held = waiting.select(*CALL).distinct()
-        # A need that waits for something itself holds its call back.
-        still = waiting.join(held.withColumnRenamed("call_id", "need"), ["conv", "need"], "left_semi")
-        still = written(still.select("conv", "call_id", "need"), "needs")
-        ready = held.join(still.select(*CALL).distinct(), CALL, "left_anti")
-        if ready.isEmpty():
-            placed.append(held.withColumn("level", F.lit(None).cast("int")))
-            break
-        placed.append(ready.withColumn("level", F.lit(level)))
-        waiting = still
-    found = spark.createDataFrame([], edges.select(*CALL).withColumn("level", F.lit(0)).schema)
-    for part in placed:
-        found = found.union(part)
-    return found
+        held = waiting.select("conv", F.col("call_id").alias("need")).distinct().withColumn("waits", F.lit(True))
+        waiting = written(waiting.join(held, ["conv", "need"], "left").select(*CALL, "need", "waits"), "needs")
+        calls = waiting.groupBy(*CALL).agg(F.count("waits").alias("waits"))
+        counts = calls.agg(F.count_if(F.col("waits") == 0), F.count_if(F.col("waits") > 0)).first()
+        if not counts[0]:
+            return placed.union(calls.select(*CALL, F.lit(None).cast("int")))
+        placed = placed.union(calls.filter("waits = 0").select(*CALL, F.lit(level)))
+        if not counts[1]:
+            return placed
+        waiting = waiting.filter("waits").drop("waits")
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
@@ -138,11 +138,11 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     first = calls.filter("nth = 1")
     known = first.select(*CALL).dropna()
     edges = first.select(*CALL, F.explode("needs").alias("need")).filter("need is not null")
-    known_need = known.withColumnRenamed("call_id", "need")
-    missing = edges.join(known_need, ["conv", "need"], "left_anti").groupBy(*CALL)
+    there = known.select("conv", F.col("call_id").alias("need"), F.lit(True).alias("there"))
+    edges = written(edges.join(there, ["conv", "need"], "left"), "edges")
+    missing = edges.filter("there is null").groupBy(*CALL)
     missing = missing.agg(F.sort_array(F.collect_set(F.concat("need", F.lit(" is no call")))).alias("missing"))
-    levels = _levels(edges.join(known_need, ["conv", "need"], "left_semi").select("conv", "call_id", "need"))
-    levels = levels.withColumn("needing", F.lit(True))
+    levels = written(_levels(calls.sparkSession, edges.filter("there")), "levels").withColumn("needing", F.lit(True))
     answers = results.groupBy(*CALL).agg(F.min(F.struct("position", "content")).alias("answer"))
     met = first.join(answers, CALL, "left").join(levels, CALL, "left").join(missing, CALL, "left")
     cycle = F.col("needing").isNotNull() & F.col("level").isNull()
