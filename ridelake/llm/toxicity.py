@@ -7,8 +7,9 @@ fitted without the document's fold. For prediction they come from the earlier fi
 
 Models are fitted on a bounded sample of labelled documents (``FIT_ROWS``, chosen by a hash of the id) and a
 bounded vocabulary (``TERMS``) of words and beginnings found in ``LEAST`` of them; a word that is not in it has no
-weight, so rare words cannot collide with telling ones. The penalty leaves few weights; they are sent to
-the tasks, which score all documents, whole.
+weight, so rare words cannot collide with telling ones. All models of a category are fitted side by
+side, each in a task of its own. The penalty leaves few weights; they are sent to the tasks,
+which score all documents, whole.
 
 Rows whose labels are null are not fitted on. A category whose sample lacks one of the two
 classes gets its base rate, 0 without any label. Null and empty texts have no words; they are scored by
@@ -20,10 +21,8 @@ import math
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +30,7 @@ from ridelake.sources.workspace import written
 
 FIT_ROWS, TERMS, LEAST, FOLDS = 8_000, 30_000, 4, 3
 BEGINNING = 4
-PENALTY, STEPS = 0.0001, 20
+PENALTY, STEPS = 0.0001, 250
 WORDS = re.compile(r"[^\W_]+")
 
 
@@ -110,65 +109,142 @@ def fit_chain(
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
     texts = texts.groupBy("id", *marks).agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
     terms = F.arrow_udf(_terms, "array<string>")
-    fold = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS))
+    fold = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int")
     sample = written(texts.select("id", *marks, terms("text").alias("terms"), fold.alias("fold")), "toxicity-sample")
-    if sample.isEmpty():
-        return Chain(categories, [_constant(0.0) for _ in categories])
     often = sample.select(F.explode("terms").alias("term")).groupBy("term").count().filter(F.col("count") >= LEAST)
-    least = 1 if often.isEmpty() else LEAST
-    counted = CountVectorizer(inputCol="terms", outputCol="vector", vocabSize=TERMS, minDF=least, binary=True)
-    if not sample.filter(F.size("terms") > 0).count():
-        rates = sample.agg(*[F.avg(m) for m in marks]).first()
-        return Chain(categories, [_constant(rate) for rate in rates])
-    vocabulary = counted.fit(sample)
-    rows = written(vocabulary.transform(sample).drop("terms"), "toxicity-vectors")
-    links, done = [], []
-    for i, (category, mark) in enumerate(zip(categories, marks)):
-        name = f"p_{i}"
-        low, high, rate = rows.agg(F.min(mark), F.max(mark), F.avg(mark)).first()
-        if low == high:
-            links.append(_constant(rate))
-            rows = rows.withColumn(name, F.lit(float(rate)))
-        else:
-            links.append(_link(_fitted(_assembled(rows, done), mark), vocabulary.vocabulary))
-            if i + 1 < len(categories):
-                rows = _out_of_fold(rows, done, mark, name)
-        done.append(name)
+    vocabulary = [row["term"] for row in often.orderBy(F.desc("count"), "term").limit(TERMS).collect()]
+    numbers = F.arrow_udf(_numbered(vocabulary), "array<int>")
+    rows = sample.select("id", "fold", *marks, numbers("terms").alias("terms"), F.array().cast("array<double>").alias("before"))
+    links = []
+    for mark in marks:
+        link, rows = _linked(rows, mark, vocabulary, last=mark == marks[-1])
+        links.append(link)
     return Chain(categories, links)
 
 
-def _constant(rate: float) -> Link:
-    base = math.log(rate / (1 - rate)) if 0 < rate < 1 else math.copysign(800.0, rate - 0.5)
-    return Link(base, {}, [])
-
-
-def _link(model, vocabulary: list[str]) -> Link:
-    weights = model.coefficients.toArray()
-    terms = {term: float(w) for term, w in zip(vocabulary, weights) if w}
-    return Link(float(model.intercept), terms, [float(w) for w in weights[len(vocabulary) :]])
-
-
-def _assembled(rows: DataFrame, earlier: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=["vector", *earlier], outputCol="features").transform(rows)
-
-
-def _fitted(rows: DataFrame, label: str):
-    learner = LogisticRegression(
-        featuresCol="features", labelCol=label, regParam=PENALTY, elasticNetParam=1.0, maxIter=STEPS, standardization=False
-    )
-    return learner.fit(rows)
-
-
-def _out_of_fold(rows: DataFrame, earlier: Sequence[str], label: str, name: str) -> DataFrame:
-    """Adds every row's probability from a model fitted on the other folds."""
-    joined = None
-    for fold in range(FOLDS):
-        own, others = rows.filter(F.col("fold") == fold), rows.filter(F.col("fold") != fold)
-        low, high, rate = others.agg(F.min(label), F.max(label), F.avg(label)).first()
-        if low is None or low == high:
-            part = own.withColumn(name, F.lit(float(rate or 0.0)))
+def _numbered(vocabulary: list[str]):
+    place = {term: i for i, term in enumerate(vocabulary)}
+
+    def numbered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            yield pa.array([[place[t] for t in terms if t in place] for terms in rows.to_pylist()], pa.list_(pa.int32()))
+
+    return numbered
+
+
+def _linked(rows: DataFrame, mark: str, vocabulary: list[str], last: bool) -> tuple[Link, DataFrame]:
+    """A category's link, and the rows with its out-of-fold probability added to ``before``.
+
+    The model of all rows and those without a fold are fitted side by side, each in a task that
+    holds its bounded sample.
+    """
+    models = F.array(F.lit(-1), *([] if last else map(F.lit, range(FOLDS))))
+    dealt = rows.withColumnRenamed(mark, "mark").withColumn("model", F.explode(models))
+    dealt = dealt.select("model", "id", "fold", "mark", "terms", "before").groupBy("model")
+    fitted = written(dealt.applyInArrow(_fitter(len(vocabulary)), FITTED), "toxicity-fits")
+    weights = {row["term"]: row["value"] for row in fitted.filter("term is not null").collect()}
+    base = weights.pop(-1, math.copysign(BASE, -1.0))
+    earlier = sorted(number for number in weights if number >= len(vocabulary))
+    link = Link(base, {vocabulary[n]: w for n, w in weights.items() if n < len(vocabulary)}, [weights[n] for n in earlier])
+    if last:
+        return link, rows
+    held_out = fitted.filter("term is null").select("id", "value")
+    joined = rows.join(held_out, "id", "left")
+    before = F.concat("before", F.array(F.coalesce("value", F.lit(0.0))))
+    return link, written(joined.withColumn("before", before).drop("value"), "toxicity-folds")
+
+
+FITTED = "model int, term int, id long, value double"
+BASE = 800.0
+
+
+def _fitter(size: int):
+    """Fits one model: rows of its weights (``term`` -1 is the base) or, for a fold, of its documents' probabilities."""
+
+    def fit(key: tuple, table: pa.Table) -> pa.Table:
+        (model,) = (value.as_py() for value in key)
+        table = table.sort_by("id")
+        folds = table["fold"].to_numpy()
+        data = Sample(table["terms"].combine_chunks(), table["before"].combine_chunks(), size)
+        marks = table["mark"].to_numpy()
+        inside = folds != model
+        base, weights = fitted(data.part(inside), marks[inside])
+        if model >= 0:
+            ids, values = table["id"].to_numpy()[~inside], 1 / (1 + np.exp(-data.part(~inside).times(weights) - base))
+            terms = [None] * len(ids)
         else:
-            scored = _fitted(_assembled(others, earlier), label).transform(_assembled(own, earlier))
-            part = scored.select(*rows.columns, vector_to_array("probability")[1].alias(name))
-        joined = part if joined is None else joined.unionByName(part)
-    return written(joined, "toxicity-folds")
+            kept = np.flatnonzero(weights)
+            # Weights of earlier categories are told even where they are 0, so that none is missing.
+            kept = np.union1d(kept, np.arange(size, data.size))
+            terms, values, ids = [-1, *kept.tolist()], [base, *weights[kept].tolist()], [None] * (1 + len(kept))
+        columns = [pa.array([model] * len(terms), pa.int32()), pa.array(terms, pa.int32()), pa.array(ids, pa.int64())]
+        return pa.Table.from_arrays([*columns, pa.array(values, pa.float64())], names=["model", "term", "id", "value"])
+
+    return fit
+
+
+class Sample:
+    """Documents as the numbers of their terms, and the probabilities of earlier categories as further columns."""
+
+    def __init__(self, terms: pa.ListArray, before: pa.ListArray, size: int):
+        self._counts = np.asarray(terms.value_lengths())
+        self._terms = np.asarray(terms.flatten())
+        width = len(before[0]) if len(before) else 0
+        self._before = np.asarray(before.flatten(), dtype=np.float64).reshape(len(before), width)
+        self._terms_size, self.size = size, size + width
+
+    def part(self, chosen: np.ndarray) -> "Sample":
+        own = object.__new__(Sample)
+        own._counts, own._before = self._counts[chosen], self._before[chosen]
+        own._terms = self._terms[np.repeat(chosen, self._counts)]
+        own._terms_size, own.size = self._terms_size, self.size
+        return own
+
+    def __len__(self) -> int:
+        return len(self._counts)
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        rows = np.repeat(np.arange(len(self)), self._counts)
+        return np.bincount(rows, weights[self._terms], len(self)) + self._before @ weights[self._terms_size :]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """For every column the sum of the values of the documents that have it."""
+        own = np.bincount(self._terms, np.repeat(values, self._counts), self._terms_size)
+        return np.concatenate([own, self._before.T @ values])
+
+
+def fitted(data: Sample, marks: np.ndarray) -> tuple[float, np.ndarray]:
+    """Base and weights of a logistic regression with an L1 penalty, by accelerated proximal steps.
+
+    Columns are scaled to one spread, so rare terms learn as fast as common ones; the penalty is on the
+    unscaled weights.
+    """
+    rate = marks.mean() if len(marks) else 0.0
+    if rate in (0.0, 1.0):
+        return math.copysign(BASE, rate - 0.5), np.zeros(data.size)
+    # Both classes weigh the same, however rare one is.
+    weigh = np.where(marks == 1, 0.5 / rate, 0.5 / (1 - rate))
+    ones = np.ones(len(data))
+    share = data.sums(ones) / len(data)
+    scale = np.sqrt(np.maximum(share * (1 - np.minimum(share, 1)), 1 / len(data)))
+    # The largest curvature, by a few power steps.
+    vector, largest = np.ones(data.size), 1.0
+    for _ in range(12):
+        moved = data.times(vector / scale)
+        vector = data.sums(weigh * (moved - moved.mean())) / scale / len(data)
+        largest = max(1e-9, float(np.linalg.norm(vector)))
+        vector /= largest
+    step = 1 / (0.3 * largest + 0.25)
+    threshold = step * PENALTY / scale
+    weights, base = np.zeros(data.size), 0.0
+    ahead, base_ahead, pace = weights, base, 1.0
+    for _ in range(STEPS):
+        wrong = weigh * (1 / (1 + np.exp(-np.clip(data.times(ahead / scale) + base_ahead, -500, 500))) - marks)
+        moved = ahead - step * data.sums(wrong) / scale / len(data)
+        moved = np.sign(moved) * np.maximum(np.abs(moved) - threshold, 0)
+        base_moved = base_ahead - step * wrong.mean()
+        next_pace = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        ahead = moved + (pace - 1) / next_pace * (moved - weights)
+        base_ahead = base_moved + (pace - 1) / next_pace * (base_moved - base)
+        weights, base, pace = moved, base_moved, next_pace
+    return base, weights / scale

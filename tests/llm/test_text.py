@@ -3,7 +3,9 @@
 import json
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm.tables import DOC, documents, prose
 from tokenizers import Tokenizer
@@ -108,16 +110,45 @@ def test_held_out_documents_are_told_apart(spark):
     assert sum((r["quality"] > 0.5) == bool(marks[r["doc_id"]][1]) for r in held) >= 0.97 * len(held)
 
 
-def test_later_links_are_fitted_on_out_of_fold_probabilities(spark, monkeypatch):
+def test_out_of_fold_probabilities_come_from_the_other_folds():
+    rng = np.random.default_rng(1)
+    marks = rng.integers(0, 2, 90).astype(float)
+    terms = [sorted({int(m), *map(int, rng.integers(2, 30, 6))}) for m in marks]
+    folds = rng.integers(0, 3, 90)
+    table = pa.table(
+        {
+            "model": pa.array([1] * 90, pa.int32()), "id": pa.array(range(90), pa.int64()), "fold": pa.array(folds, pa.int32()),
+            "mark": marks, "terms": pa.array(terms, pa.list_(pa.int32())), "before": pa.array([[]] * 90, pa.list_(pa.float64())),
+        }
+    )
+    found = toxicity._fitter(30)((pa.scalar(1),), table).to_pylist()
+    assert [r["id"] for r in found] == np.flatnonzero(folds == 1).tolist() and all(r["term"] is None for r in found)
+    flipped = table.set_column(3, "mark", pa.array(np.where(folds == 1, 1 - marks, marks)))
+    assert toxicity._fitter(30)((pa.scalar(1),), flipped).to_pylist() == found
+    right = sum((r["value"] > 0.5) == bool(marks[r["id"]]) for r in found)
+    assert right == len(found)
+
+
+def test_later_links_see_out_of_fold_probabilities(spark, monkeypatch):
     texts, marks = labelled(120, 2)
-    fitted = []
-    own = toxicity._fitted
-    monkeypatch.setattr(toxicity, "_fitted", lambda rows, label: fitted.append((label, rows.count())) or own(rows, label))
+    seen = []
+    own = toxicity._linked
+    monkeypatch.setattr(toxicity, "_linked", lambda rows, *rest, **last: seen.append(rows.collect()) or own(rows, *rest, **last))
     toxicity.fit_chain(documents(spark, texts), spark.createDataFrame(marks, LABELS), "doc_id", "text", ["quality", "toxic"])
-    first = [n for label, n in fitted if label == "is_0"]
-    # The whole sample, then the sample without each fold.
-    assert first[0] == 120 and sum(120 - n for n in first[1:]) == 120 and len(first) == 1 + toxicity.FOLDS
-    assert [n for label, n in fitted if label == "is_1"] == [120]
+    assert [{len(r["before"]) for r in rows} for rows in seen] == [{0}, {1}]
+    junk = {i for i, quality, _, _ in marks if not quality}
+    low = {r["id"] for r in seen[1] if r["before"][0] < 0.5}
+    assert len(low ^ junk) <= 6
+
+
+def test_a_fit_weighs_both_classes_alike_and_drops_idle_terms():
+    marks = np.array([1.0] * 10 + [0.0] * 190)
+    terms = pa.array([[0, 2] if m else [1, 2] for m in marks], pa.list_(pa.int32()))
+    data = toxicity.Sample(terms, pa.array([[0.5]] * 200, pa.list_(pa.float64())), 4)
+    base, weights = toxicity.fitted(data, marks)
+    chance = 1 / (1 + np.exp(-data.times(weights) - base))
+    assert chance[:10].min() > 0.9 and chance[10:].max() < 0.1
+    assert weights[3] == 0 and weights[0] > 0 > weights[1]
 
 
 def test_awkward_labels_and_texts(spark):
@@ -134,8 +165,8 @@ def test_awkward_labels_and_texts(spark):
 def test_the_fitted_sample_is_bounded(spark, monkeypatch):
     texts, marks = labelled(400, 3)
     sizes = []
-    own = toxicity._fitted
-    monkeypatch.setattr(toxicity, "_fitted", lambda rows, label: sizes.append(rows.count()) or own(rows, label))
+    own = toxicity._linked
+    monkeypatch.setattr(toxicity, "_linked", lambda rows, *rest, **last: sizes.append(rows.count()) or own(rows, *rest, **last))
     labels = spark.createDataFrame(marks, LABELS)
     toxicity.fit_chain(documents(spark, texts), labels, "doc_id", "text", ["toxic"], fit_rows=100)
     assert 60 < sizes[0] < 140
