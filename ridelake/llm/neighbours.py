@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from ridelake.sources.workspace import written
 
 TABLES, PROBES = 16, 100
-SAMPLE, SAMPLE_QUERIES, GOAL = 4096, 128, 0.97
+SAMPLE, SAMPLE_QUERIES, GOAL = 4096, 128, 0.95
 PART = 50_000
 BLOCK = 1024
-LADDER = [0.75 * 1.2**i for i in range(20)]
+LADDER = [0.75 * 1.1**i for i in range(40)]
 SEED = 5
 
 
