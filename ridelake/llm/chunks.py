@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ridelake.llm.batches import by_pieces
 from ridelake.sources.workspace import written
 
 WINDOW, REACH, LONGEST, PASSAGE = 8, 20, 4096, 128
@@ -68,29 +69,28 @@ def cuts(data: bytes) -> list[int]:
     return bounds
 
 
-def _chunks(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for texts in batches:
-        offsets, starts, lengths, digests = [0], [], [], []
-        for text in texts.to_pylist():
-            data = (text or "").encode("utf-8", "surrogatepass")
-            if data:
-                bounds = cuts(data)
-                starts += bounds[:-1]
-                for a, b in zip(bounds, bounds[1:]):
-                    lengths.append(b - a)
-                    digests.append(xxhash.xxh3_128_digest(data[a:b]))
-            offsets.append(len(starts))
-        halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-        chunks = pa.StructArray.from_arrays(
-            [
-                pa.array(starts, pa.int32()),
-                pa.array(lengths, pa.int32()),
-                pa.array(np.ascontiguousarray(halves[:, 0])),
-                pa.array(np.ascontiguousarray(halves[:, 1])),
-            ],
-            names=["start", "length", "h1", "h2"],
-        )
-        yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), chunks)
+def _chunks(texts: list) -> pa.Array:
+    offsets, starts, lengths, digests = [0], [], [], []
+    for text in texts:
+        data = (text or "").encode("utf-8", "surrogatepass")
+        if data:
+            bounds = cuts(data)
+            starts += bounds[:-1]
+            for a, b in zip(bounds, bounds[1:]):
+                lengths.append(b - a)
+                digests.append(xxhash.xxh3_128_digest(data[a:b]))
+        offsets.append(len(starts))
+    halves = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+    chunks = pa.StructArray.from_arrays(
+        [
+            pa.array(starts, pa.int32()),
+            pa.array(lengths, pa.int32()),
+            pa.array(np.ascontiguousarray(halves[:, 0])),
+            pa.array(np.ascontiguousarray(halves[:, 1])),
+        ],
+        names=["start", "length", "h1", "h2"],
+    )
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), chunks)
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -107,7 +107,7 @@ def _repeated(rows: DataFrame) -> DataFrame:
     Chunks are cut twice rather than kept in between: they take more room than the texts. Only half
     of the digest goes through the first grouping; what it lets through is told apart by all of it.
     """
-    chunk = F.explode(F.arrow_udf(_chunks, CHUNKS)("text")).alias("chunk")
+    chunk = F.explode(F.arrow_udf(by_pieces(_chunks), CHUNKS)("text")).alias("chunk")
     every = rows.select("rid", chunk).select("rid", "chunk.*")
     several = F.min("rid") != F.max("rid")
     shared = every.groupBy("h1").agg(several.alias("several")).filter("several").select("h1")

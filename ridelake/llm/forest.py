@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ridelake.llm.batches import by_pieces
 from ridelake.llm.components import components
 from ridelake.llm.shingles import MinHash, Shingler
 from ridelake.sources.workspace import written
@@ -41,9 +42,10 @@ SKETCH = "n long, v binary, signature binary"
 
 def _sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     shingler, orders = Shingler(), MinHash(TREES * DEEPEST, SEED)
-    for texts in batches:
+
+    def sketched(texts: list) -> pa.Array:
         rows = []
-        for text in texts.to_pylist():
+        for text in texts:
             shingles = shingler.distinct(text)
             if len(shingles):
                 # Big-endian, so that bytes sort as the values do.
@@ -52,11 +54,13 @@ def _sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             else:
                 rows.append((0, None, None))
         sizes, names, signatures = zip(*rows) if rows else ((), (), ())
-        yield pa.StructArray.from_arrays(
+        return pa.StructArray.from_arrays(
             [pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(signatures, pa.binary())],
             names=["n", "v", "signature"],
         )
 
+    yield from by_pieces(sketched)(batches)
+
 
 def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
@@ -148,8 +152,7 @@ def candidate_edges(vertices: DataFrame) -> DataFrame:
 
 def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     shingler = Shingler()
-    for texts in batches:
-        yield pa.array([shingler.distinct(text).tobytes() for text in texts.to_pylist()], pa.binary())
+    yield from by_pieces(lambda texts: pa.array([shingler.distinct(text).tobytes() for text in texts], pa.binary()))(batches)
 
 
 def _linker(share: int, of: int):

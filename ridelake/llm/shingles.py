@@ -11,7 +11,7 @@ import xxhash
 WORDS = 5
 # Odd 64-bit multipliers for the five places of a shingle, from the fractions of roots.
 PLACES = np.array([int(2**64 * (root % 1)) | 1 for root in (2**0.5, 3**0.5, 5**0.5, 7**0.5, 11**0.5)], dtype=np.uint64)
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 class _WordHashes(dict):

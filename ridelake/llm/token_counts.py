@@ -32,9 +32,9 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REMEMBERED = 600_000
-# Texts whose new pieces are counted together.
-TOGETHER = 500
+from ridelake.llm.batches import by_pieces
+
+REMEMBERED = 400_000
 NEVER = 1 << 30
 # Fixed value: the pattern that cuts a text into pieces, as public_tokenizers.PATTERN has it.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -241,21 +241,24 @@ def _tabled(content: Broadcast):
         if "vocabulary" not in sent:
             sent["vocabulary"] = Vocabulary(sent["file"])
         vocabulary = sent["vocabulary"]
-        # Millions of small tuples and no cycles: the collector would only walk them over and over.
-        gc.disable()
-        for texts in batches:
+
+        def tabled(texts: list) -> pa.Array:
             columns = [[] for _ in range(6)]
-            for at in range(0, len(texts), TOGETHER):
-                some = [text or "" for text in texts.slice(at, TOGETHER).to_pylist()]
-                for text, (total, starts, before, within) in zip(some, vocabulary.tables(some)):
-                    size = len(text.encode("utf-8", "surrogatepass"))
-                    row = (size, len(text), total, starts.tobytes(), before.tobytes(), within)
-                    for column, value in zip(columns, row):
-                        column.append(value)
+            texts = [text or "" for text in texts]
+            for text, (total, starts, before, within) in zip(texts, vocabulary.tables(texts)):
+                size = len(text.encode("utf-8", "surrogatepass"))
+                row = (size, len(text), total, starts.tobytes(), before.tobytes(), within)
+                for column, value in zip(columns, row):
+                    column.append(value)
             arrays = [pa.array(column, pa.int64() if i < 3 else pa.binary()) for i, column in enumerate(columns)]
-            del columns
-            yield pa.StructArray.from_arrays(arrays, names=["n_bytes", "n_chars", "n_tokens", "starts", "before", "within"])
-        gc.enable()
+            return pa.StructArray.from_arrays(arrays, names=["n_bytes", "n_chars", "n_tokens", "starts", "before", "within"])
+
+        # Millions of small tuples and no cycles: the collector would only walk them over and over.
+        gc.disable()
+        try:
+            yield from by_pieces(tabled)(batches)
+        finally:
+            gc.enable()
 
     return tables
 
