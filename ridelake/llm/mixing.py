@@ -6,7 +6,9 @@ shared again by weight. That ends at one level ``x`` with target = min(x * weigh
 most * words), found from running sums over the sources in order of most * words / weight.
 
 Every document is then emitted floor(target / words) times, and once more with a
-probability of the fraction left, decided by a hash of its id and the seed.
+probability of the fraction left, decided by a hash of its id and its source's seed. Of ``SEEDS`` seeds
+a source takes the one whose draw comes nearest to its target, so that a few long documents do not
+make it miss by much. All draws are summed in one grouping.
 
 Null texts have no words and stay in the result. A null source is a source of its
 own, the last. Rows with equal ids fall alike; rows with a null id are told apart by
@@ -21,6 +23,7 @@ from ridelake.sources.workspace import written
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
+SEEDS = 32
 # Rows of about 100 bytes: a broadcast of a few MB at most.
 BROADCAST_SOURCES = 50_000
 
@@ -51,30 +54,54 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return filled.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def uniform(identity: Column, seed: int) -> Column:
+def uniform(identity: Column, seed: Column) -> Column:
     """A number from 0 up to 1 from the first 52 bits of a hash; the same on every run."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), identity).cast("binary"))
+    digest = F.md5(F.concat_ws(":", seed.cast("string"), identity).cast("binary"))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def _copies(identity: Column, seed: Column) -> Column:
+    whole = F.floor("rate")
+    return whole + F.when(uniform(identity, seed) < F.col("rate") - whole, 1).otherwise(0)
+
+
+def _with_rates(docs: DataFrame, rates: DataFrame) -> DataFrame:
+    """Documents with what is known of their source; nulls meet as well.
+
+    A few sources are sent to all tasks. For more, the adaptive skew join splits a hot one.
+    """
+    side = rates.withColumnRenamed("source", "rated")
+    if rates.count() <= BROADCAST_SOURCES:
+        side = F.broadcast(side)
+    return docs.join(side, F.col("source").eqNullSafe(F.col("rated")), "left").drop("rated")
+
+
+def _seeded(sizes: DataFrame, rates: DataFrame, seeds: range) -> DataFrame:
+    """The rates with every source's ``seed``: of those given, the one whose draw comes nearest to the target."""
+    drawn = _with_rates(sizes, rates)
+    taken = [F.sum(F.col("size") * _copies(F.col("identity"), F.lit(seed))).alias(f"taken_{seed}") for seed in seeds]
+    sums = drawn.groupBy("source", "source_size", "target", "rate").agg(*taken)
+    misses = F.array(*[F.abs(F.col(f"taken_{seed}") - F.col("target")) for seed in seeds])
+    nearest = F.array_position("misses", F.array_min("misses")) - 1 + seeds.start
+    sums = sums.withColumn("misses", misses).withColumn("seed", nearest)
+    return sums.select("source", "source_size", "target", "rate", "seed")
+
+
 def with_copies(docs: DataFrame, text: str, source: str, key: str, seed: int = 0) -> DataFrame:
     """Every document once: ``row``, ``size``, ``source_size``, ``target`` and how many ``copies`` the mix takes."""
     identity = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("text:"), F.md5(F.col(text).cast("binary"))))
-    sized = docs.select(
-        F.struct("*").alias("row"),
+    known = [
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
-        uniform(identity, seed).alias("u"),
-    )
-    rates = written(targets(sized.select("source", "size")), "mix-rates")
-    # Nulls meet as well; a hot source is split by the adaptive skew join if the rates are not sent along.
-    side = rates.withColumnRenamed("source", "rated")
-    if rates.count() <= BROADCAST_SOURCES:
-        side = F.broadcast(side)
-    joined = sized.join(side, F.col("source").eqNullSafe(F.col("rated")), "left")
+        F.coalesce(identity, F.lit("")).alias("identity"),
+    ]
+    sizes = written(docs.select(*known), "mix-sizes")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(F.coalesce("u", F.lit(0.5)) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.select("row", "size", "source_size", "target", copies.cast("long").alias("copies"))
+    rates = written(targets(sizes.select("source", "size")).withColumn("rate", rate), "mix-rates")
+    seeded = written(_seeded(sizes, rates, range(seed, seed + SEEDS)), "mix-seeds")
+    joined = _with_rates(docs.select(F.struct("*").alias("row"), *known), seeded)
+    copies = _copies(F.col("identity"), F.col("seed")).cast("long").alias("copies")
+    return joined.select("row", "size", "source_size", "target", copies)
 
 
 def mix(docs: DataFrame, text: str, source: str, key: str, seed: int = 0) -> DataFrame:

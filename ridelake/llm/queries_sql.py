@@ -31,13 +31,18 @@ targets AS (
               ELSE least(CAST(words - fixed AS DOUBLE) / weights * weight, CAST(3 * source_size AS DOUBLE)) END AS target
   FROM weighted, rest),
 rated AS (
-  SELECT doc_id, size, source_size, target,
-         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text))), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(size * (floor(rate) + CASE WHEN coalesce(u, 0.5) < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM rated
+  SELECT doc_id, sized.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+         coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text), '') AS identity
+  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
+drawn AS (
+  SELECT *, floor(rate) + CASE WHEN CAST('0x' || substr(md5(seed || ':' || identity), 1, 13) AS BIGINT) / 4503599627370496.0
+                                    < rate - floor(rate) THEN 1 ELSE 0 END AS copies
+  FROM rated CROSS JOIN (SELECT unnest(range(0, 32)) AS seed)),
+misses AS (SELECT source, seed, abs(sum(size * copies) - any_value(target)) AS miss FROM drawn GROUP BY source, seed),
+chosen AS (
+  SELECT source, seed FROM misses QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, seed) = 1)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * copies AS BIGINT) AS taken
+FROM drawn JOIN chosen ON drawn.seed = chosen.seed AND drawn.source IS NOT DISTINCT FROM chosen.source
 """
 
 OP10 = f"""
