@@ -2,8 +2,8 @@
 
 Calls and results are joined by conversation and call id, so a conversation of any length is spread over
 tasks. Calls are ordered topologically by level: those that need nothing have level 0, every other one more than
-the highest level among the calls it needs. Levels are found a level at a time, by removing what is already
-placed, so the rounds are as many as the longest chain of needs. Arguments are parsed and checked against
+the highest level among the calls it needs. Levels are found by doubling: the rounds grow with the logarithm
+of the longest chain of needs. Arguments are parsed and checked against
 their tool's schema, and every call with its result becomes one line of canonical JSON: sorted
 keys, no spaces, no escapes but those JSON asks for. Sort by conversation, level, position and id for the order.
 
@@ -21,7 +21,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridelake.sources.workspace import written
@@ -102,26 +102,27 @@ def _lines(schemas: dict):
     return lines
 
 
-def _levels(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def _levels(edges: DataFrame) -> DataFrame:
     """``conv``, ``call_id`` and ``level`` of every call that needs another; null for those in or behind a cycle.
 
-    A call waits while something that it needs waits. Every round places the calls that no longer do.
+    In round k it is known which calls lie exactly 2**k needs apart, and every call's level as far as
+    2**k - 1. A call with others 2**k apart has a level of 2**k and the highest of theirs.
     """
-    kind = f"{edges.select('conv').schema[0].simpleString().replace(':', ' ')}, call_id string, level int"
-    placed, level = spark.createDataFrame([], kind), 0
-    waiting = edges.select(*CALL, "need")
-    while True:
-        level += 1
-        held = waiting.select("conv", F.col("call_id").alias("need")).distinct().withColumn("waits", F.lit(True))
-        waiting = written(waiting.join(held, ["conv", "need"], "left").select(*CALL, "need", "waits"), "needs")
-        calls = waiting.groupBy(*CALL).agg(F.count("waits").alias("waits"))
-        counts = calls.agg(F.count_if(F.col("waits") == 0), F.count_if(F.col("waits") > 0)).first()
-        if not counts[0]:
-            return placed.union(calls.select(*CALL, F.lit(None).cast("int")))
-        placed = placed.union(calls.filter("waits = 0").select(*CALL, F.lit(level)))
-        if not counts[1]:
-            return placed
-        waiting = waiting.filter("waits").drop("waits")
+    apart = written(edges.select(*CALL, "need").distinct(), "apart")
+    levels = apart.select(*CALL, F.lit(0).alias("level")).limit(0)
+    most = apart.groupBy("conv").agg(F.count_distinct("call_id").alias("n")).agg(F.max("n")).first()[0] or 0
+    steps = 1
+    while steps <= most and not apart.isEmpty():
+        below = levels.withColumnRenamed("call_id", "need")
+        gained = apart.join(below, ["conv", "need"], "left").groupBy(*CALL)
+        gained = gained.agg((F.lit(steps) + F.coalesce(F.max("level"), F.lit(0))).alias("level"))
+        levels = written(levels.union(gained).groupBy(*CALL).agg(F.max("level").alias("level")), "levels")
+        onward = apart.select("conv", F.col("call_id").alias("need"), F.col("need").alias("next"))
+        apart = apart.join(onward, ["conv", "need"]).select(*CALL, F.col("next").alias("need")).distinct()
+        apart, steps = written(apart, "apart"), 2 * steps
+    # More needs in a row than there are calls: only a cycle has them.
+    endless = apart.select(*CALL, F.lit(True).alias("endless")).distinct()
+    return levels.join(endless, CALL, "left").select(*CALL, F.when(F.col("endless").isNull(), F.col("level")).alias("level"))
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
@@ -142,7 +143,7 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     edges = written(edges.join(there, ["conv", "need"], "left"), "edges")
     missing = edges.filter("there is null").groupBy(*CALL)
     missing = missing.agg(F.sort_array(F.collect_set(F.concat("need", F.lit(" is no call")))).alias("missing"))
-    levels = written(_levels(calls.sparkSession, edges.filter("there")), "levels").withColumn("needing", F.lit(True))
+    levels = _levels(edges.filter("there")).withColumn("needing", F.lit(True))
     answers = results.groupBy(*CALL).agg(F.min(F.struct("position", "content")).alias("answer"))
     met = first.join(answers, CALL, "left").join(levels, CALL, "left").join(missing, CALL, "left")
     cycle = F.col("needing").isNotNull() & F.col("level").isNull()

@@ -253,6 +253,18 @@ def test_arguments_are_checked_and_canonical(spark, name, arguments, problems, s
     assert json.loads(row["line"])["result"] == 'so "said"'
 
 
+def test_a_long_conversation_takes_few_rounds(spark, monkeypatch):
+    calls = [(1, f"c{i}", i, "say", "{}", [f"c{i - 1}"] if i else [], "s") for i in range(300)]
+    calls += [(2, f"c{i}", i, "say", "{}", [f"c{(i + 1) % 5}"], "s") for i in range(7)]
+    tables = []
+    own = tool_calls.written
+    monkeypatch.setattr(tool_calls, "written", lambda df, name: tables.append(name) or own(df, name))
+    found = tool_calls.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), SCHEMAS).collect()
+    assert {r["call_id"]: r["level"] for r in found if r["conv"] == 1} == {f"c{i}": i for i in range(300)}
+    assert {r["status"] for r in found if r["conv"] == 2} == {"cycle"}
+    assert tables.count("levels") <= 10
+
+
 def test_no_calls_and_no_results(spark):
     calls, results = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
     assert tool_calls.linked(calls, results, SCHEMAS).count() == 0
