@@ -59,4 +59,41 @@ kept AS (
 SELECT doc_id, n_lines, n_dropped, sha256(kept.text) AS kept_sha256 FROM kept JOIN docs USING (row)
 """
 
-ORACLES = {"op6_mix_sources": OP6, "op10_line_runs": OP10}
+
+def _shingles(table: str, key: str) -> str:
+    """Distinct shingles of every row's text: five words in a row, or all of fewer."""
+    return f"""SELECT DISTINCT {key}, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT {key}, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
+        FROM (SELECT {key}, regexp_extract_all({_LOWER.format('text')}, '[^\\x20\\x09-\\x0D]+') AS words
+              FROM {table} WHERE text IS NOT NULL)
+        WHERE len(words) > 0)"""
+
+
+OP3 = f"""
+WITH RECURSIVE shingles AS ({_shingles('documents', 'doc_id')}),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT one, two FROM common JOIN sizes a ON a.doc_id = one JOIN sizes b ON b.doc_id = two
+  WHERE 100 * common.n >= 85 * (a.n + b.n - common.n)),
+both_ways AS (SELECT one, two FROM links UNION ALL SELECT two, one FROM links),
+reached AS (
+  SELECT doc_id AS start, doc_id AS place FROM documents
+  UNION
+  SELECT start, two FROM reached JOIN both_ways ON place = one),
+lowest AS (SELECT start, min(place) AS low FROM reached GROUP BY start)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, low AS component_id, doc_id = low AS kept
+FROM documents JOIN lowest ON doc_id = start LEFT JOIN sizes USING (doc_id)
+"""
+
+OP7 = f"""
+WITH items AS ({_shingles('benchmark', 'item_id')}),
+docs AS ({_shingles('documents', 'doc_id')}),
+sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY item_id),
+found AS (SELECT item_id, doc_id, count(*) AS shared FROM items JOIN docs USING (shingle) GROUP BY 1, 2)
+SELECT item_id, doc_id, shared, n AS item_shingles FROM found JOIN sizes USING (item_id) WHERE 5 * shared >= 4 * n
+"""
+
+ORACLES = {"op3_near_components": OP3, "op6_mix_sources": OP6, "op7_benchmark_items": OP7, "op10_line_runs": OP10}
