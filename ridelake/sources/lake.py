@@ -34,7 +34,7 @@ def partitioned_for_write(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def gathered(df: DataFrame, cols: list[str], tasks: int) -> DataFrame:
-    """Rows of equal ``cols`` brought together in at most ``tasks`` tasks; for streams, which plan once."""
+    """Rows of equal ``cols`` brought together in at most ``tasks`` tasks: a bound on files for streams, adaptive or not."""
     return df.withColumn("_task", spread(df, tasks)).repartition(*cols, "_task").drop("_task")
 
 
