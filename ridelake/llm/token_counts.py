@@ -134,7 +134,7 @@ class Vocabulary:
                 last.append(token << 16)
                 continue
             # Only one token fits, so the order does not matter; most are short.
-            for start in range(end - 1, max(0, end - longest), -1):
+            for start in range(end - 1, max(0, end - longest - 1), -1):
                 token = number_of(piece[start:end])
                 if token is not None:
                     stay = beside(last[start] | token)
@@ -144,6 +144,8 @@ class Vocabulary:
                         counts.append(counts[start] + 1)
                         last.append(token << 16)
                         break
+            else:
+                raise ValueError(f"no token ends the prefix of {end} bytes of a piece of {len(piece)}")
 
     def learn(self, pieces: set[str]) -> None:
         """Counts the prefixes of new pieces; taken in order, pieces share the work on common beginnings."""

@@ -55,6 +55,20 @@ def test_longest_prefix_within_a_budget(vocabulary, library):
         assert token_counts.longest_prefix(row, budget) == max(fits)
 
 
+@pytest.mark.parametrize("text", [" " + "ÃÂ" * 32, "a" + "ÃÂ" * 40, "ÃÂ" * 64, "ÃÂ" * 200 + " and on"])
+def test_the_longest_token_within_a_piece(vocabulary, library, text):
+    assert max(map(len, vocabulary._names)) == 128
+    row = table_row(vocabulary, text)
+    assert row["n_tokens"] == library(text)
+    assert [token_counts.tokens_of_prefix(row, i) for i in range(len(text) + 1)] == [library(text[:i]) for i in range(len(text) + 1)]
+
+
+def test_a_prefix_that_no_token_ends_is_an_error(vocabulary, monkeypatch):
+    monkeypatch.setattr(vocabulary, "_longest", 1)
+    with pytest.raises(ValueError, match="no token"):
+        vocabulary._extended("don".encode(), [0], [0])
+
+
 def test_a_full_memory_gives_the_same(vocabulary, library, monkeypatch):
     monkeypatch.setattr(token_counts, "REMEMBERED", 3)
     with open(FILE, encoding="utf-8") as file:
