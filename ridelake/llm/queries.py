@@ -108,7 +108,7 @@ def calls_of(turns: DataFrame) -> DataFrame:
     """Assistant turns as calls: the tool goes by the turn, its arguments come from the text, and it needs the turn's predecessor."""
     name = F.element_at(F.array(*map(F.lit, SCHEMAS)), (F.floor(F.col("turn") / 2) % 3 + 1).cast("int"))
     length = F.char_length("text")
-    search = F.to_json(F.struct((length % 60).alias("limit"), F.substring("text", 1, 60).alias("query")))
+    search = F.to_json(F.struct((length % 60).alias("limit"), F.col("text").alias("query")))
     summarise = F.to_json(F.struct((length % 100).alias("words"), "text"))
     languages = F.array(*map(F.lit, ["en", "de", "fr", "es", "la"]))
     translate = F.to_json(F.struct(F.element_at(languages, (F.col("conv_id") % 5 + 1).cast("int")).alias("to"), "text"))

@@ -1,5 +1,6 @@
 """The registered queries over whole tables, and the pipeline against brute force."""
 
+import json
 import math
 import sys
 from collections import Counter
@@ -41,6 +42,17 @@ def test_every_operator_has_a_query():
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
 
 
+TURNS = "conv_id long, turn long, role string, text string"
+
+
+def test_every_call_takes_the_whole_text(spark):
+    texts = {turn: f"turn {turn} " + "long " * 40 + "end" for turn in (1, 3, 5)}
+    turns = spark.createDataFrame([(1, t, "assistant", text) for t, text in texts.items()], TURNS)
+    calls = {r["position"]: (r["name"], json.loads(r["arguments"])) for r in queries.calls_of(turns).collect()}
+    assert {name for name, _ in calls.values()} == set(queries.SCHEMAS)
+    assert {t: given.get("query", given.get("text")) for t, (_, given) in calls.items()} == texts
+
+
 def test_near_components_of_the_table(spark):
     rows = queries.QUERIES["op3_near_components"](spark, str(TABLES)).collect()
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{TABLES}/documents.parquet'").fetchall()
