@@ -105,7 +105,7 @@ SCHEMAS = {
 
 
 def calls_of(turns: DataFrame) -> DataFrame:
-    """Assistant turns as calls: the tool goes by the turn, its arguments come from the text, and it needs the turn's predecessor."""
+    """Assistant turns as calls: the tool goes by the turn, its arguments come from the text, and it needs the call two turns before, if that is one."""
     name = F.element_at(F.array(*map(F.lit, SCHEMAS)), (F.floor(F.col("turn") / 2) % 3 + 1).cast("int"))
     length = F.char_length("text")
     search = F.to_json(F.struct((length % 60).alias("limit"), F.col("text").alias("query")))
@@ -113,8 +113,8 @@ def calls_of(turns: DataFrame) -> DataFrame:
     languages = F.array(*map(F.lit, ["en", "de", "fr", "es", "la"]))
     translate = F.to_json(F.struct(F.element_at(languages, (F.col("conv_id") % 5 + 1).cast("int")).alias("to"), "text"))
     arguments = F.when(name == "search", search).when(name == "summarise", summarise).otherwise(translate)
-    needs = F.when(F.col("turn") > 1, F.array(_call_id(-2))).otherwise(F.array().cast("array<string>"))
-    return turns.filter("role = 'assistant'").select(
+    needs = F.when(F.col("answers"), F.array(_call_id(-2))).otherwise(F.array().cast("array<string>"))
+    return _after_call(turns.filter("role = 'assistant'"), turns, 2).select(
         F.col("conv_id").alias("conv"),
         _call_id(0).alias("call_id"),
         F.col("turn").alias("position"),
@@ -125,19 +125,27 @@ def calls_of(turns: DataFrame) -> DataFrame:
 
 
 def results_of(turns: DataFrame) -> DataFrame:
-    """User turns after the first as results of the turn before them."""
-    return turns.filter("role = 'user' and turn > 0").select(
+    """User turns that follow an assistant turn as its results; those that open a conversation or follow its system turn are prompts."""
+    return _after_call(turns.filter("role = 'user'"), turns, 1).filter("answers").select(
         F.col("conv_id").alias("conv"), _call_id(-1).alias("call_id"), F.col("turn").alias("position"), F.col("text").alias("content")
     )
 
 
+def _after_call(some: DataFrame, turns: DataFrame, back: int) -> DataFrame:
+    """Some of the turns, each with whether the turn so far back is an assistant's (``answers``)."""
+    calls = turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") + back).alias("turn")).distinct()
+    calls = calls.withColumn("found", F.lit(True))
+    return some.join(calls, ["conv_id", "turn"], "left").withColumn("answers", F.col("found").isNotNull()).drop("found")
+
+
 def _call_id(back: int) -> Column:
     return F.concat(F.lit("call-"), F.col("conv_id"), F.lit("-"), F.col("turn") + back)
 
 
 def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations")
-    found = tool_calls.linked(calls_of(turns), results_of(turns), SCHEMAS)
+    calls, results = calls_of(turns), results_of(turns)
+    found = tool_calls.linked(calls, results, SCHEMAS).union(tool_calls.further_results(calls, results))
     problems = F.array_join("problems", "; ").alias("problems")
     return found.select(F.col("conv").alias("conv_id"), "call_id", "position", "level", "status", problems, "line")
 

@@ -9,8 +9,9 @@ keys, no spaces, no escapes but those JSON asks for. Sort by conversation, level
 
 Statuses: ``linked``, ``no result``, ``no call`` (a result whose call is missing), ``repeated`` (a call
 whose id an earlier position or, at the same one, a smaller row has) and ``cycle`` (a call that needs itself in the end; no level).
-Of several results of a call the first by position and text counts. Needs that are no call of the
-conversation are a problem and do not hold a call back.
+Of several results of a call the first by position and text counts; ``linked`` has one row a call, and ``further_results``
+has the others, ``repeated`` too. A result without a call, or a further one, has a line of its id and content.
+Needs that are no call of the conversation are a problem and do not hold a call back.
 
 Calls without an id or a conversation meet no result; a null position comes first; null arguments or
 arguments that are not a JSON object are a problem, as is an unknown tool. Null texts are JSON's null. Empty tables
@@ -102,6 +103,31 @@ def _lines(schemas: dict):
     return lines
 
 
+def _result_lines(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for ids, contents in batches:
+        rows = zip(ids.to_pylist(), contents.to_pylist())
+        yield pa.array([canonical({"id": call_id, "result": content}) for call_id, content in rows], pa.string())
+
+
+def _results_alone(results: DataFrame, status: str) -> DataFrame:
+    """Rows of results that stand beside the calls: without a level or problems."""
+    line = F.arrow_udf(_result_lines, "string")("call_id", "content").alias("line")
+    nothing = F.array().cast("array<string>").alias("problems")
+    return results.select(*CALL, "position", F.lit(None).cast("int").alias("level"), F.lit(status).alias("status"), nothing, line)
+
+
+def further_results(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """All but the first result of every call, as rows that ``linked`` leaves out of its one row a call."""
+    least = F.min(F.struct("position", "content")).alias("answer")
+    several = results.dropna(subset=CALL).groupBy(*CALL).agg(F.count("*").alias("n"), least).filter("n > 1")
+    several = several.join(calls.select(*CALL).distinct(), CALL, "left_semi").drop("n")
+    # Equal results are one row with their number, so that just one of them counts as the first.
+    alike = results.join(several, CALL).groupBy(*CALL, "position", "content").agg(F.count("*").alias("n"), F.first("answer").alias("answer"))
+    first = F.struct("position", "content").eqNullSafe(F.col("answer"))
+    copies = F.explode(F.array_repeat(F.lit(1), (F.col("n") - first.cast("int")).cast("int")))
+    return _results_alone(alike.select(*CALL, "position", "content", copies.alias("copy")), "repeated")
+
+
 def _levels(edges: DataFrame) -> DataFrame:
     """``conv``, ``call_id`` and ``level`` of every call that needs another; null for those in or behind a cycle.
 
@@ -126,7 +152,7 @@ def _levels(edges: DataFrame) -> DataFrame:
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
-    """One row for every call, and every result without one.
+    """One row for every call, and every result without one; ``further_results`` has what a call got besides its first result.
 
     ``calls`` has ``conv``, ``call_id``, ``position``, ``name``, ``arguments`` (JSON) and ``needs`` (call ids);
     ``results`` has ``conv``, ``call_id``, ``position`` and ``content``. The result has ``conv``, ``call_id``,
@@ -164,14 +190,10 @@ def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
         *CALL, "position", F.lit(None).cast("int"), F.lit("repeated"), "name", "arguments", "needs",
         F.lit(None).cast("string"), nothing,
     )
-    orphans = results.join(known, CALL, "left_anti").select(
-        *CALL, "position", F.lit(None).cast("int"), F.lit("no call"), F.lit(None).cast("string"),
-        F.lit(None).cast("string"), nothing, "content", nothing,
-    )
+    orphans = _results_alone(results.join(known, CALL, "left_anti"), "no call")
     line = F.arrow_udf(_lines(schemas), LINE)("call_id", "name", "arguments", "needs", "content").alias("made")
     made = rows.union(again).withColumn("made", line)
     made = made.select(
         *CALL, "position", "level", "status", F.concat("made.problems", "missing").alias("problems"), "made.line"
     )
-    orphans = orphans.toDF(*rows.columns).withColumn("line", F.lit(None).cast("string"))
-    return made.union(orphans.select(*CALL, "position", "level", "status", "missing", "line"))
+    return made.union(orphans)

@@ -53,6 +53,35 @@ def test_every_call_takes_the_whole_text(spark):
     assert {t: given.get("query", given.get("text")) for t, (_, given) in calls.items()} == texts
 
 
+@pytest.fixture
+def turns_folder(spark, folder):
+    def write(turns):
+        spark.createDataFrame(turns, TURNS).write.parquet(f"{folder}/conversations.parquet")
+        return queries.QUERIES["op9_tool_calls"](spark, folder).collect()
+
+    return write
+
+
+def test_turns_are_linked_by_their_roles(turns_folder):
+    system = list(zip(range(7), ["system", "user", "assistant", "user", "assistant", "user", "user"]))
+    plain = list(zip(range(4), ["user", "assistant", "user", "assistant"]))
+    turns = [(1, t, role, f"s{t}") for t, role in system] + [(2, t, role, f"p{t}") for t, role in plain]
+    rows = turns_folder([*turns, (3, 4, "assistant", "alone"), (None, 1, "assistant", "x"), (None, 2, "user", "y")])
+    found = {(r["conv_id"], r["position"]): (r["level"], r["status"], r["problems"].count("no call")) for r in rows if r["conv_id"]}
+    linked, open_end = "linked", "no result"
+    assert found == {
+        (1, 2): (0, linked, 0), (1, 4): (1, linked, 0), (2, 1): (0, linked, 0), (2, 3): (1, open_end, 0), (3, 4): (0, open_end, 0),
+    }
+    assert len(rows) == 6
+    assert {json.loads(r["line"])["result"] for r in rows if r["status"] == linked} == {"s3", "s5", "p2"}
+
+
+def test_every_result_of_a_call_has_a_row(turns_folder):
+    rows = turns_folder([(1, 0, "assistant", "a"), *((1, 1, "user", text) for text in ("y", "x", "y", None, None))])
+    lines = {status: sorted(str(json.loads(r["line"])["result"]) for r in rows if r["status"] == status) for status in ("linked", "repeated")}
+    assert lines == {"linked": ["None"], "repeated": ["None", "x", "y", "y"]} and len(rows) == 5
+
+
 def test_near_components_of_the_table(spark):
     rows = queries.QUERIES["op3_near_components"](spark, str(TABLES)).collect()
     docs = duckdb.sql(f"SELECT doc_id, text FROM '{TABLES}/documents.parquet'").fetchall()

@@ -279,6 +279,24 @@ def test_a_long_conversation_takes_few_rounds(spark, monkeypatch):
     assert tables.count("levels") <= 10
 
 
+def test_results_without_a_call_or_after_the_first_keep_their_content(spark):
+    calls = spark.createDataFrame([(1, "k", 0, "say", "{}", [], "s"), (1, "k", 5, "say", "{}", [], "s"), (2, "j", 0, "say", "{}", [], "s")], CALLS)
+    given = [(1, "k", 3, "c"), (1, "k", 2, "b"), (1, "k", 2, "b"), (1, "k", 2, "d"), (2, "j", 1, "e"), (1, "z", 1, 'lost "one"'), (1, "z", 1, None)]
+    given += [(None, "k", 1, "f"), (None, "k", 1, "f"), (2, None, 1, "g")]
+    results = spark.createDataFrame([(*r, "l") for r in given], RESULTS)
+    whole = tool_calls.linked(calls, results, SCHEMAS).union(tool_calls.further_results(calls, results)).collect()
+    held = [(r["call_id"], json.loads(r["line"])["result"]) for r in whole if r["status"] != "repeated" or '"name"' not in r["line"]]
+    assert sorted(held, key=str) == sorted(((r[1], r[3]) for r in given), key=str)
+    assert sorted((r["position"], r["line"]) for r in whole if r["status"] == "repeated" and '"name"' not in r["line"]) == [
+        (2, '{"id":"k","result":"b"}'), (2, '{"id":"k","result":"d"}'), (3, '{"id":"k","result":"c"}'),
+    ]
+    assert '{"id":"z","result":"lost \\"one\\""}' in [r["line"] for r in whole if r["status"] == "no call"]
+
+
 def test_no_calls_and_no_results(spark):
     calls, results = spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)
     assert tool_calls.linked(calls, results, SCHEMAS).count() == 0
+
+
+def test_no_further_results_of_nothing(spark):
+    assert tool_calls.further_results(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS)).count() == 0
