@@ -1,11 +1,12 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
-A forest has ``TREES`` trees. A tree is a sorted order of all distinct shingle sets by a
+A forest has as many trees as the similarity asked for needs, ``TREES`` at least. A tree is a sorted order of all distinct shingle sets by a
 label of ``DEEPEST`` MinHash values of its own. Neighbours in an order that share a prefix of at least
 ``SHALLOWEST`` values are candidates; a run of more than ``DENSE`` neighbours with one prefix is cut by
 longer prefixes, so the depth adapts to how dense a region is. Two sets of similarity s
-share a prefix of depth d in some tree with probability 1 - (1 - s**d)**TREES: at 0.85 this
-misses 4 of 10 million pairs in sparse and 7 of 100,000 in dense regions.
+share a prefix of depth d in some of t trees with probability 1 - (1 - s**d)**t. The trees are so many that of
+the pairs just as similar as asked this misses ``MISSED`` at most in dense regions: at 0.85 it is 20 trees, which miss
+4 of 10 million pairs in sparse and 8 of 100,000 in dense regions, at 0.8 32 trees, with 5 of 100 million and 6 of 100,000.
 
 Runs that share members form a region. All links lie within regions, and
 every region is searched whole: its sets are joined in blocks by an exact prefix-filtered
@@ -20,6 +21,7 @@ any name stay as they are.
 """
 
 import hashlib
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,14 +36,28 @@ from ridelake.llm.shingles import MinHash, Shingler
 from ridelake.sources.workspace import written
 
 TREES, SHALLOWEST, DEEPEST, DENSE = 20, 4, 6, 64
+MISSED = 8e-5
 # Shingles that one block of a region holds: 16 MB.
 BLOCK = 2_000_000
 SEED = 7
 SKETCH = "n long, v binary, signature binary"
 
 
-def _sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    shingler, orders = Shingler(), MinHash(TREES * DEEPEST, SEED)
+def trees_for(share: int, of: int) -> int:
+    """Trees that miss ``MISSED`` of the pairs with a similarity of ``share`` / ``of`` where a region is dense."""
+    alike = (share / of) ** DEEPEST
+    return TREES if alike >= 1 else max(TREES, math.ceil(math.log(MISSED) / math.log1p(-alike)))
+
+
+def _sketcher(trees: int):
+    def sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from by_pieces(_sketched(trees))(batches)
+
+    return sketches
+
+
+def _sketched(trees: int):
+    shingler, orders = Shingler(), MinHash(trees * DEEPEST, SEED)
 
     def sketched(texts: list) -> pa.Array:
         rows = []
@@ -59,7 +75,7 @@ def _sketches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             names=["n", "v", "signature"],
         )
 
-    yield from by_pieces(sketched)(batches)
+    return sketched
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -71,8 +87,8 @@ def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         vertices = batch.column("v")
         whole = np.frombuffer(b"".join(batch.column("signature").to_pylist()), dtype="S1").reshape(len(vertices), -1)
-        for tree in range(TREES):
-            width = 4 * DEEPEST
+        width = 4 * DEEPEST
+        for tree in range(whole.shape[1] // width):
             part = np.ascontiguousarray(whole[:, tree * width : (tree + 1) * width])
             labels = pa.array([row.tobytes() for row in part], pa.binary())
             trees = pa.array(np.full(len(vertices), tree, dtype=np.int32))
@@ -241,7 +257,7 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _classes(rows: DataFrame, share: int, of: int) -> tuple[DataFrame, DataFrame]:
     """Sketches of all rows, and ``v``, ``at`` and ``class`` of all distinct sets."""
-    sketch = F.arrow_udf(_sketches, SKETCH)
+    sketch = F.arrow_udf(_sketcher(trees_for(share, of)), SKETCH)
     sketched = written(rows.select("id", "rid", sketch("text").alias("s")).select("id", "rid", "s.*"), "sketches")
     vertices = sketched.filter("v is not null").groupBy("v")
     vertices = vertices.agg(

@@ -54,6 +54,31 @@ def corpus():
     return base + star + pairs + odd + [long_one, changed(long_one, 100), "a b c d e " * 300, "a b c d e " * 400]
 
 
+@pytest.mark.parametrize(("share", "common"), [(85, 17), (80, 8)])
+def test_pairs_just_similar_enough_share_a_deepest_prefix(share, common):
+    rng = np.random.default_rng(5)
+    alone = {17: (2, 1), 8: (1, 1)}[common]
+    orders, width = MinHash(forest.trees_for(share, 100) * forest.DEEPEST, forest.SEED), forest.DEEPEST
+    missed, missed_by_few = 0, 0
+    for _ in range(4000):
+        hashes = rng.integers(0, 2**64, common + sum(alone), dtype=np.uint64)
+        one, two = (orders.signature(part) for part in (hashes[: common + alone[0]], np.delete(hashes, slice(common, common + alone[0]))))
+        met = (one == two).reshape(-1, width).all(axis=1)
+        missed += not met.any()
+        missed_by_few += not met[: forest.TREES].any()
+    assert missed <= 2 and (share >= 85 or missed_by_few > 2)
+
+
+def test_sketches_have_as_many_trees_as_the_similarity_needs(spark, monkeypatch):
+    seen = []
+    own = forest.candidate_edges
+    monkeypatch.setattr(forest, "candidate_edges", lambda rows: seen.append(len(rows.first()["signature"])) or own(rows))
+    docs = documents(spark, prose(6, 30))
+    for share in (85, 80):
+        forest.near_components(docs, "doc_id", "text", share, 100).count()
+    assert [size // (4 * forest.DEEPEST) for size in seen] == [20, 32]
+
+
 @pytest.mark.parametrize(("share", "of"), [(85, 100), (80, 100), (50, 100)])
 def test_components_as_by_hand(spark, share, of):
     texts = corpus()
