@@ -8,6 +8,9 @@ and an item that agree in one of ``ORDERS`` MinHash values are candidates, and c
 counting the item's shingles in the whole document. Of the items that a document holds in one
 piece this misses 1 in 100,000, of those with the least containment asked for 5 in 100,000.
 
+Items of up to ``SMALLEST`` shingles are too short for windows and none is missed: a document that holds enough of such
+an item holds one of any so many of its shingles as it may lack and one more, and these are looked up exactly.
+
 The windows' minima come from minima over blocks of u shingles, and those of
 larger sizes from the smaller ones, so a document is hashed once, whatever its length.
 
@@ -45,17 +48,25 @@ class ItemIndex:
         self._share, self._of = share, of
         self._shingler, self._orders = Shingler(), MinHash(ORDERS, SEED)
         self._sets, self._owners = [], defaultdict(lambda: defaultdict(list))
+        self._small: dict[int, list[int]] = defaultdict(list)
         keys = defaultdict(set)
         for item, text in items:
             shingles = self._shingler.distinct(text)
             if not len(shingles):
                 continue
-            size = max(SMALLEST, 1 << (len(shingles) - 1).bit_length())
+            if len(shingles) <= SMALLEST:
+                least = max(1, -(-share * len(shingles) // of))
+                for shingle in shingles[: len(shingles) - least + 1].tolist():
+                    self._small[shingle].append(len(self._sets))
+                self._sets.append((item, shingles))
+                continue
+            size = 1 << (len(shingles) - 1).bit_length()
             for key in self._keys(self._orders.signature(shingles)[:, None]).ravel().tolist():
                 self._owners[size][key].append(len(self._sets))
                 keys[size].add(key)
             self._sets.append((item, shingles))
         self._known = {size: np.array(sorted(found), dtype=np.uint64) for size, found in keys.items()}
+        self._small_known = np.array(sorted(self._small), dtype=np.uint64)
         # A quick test by some bits of a key; what passes is looked up.
         self._filter = {}
         for size, known in self._known.items():
@@ -71,8 +82,30 @@ class ItemIndex:
     def find(self, text: str | None) -> list[dict]:
         """The items that ``text`` holds at least ``share`` / ``of`` of."""
         shingles = self._shingler.sequence(text)
-        if not len(shingles) or not self._known:
+        if not len(shingles):
+            return []
+        candidates = self._small_matches(shingles)
+        if self._known:
+            candidates |= self._window_matches(shingles)
+        if not candidates:
             return []
+        whole = np.unique(shingles)
+        hits = []
+        for number in candidates:
+            item, wanted = self._sets[number]
+            shared = int(np.isin(wanted, whole, assume_unique=True).sum())
+            if self._of * shared >= self._share * len(wanted):
+                hits.append({"item": item, "shared": shared, "size": len(wanted)})
+        return sorted(hits, key=lambda hit: hit["item"])
+
+    def _small_matches(self, shingles: np.ndarray) -> set[int]:
+        if not len(self._small_known):
+            return set()
+        at = np.minimum(np.searchsorted(self._small_known, shingles), len(self._small_known) - 1)
+        found = np.unique(shingles[self._small_known[at] == shingles]).tolist()
+        return {number for shingle in found for number in self._small[shingle]}
+
+    def _window_matches(self, shingles: np.ndarray) -> set[int]:
         candidates = set()
         blocks, width = self._block_minima(shingles), SMALLEST
         largest = max(self._known)
@@ -81,20 +114,10 @@ class ItemIndex:
                 windows = np.minimum(blocks[:, :-1], blocks[:, 1:]) if blocks.shape[1] > 1 else blocks
                 candidates |= self._matches(width, windows)
             if width >= largest:
-                break
+                return candidates
             if blocks.shape[1] % 2:
                 blocks = np.concatenate([blocks, blocks[:, -1:]], axis=1)
             blocks, width = np.minimum(blocks[:, ::2], blocks[:, 1::2]), 2 * width
-        if not candidates:
-            return []
-        whole = np.unique(shingles)
-        hits = []
-        for number in candidates:
-            item, wanted = self._sets[number]
-            shared = int(np.isin(wanted, whole, assume_unique=True).sum())
-            if self._of * shared >= self._share * len(wanted):
-                hits.append({"item": item, "shared": shared, "size": len(wanted)})
-        return sorted(hits, key=lambda hit: hit["item"])
 
     def _block_minima(self, shingles: np.ndarray) -> np.ndarray:
         """Minima over blocks of the smallest width, piece by piece, so that long texts need no more memory."""

@@ -167,6 +167,29 @@ def test_items_as_by_hand(spark):
     assert {r["doc_id"] for r in left.collect()} == set(range(len(texts))) - {d for _, d, _, _ in expected}
 
 
+@pytest.mark.parametrize("words", [5, 6, 7, 9, 12, 13])
+def test_short_items_are_never_missed_in_long_documents(words):
+    texts = prose(800, 200, seed=words, vocabulary=20_000)
+    items = [" ".join(text.split(" ")[i % 190 :][:words]) for i, text in enumerate(texts)]
+    index = containment.ItemIndex(list(enumerate(items)), 80, 100)
+    whole = [shingles(text) for text in texts]
+    wanted = [shingles(item) for item in items]
+    for i, text in enumerate(texts):
+        shared = len(wanted[i] & whole[i])
+        assert {"item": i, "shared": shared, "size": len(wanted[i])} in index.find(text)
+
+
+def test_short_items_that_lack_some_shingles():
+    words = prose(1, 12, seed=3, vocabulary=20_000)[0].split(" ")
+    long = prose(1, 60, seed=4, vocabulary=20_000)[0]
+    index = containment.ItemIndex([(1, " ".join(words)), (2, " ".join(words[:9]))], 80, 100)
+    for first in range(3):
+        for last in range(6, 13):
+            text = " ".join([long, *words[first:last], long])
+            held = [(n, len(shingles(" ".join(own)) & shingles(text)), len(own) - 4) for n, own in ((1, words), (2, words[:9]))]
+            assert index.find(text) == [{"item": n, "shared": s, "size": z} for n, s, z in held if 100 * s >= 80 * z]
+
+
 def test_items_come_in_parts(spark, monkeypatch):
     items = spark.createDataFrame([(i, t) for i, t in enumerate(prose(40, 20))], "item_id long, text string")
     docs = documents(spark, prose(40, 20) + prose(5, 20, seed=8))
