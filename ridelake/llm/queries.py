@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridelake.llm import chunks, containment, forest, line_runs, mixing, neighbours, slots, token_counts, tool_calls, toxicity
+from ridelake.llm import alignment, chunks, containment, fingerprints, forest, lexical, line_runs, mixing, neighbours
+from ridelake.llm import slots, token_counts, tool_calls, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERY_EVERY, NEAREST = 20, 20
@@ -14,6 +15,7 @@ SHARDS = 24
 # The label columns there are; toxicity last, so that it can lean on quality.
 CATEGORIES = ["quality", "toxic"]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 1024
 LINE_BATCHES = 4
 
@@ -158,6 +160,23 @@ def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", digest)
 
 
+def op11_shared_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = lexical.ranked(docs, "doc_id", "text", items, "item_id", "text", NEAREST)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.aligned(docs, "doc_id", "text", alignment.read_tokenizers(spark, TOKENIZER, PIECES))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_bucket_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fingerprints.against_next(docs, "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_multiprobe": op1_multiprobe,
     "op2_virtual_slots": op2_virtual_slots,
@@ -169,4 +188,7 @@ QUERIES: dict[str, Query] = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_tool_calls": op9_tool_calls,
     "op10_line_runs": op10_line_runs,
+    "op11_shared_ranking": op11_shared_ranking,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_bucket_digests": op13_bucket_digests,
 }

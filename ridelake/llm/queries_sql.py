@@ -96,4 +96,37 @@ found AS (SELECT item_id, doc_id, count(*) AS shared FROM items JOIN docs USING
 SELECT item_id, doc_id, shared, n AS item_shingles FROM found JOIN sizes USING (item_id) WHERE 5 * shared >= 4 * n
 """
 
-ORACLES = {"op3_near_components": OP3, "op6_mix_sources": OP6, "op7_benchmark_items": OP7, "op10_line_runs": OP10}
+# Fixed value: the terms of lexical search.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+terms AS (
+  SELECT row, unnest(regexp_extract_all({_LOWER.format('text')}, '{_TERM}')) AS term FROM docs),
+lengths AS (SELECT row, count(*) AS n FROM terms GROUP BY row),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS documents, CAST(sum(n) AS BIGINT) AS length FROM lengths),
+held AS (SELECT row, term, count(*) AS tf FROM terms GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(documents) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, whole GROUP BY term),
+wanted AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWER.format('text')}, '{_TERM}')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, row,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * documents) // length)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN held USING (term) JOIN lengths USING (row), whole
+  GROUP BY item_id, row)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored JOIN docs USING (row) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+ORACLES = {
+    "op3_near_components": OP3,
+    "op6_mix_sources": OP6,
+    "op7_benchmark_items": OP7,
+    "op10_line_runs": OP10,
+    "op11_shared_ranking": OP11,
+}

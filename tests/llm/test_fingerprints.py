@@ -1,0 +1,101 @@
+"""Quartile bucket digests: their own rules, the order of documents, and how well they tell edits from others."""
+
+import hashlib
+import random
+import string
+from collections import Counter
+
+import pytest
+
+from llm.tables import documents, prose
+from ridelake.llm import fingerprints
+
+COLUMNS = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+def by_hand(rows):
+    """For rows in the order of their ids, largest first."""
+    out = []
+    for (key, text), (_, other) in zip(rows, rows[1:] + rows[:1]):
+        text, other = text or "", other or ""
+        changed = text[: len(text) - len(text) // 3] + other[: len(text) // 3]
+        some = [fingerprints.digest(t) for t in (text, changed, other)]
+        near = [1 - min(fingerprints.MOST, difference_by_hand(some[0], x)) / fingerprints.MOST for x in some[1:]]
+        digest = hashlib.sha256(changed.encode()).hexdigest()
+        out.append((key, len(text), digest, some[0].hex(), some[1].hex(), *near))
+    return Counter(out)
+
+
+def difference_by_hand(a, b):
+    codes = [[x >> s & 3 for x in d[2:] for s in (0, 2, 4, 6)] for d in (a, b)]
+    steps = sum((0, 1, 2, fingerprints.FAR)[abs(x - y)] for x, y in zip(*codes))
+    ratios = abs((a[1] >> 4) - (b[1] >> 4)) + abs((a[1] & 15) - (b[1] & 15))
+    return min(fingerprints.LENGTHS, abs(a[0] - b[0])) + ratios + steps
+
+
+def found(spark, rows, tasks=None):
+    frame = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    frame = frame.repartition(tasks) if tasks else frame
+    return Counter(tuple(r[c] for c in COLUMNS) for r in fingerprints.against_next(frame, "doc_id", "text").collect())
+
+
+def test_every_document_meets_the_next(spark):
+    texts = ["", "abc", "abcd", "äöü€😀" * 9, "one", None, *prose(90, 20)]
+    rows = [(len(texts) - i, t) for i, t in enumerate(texts)]
+    shuffled = random.Random(2).sample(rows, len(rows))
+    assert found(spark, shuffled, 5) == by_hand(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "alone in here")], [(2, "first"), (None, "null ids come last")], [(4, "same"), (4, "same"), (4, "same"), (3, "x" * 50)], [(None, None)] * 3])
+def test_few_rows(spark, rows):
+    assert found(spark, rows) == by_hand(rows)
+
+
+def test_rows_of_one_id_are_all_there(spark):
+    rows = [(7, t) for t in prose(200, 5)] + [(7, "copy")] * 200 + [(1, "last")]
+    result = found(spark, rows, 6)
+    assert sum(result.values()) == 401
+    assert Counter(r[3] for r in result.elements()) == Counter(fingerprints.digest(t).hex() for _, t in rows)
+
+
+def test_digest_of_buckets():
+    text = "".join(random.Random(5).choice(string.ascii_letters + " .,") for _ in range(5000))
+    letters = text.encode()
+    counts = [0] * fingerprints.BUCKETS
+    roots = [int(2**32 * (n**0.5 % 1)) | 1 for n in (2, 3, 5, 7, 11, 13, 17, 19, 23, 29)]
+    for i in range(3, len(letters)):
+        for back, at in (((0, 1, 2), 0), ((0, 1, 3), 3), ((0, 2, 3), 6)):
+            mixed = sum(letters[i - b] * r for b, r in zip(back, roots[at : at + 3])) % 2**32
+            counts[(((mixed ^ mixed >> 15) * roots[9]) % 2**32) >> 24] += 1
+    assert fingerprints.bucket_counts(letters).tolist() == counts
+    first, second, third = (sorted(counts)[n] for n in (63, 127, 191))
+    codes = [(c > first) + (c > second) + (c > third) for c in counts]
+    packed = fingerprints.digest(text)[2:]
+    assert [packed[i // 4] >> 2 * (i % 4) & 3 for i in range(256)] == codes
+    assert all(40 <= codes.count(c) <= 88 for c in range(4))
+
+
+def test_pieces_change_nothing(monkeypatch):
+    text = prose(1, 400)[0]
+    whole = fingerprints.digest(text)
+    monkeypatch.setattr(fingerprints, "PIECE", 7)
+    assert fingerprints.digest(text) == whole
+
+
+def test_likeness_is_bounded_and_tells_edits_from_others(spark):
+    texts = [t for seed in range(40) for t in prose(1, 300, seed=seed, vocabulary=150)]
+    digests = [fingerprints.digest(t) for t in texts]
+    others = digests[1:] + digests[:1]
+    changed = [fingerprints.digest(fingerprints.edited(a, b)) for a, b in zip(texts, texts[1:] + texts[:1])]
+    near, far = fingerprints.likenesses(digests, changed), fingerprints.likenesses(digests, others)
+    assert (near > far).all() and near.min() > 0.5 and 0 <= far.min() and near.max() < 1
+    assert fingerprints.likenesses(digests, digests).tolist() == [1.0] * 40
+    assert fingerprints.differences(digests, others).tolist() == fingerprints.differences(others, digests).tolist()
+
+
+def test_columns_for_any_frame(spark):
+    frame = spark.createDataFrame([("a text of words", None), ("a text of words!", "a text of words"), (None, "")], "x string, y string")
+    both = frame.select(fingerprints.fingerprint("x").alias("x"), fingerprints.fingerprint("y").alias("y"))
+    rows = both.select("x", "y", fingerprints.likeness("x", "y").alias("near")).collect()
+    assert [r["x"] for r in rows] == [fingerprints.digest(t).hex() for t in ("a text of words", "a text of words!", "")]
+    assert rows[2]["near"] == 1.0 and rows[1]["near"] > rows[0]["near"]
