@@ -59,7 +59,7 @@ def test_rows_of_one_id_are_all_there(spark):
 
 
 def test_digest_of_buckets():
-    text = "".join(random.Random(5).choice(string.ascii_letters + " .,") for _ in range(5000))
+    text = "".join(random.Random(5).choices(string.ascii_letters + " .,", k=5000))
     letters = text.encode()
     counts = [0] * fingerprints.BUCKETS
     roots = [int(2**32 * (n**0.5 % 1)) | 1 for n in (2, 3, 5, 7, 11, 13, 17, 19, 23, 29)]
