@@ -31,7 +31,8 @@ def spread(df: DataFrame, n: int) -> Column:
     row differ too, and a task that is run again after a lost executor gives every
     row the same number. A random number would not, and rows could get lost.
     """
-    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(n)).cast("int")
+    hashed = [F.col(name).cast("string") if dtype == "variant" else F.col(name) for name, dtype in df.dtypes]
+    return F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(n)).cast("int")
 
 
 def cents(fare: str) -> Column:

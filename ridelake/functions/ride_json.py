@@ -1,5 +1,7 @@
 """The JSON body of a ride event."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,14 +13,14 @@ from ridelake.schemas import PAYLOAD, RIDES
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def ride_to_json() -> Column:
-    """Every ride column but the key, as one JSON string.
+def ride_to_json(more: Sequence[str] = ()) -> Column:
+    """Every ride column but the key, and ``more`` columns, as one JSON string.
 
     NULL fields are left out, and so are values that are not of their type, such as a
     time that is none, with ANSI mode on and off.
     """
     body = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RIDES.fields if f.name != "key"]
-    return F.to_json(F.struct(*body), {"timestampFormat": TIMESTAMP_FORMAT})
+    return F.to_json(F.struct(*body, *more), {"timestampFormat": TIMESTAMP_FORMAT})
 
 
 def json_to_ride(value: Column, corrupt_column: str | None = None) -> Column:
@@ -30,3 +32,20 @@ def json_to_ride(value: Column, corrupt_column: str | None = None) -> Column:
         return F.from_json(value, PAYLOAD)
     schema = T.StructType([*PAYLOAD.fields, T.StructField(corrupt_column, T.StringType(), True)])
     return F.from_json(value, schema, {"columnNameOfCorruptRecord": corrupt_column})
+
+
+def body_fields(body: Column) -> Column:
+    """A VARIANT object as a map of its fields; NULL for anything else."""
+    return body.try_cast("map<string, variant>")
+
+
+def unknown_rest(value: Column) -> Column:
+    """The fields of a body that the ride schema does not have, as a VARIANT object; NULL if there are none.
+
+    A text that is no object, or that names a field twice, cannot be taken apart: it is kept whole, as a VARIANT string.
+    """
+    known = [f.name for f in PAYLOAD.fields]
+    body = F.try_parse_json(value)
+    fields = F.map_filter(body_fields(body), lambda name, _: ~name.isin(known))
+    taken_apart = F.when(F.size(fields) > 0, F.to_variant_object(fields))
+    return F.when(body_fields(body).isNotNull(), taken_apart).otherwise(value.cast("variant"))

@@ -4,28 +4,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridelake.functions.columns import date_parts
-from ridelake.functions.ride_json import json_to_ride, ride_to_json
+from ridelake.functions.ride_json import json_to_ride, ride_to_json, unknown_rest
 from ridelake.schemas import EVENTS, RAW
 
 
-def to_events(rides: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One ``(key, value)`` event per ride; ``keep`` passes further columns through."""
-    return rides.select(F.col("key").cast("string").alias("key"), ride_to_json().alias("value"), *keep)
+def to_events(rides: DataFrame, keep: tuple[str, ...] = (), more: tuple[str, ...] = ()) -> DataFrame:
+    """One ``(key, value)`` event per ride; ``keep`` passes further columns through, ``more`` columns go into the body."""
+    return rides.select(F.col("key").cast("string").alias("key"), ride_to_json(more).alias("value"), *keep)
 
 
-def parse_events(events: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+def parse_events(events: DataFrame, corrupt_column: str | None = None, rest: str | None = None) -> DataFrame:
     """Events to raw rides: parsed, typed, with the date parts of the pickup time.
 
     Key and value may be strings or bytes. No row is lost: an unreadable event
     keeps its key and has NULL fields, and so lands in the NULL date partition.
+
+    With ``rest`` no field is lost either: those that the ride schema does not have are kept under that name as a
+    VARIANT object (see ``operators.payload``). That parses the text a second time.
     """
     # inline, unlike a struct column, keeps a later filter from parsing the text once more per column it tests.
+    text = F.col("value").cast("string")
     parsed = events.select(
         F.col("key").cast("string").alias("key"),
-        F.inline(F.array(json_to_ride(F.col("value").cast("string"), corrupt_column))),
+        *([] if rest is None else [unknown_rest(text).alias(rest)]),
+        F.inline(F.array(json_to_ride(text, corrupt_column))),
     )
     typed = {"passenger_count": F.col("passenger_count").try_cast("tinyint"), **date_parts("pickup_datetime")}
-    extra = [] if corrupt_column is None else [corrupt_column]
+    extra = [name for name in (corrupt_column, rest) if name is not None]
     return parsed.withColumns(typed).select(*RAW.names, *extra)
 
 

@@ -20,6 +20,7 @@ from ridelake.operators.regions import (
     fit_regions,
     label_neighborhoods,
 )
+from ridelake.operators.payload import new_fields, promoted, raw_with
 from ridelake.operators.rows import distinct_rows, with_coordinates, with_part
 from ridelake.plans.curation import curate, curated, to_curated
 from ridelake.plans.fares import fares_by_day, fares_by_day_region_of, fares_of_raw
@@ -34,6 +35,7 @@ from ridelake.sources.driver_tables import (
     rides,
     rides_by_user,
     untimed,
+    with_new_fields,
 )
 from ridelake.sources.event_log import read_event_stream, read_events, write_events
 from ridelake.sources.files import read_neighborhoods_csv, require_rides_csv
@@ -244,6 +246,24 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("key", "pickup_region", "fare_amount", "fare_cents")
 
 
+@_query
+def payload_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curated rides with two fields that the ride schema does not have, landed before they are known and after."""
+    folder = new_folder(spark, "payload")
+    source = with_new_fields(rides(spark, sf_dir)).withColumn("half", F.col("key").cast("bigint") % 2)
+    events = to_events(source, keep=("half",), more=("surge", "tip"))
+    fields = {}
+    for half in replay_parts(events, f"{folder}/log", f"{folder}/staged", 2, F.col("half")):
+        fields = new_fields(read_table(spark, f"{folder}/raw", raw_with())) if half else {}
+        stream = read_event_stream(spark, f"{folder}/log")
+        finish(land(stream, f"{folder}/raw", f"{folder}/checkpoint", available_now=True, keep_rest=True, fields=fields))
+    raw = promoted(read_table(spark, f"{folder}/raw", raw_with(fields=fields)), fields)
+    curate(raw, neighborhoods(spark, sf_dir), f"{folder}/curated", more=[*fields])
+    grown = T.StructType([*CURATED.fields, *[f for f in raw_with(fields=fields) if f.name in fields]])
+    rows = read_table(spark, f"{folder}/curated", grown)
+    return rows.select("key", "pickup_region", "fare_amount", "surge", "tip")
+
+
 @_query
 def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides written as CSV, checked, and read with the fixed types."""

@@ -132,6 +132,13 @@ curated AS ({_CURATED}),
 typed AS (SELECT DISTINCT key, pickup_region, fare_amount FROM curated)
 SELECT key, pickup_region, fare_amount, CAST(NULL AS DOUBLE) AS fare_cents FROM typed
 UNION ALL SELECT key, pickup_region, fare_amount, ROUND(fare_amount * 100) FROM typed""",
+    "payload_evolution": f"""WITH {_REGION_RIDES},
+typed AS (SELECT DISTINCT key, pickup_region, fare_amount FROM ({_CURATED}))
+SELECT key, pickup_region, fare_amount,
+       CASE WHEN CAST(key AS BIGINT) % 3 = 0 THEN 1 + CAST(0.25 AS DOUBLE) * (CAST(key AS BIGINT) % 7) END AS surge,
+       CASE WHEN CAST(key AS BIGINT) % 9 = 0 THEN 'none'
+            WHEN CAST(key AS BIGINT) % 3 = 0 THEN CAST(CAST(key AS BIGINT) % 5 AS VARCHAR) END AS tip
+FROM typed""",
     "csv_source": f"WITH {_RIDES} SELECT * FROM rides",
     "event_log": f"""WITH {_RIDES}
 SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime FROM rides""",

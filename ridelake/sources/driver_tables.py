@@ -54,6 +54,14 @@ def closing_ride(df: DataFrame) -> DataFrame:
     return last.withColumns({"key": F.lit("closing"), **numbers}).select(*RIDES.names)
 
 
+def with_new_fields(df: DataFrame) -> DataFrame:
+    """Rides of which every third has a surge and a tip; a tip is a number, or at times a word."""
+    number = F.col("key").cast("bigint")
+    tip = F.when(number % 9 == 0, F.lit("none").cast("variant")).otherwise((number % 5).cast("variant"))
+    surge = 1 + 0.25 * (number % 7)
+    return df.withColumns({name: F.when(number % 3 == 0, value) for name, value in {"surge": surge, "tip": tip}.items()})
+
+
 def broken_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every ride as an event; the text of some is cut to an unreadable stub."""
     stub = F.when(F.col("key").cast("bigint") % 97 == 0, "{bad").otherwise(F.col("value"))

@@ -1,5 +1,7 @@
 """Event streams into the raw table."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.functions.columns import spread
 from ridelake.operators.events import parse_events
+from ridelake.operators.payload import REST, promoted
 from ridelake.schemas import DATE_PARTS, RAW
 from ridelake.sources.lake import gathered, require_zone
 from ridelake.streaming.sinks import start_append
@@ -48,6 +51,9 @@ def land(
     delay: str = "10 minutes",
     spread_over: int | None = None,
     files_per_day: int | None = None,
+    keep_rest: bool = False,
+    fields: Mapping[str, str] | None = None,
+    names: Mapping[str, str] | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery:
     """Starts landing an event stream in the raw table, partitioned by date.
@@ -56,9 +62,15 @@ def land(
     writes a file for each day it holds. ``files_per_day`` bounds the files a
     micro-batch adds to a day, at the price of a shuffle. ``first_only`` drops repeated
     deliveries; ``delay`` and ``spread_over`` are those of ``first_deliveries``.
+
+    ``keep_rest`` lands the fields that the ride schema does not have as well, in a VARIANT column ``rest``; ``fields`` of it
+    become columns, under other ``names`` if given. A stream may be started again with more fields: read the grown table with
+    ``raw_with`` and ``promoted``.
     """
     require_zone(events.sparkSession, zone)
-    rides = parse_events(events)
+    rides = parse_events(events, rest=REST if keep_rest else None)
+    if fields:
+        rides = promoted(rides, fields, names=names)
     if first_only:
         rides = first_deliveries(rides, delay, spread_over)
     if files_per_day is not None:

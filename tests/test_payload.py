@@ -1,0 +1,106 @@
+"""Fields beyond the ride schema: kept, reported and promoted."""
+
+import json
+
+import pytest
+from helpers import bag, rides
+from pyspark.sql import functions as F
+
+from ridelake.operators.events import parse_events, to_events
+from ridelake.operators.payload import field_report, new_fields, promoted, raw_with
+from ridelake.schemas import RAW
+from ridelake.sources.event_log import read_event_stream, write_events
+from ridelake.sources.lake import append_partitioned, read_table
+from ridelake.streaming.landing import land, read_raw_stream
+from ridelake.streaming.sinks import finish
+
+BODY = {"fare_amount": 7.5, "pickup_datetime": "2024-01-02T03:04:05Z", "pickup_longitude": -74.0, "pickup_latitude": 40.5}
+
+
+def events(spark, *bodies):
+    rows = [(str(i), b if b is None or isinstance(b, str) else json.dumps({**BODY, **b})) for i, b in enumerate(bodies)]
+    return spark.createDataFrame(rows, "key string, value string")
+
+
+def rest_of(df):
+    """The rest by key, as Python values."""
+    rows = df.select("key", F.to_json("rest").alias("rest")).collect()
+    return {int(r["key"]): r["rest"] and json.loads(r["rest"]) for r in rows}
+
+
+def parsed(spark, *bodies):
+    return parse_events(events(spark, *bodies), rest="rest")
+
+
+def test_the_rest_holds_what_the_schema_does_not(spark):
+    odd = {"surge": 1.25, "tip": "none", "deep": {"a": [1, None]}, "Fare_Amount": 3, "gone": None, "a 'b\" `c": 1, "": 2}
+    raw = parsed(spark, odd, {}, "{bad", None, "[1, 2]", '{"a": 1, "a": 2}', "", '"text"')
+    assert rest_of(raw) == {0: odd, 1: None, 2: "{bad", 3: None, 4: "[1, 2]", 5: '{"a": 1, "a": 2}', 6: "", 7: '"text"'}
+    assert raw.columns == [*RAW.names, "rest"]
+    plain = parse_events(events(spark, odd, {}, "{bad", None, "[1, 2]", '{"a": 1, "a": 2}', "", '"text"'))
+    assert bag(raw.drop("rest")) == bag(plain)
+
+
+def test_report_and_types(spark):
+    raw = parsed(spark, {"n": 1, "x": 1.5, "b": True, "t": "a", "mix": 1, "o": {"p": 1}, "z": None}, {"n": 2, "x": 2, "mix": "one", "l": [1]}, "{bad")
+    assert new_fields(raw) == {"b": "boolean", "l": "string", "mix": "string", "n": "bigint", "o": "string", "t": "string", "x": "double", "z": "string"}
+    found = {r["field"]: (r["rows"], r["variant_type"]) for r in field_report(raw).collect()}
+    assert found["n"] == (2, "BIGINT") and found["mix"] == (2, "VARIANT") and found["o"][1].startswith("OBJECT")
+    with pytest.raises(ValueError, match="more than 3"):
+        new_fields(raw, most=3)
+    assert new_fields(parsed(spark, {}, None)) == {} and new_fields(raw.limit(0)) == {}
+
+
+def test_promotion_loses_no_value(spark):
+    raw = parsed(spark, {"tip": 3, "surge": 1.5}, {"tip": "none", "o": {"p": 1}}, {"tip": None}, {}, "{bad", {"tip": 2.5, "a 'b\" `c": 9})
+    grown = promoted(raw, {"tip": "double", "surge": "double", "o": "string", "a 'b\" `c": "bigint"})
+    values = {int(r["key"]): (r["tip"], r["surge"], r["o"], r["a 'b\" `c"]) for r in grown.select("key", "tip", "surge", "o", F.col("`a 'b\" ``c`")).collect()}
+    none = (None,) * 4
+    assert values == {0: (3.0, 1.5, None, None), 1: (None, None, '{"p":1}', None), 2: none, 3: none, 4: none, 5: (2.5, None, None, 9)}
+    assert rest_of(grown) == {0: None, 1: {"tip": "none"}, 2: None, 3: None, 4: "{bad", 5: None}
+
+
+def test_names_that_are_taken_are_refused(spark):
+    raw = parsed(spark, {"year": 1999, "Tip": 1, "tip": 2})
+    for fields in ({"year": "int"}, {"KEY": "int"}, {"Tip": "int", "tip": "int"}, {"rest": "int"}):
+        with pytest.raises(ValueError, match="there already"):
+            promoted(raw, fields)
+    row = promoted(raw, {"year": "int", "Tip": "int", "tip": "int"}, names={"year": "stated_year", "Tip": "large_tip"}).first()
+    assert (row["stated_year"], row["large_tip"], row["tip"], row["year"], row["rest"]) == (1999, 1, 2, 2024, None)
+
+
+def test_rows_from_before_and_after_a_promotion_read_alike(spark, folder):
+    raw = parsed(spark, {"tip": 3}, {"tip": "none"}, {})
+    append_partitioned(raw, folder)
+    append_partitioned(promoted(raw, {"tip": "bigint"}).withColumn("key", F.concat("key", F.lit("0"))), folder)
+    table = read_table(spark, folder, raw_with(fields={"tip": "bigint"}))
+    assert table.filter("tip is not null").count() == 1
+    rows = promoted(table, {"tip": "bigint"}).select("key", "tip", F.to_json("rest").alias("rest")).collect()
+    assert {(r["key"], r["tip"], r["rest"]) for r in rows} == {
+        (key + more, tip, rest) for more in ("", "0") for key, tip, rest in (("0", 3, None), ("1", None, '{"tip":"none"}'), ("2", None, None))
+    }
+
+
+@pytest.mark.parametrize("options", [{}, {"files_per_day": 2}, {"first_only": True, "spread_over": 3}])
+def test_a_stream_lands_the_rest_and_grows(spark, folder, options):
+    def run(**more):
+        stream = read_event_stream(spark, f"{folder}/log")
+        finish(land(stream, f"{folder}/raw", f"{folder}/checkpoint", available_now=True, keep_rest=True, **options, **more))
+
+    write_events(events(spark, {"tip": 3}, {"tip": "none"}), f"{folder}/log")
+    run()
+    table = spark.read.schema(raw_with()).parquet(f"{folder}/raw")
+    fields = new_fields(table) if options else {"tip": "bigint"}
+    assert set(fields) == {"tip"}
+    write_events(events(spark, "x", "x", {"tip": 5}).filter("key = '2'"), f"{folder}/log")
+    run(fields=fields)
+    grown = raw_with(fields=fields)
+    rows = promoted(read_table(spark, f"{folder}/raw", grown), fields)
+    assert {r["key"]: str(r["tip"]) for r in rows.collect()} == {"0": "3", "1": "none" if options else "None", "2": "5"}
+    assert set(read_raw_stream(spark, f"{folder}/raw", schema=grown).dtypes) == {(f.name, f.dataType.simpleString()) for f in grown}
+
+
+def test_more_columns_go_into_the_body(spark):
+    source = rides(spark, ("1", 1.0, "2024-01-01 00:00:00", -74.0, 40.0)).withColumn("tip", F.lit(4))
+    raw = parse_events(to_events(source, more=("tip",)), rest="rest")
+    assert rest_of(raw) == {1: {"tip": 4}} and new_fields(raw) == {"tip": "bigint"}
