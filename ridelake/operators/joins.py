@@ -99,7 +99,7 @@ def reattach(
     slot before; from the second half, all of its slot since some moment and the
     start of the slot after. Each slot and label thus needs two facts only, the
     latest such "until" and the earliest "since". They are a max and a min, which
-    combine in the map tasks. Batch only.
+    combine in the map tasks. Batch only; ``reattach_stream`` is the same for streams.
     """
     reach = minutes * 60 * 1_000_000
     width = 2 * reach
@@ -135,3 +135,54 @@ def reattach(
         )
         .drop("_slot", "_label_key", "_label_slot", "_since", "_until")
     )
+
+
+def reattach_stream(
+    rides: DataFrame,
+    assigned: DataFrame,
+    label: str,
+    *,
+    key: str = "key",
+    time: str = "pickup_datetime",
+    minutes: int = 10,
+    slot: str = "_slot",
+    spread_over: int = 1,
+) -> DataFrame:
+    """``reattach`` on streams: distinct rides with each distinct label of their key within ``minutes``.
+
+    Both sides need a watermark on ``time``; rows without a time are to be left out. A labelled time reaches the two slots whose
+    span, made longer by ``minutes`` at either end, holds it: those are sliding windows. The two facts a slot
+    and label needs are a streaming aggregate, and once a slot is closed they are joined to its rides. So
+    the state holds rides until their slot closes, and a row for every key, open slot and label; never a pair, however many rides
+    a key has. Rides are made distinct first, and come out once per label (NULL if they met none).
+
+    The result has the ``slot`` as its event time, for whatever state follows; ``time`` is a plain column. All rides of a key
+    and slot are joined in one task unless ``spread_over`` deals them to more, each with a copy of the slot's few facts.
+    """
+    reach = F.expr(f"INTERVAL {minutes} MINUTES")
+
+    def windowed(df: DataFrame) -> DataFrame:
+        spans = F.window(time, f"{4 * minutes} minutes", f"{2 * minutes} minutes", f"{minutes} minutes")
+        return df.withColumn(slot, spans)
+
+    first, last = F.col(f"{slot}.start") + reach, F.col(f"{slot}.end") - reach
+    at = F.unix_micros(time)
+    # What a label's interval covers of a slot begins with the slot or ends with it.
+    until = F.when(F.col(time) - reach <= first, at + minutes * 60_000_000)
+    since = F.when(F.col(time) + reach >= last, at - minutes * 60_000_000)
+    labels = (
+        windowed(assigned.filter(F.col(key).isNotNull()).select(key, label, time))
+        .groupBy(key, slot, label)
+        .agg(F.min(since).alias("_since"), F.max(until).alias("_until"))
+        .withColumnsRenamed({key: "_label_key", slot: "_label_slot"})
+    )
+    own = windowed(rides).filter((F.col(time) >= first) & (F.col(time) < last))
+    # One event time only: from here on it is the slot.
+    own = own.withColumn(time, F.timestamp_micros(at)).dropDuplicates()
+    met = f"`{key}` = _label_key AND `{slot}` = _label_slot AND (unix_micros(`{time}`) <= _until OR unix_micros(`{time}`) >= _since)"
+    if spread_over > 1:
+        own = own.withColumn("_task", F.pmod(F.xxhash64(*rides.columns), F.lit(spread_over)))
+        labels = labels.withColumn("_label_task", F.explode(F.sequence(F.lit(0), F.lit(spread_over - 1))))
+        met += " AND _task = _label_task"
+    joined = own.join(labels, F.expr(met), "left")
+    return joined.drop("_label_key", "_label_slot", "_since", "_until", "_task", "_label_task")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ridelake.functions.columns import narrowed
-from ridelake.operators.joins import interval_left_join, reattach
+from ridelake.operators.joins import interval_left_join, reattach, reattach_stream
 from ridelake.operators.regions import (
     CLUSTERS,
     SEED,
@@ -25,6 +25,7 @@ from ridelake.streaming.landing import with_lateness
 from ridelake.streaming.sinks import start_append
 
 CLUSTER_PARTS = [*DATE_PARTS, "pickup_cluster"]
+SLOT = "_slot"
 NEAR = {"key": "near_key", "pickup_datetime": "near_time"}
 
 
@@ -47,9 +48,9 @@ def _enriched(rides: DataFrame, regions: Regions, distinct: bool, delay: str, mo
 
 
 def _reattached(
-    rides: DataFrame, regions: Regions, distinct: bool, minutes: int, delay: str, more: Sequence[str]
+    rides: DataFrame, regions: Regions, distinct: bool, minutes: int, delay: str, more: Sequence[str], spread_over: int
 ) -> DataFrame:
-    """Each ride with the clusters of all rides of its key within ``minutes``."""
+    """Each ride with the clusters of all rides of its key within ``minutes``; a distinct stream's also with their time slot."""
     assigned = assign_cluster(rides, regions.model, "skip").select("key", "pickup_datetime", "pickup_cluster")
     typed = _typed(rides, *more)
     if not rides.isStreaming:
@@ -61,11 +62,11 @@ def _reattached(
     timed = F.col("pickup_datetime").isNotNull()
     untimed = typed.filter(~timed).withColumn("pickup_cluster", F.lit(None).cast("int"))
     typed, assigned = with_lateness(typed.filter(timed), delay), with_lateness(assigned.filter(timed), delay)
-    if distinct:
-        # Copies of a ride would each meet all copies of all others.
-        typed, assigned = distinct_rows(typed), distinct_rows(assigned)
-    met = interval_left_join(typed, assigned.withColumnsRenamed(NEAR), minutes=minutes)
-    return met.unionByName(untimed)
+    if not distinct:
+        met = interval_left_join(typed, assigned.withColumnsRenamed(NEAR), minutes=minutes)
+        return met.unionByName(untimed)
+    met = reattach_stream(typed, assigned, "pickup_cluster", minutes=minutes, slot=SLOT, spread_over=spread_over)
+    return met.unionByName(distinct_rows(untimed), allowMissingColumns=True)
 
 
 def clustered_rides(
@@ -76,12 +77,13 @@ def clustered_rides(
     minutes: int = 10,
     delay: str = "10 minutes",
     more: Sequence[str] = (),
+    spread_over: int = 1,
 ) -> DataFrame:
     """Curated rides before the fan-out: with the cluster whose regions they will get."""
     distinct = not raw.isStreaming if distinct is None else distinct
     kept = with_coordinates(raw)
     if by_interval:
-        return _reattached(kept, regions, distinct, minutes, delay, more)
+        return _reattached(kept, regions, distinct, minutes, delay, more, spread_over)
     return _enriched(kept, regions, distinct, delay, more)
 
 
@@ -94,6 +96,7 @@ def curated(
     before_fan_out: Callable[[DataFrame], DataFrame] | None = None,
     delay: str = "10 minutes",
     more: Sequence[str] = (),
+    spread_over: int = 1,
 ) -> DataFrame:
     """The curated rows of raw rides, batch or stream: one row per ride and region.
 
@@ -103,23 +106,24 @@ def curated(
 
     ``distinct`` (default: on for batch, off for streams, where it would drop late
     rides) removes exact duplicates. They are removed before the fan-out, on the
-    final types, and again after it only if two clusters share a region or a stream's ride met
-    several others. ``delay`` is how late a stream's rides may be for that and for the interval.
+    final types, and again after it only if two clusters share a region.
+    ``delay`` is how late a stream's rides may be for that and for the interval.
 
-    With ``by_interval`` a stream, or a batch that keeps duplicates, forms every pair
-    of a key's rides in reach of each other; a distinct batch forms none.
+    With ``by_interval`` no pair of rides is formed where they are distinct; only what keeps duplicates forms every
+    pair of a key's rides in reach of each other. ``spread_over`` deals a key's rides of one time slot to so many tasks of a distinct stream.
 
     ``before_fan_out`` may lay the rides, with date parts and ``pickup_cluster``,
     out for a write while there are still few of them. ``more`` names columns that the raw
     table has grown and that the curated one is to have.
     """
     distinct = not raw.isStreaming if distinct is None else distinct
-    clustered = clustered_rides(raw, regions, distinct, by_interval, minutes, delay, more)
+    clustered = clustered_rides(raw, regions, distinct, by_interval, minutes, delay, more, spread_over)
     if before_fan_out is not None:
         clustered = before_fan_out(clustered)
-    rows = attach_regions(clustered, regions).select(*CURATED.names, *more)
-    settled = regions.separate and not (by_interval and raw.isStreaming)
-    return distinct_rows(rows) if distinct and not settled else rows
+    # The slot is the event time of what a stream has re-attached: the state of the distinct below needs it.
+    slot = [SLOT] if SLOT in clustered.columns else []
+    rows = attach_regions(clustered, regions).select(*CURATED.names, *more, *slot)
+    return (distinct_rows(rows) if distinct and not regions.separate else rows).drop(SLOT)
 
 
 def curate(
@@ -139,6 +143,7 @@ def curate(
     available_now: bool = False,
     every: str | None = None,
     files_per_region: int | None = None,
+    spread_over: int = 1,
     zone: str = "UTC",
 ) -> StreamingQuery | None:
     """Writes the curated table, partitioned by date and region.
@@ -147,7 +152,7 @@ def curate(
     returned; its regions are fitted once, kept beside the checkpoint, and used
     again on restart. ``every`` is its trigger; ``files_per_region`` bounds the files a
     micro-batch adds to one day and region, at the price of a shuffle. ``distinct``,
-    ``by_interval``, ``minutes``, ``delay`` and ``more`` are those of ``curated``.
+    ``by_interval``, ``minutes``, ``delay``, ``more`` and ``spread_over`` are those of ``curated``.
 
     Rides are gathered by day and cluster, before the fan-out: their regions' rows
     are then made in the task that writes them and are never shuffled.
@@ -172,5 +177,5 @@ def curate(
     layout = None
     if files_per_region is not None:
         layout = partial(gathered, cols=CLUSTER_PARTS, tasks=files_per_region)
-    rows = curated(raw, regions, distinct, by_interval, minutes, layout, delay, more)
+    rows = curated(raw, regions, distinct, by_interval, minutes, layout, delay, more, spread_over)
     return start_append(rows, path, checkpoint, REGION_PARTS, fmt, available_now, every)

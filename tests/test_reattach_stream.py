@@ -1,0 +1,96 @@
+"""Re-attaching on streams without pairs: equal to batch, and a state that does not multiply."""
+
+import random
+from dataclasses import replace
+
+import pytest
+from helpers import bag
+from pyspark.sql import functions as F
+
+from ridelake.operators.joins import reattach, reattach_stream
+from ridelake.operators.regions import build_regions
+from ridelake.plans.curation import curated
+from ridelake.schemas import CURATED
+from ridelake.sources import driver_tables
+from ridelake.streaming.landing import with_lateness
+from ridelake.streaming.sinks import finish, start_append
+
+SCHEMA = "key string, pickup_datetime timestamp, v int, label int"
+
+
+def rows_of(spark, rows):
+    text = spark.createDataFrame([(k, t, v, c) for k, t, v, c in rows], "key string, pickup_datetime string, v int, label int")
+    return text.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp"))
+
+
+def at(seconds):
+    return f"2024-01-01 {int(seconds) // 3600:02}:{int(seconds) // 60 % 60:02}:{seconds % 60:09.6f}"
+
+
+def streamed(spark, folder, parts, spread_over=1, minutes=10):
+    """Runs the parts one after the other, then a closing row; gives the result and each run's progress."""
+    progress = []
+    closing = rows_of(spark, [("closing", "2024-02-01 00:00:00", 0, 0)])
+    for part in [*parts, closing]:
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = with_lateness(spark.readStream.schema(SCHEMA).parquet(f"{folder}/in"))
+        out = reattach_stream(
+            stream.drop("label"), stream.filter("label is not null"), "label", minutes=minutes, spread_over=spread_over
+        )
+        query = start_append(out.drop("_slot"), f"{folder}/out", f"{folder}/c", available_now=True)
+        finish(query)
+        progress += query.recentProgress
+    out = spark.read.schema(SCHEMA).parquet(f"{folder}/out").filter("key <> 'closing' or key is null")
+    return out, progress
+
+
+def in_batch(rows, minutes=10):
+    return reattach(rows.drop("label").distinct(), rows.filter("label is not null"), "label", minutes=minutes)
+
+
+NAMES = ["key", "pickup_datetime", "v", "label"]
+
+
+@pytest.mark.parametrize("spread_over, minutes", [(1, 10), (3, 10), (1, 3)])
+def test_equal_to_batch_on_input_in_time_order(spark, folder, spread_over, minutes):
+    rng = random.Random(4)
+    edges = [0, 600, 599.999999, 600.000001, 1200, 1199.999999, 1800, 1800.000001, 2400, 300, 899.999999]
+    times = sorted(edges + [rng.randrange(14_400) + rng.choice([0, 0.000001, 0.5]) for _ in range(110)])
+    keys = ["a", "b", None]
+    rows = [(rng.choice(keys), at(t), rng.randrange(3), rng.choice([None, 1, 2, 3])) for t in times]
+    rows += [r for i, r in enumerate(rows) if i % 7 == 0]
+    rows.sort(key=lambda r: r[1])
+    whole = rows_of(spark, rows)
+    out, _ = streamed(spark, folder, [rows_of(spark, rows[:60]), rows_of(spark, rows[60:])], spread_over, minutes)
+    assert bag(out, *NAMES) == bag(in_batch(whole, minutes), *NAMES)
+
+
+def test_a_hot_key_keeps_no_pairs(spark, folder):
+    count = 1500
+    rows = rows_of(spark, [("hot", at(i * 0.5), i, i % 4) for i in range(count)])
+    out, progress = streamed(spark, folder, [rows], spread_over=2)
+    assert out.count() == 4 * count
+    kept = [{s["operatorName"]: s["numRowsTotal"] for s in p["stateOperators"]} for p in progress]
+    # A hot key's rides twice (once to tell copies, once to wait for their slot), and its labels in a few slots.
+    assert max(sum(state.values()) for state in kept) <= 2 * count + 4 * 4 * 2 + 8
+    assert kept[-1]["symmetricHashJoin"] <= 2
+
+
+def test_a_stream_with_shared_regions_equals_batch(spark, folder):
+    source = driver_tables.rides_by_user(spark, "/root/testdata/sf0.001").filter("ride < '4'")
+    from ridelake.operators.events import parse_events, to_events
+
+    raw = parse_events(to_events(source))
+    regions = build_regions(driver_tables.neighborhoods(spark, "/root/testdata/sf0.001"))
+    names = regions.dim.withColumn("pickup_region", F.when(F.col("pickup_region").like("%1%"), "shared").otherwise(F.col("pickup_region")))
+    shared = replace(regions, dim=names.distinct(), separate=False)
+    closing = parse_events(to_events(driver_tables.closing_ride(source)))
+    raw.write.parquet(f"{folder}/raw")
+    for more in (None, closing):
+        if more is not None:
+            more.write.mode("append").parquet(f"{folder}/raw")
+        stream = spark.readStream.schema(raw.schema).parquet(f"{folder}/raw")
+        rows = curated(stream, shared, distinct=True, by_interval=True)
+        finish(start_append(rows, f"{folder}/out", f"{folder}/c", available_now=True))
+    found = spark.read.schema(CURATED).parquet(f"{folder}/out").filter("key <> 'closing'")
+    assert bag(found) == bag(curated(raw, shared, by_interval=True))
