@@ -24,6 +24,7 @@ from ridelake.operators.payload import new_fields, promoted, raw_with
 from ridelake.operators.rows import distinct_rows, with_coordinates, with_part
 from ridelake.plans.curation import curate, curated, to_curated
 from ridelake.plans.fares import fares_by_day, fares_by_day_region_of, fares_of_raw
+from ridelake.plans.ingest import land_batch, read_landed
 from ridelake.plans.pipeline import run_pipeline
 from ridelake.schemas import CURATED, DATE_PARTS, NEIGHBORHOODS, RAW
 from ridelake.session import use_zone
@@ -39,6 +40,7 @@ from ridelake.sources.driver_tables import (
 )
 from ridelake.sources.event_log import read_event_stream, read_events, write_events
 from ridelake.sources.files import read_neighborhoods_csv, require_rides_csv
+from ridelake.sources.history import KeyHistory
 from ridelake.sources.lake import append_partitioned, overwrite_table, read_date_range, read_table
 from ridelake.sources.workspace import new_folder
 from ridelake.streaming.fares import window_fares
@@ -53,6 +55,8 @@ QUERIES: dict[str, Query] = {}
 RANGE = ("2024-01-05 06:30:00", "2024-01-12 18:00:00")
 PARTS = 10
 TIME_PARTS = 3
+WRONG_DAY = "2024-01-09"
+HISTORY_BUCKETS = 8
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -264,6 +268,41 @@ def payload_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("key", "pickup_region", "fare_amount", "surge", "tip")
 
 
+@_query
+def land_against_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides landed in three batches, the second one twice; later batches bring copies of earlier rides, moved on by twenty days."""
+    folder = new_folder(spark, "history")
+    source = rides(spark, sf_dir)
+    first = source.withColumn("delivered", time_part(source, TIME_PARTS))
+    again = first.filter(F.col("key").cast("bigint") % 20 == 0).withColumns(
+        {
+            "pickup_datetime": F.col("pickup_datetime") + F.expr("INTERVAL 20 DAYS"),
+            "delivered": F.explode(F.sequence(F.col("delivered"), F.lit(TIME_PARTS))),
+        }
+    )
+    events = to_events(first.unionAll(again), keep=("delivered",))
+    history = KeyHistory(spark, f"{folder}/history", HISTORY_BUCKETS)
+    for number in [0, 1, 1, 2, TIME_PARTS]:
+        delivered = parse_events(events.filter(F.col("delivered") == number))
+        land_batch(delivered, f"{folder}/raw", history, f"part-{number}")
+    return read_landed(spark, f"{folder}/raw")
+
+
+@_query
+def curate_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated table after a day with wrong rides was curated twice and then corrected."""
+    folder = new_folder(spark, "rerun")
+    raw, places = _raw(spark, sf_dir), neighborhoods(spark, sf_dir)
+    wrong = F.to_date("pickup_datetime") == WRONG_DAY
+    moved = {
+        "fare_amount": F.when(wrong, F.lit(-1.0)).otherwise(F.col("fare_amount")).cast("float"),
+        "pickup_longitude": F.when(wrong, F.lit(-74.2)).otherwise(F.col("pickup_longitude")),
+    }
+    for rows in (raw.withColumns(moved), raw.withColumns(moved), raw.filter(wrong)):
+        curate(rows, places, f"{folder}/curated", replace=True)
+    return read_table(spark, f"{folder}/curated", CURATED)
+
+
 @_query
 def csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides written as CSV, checked, and read with the fixed types."""

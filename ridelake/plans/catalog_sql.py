@@ -139,6 +139,8 @@ SELECT key, pickup_region, fare_amount,
        CASE WHEN CAST(key AS BIGINT) % 9 = 0 THEN 'none'
             WHEN CAST(key AS BIGINT) % 3 = 0 THEN CAST(CAST(key AS BIGINT) % 5 AS VARCHAR) END AS tip
 FROM typed""",
+    "land_against_history": _RAW_TABLE,
+    "curate_rerun": _CURATED_TABLE,
     "csv_source": f"WITH {_RIDES} SELECT * FROM rides",
     "event_log": f"""WITH {_RIDES}
 SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime FROM rides""",

@@ -20,7 +20,7 @@ from ridelake.operators.regions import (
 )
 from ridelake.operators.rows import distinct_rows, with_coordinates
 from ridelake.schemas import CURATED, DATE_PARTS, RAW, REGION_PARTS
-from ridelake.sources.lake import append_partitioned, gathered, partitioned_for_write, require_zone
+from ridelake.sources.lake import append_partitioned, gathered, partitioned_for_write, replace_days, require_zone
 from ridelake.streaming.landing import with_lateness
 from ridelake.streaming.sinks import start_append
 
@@ -144,11 +144,15 @@ def curate(
     every: str | None = None,
     files_per_region: int | None = None,
     spread_over: int = 1,
+    replace: bool = False,
+    days: DataFrame | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery | None:
     """Writes the curated table, partitioned by date and region.
 
-    A batch frame is appended and None returned. A stream is started and its query
+    A batch frame is appended and None returned. With ``replace`` it becomes all that the table holds of its ``days``
+    (default: those of its rows), so a batch can be run again; give all raw rides of those days, and with ``by_interval`` those around
+    midnight are told from these alone. A stream is started and its query
     returned; its regions are fitted once, kept beside the checkpoint, and used
     again on restart. ``every`` is its trigger; ``files_per_region`` bounds the files a
     micro-batch adds to one day and region, at the price of a shuffle. ``distinct``,
@@ -169,8 +173,14 @@ def curate(
             before_fan_out=lambda rides: partitioned_for_write(rides, CLUSTER_PARTS) if regions.separate else rides,
             more=more,
         )
-        append_partitioned(rows, path, REGION_PARTS, fmt, rebalance=not regions.separate)
+        if replace:
+            touched = raw.select(*DATE_PARTS) if days is None else days
+            replace_days(rows, path, touched, REGION_PARTS, rebalance=not regions.separate)
+        else:
+            append_partitioned(rows, path, REGION_PARTS, fmt, rebalance=not regions.separate)
         return None
+    if replace:
+        raise ValueError("a stream appends; only a batch replaces days")
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint folder")
     regions = load_or_build_regions(neighborhoods, f"{checkpoint.rstrip('/')}_regions", k, seed)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ridelake.functions.columns import spread
 from ridelake.schemas import DATE_PARTS
+from ridelake.sources.workspace import drop_folder, list_folder, move_folder
 
 UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
@@ -58,6 +59,53 @@ def overwrite_table(df: DataFrame, path: str, cols: list[str] | None = None, fmt
     rows.write.format(fmt).mode("overwrite").partitionBy(*(cols or [])).save(path)
 
 
+HIDDEN = "_replacing"
+
+
+def replace_days(
+    rows: DataFrame, path: str, days: DataFrame, cols: list[str] = DATE_PARTS, rebalance: bool = True
+) -> None:
+    """Makes ``rows`` all that the table under ``path`` holds of the ``days`` (``year``, ``month``, ``day``); other days keep their files.
+
+    Run again, it gives the same table, so a batch may be repeated after a failure or with corrected input. ``cols`` begin with the
+    date parts. Partitions that a day no longer has go, and a day without rows goes as a whole; rows of a day that is
+    not named are refused.
+
+    All rows are written beside the table first, in a folder that readers do not see. Then the days are swapped one
+    by one, a deletion and a renaming each; ``days`` goes through the driver, one row a day. A reader may miss a day while it is
+    swapped, and one such call runs at a time. Parquet tables that no stream writes to.
+    """
+    spark = rows.sparkSession
+    if cols[: len(DATE_PARTS)] != DATE_PARTS:
+        raise ValueError(f"the table must be partitioned by {DATE_PARTS} first")
+    named = {tuple(day) for day in days.select(*DATE_PARTS).distinct().collect()}
+    staged = f"{path.rstrip('/')}/{HIDDEN}"
+    drop_folder(spark, staged)
+    kept = partitioned_for_write(rows, cols) if rebalance else rows
+    kept.write.partitionBy(*cols).parquet(staged)
+    strange = _folders(spark, staged, len(DATE_PARTS)) - {_day_folder(day) for day in named}
+    if strange:
+        drop_folder(spark, staged)
+        raise ValueError(f"rows of days that are not to be replaced: {sorted(strange)[:5]}")
+    for day in sorted(map(_day_folder, named)):
+        drop_folder(spark, f"{path.rstrip('/')}/{day}")
+        move_folder(spark, f"{staged}/{day}", f"{path.rstrip('/')}/{day}")
+    drop_folder(spark, staged)
+
+
+def _day_folder(day: tuple) -> str:
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return "/".join(f"{name}={none if value is None else value}" for name, value in zip(DATE_PARTS, day))
+
+
+def _folders(spark: SparkSession, path: str, depth: int) -> set[str]:
+    """The partition folders ``depth`` levels under a table's."""
+    found = {""}
+    for _ in range(depth):
+        found = {f"{f}/{name}".lstrip("/") for f in found for name in list_folder(spark, f"{path}/{f}") if "=" in name}
+    return found
+
+
 def read_table(
     spark: SparkSession,
     path: str,

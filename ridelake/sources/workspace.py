@@ -15,10 +15,31 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Deletes a folder that ``new_folder`` named, in whichever store it lies."""
+def _place(spark: SparkSession, path: str):
+    """A path and the store it lies in."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there, in whichever store it lies."""
+    place, store = _place(spark, path)
+    store.delete(place, True)
+
+
+def move_folder(spark: SparkSession, old: str, new: str) -> None:
+    """Gives a folder another place in the same store; does nothing if it is not there."""
+    (source, store), (target, _) = _place(spark, old), _place(spark, new)
+    if store.exists(source):
+        store.mkdirs(target.getParent())
+        if not store.rename(source, target):
+            raise OSError(f"could not move {old} to {new}")
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder; none if it is not there."""
+    place, store = _place(spark, path)
+    return sorted(entry.getPath().getName() for entry in store.listStatus(place)) if store.exists(place) else []
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
