@@ -45,6 +45,7 @@ from ridelake.sources.lake import append_partitioned, overwrite_table, read_date
 from ridelake.sources.workspace import new_folder
 from ridelake.streaming.fares import window_fares
 from ridelake.streaming.landing import first_deliveries, land, read_raw_stream, with_lateness
+from ridelake.streaming.late import run_window_fares, window_fares_now
 from ridelake.streaming.replay import random_part, replay, replay_parts, time_part
 from ridelake.streaming.sinks import finish, start_append
 
@@ -365,6 +366,21 @@ def stream_window_fare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
+@_query
+def late_rows_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly fares per region, and how many of their rides came after their hour was closed: every twentieth is a part late."""
+    folder = new_folder(spark, "late")
+    source, regions = rides(spark, sf_dir), _regions(spark, sf_dir)
+    moved = (F.col("key").cast("bigint") % 20 == 0).cast("int")
+    delivered = source.withColumn("delivered", time_part(source, TIME_PARTS) + moved)
+    last = closing_ride(source).withColumn("delivered", F.lit(TIME_PARTS))
+    events = to_events(delivered.unionAll(last), keep=("delivered",))
+    for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS + 1, F.col("delivered")):
+        raw = with_coordinates(parse_events(read_event_stream(spark, f"{folder}/log")))
+        run_window_fares(raw, regions, f"{folder}/fares")
+    return window_fares_now(spark, f"{folder}/fares")
+
+
 @_query
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides of which some are delivered again a part later; each lands once."""

@@ -156,6 +156,21 @@ SELECT date_trunc('hour', pickup_datetime) AS window_start,
        date_trunc('hour', pickup_datetime) + INTERVAL 1 HOUR AS window_end,
        neighborhood AS pickup_region, {_FARES}
 FROM grouped JOIN places ON grouped.grp = places.grp
+GROUP BY 1, 2, 3""",
+    "late_rows_backfilled": f"""WITH {_REGION_RIDES},
+span AS (
+  SELECT MIN(epoch_us(pickup_datetime)) AS first, (MAX(epoch_us(pickup_datetime)) - MIN(epoch_us(pickup_datetime))) // 3 + 1 AS width
+  FROM rides),
+parted AS (
+  SELECT grouped.*, (epoch_us(pickup_datetime) - first) // width AS part, CAST(key AS BIGINT) % 20 = 0 AS moved,
+         date_trunc('hour', pickup_datetime) AS window_start
+  FROM grouped, span),
+-- How far event time is closed after each part: ten minutes before the latest ride, in whole milliseconds.
+closed AS (
+  SELECT part, MAX(epoch_us(pickup_datetime)) // 1000 - 600000 AS until FROM parted WHERE NOT moved GROUP BY part)
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood AS pickup_region, {_FARES},
+       CAST(SUM(CASE WHEN moved AND epoch_ms(window_start + INTERVAL 1 HOUR) <= until THEN 1 ELSE 0 END) AS BIGINT) AS late_rides
+FROM parted JOIN closed USING (part) JOIN places ON parted.grp = places.grp
 GROUP BY 1, 2, 3""",
     "stream_first_deliveries": f"""WITH {_RIDES}
 SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime FROM rides""",
