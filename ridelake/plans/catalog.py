@@ -6,7 +6,7 @@ tables into a fresh folder under the session's checkpoint folder and read them b
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ from ridelake.plans.curation import curate, curated, to_curated
 from ridelake.plans.fares import fares_by_day, fares_by_day_region_of, fares_of_raw
 from ridelake.plans.ingest import land_batch, read_landed
 from ridelake.plans.pipeline import run_pipeline
+from ridelake.plans.region_sets import SETS, rides_in_any, write_ride_sets
 from ridelake.schemas import CURATED, DATE_PARTS, NEIGHBORHOODS, RAW
 from ridelake.session import use_zone
 from ridelake.sources.driver_tables import (
@@ -43,6 +44,7 @@ from ridelake.sources.files import read_neighborhoods_csv, require_rides_csv
 from ridelake.sources.history import KeyHistory
 from ridelake.sources.lake import append_partitioned, overwrite_table, read_date_range, read_table
 from ridelake.sources.workspace import new_folder
+from ridelake.streaming.counts import counted, totals
 from ridelake.streaming.fares import window_fares
 from ridelake.streaming.landing import first_deliveries, land, read_raw_stream, with_lateness
 from ridelake.streaming.late import run_window_fares, window_fares_now
@@ -58,6 +60,7 @@ PARTS = 10
 TIME_PARTS = 3
 WRONG_DAY = "2024-01-09"
 HISTORY_BUCKETS = 8
+SET_BUCKETS = 3
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -208,6 +211,18 @@ def fare_by_day_region_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fares_by_day_region_of(with_coordinates(rides(spark, sf_dir)), _regions(spark, sf_dir))
 
 
+@_query
+def rides_of_region_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides per day that lie in any neighbourhood of a set: those of a world region, and all that end in an odd digit."""
+    path = new_folder(spark, "sets")
+    raw = parse_events(to_events(rides_by_user(spark, sf_dir)))
+    write_ride_sets(curated(raw, _regions(spark, sf_dir), by_interval=True), path, SET_BUCKETS)
+    nations = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    world = nations.select(F.concat(F.lit("region "), "n_regionkey").alias("name"), F.col("n_name").alias("pickup_region"))
+    odd = nations.filter("n_nationkey % 2 = 1").select(F.lit("odd").alias("name"), F.col("n_name").alias("pickup_region"))
+    return rides_in_any(read_table(spark, path, T.StructType.fromDDL(SETS)), world.unionAll(odd), "name")
+
+
 # --- tables ---------------------------------------------------------------------
 
 
@@ -366,21 +381,52 @@ def stream_window_fare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out")
 
 
-@_query
-def late_rows_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly fares per region, and how many of their rides came after their hour was closed: every twentieth is a part late."""
-    folder = new_folder(spark, "late")
+def _windows_with_late_rides(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, int]:
+    """Hourly fares of rides of which every twentieth comes a part of time late; the counts of all runs."""
     source, regions = rides(spark, sf_dir), _regions(spark, sf_dir)
     moved = (F.col("key").cast("bigint") % 20 == 0).cast("int")
     delivered = source.withColumn("delivered", time_part(source, TIME_PARTS) + moved)
     last = closing_ride(source).withColumn("delivered", F.lit(TIME_PARTS))
     events = to_events(delivered.unionAll(last), keep=("delivered",))
-    for _ in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS + 1, F.col("delivered")):
-        raw = with_coordinates(parse_events(read_event_stream(spark, f"{folder}/log")))
-        run_window_fares(raw, regions, f"{folder}/fares")
+    runs = []
+    for _ in replay_parts(events, f"{folder}/late-log", f"{folder}/staged", TIME_PARTS + 1, F.col("delivered")):
+        raw = with_coordinates(parse_events(read_event_stream(spark, f"{folder}/late-log")))
+        runs.append(run_window_fares(raw, regions, f"{folder}/fares"))
+    return {name: sum(run[name] for run in runs) for name in ("read", "late")}
+
+
+@_query
+def late_rows_backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly fares per region, and how many of their rides came after their hour was closed."""
+    folder = new_folder(spark, "late")
+    _windows_with_late_rides(spark, sf_dir, folder)
     return window_fares_now(spark, f"{folder}/fares")
 
 
+@_query
+def conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides read, unreadable, late and written, counted as they passed: by a batch, a landing stream, and windows with late rides."""
+    folder = new_folder(spark, "conservation")
+    events = delivered_twice(broken_events(spark, sf_dir))
+    read, wrote = Observation("read"), Observation("wrote")
+    flagged = counted(flag_bad_records(events), read, "read", bad=F.col("bad_text").isNotNull())
+    good = flagged.filter("bad_text is null").drop("bad_text")
+    append_partitioned(counted(good, wrote, "written"), f"{folder}/batch")
+    write_events(events, f"{folder}/log")
+    stream = read_event_stream(spark, f"{folder}/log")
+    query = land(stream, f"{folder}/raw", f"{folder}/checkpoint", available_now=True, counts="landing")
+    finish(query)
+    windows = _windows_with_late_rides(spark, sf_dir, folder)
+    runs = {
+        "batch": read.get | wrote.get | {"late": 0},
+        "stream": totals(query, "landing") | totals(query, "landing_written") | {"late": 0},
+        "windows": windows | {"bad": 0, "written": windows["read"] - windows["late"]},
+    }
+    names = ["read", "bad", "late", "written"]
+    rows = [(run, *[counts[name] for name in names]) for run, counts in runs.items()]
+    return spark.createDataFrame(rows, "run string, read bigint, bad bigint, late bigint, written bigint")
+
+
 @_query
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides of which some are delivered again a part later; each lands once."""

@@ -88,6 +88,21 @@ _REATTACHED = f"""near AS (
 SELECT DISTINCT {_CURATED_COLUMNS}, neighborhood AS pickup_region
 FROM near LEFT JOIN places ON near.grp = places.grp"""
 
+# Rides with coordinates, and whether a ride is late if every twentieth comes a part of time after its own.
+_LATE = """span AS (
+  SELECT MIN(epoch_us(pickup_datetime)) AS first, (MAX(epoch_us(pickup_datetime)) - MIN(epoch_us(pickup_datetime))) // 3 + 1 AS width
+  FROM rides),
+parted AS (
+  SELECT grouped.*, (epoch_us(pickup_datetime) - first) // width AS part, CAST(key AS BIGINT) % 20 = 0 AS moved,
+         date_trunc('hour', pickup_datetime) AS window_start
+  FROM grouped, span),
+-- How far event time is closed after each part: ten minutes before the latest ride, in whole milliseconds.
+closed AS (
+  SELECT part, MAX(epoch_us(pickup_datetime)) // 1000 - 600000 AS until FROM parted WHERE NOT moved GROUP BY part),
+told AS (
+  SELECT parted.*, CASE WHEN moved AND epoch_ms(window_start + INTERVAL 1 HOUR) <= until THEN 1 ELSE 0 END AS late
+  FROM parted JOIN closed USING (part))"""
+
 _RAW_TABLE = f"WITH {_RIDES} SELECT {_RAW_COLUMNS} FROM rides"
 _CURATED_TABLE = f"WITH {_REGION_RIDES} {_CURATED}"
 
@@ -123,6 +138,14 @@ FROM rides a LEFT JOIN rides b ON a.key = b.key
 SELECT CAST(CAST(pickup_datetime AS DATE) AS VARCHAR) AS pickup_day, {_FARES} FROM rides GROUP BY 1""",
     "fare_by_day_region": _FARE_BY_DAY_REGION,
     "fare_by_day_region_early": _FARE_BY_DAY_REGION,
+    "rides_of_region_sets": f"""WITH {_USER_RIDES}, {_PLACES},
+curated AS (WITH {_REATTACHED}),
+sets AS (
+  SELECT 'region ' || n_regionkey AS name, n_name AS pickup_region FROM nation
+  UNION ALL SELECT 'odd', n_name FROM nation WHERE n_nationkey % 2 = 1),
+-- A row that differs from another in its region only is the same ride.
+met AS (SELECT DISTINCT name, * EXCLUDE (pickup_region, name) FROM curated JOIN sets USING (pickup_region))
+SELECT name, year, month, day, COUNT(*) AS rides FROM met GROUP BY 1, 2, 3, 4""",
     "date_range_read": f"""{_RAW_TABLE}
 WHERE pickup_datetime >= TIMESTAMP '{RANGE_FROM}' AND pickup_datetime < TIMESTAMP '{RANGE_TO}'""",
     "raw_append": f"{_RAW_TABLE} UNION ALL SELECT {_RAW_COLUMNS} FROM rides",
@@ -157,21 +180,18 @@ SELECT date_trunc('hour', pickup_datetime) AS window_start,
        neighborhood AS pickup_region, {_FARES}
 FROM grouped JOIN places ON grouped.grp = places.grp
 GROUP BY 1, 2, 3""",
-    "late_rows_backfilled": f"""WITH {_REGION_RIDES},
-span AS (
-  SELECT MIN(epoch_us(pickup_datetime)) AS first, (MAX(epoch_us(pickup_datetime)) - MIN(epoch_us(pickup_datetime))) // 3 + 1 AS width
-  FROM rides),
-parted AS (
-  SELECT grouped.*, (epoch_us(pickup_datetime) - first) // width AS part, CAST(key AS BIGINT) % 20 = 0 AS moved,
-         date_trunc('hour', pickup_datetime) AS window_start
-  FROM grouped, span),
--- How far event time is closed after each part: ten minutes before the latest ride, in whole milliseconds.
-closed AS (
-  SELECT part, MAX(epoch_us(pickup_datetime)) // 1000 - 600000 AS until FROM parted WHERE NOT moved GROUP BY part)
+    "late_rows_backfilled": f"""WITH {_REGION_RIDES}, {_LATE}
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood AS pickup_region, {_FARES},
-       CAST(SUM(CASE WHEN moved AND epoch_ms(window_start + INTERVAL 1 HOUR) <= until THEN 1 ELSE 0 END) AS BIGINT) AS late_rides
-FROM parted JOIN closed USING (part) JOIN places ON parted.grp = places.grp
+       CAST(SUM(late) AS BIGINT) AS late_rides
+FROM told JOIN places ON told.grp = places.grp
 GROUP BY 1, 2, 3""",
+    "conservation": f"""WITH {_REGION_RIDES}, {_TWICE}, {_LATE},
+events_in AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (CAST(key AS BIGINT) % 97 = 0) AS bad FROM twice),
+-- And the ride that closes the windows.
+rides_in AS (SELECT COUNT(*) + 1 AS n, CAST(SUM(late) AS BIGINT) AS late FROM told)
+SELECT 'batch' AS run, n AS read, bad, 0 AS late, n - bad AS written FROM events_in
+UNION ALL SELECT 'stream', n, bad, 0, n FROM events_in
+UNION ALL SELECT 'windows', n, 0, late, n - late FROM rides_in""",
     "stream_first_deliveries": f"""WITH {_RIDES}
 SELECT key, CAST(CAST(fare_amount AS FLOAT) AS DOUBLE) AS fare_amount, pickup_datetime FROM rides""",
     "stream_interval_join": f"""WITH {_USER_RIDES},

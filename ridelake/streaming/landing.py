@@ -12,8 +12,11 @@ from ridelake.operators.events import parse_events
 from ridelake.operators.payload import REST, promoted
 from ridelake.schemas import DATE_PARTS, RAW
 from ridelake.sources.lake import gathered, require_zone
+from ridelake.streaming.counts import counted
 from ridelake.streaming.sinks import start_append
 
+BAD = "_corrupt"
+
 
 def with_lateness(rides: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Marks the pickup time as event time that may be ``delay`` late."""
@@ -54,6 +57,7 @@ def land(
     keep_rest: bool = False,
     fields: Mapping[str, str] | None = None,
     names: Mapping[str, str] | None = None,
+    counts: str | None = None,
     zone: str = "UTC",
 ) -> StreamingQuery:
     """Starts landing an event stream in the raw table, partitioned by date.
@@ -66,15 +70,23 @@ def land(
     ``keep_rest`` lands the fields that the ride schema does not have as well, in a VARIANT column ``rest``; ``fields`` of it
     become columns, under other ``names`` if given. A stream may be started again with more fields: read the grown table with
     ``raw_with`` and ``promoted``.
+
+    With ``counts`` the run counts, as rows pass, those ``read``, ``bad`` (unreadable) and ``undated`` under that name, and those
+    ``written`` under the name with ``_written`` added; see ``counts.totals``.
     """
     require_zone(events.sparkSession, zone)
-    rides = parse_events(events, rest=REST if keep_rest else None)
+    rides = parse_events(events, None if counts is None else BAD, REST if keep_rest else None)
+    if counts is not None:
+        bad, undated = F.col(BAD).isNotNull(), F.col("pickup_datetime").isNull()
+        rides = counted(rides, counts, "read", bad=bad, undated=undated).drop(BAD)
     if fields:
         rides = promoted(rides, fields, names=names)
     if first_only:
         rides = first_deliveries(rides, delay, spread_over)
     if files_per_day is not None:
         rides = gathered(rides, DATE_PARTS, files_per_day)
+    if counts is not None:
+        rides = counted(rides, f"{counts}_written", "written")
     return start_append(rides, path, checkpoint, DATE_PARTS, fmt, available_now, every)
 
 

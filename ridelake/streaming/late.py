@@ -21,6 +21,7 @@ from ridelake.operators.regions import Regions
 from ridelake.schemas import DATE_PARTS, RAW
 from ridelake.sources.lake import replace_days, require_zone
 from ridelake.sources.workspace import list_folder
+from ridelake.streaming.counts import counted, totals
 from ridelake.streaming.fares import window_fares, window_sums
 from ridelake.streaming.sinks import finish, start_append
 
@@ -52,8 +53,8 @@ def _window(width: str):
 
 def run_window_fares(
     rides: DataFrame, regions: Regions, root: str, width: str = "1 hour", delay: str = "10 minutes", zone: str = "UTC"
-) -> None:
-    """Takes in all rides that a stream of raw rides has now, and closes and corrects windows.
+) -> dict[str, int]:
+    """Takes in all rides that a stream of raw rides has now, and closes and corrects windows; gives how many were ``read`` and ``late``.
 
     All rides that pass the gate in a run are one micro-batch of the windows; bound a run by what the stream has.
     ``root``, ``width`` and ``delay`` stay the same from run to run.
@@ -66,11 +67,14 @@ def run_window_fares(
     timed = rides.filter("pickup_datetime is not null").withColumn("late", late)
     gated = timed.unionByName(rides.filter("pickup_datetime is null").withColumn("late", F.lit(False)))
     parts = ["late", *DATE_PARTS]
-    finish(start_append(gated.select(*GATED.names), f"{root}/rides", f"{root}/checkpoint_rides", parts, available_now=True))
+    gated = counted(gated.select(*GATED.names), "gate", "read", late=F.col("late"))
+    gate = start_append(gated, f"{root}/rides", f"{root}/checkpoint_rides", parts, available_now=True)
+    finish(gate)
     on_time = spark.readStream.schema(GATED).parquet(f"{root}/rides").filter("not late").drop("late")
     fares = window_fares(on_time, regions, width, delay)
     finish(start_append(fares, f"{root}/windows", f"{root}/checkpoint_windows", available_now=True))
     _correct(spark, regions, root, width)
+    return {"read": 0, "late": 0} | totals(gate, "gate")
 
 
 def gated_rides(spark: SparkSession, root: str) -> DataFrame:
