@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ridelake.functions.geo import is_point, with_nearest_center
 from ridelake.operators.joins import left_join_salted, left_join_small
+from ridelake.operators.nearest import with_nearest_of_many
 
 CLUSTERS = 12
 SEED = 1
 BROADCAST_BYTES = 32 * 1024 * 1024
-# Beyond this many centres the literal search makes too long an expression; the model then finds the same cluster.
+# Beyond this many centres the search by literals makes too long an expression; the grid finds the same cluster, ties included.
 LITERAL_CENTERS = 64
 # Tasks that the fit runs in, whatever the session says: the model depends on them.
 FIT_TASKS = 16
@@ -76,9 +77,7 @@ def _clustered(df: DataFrame, model: KMeansModel, point: tuple[str, str], cluste
     centers = centers_of(model)
     if len(centers) <= LITERAL_CENTERS:
         return with_nearest_center(df, *point, centers, cluster)
-    predictor = model.copy().setFeaturesCol("_features").setPredictionCol("_cluster")
-    predicted = predictor.transform(assemble(df, list(point), "keep", "_features"))
-    return predicted.withColumn(cluster, F.when(is_point(*point), F.col("_cluster"))).drop("_features", "_cluster")
+    return with_nearest_of_many(df, *point, centers, cluster, BROADCAST_BYTES)
 
 
 def label_neighborhoods(model: KMeansModel, neighborhoods: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ridelake.operators.events import flag_bad_records, parse_events, to_events
 from ridelake.operators.joins import interval_left_join, left_join_small
 from ridelake.operators.regions import (
+    BROADCAST_BYTES,
     Regions,
     assign_cluster,
     assign_regions,
@@ -20,6 +21,7 @@ from ridelake.operators.regions import (
     fit_regions,
     label_neighborhoods,
 )
+from ridelake.operators.nearest import with_nearest_of_many
 from ridelake.operators.payload import new_fields, promoted, raw_with
 from ridelake.operators.rows import distinct_rows, with_coordinates, with_part
 from ridelake.plans.curation import curate, curated, to_curated
@@ -61,6 +63,7 @@ TIME_PARTS = 3
 WRONG_DAY = "2024-01-09"
 HISTORY_BUCKETS = 8
 SET_BUCKETS = 3
+PLACE_ROWS, PLACE_COLUMNS = 61, 67
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -166,6 +169,19 @@ def ride_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left_join_small(counts, names, "cluster").drop("cluster")
 
 
+@_query
+def nearest_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides per nearest place, of up to some four thousand places that customers are laid out on; ties go to the first place."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    latitude = 40.46 + 0.003 * (F.col("c_custkey") % PLACE_ROWS)
+    longitude = -74.25 + 0.006 * (F.col("c_custkey") % PLACE_COLUMNS)
+    # As many places as there are rows times columns, whatever the number of customers.
+    places = customers.select(latitude.alias("latitude"), longitude.alias("longitude")).distinct()
+    centers = [tuple(row) for row in places.orderBy("latitude", "longitude").collect()]
+    placed = with_nearest_of_many(rides(spark, sf_dir), "pickup_latitude", "pickup_longitude", centers, "place", BROADCAST_BYTES)
+    return placed.groupBy("place").agg(F.count("*").alias("rides"))
+
+
 @_query
 def interval_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a user's rides at most ten minutes apart."""

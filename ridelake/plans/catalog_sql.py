@@ -128,6 +128,17 @@ FROM grouped JOIN places ON grouped.grp = places.grp""",
     "ride_clusters": f"""WITH {_REGION_RIDES}, firsts AS (
   SELECT grp, MIN(neighborhood) AS first_region FROM places GROUP BY grp)
 SELECT first_region, COUNT(*) AS n FROM grouped JOIN firsts ON grouped.grp = firsts.grp GROUP BY 1""",
+    "nearest_place": f"""WITH {_RIDES},
+centers AS (
+  SELECT latitude, longitude, CAST(row_number() OVER (ORDER BY latitude, longitude) - 1 AS INTEGER) AS place
+  FROM (SELECT DISTINCT CAST(40.46 AS DOUBLE) + CAST(0.003 AS DOUBLE) * (c_custkey % 61) AS latitude,
+               CAST(-74.25 AS DOUBLE) + CAST(0.006 AS DOUBLE) * (c_custkey % 67) AS longitude FROM customer)),
+points AS (SELECT DISTINCT pickup_latitude AS la, pickup_longitude AS lo FROM rides),
+nearest AS (
+  SELECT la, lo, MIN({{'square': (la - latitude) * (la - latitude) + (lo - longitude) * (lo - longitude), 'place': place}}).place AS place
+  FROM points CROSS JOIN centers WHERE la IS NOT NULL AND lo IS NOT NULL GROUP BY la, lo)
+SELECT place, COUNT(*) AS rides
+FROM rides LEFT JOIN nearest ON pickup_latitude = la AND pickup_longitude = lo GROUP BY place""",
     "interval_reattach": f"""WITH {_USER_RIDES}
 SELECT a.key, a.ride, a.pickup_datetime, b.ride AS near_ride
 FROM rides a LEFT JOIN rides b ON a.key = b.key
