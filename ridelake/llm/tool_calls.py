@@ -2,9 +2,10 @@
 
 Calls and results are joined by conversation and call id, so a conversation of any length is spread over
 tasks. Calls are ordered topologically by level: those that need nothing have level 0, every other one more than
-the highest level among the calls it needs. Levels are found by doubling: the rounds grow with the logarithm
-of the longest chain of needs. Arguments are parsed and checked against
-their tool's schema, and every call with its result becomes one line of canonical JSON: sorted
+the highest level among the calls it needs. A conversation's needs (ids only, no texts) are put in order in one pass, in one task if there are
+``IN_ONE_TASK`` of them at most; calls of a conversation with more are settled round by round, a level a round. Neither
+forms a pair that was not given. Arguments are parsed and checked against
+their tool's schema (``json_rules``: any form of schema), and every call with its result becomes one line of canonical JSON: sorted
 keys, no spaces, no escapes but those JSON asks for. Sort by conversation, level, position and id for the order.
 
 Statuses: ``linked``, ``no result``, ``no call`` (a result whose call is missing), ``repeated`` (a call
@@ -13,24 +14,31 @@ Of several results of a call the first by position and text counts; ``linked`` h
 has the others, ``repeated`` too. A result without a call, or a further one, has a line of its id and content.
 Needs that are no call of the conversation are a problem and do not hold a call back.
 
-Calls without an id or a conversation meet no result; a null position comes first; null arguments or
-arguments that are not a JSON object are a problem, as is an unknown tool. Null texts are JSON's null. Empty tables
+Calls without an id or a conversation meet no result; a null position comes first; null arguments,
+arguments that are not a JSON object, that hold a number beyond double precision's range (such as 1e400) or that are nested too deeply to be read are a
+problem and null in the line, as is an unknown tool (whose arguments stay). Null texts are JSON's null. Empty tables
 give empty results. Only the columns named below are read.
 """
 
 import json
+import math
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from ridelake.llm.json_rules import broken_rules
 from ridelake.sources.workspace import written
 
 CALL = ["conv", "call_id"]
 LINE = "line string, problems array<string>"
 _LINE_ARROW = pa.struct([("line", pa.string()), ("problems", pa.list_(pa.string()))])
-KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
+IN_ONE_TASK = 200_000
+DEEPEST = 200
 
 
 def canonical(value) -> str:
@@ -54,32 +62,42 @@ def _no_constant(name: str):
     raise ValueError(f"{name} is not JSON")
 
 
+class _OutOfRange(ValueError):
+    pass
+
+
+def _finite(number: str) -> float:
+    value = float(number)
+    if math.isinf(value):
+        raise _OutOfRange(number)
+    return value
+
+
 def parsed(arguments: str | None) -> tuple[dict | None, list[str]]:
     """The arguments as an object, or what is wrong with them."""
     if arguments is None:
         return None, ["arguments are missing"]
     try:
-        value = json.loads(arguments, object_pairs_hook=_no_repeats, parse_constant=_no_constant)
-    except (ValueError, RecursionError):
+        value = json.loads(arguments, object_pairs_hook=_no_repeats, parse_constant=_no_constant, parse_float=_finite)
+        # What can be read may still be nested too deeply to be checked and written.
+        _depth_fits(value)
+    except _OutOfRange:
+        return None, ["arguments hold a number out of range"]
+    except RecursionError:
+        return None, ["arguments are nested too deeply"]
+    except ValueError:
         return None, ["arguments are not JSON"]
     return (value, []) if isinstance(value, dict) else (None, ["arguments are no object"])
 
 
-def broken_rules(value: dict, schema: dict) -> list[str]:
-    """What a schema (``required``, ``properties`` with ``type``, ``enum``, ``minimum``, ``maximum``) forbids."""
-    found = [f"{name} is missing" for name in schema.get("required", []) if name not in value]
-    for name, own in sorted(value.items()):
-        rule = schema["properties"].get(name)
-        if rule is None:
-            found.append(f"{name} is unknown")
-        elif not isinstance(own, KINDS[rule["type"]]) or isinstance(own, bool) and rule["type"] != "boolean":
-            found.append(f"{name} is no {rule['type']}")
-        elif "enum" in rule and own not in rule["enum"]:
-            found.append(f"{name} is none of its values")
-        elif own_range := [x for x in ("minimum", "maximum") if x in rule]:
-            if "minimum" in own_range and own < rule["minimum"] or "maximum" in own_range and own > rule["maximum"]:
-                found.append(f"{name} is out of range")
-    return found
+def _depth_fits(value, most: int = DEEPEST) -> None:
+    """Raises ``RecursionError`` if objects and lists are nested more than ``most`` deep."""
+    level = [value]
+    for _ in range(most):
+        level = [own for x in level if isinstance(x, (dict, list)) for own in (x.values() if isinstance(x, dict) else x)]
+        if not level:
+            return
+    raise RecursionError
 
 
 def _lines(schemas: dict):
@@ -128,27 +146,84 @@ def further_results(calls: DataFrame, results: DataFrame) -> DataFrame:
     return _results_alone(alike.select(*CALL, "position", "content", copies.alias("copy")), "repeated")
 
 
-def _levels(edges: DataFrame) -> DataFrame:
-    """``conv``, ``call_id`` and ``level`` of every call that needs another; null for those in or behind a cycle.
+def levels_in_order(edges: list[tuple]) -> dict:
+    """The level of every call of one conversation that needs another, from ``(call, need)``; None in or behind a cycle."""
+    needs, needed_by = defaultdict(set), defaultdict(list)
+    for call, need in edges:
+        if need not in needs[call]:
+            needs[call].add(need)
+            needed_by[need].append(call)
+    waiting = {call: len(own) for call, own in needs.items()}
+    level = dict.fromkeys(waiting)
+    settled = [(need, 0) for need in needed_by if need not in waiting]
+    # Each call comes in once, after all that it needs, the last of which has the highest level.
+    while settled:
+        further = []
+        for need, own in settled:
+            for call in needed_by[need]:
+                waiting[call] -= 1
+                if not waiting[call]:
+                    level[call] = own + 1
+                    further.append((call, own + 1))
+        settled = further
+    return level
+
+
+def _conversations(schema: pa.Schema):
+    """Levels from edges that come sorted by conversation."""
+
+    def rows(conv, edges):
+        found = levels_in_order(edges)
+        columns = [[conv] * len(found), list(found), list(found.values())]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, edges = None, []
+        for batch in batches:
+            for own, call, need in zip(*(column.to_pylist() for column in batch.columns)):
+                if own != conv and edges:
+                    yield rows(conv, edges)
+                    edges = []
+                conv = own
+                edges.append((call, need))
+        if edges:
+            yield rows(conv, edges)
+
+    return run
+
+
+def _level_by_level(edges: DataFrame) -> DataFrame:
+    """The same for conversations of any size: each round takes away the calls that need none of those left."""
+    left = edges
+    found, level, count = edges.select(*CALL, F.lit(0).alias("level")).limit(0), 0, edges.count()
+    while count:
+        level += 1
+        waiting = left.select("conv", F.col("call_id").alias("need")).distinct()
+        still = written(left.join(waiting, ["conv", "need"], "left_semi").select(*CALL, "need"), "waiting")
+        settled = left.select(*CALL).distinct().join(still.select(*CALL).distinct(), CALL, "left_anti")
+        found = written(found.union(settled.withColumn("level", F.lit(level))), "levels")
+        before, count, left = count, still.count(), still
+        if count == before:
+            break
+    # What is left needs itself in the end.
+    return found.union(left.select(*CALL, F.lit(None).cast("int")).distinct())
 
-    In round k it is known which calls lie exactly 2**k needs apart, and every call's level as far as
-    2**k - 1. A call with others 2**k apart has a level of 2**k and the highest of theirs.
-    """
-    apart = written(edges.select(*CALL, "need").distinct(), "apart")
-    levels = apart.select(*CALL, F.lit(0).alias("level")).limit(0)
-    most = apart.groupBy("conv").agg(F.count_distinct("call_id").alias("n")).agg(F.max("n")).first()[0] or 0
-    steps = 1
-    while steps <= most and not apart.isEmpty():
-        below = levels.withColumnRenamed("call_id", "need")
-        gained = apart.join(below, ["conv", "need"], "left").groupBy(*CALL)
-        gained = gained.agg((F.lit(steps) + F.coalesce(F.max("level"), F.lit(0))).alias("level"))
-        levels = written(levels.union(gained).groupBy(*CALL).agg(F.max("level").alias("level")), "levels")
-        onward = apart.select("conv", F.col("call_id").alias("need"), F.col("need").alias("next"))
-        apart = apart.join(onward, ["conv", "need"]).select(*CALL, F.col("next").alias("need")).distinct()
-        apart, steps = written(apart, "apart"), 2 * steps
-    # More needs in a row than there are calls: only a cycle has them.
-    endless = apart.select(*CALL, F.lit(True).alias("endless")).distinct()
-    return levels.join(endless, CALL, "left").select(*CALL, F.when(F.col("endless").isNull(), F.col("level")).alias("level"))
+
+def _levels(edges: DataFrame) -> DataFrame:
+    """``conv``, ``call_id`` and ``level`` of every call that needs another; null for those in or behind a cycle."""
+    edges = edges.select(*CALL, "need")
+    large = edges.groupBy("conv").count().filter(F.col("count") > IN_ONE_TASK).select("conv")
+    shape = T.StructType([*edges.schema.fields[:2], T.StructField("level", T.IntegerType())])
+    if large.isEmpty():
+        return _in_tasks(edges, shape)
+    large = written(large, "large-conversations")
+    rest = written(edges.join(large, "conv", "left_semi").select(*CALL, "need").distinct(), "waiting")
+    return _in_tasks(edges.join(large, "conv", "left_anti"), shape).union(_level_by_level(rest))
+
+
+def _in_tasks(edges: DataFrame, shape: T.StructType) -> DataFrame:
+    together = edges.repartition("conv").sortWithinPartitions("conv")
+    return together.select(*CALL, "need").mapInArrow(_conversations(to_arrow_schema(shape)), shape)
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:

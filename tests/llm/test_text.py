@@ -255,6 +255,12 @@ def test_links_levels_and_statuses_as_by_hand(spark):
         ("nope", "{}", ["the tool is unknown"], "{}"),
         ("say", '{"on": true, "l": [1, {"z": 1, "é": "\\u00e9\\n"}], "o": {}}', [], '{"l":[1,{"z":1,"é":"é\\n"}],"o":{},"on":true}'),
         ("say", '{"o": {"half": "\\ud800"}}', [], '{"o":{"half":"\\ud800"}}'),
+        ("add", '{"a": 1e400, "b": 1}', ["arguments hold a number out of range"], "null"),
+        ("add", '{"a": 1e308, "b": -1e400}', ["arguments hold a number out of range"], "null"),
+        ("add", '{"a": ' + "9" * 5000 + ', "b": 1}', ["arguments are not JSON"], "null"),
+        ("say", '{"l": ' + "[" * 190 + "]" * 190 + "}", [], '{"l":' + "[" * 190 + "]" * 190 + "}"),
+        ("say", '{"l": ' + "[" * 5000 + "]" * 5000 + "}", ["arguments are nested too deeply"], "null"),
+        ("say", '{"l": ' + "[" * 90_000 + "]" * 90_000 + "}", ["arguments are nested too deeply"], "null"),
     ],
 )
 def test_arguments_are_checked_and_canonical(spark, name, arguments, problems, shown):
@@ -267,16 +273,37 @@ def test_arguments_are_checked_and_canonical(spark, name, arguments, problems, s
     assert json.loads(row["line"])["result"] == 'so "said"'
 
 
-def test_a_long_conversation_takes_few_rounds(spark, monkeypatch):
-    calls = [(1, f"c{i}", i, "say", "{}", [f"c{i - 1}"] if i else [], "s") for i in range(300)]
+@pytest.mark.parametrize("in_one_task", [200_000, 20])
+def test_levels_need_no_pairs(spark, monkeypatch, in_one_task):
+    count = 2000 if in_one_task > 20 else 24
+    calls = [(1, f"c{i}", i, "say", "{}", [f"c{j}" for j in (i - 1, i - 2) if j >= 0], "s") for i in range(count)]
     calls += [(2, f"c{i}", i, "say", "{}", [f"c{(i + 1) % 5}"], "s") for i in range(7)]
-    tables = []
+    calls += [(3, f"c{i}", i, "say", "{}", [f"c{(i + 1) % 5}", f"c{(i + 2) % 9}", f"c{(i + 3) % 9}"], "s") for i in range(9)]
+    given, sizes = sum(len(c[5]) for c in calls), []
     own = tool_calls.written
-    monkeypatch.setattr(tool_calls, "written", lambda df, name: tables.append(name) or own(df, name))
+
+    def measured(df, name):
+        table = own(df, name)
+        sizes.append((name, table.count()))
+        return table
+
+    monkeypatch.setattr(tool_calls, "written", measured)
+    monkeypatch.setattr(tool_calls, "IN_ONE_TASK", in_one_task)
     found = tool_calls.linked(spark.createDataFrame(calls, CALLS), spark.createDataFrame([], RESULTS), SCHEMAS).collect()
-    assert {r["call_id"]: r["level"] for r in found if r["conv"] == 1} == {f"c{i}": i for i in range(300)}
-    assert {r["status"] for r in found if r["conv"] == 2} == {"cycle"}
-    assert tables.count("levels") <= 10
+    assert {r["call_id"]: r["level"] for r in found if r["conv"] == 1} == {f"c{i}": i for i in range(count)}
+    assert {r["status"] for r in found if r["conv"] in (2, 3)} == {"cycle"}
+    assert max(n for _, n in sizes) <= given and ("waiting" in dict(sizes)) == (in_one_task == 20)
+
+
+def test_rounds_and_one_pass_agree(spark, monkeypatch):
+    rng = random.Random(5)
+    edges = {(conv, f"c{rng.randrange(30)}", f"c{rng.randrange(30)}") for conv in range(8) for _ in range(5 + 4 * conv)}
+    edges |= {(9, f"c{i}", f"c{j}") for i in range(30) for j in range(i) if rng.random() < 0.1}
+    frame = spark.createDataFrame(sorted(edges), "conv long, call_id string, need string")
+    once = sorted(map(tuple, tool_calls._levels(frame).collect()))
+    monkeypatch.setattr(tool_calls, "IN_ONE_TASK", 12)
+    assert sorted(map(tuple, tool_calls._levels(frame).collect()), key=str) == sorted(once, key=str)
+    assert {None} < {level for *_, level in once}
 
 
 def test_results_without_a_call_or_after_the_first_keep_their_content(spark):
