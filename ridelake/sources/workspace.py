@@ -1,18 +1,49 @@
 """Folders for tables that a query writes for itself."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The folders made in the innermost scope, if there is one.
+_HELD: ContextVar[list[str] | None] = ContextVar("held", default=None)
+
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder path that the driver and every executor can reach.
 
-    It lies under the session's ``spark.checkpoint.dir``; where that is unset, under
-    its warehouse folder, which a cluster shares as well.
+    It lies under the session's ``spark.checkpoint.dir``. Where that is unset it lies under the warehouse folder if the
+    session is local; on a cluster that could be a folder of the driver alone, so there it is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+    held = _HELD.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def folders_dropped(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all folders that were made within; write what is to stay, or collect it, before that.
+
+    Operators leave their intermediate tables for as long as their result may be computed; only
+    the caller knows how long that is.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/{name}-{uuid4().hex}"
+    held: list[str] = []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        for path in held:
+            drop_folder(spark, path)
 
 
 def _place(spark: SparkSession, path: str):
