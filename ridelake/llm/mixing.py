@@ -6,9 +6,11 @@ shared again by weight. That ends at one level ``x`` with target = min(x * weigh
 most * words), found from running sums over the sources in order of most * words / weight.
 
 Every document is then emitted floor(target / words) times, and once more with a
-probability of the fraction left, decided by a hash of its id and its source's seed. Of ``SEEDS`` seeds
-a source takes the one whose draw comes nearest to its target, so that a few long documents do not
-make it miss by much. All draws are summed in one grouping.
+probability of the fraction left, decided by a hash of its id and its source's seed: that is a document's chance under each seed. Of
+``SEEDS`` seeds a source takes the one whose draw comes nearest to its target, so that a few long documents do not
+make it miss by much. So over all starting seeds the chance is the fraction only where a source has many documents; in one of a few
+documents those copies are preferred that meet the target, and a lone document always falls on the nearer side. All draws are
+summed in one grouping.
 
 Null texts have no words and stay in the result. A null source is a source of its
 own, the last. Rows with equal ids fall alike; rows with a null id are told apart by

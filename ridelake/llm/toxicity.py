@@ -5,13 +5,12 @@ L1 penalty over the words of a text and their beginnings, and over the probabili
 earlier categories. For fitting, those are out-of-fold: a document's probability comes from a model
 fitted without the document's fold. For prediction they come from the earlier final models.
 
-Models are fitted on a bounded sample of labelled documents (``FIT_ROWS``, chosen by a hash of the id) and a
-bounded vocabulary (``TERMS``) of words and beginnings found in ``LEAST`` of them; a word that is not in it has no
-weight, so rare words cannot collide with telling ones. All models of a category are fitted side by
+Models are fitted on a bounded sample of labelled documents (``FIT_ROWS``, those with the least hashes of their ids) and on all
+words and beginnings found in ``LEAST`` of them; any other word has no weight, so rare words cannot collide with telling ones. All models of a category are fitted side by
 side, each in a task of its own. The penalty leaves few weights; they are sent to the tasks,
 which score all documents, whole.
 
-Rows whose labels are null are not fitted on. A category whose sample lacks one of the two
+Rows whose labels are null are not fitted on; of labels of one id that clash the lower one counts. A category whose sample lacks one of the two
 classes gets its base rate, 0 without any label. Null and empty texts have no words; they are scored by
 the rest of the model and never rejected. Repeated rows get the same result; of texts that share an id
 the least is fitted on. An empty table gives an empty result. Columns of any name stay as they are.
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ridelake.sources.workspace import written
 
-FIT_ROWS, TERMS, LEAST, FOLDS = 8_000, 30_000, 4, 3
+FIT_ROWS, LEAST, FOLDS = 8_000, 4, 3
 BEGINNING = 4
 PENALTY, STEPS = 0.0001, 250
 WORDS = re.compile(r"[^\W_]+")
@@ -102,17 +101,21 @@ def fit_chain(
     """A chain for 0/1 label columns, in the order given; ``labels`` names its documents by ``key``."""
     marks = [f"is_{i}" for i in range(len(categories))]
     marked = labels.select(F.col(key).alias("id"), *[F.col(c).cast("double").alias(m) for c, m in zip(categories, marks)])
-    marked = marked.dropna().dropDuplicates(["id"])
-    share = min(1.0, fit_rows / max(1, marked.count()))
-    chosen = marked.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    # At most about fit_rows rows of numbers; no text is shuffled for documents that are not chosen.
+    # Of labels that clash the lower one counts.
+    marked = marked.dropna().groupBy("id").agg(*[F.min(m).alias(m) for m in marks])
+    # Exactly fit_rows rows of numbers, however many labels there are: a few more by the share (ten standard deviations), then
+    # the first of those. No text is shuffled for documents that are not chosen.
+    share = (fit_rows + 10 * math.sqrt(fit_rows)) / max(1, marked.count())
+    near = marked.filter(F.xxhash64("id") / F.lit(2.0**64) + 0.5 < F.lit(share))
+    chosen = near.orderBy(F.xxhash64("id"), "id").limit(fit_rows)
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
     texts = texts.groupBy("id", *marks).agg(F.coalesce(F.min("text"), F.lit("")).alias("text"))
     terms = F.arrow_udf(_terms, "array<string>")
     fold = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int")
     sample = written(texts.select("id", *marks, terms("text").alias("terms"), fold.alias("fold")), "toxicity-sample")
     often = sample.select(F.explode("terms").alias("term")).groupBy("term").count().filter(F.col("count") >= LEAST)
-    vocabulary = [row["term"] for row in often.orderBy(F.desc("count"), "term").limit(TERMS).collect()]
+    # As many as LEAST of the sample's documents share: bounded by the sample, not by the corpus.
+    vocabulary = [row["term"] for row in often.orderBy(F.desc("count"), "term").collect()]
     numbers = F.arrow_udf(_numbered(vocabulary), "array<int>")
     rows = sample.select("id", "fold", *marks, numbers("terms").alias("terms"), F.array().cast("array<double>").alias("before"))
     links = []

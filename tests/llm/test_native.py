@@ -139,3 +139,35 @@ def test_rebalancing_moves_little():
         load[shard] += sizes[slot]
     assert max(load.values()) - min(load.values()) < min(sizes.values())
     assert sum(old[s] != new[s] for s in old) < 1000 / 11 * 1.3
+
+
+def shards_by_slot(spark, path, version):
+    return {r["slot"]: r["shard"] for r in slots.read_map(spark, path, version).collect()}
+
+
+def test_a_stored_map_is_edited(spark, folder):
+    path, texts = f"{folder}/map", ["é" * (i % 90) for i in range(4000)]
+    first = slots.sharded(documents(spark, texts), "doc_id", "text", 6, 500, path)
+    before = {r["row"]["doc_id"]: r["shard"] for r in first.collect()}
+    assert shards_by_slot(spark, path, 0) == {slot: slot % 6 for slot in range(500)}
+    # More data and one more shard: the map is edited, so most records stay.
+    grown = documents(spark, texts + ["x" * (i % 70) for i in range(400)])
+    after = slots.sharded(grown, "doc_id", "text", 7, 500, path).collect()
+    old, new = shards_by_slot(spark, path, 1), shards_by_slot(spark, path, 2)
+    moved = {slot for slot in new if old[slot] != new[slot]}
+    assert 0 < len(moved) < 500 / 7 * 1.5
+    for row in after:
+        doc = row["row"]["doc_id"]
+        assert row["shard"] == new[row["virtual_slot"]]
+        if doc in before and row["virtual_slot"] not in moved:
+            assert row["shard"] == before[doc]
+    load = Counter()
+    for row in after:
+        load[row["shard"]] += row["size"]
+    assert set(load) == set(range(7)) and max(load.values()) < 1.02 * min(load.values())
+    # Fewer shards: the slots of the lost ones are dealt to the others. Earlier versions stay.
+    fewer = slots.sharded(grown, "doc_id", "text", 3, 500, path)
+    assert {r["shard"] for r in fewer.collect()} == {0, 1, 2}
+    assert shards_by_slot(spark, path, 1) == old and shards_by_slot(spark, path, None) == shards_by_slot(spark, path, 3)
+    with pytest.raises(ValueError, match="500 slots"):
+        slots.sharded(grown, "doc_id", "text", 3, 600, path)

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from llm.tables import DOC, documents, prose
 from tokenizers import Tokenizer
 
@@ -182,8 +183,25 @@ def test_the_fitted_sample_is_bounded(spark, monkeypatch):
     own = toxicity._linked
     monkeypatch.setattr(toxicity, "_linked", lambda rows, *rest, **last: sizes.append(rows.count()) or own(rows, *rest, **last))
     labels = spark.createDataFrame(marks, LABELS)
-    toxicity.fit_chain(documents(spark, texts), labels, "doc_id", "text", ["toxic"], fit_rows=100)
-    assert 60 < sizes[0] < 140
+    for rows in (100, 7, 1000):
+        toxicity.fit_chain(documents(spark, texts), labels, "doc_id", "text", ["toxic"], fit_rows=rows)
+    assert sizes[0] == 100 and sizes[-1] == len(set(marks)) and 7 in sizes
+
+
+def test_a_tiny_share_of_very_many_labels_is_still_whole(spark):
+    # Ten million labels, of which one in a million is fitted on: the share of old, in millionths, would have been rounded to few or none.
+    labels = spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"), F.lit(0).alias("id"))
+    docs = spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"))
+    chain = toxicity.fit_chain(docs, labels, "doc_id", "text", ["toxic"], fit_rows=5)
+    (row,) = chain.scored(docs.limit(1), "text").collect()
+    assert 0 < row["toxic"] < 1
+
+
+def test_labels_that_clash_count_as_the_lower(spark):
+    docs = documents(spark, ["idiot"], ids=[3])
+    for rows in ([(3, 1, 1, 1), (3, 1, 0, 1)], [(3, 1, 0, 1), (3, 1, 1, 1)]):
+        chain = toxicity.fit_chain(docs, spark.createDataFrame(rows, LABELS), "doc_id", "text", ["toxic"])
+        assert chain.scored(docs, "text").first()["toxic"] == 0.0
 
 
 SCHEMAS = {
