@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ridelake.llm import containment, forest, mixing, slots, toxicity
 from ridelake.llm.queries import CATEGORIES, SHARDS
 from ridelake.llm.rows import fresh_name
-from ridelake.sources.workspace import written
+from ridelake.sources.workspace import drop_folder, folders_dropped, new_folder
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages; a stage's own tables go once its documents are written, and its documents once the next stage has used them."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_folder(spark, f"pipeline-{name}")
+        with folders_dropped(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before is not None:
+            drop_folder(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
