@@ -52,6 +52,7 @@ from ridelake.streaming.landing import first_deliveries, land, read_raw_stream,
 from ridelake.streaming.late import run_window_fares, window_fares_now
 from ridelake.streaming.replay import random_part, replay, replay_parts, time_part
 from ridelake.streaming.sinks import finish, start_append
+from ridelake.streaming.state import pending_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -443,6 +444,18 @@ def conservation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "run string, read bigint, bad bigint, late bigint, written bigint")
 
 
+@_query
+def pending_windows_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six-hour windows that a stream still holds open, read from its state: those of the last three days."""
+    folder = new_folder(spark, "pending")
+    regions = _regions(spark, sf_dir)
+    write_events(to_events(rides(spark, sf_dir)), f"{folder}/log")
+    raw = with_coordinates(parse_events(read_event_stream(spark, f"{folder}/log")))
+    fares = window_fares(raw, regions, "6 hours", "3 days")
+    finish(start_append(fares, f"{folder}/out", f"{folder}/checkpoint", available_now=True))
+    return pending_windows(spark, f"{folder}/checkpoint", regions)
+
+
 @_query
 def stream_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rides of which some are delivered again a part later; each lands once."""

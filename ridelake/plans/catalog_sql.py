@@ -195,6 +195,13 @@ GROUP BY 1, 2, 3""",
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, neighborhood AS pickup_region, {_FARES},
        CAST(SUM(late) AS BIGINT) AS late_rides
 FROM told JOIN places ON told.grp = places.grp
+GROUP BY 1, 2, 3""",
+    "pending_windows_state": f"""WITH {_REGION_RIDES},
+closed AS (SELECT MAX(epoch_us(pickup_datetime)) // 1000 - 3 * 86400000 AS until FROM grouped),
+windowed AS (SELECT *, time_bucket(INTERVAL 6 HOURS, pickup_datetime, TIMESTAMP '1970-01-01') AS window_start FROM grouped)
+SELECT window_start, window_start + INTERVAL 6 HOURS AS window_end, neighborhood AS pickup_region, {_FARES}
+FROM windowed JOIN places ON windowed.grp = places.grp, closed
+WHERE epoch_ms(window_start + INTERVAL 6 HOURS) > until
 GROUP BY 1, 2, 3""",
     "conservation": f"""WITH {_REGION_RIDES}, {_TWICE}, {_LATE},
 events_in AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (CAST(key AS BIGINT) % 97 = 0) AS bad FROM twice),
