@@ -45,6 +45,7 @@ from ridelake.sources.event_log import read_event_stream, read_events, write_eve
 from ridelake.sources.files import read_neighborhoods_csv, require_rides_csv
 from ridelake.sources.history import KeyHistory
 from ridelake.sources.lake import append_partitioned, overwrite_table, read_date_range, read_table
+from ridelake.sources.layout import append_by_place, in_box
 from ridelake.sources.workspace import new_folder
 from ridelake.streaming.counts import counted, totals
 from ridelake.streaming.fares import window_fares
@@ -59,6 +60,7 @@ QUERIES: dict[str, Query] = {}
 
 # Fixed values of the queries' SQL.
 RANGE = ("2024-01-05 06:30:00", "2024-01-12 18:00:00")
+PLACE_BOX = (40.5, 40.56, -74.2, -74.05)
 PARTS = 10
 TIME_PARTS = 3
 WRONG_DAY = "2024-01-09"
@@ -251,6 +253,14 @@ def date_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_date_range(spark, path, *RANGE, schema=RAW)
 
 
+@_query
+def box_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of time and place, read from a table laid out by both."""
+    path = new_folder(spark, "box")
+    append_by_place(_raw(spark, sf_dir), path)
+    return in_box(read_table(spark, path, RAW), *RANGE, *PLACE_BOX)
+
+
 @_query
 def raw_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table after the same rides were appended twice."""

@@ -159,6 +159,10 @@ met AS (SELECT DISTINCT name, * EXCLUDE (pickup_region, name) FROM curated JOIN
 SELECT name, year, month, day, COUNT(*) AS rides FROM met GROUP BY 1, 2, 3, 4""",
     "date_range_read": f"""{_RAW_TABLE}
 WHERE pickup_datetime >= TIMESTAMP '{RANGE_FROM}' AND pickup_datetime < TIMESTAMP '{RANGE_TO}'""",
+    "box_read": f"""{_RAW_TABLE}
+WHERE pickup_datetime >= TIMESTAMP '{RANGE_FROM}' AND pickup_datetime < TIMESTAMP '{RANGE_TO}'
+  AND pickup_latitude BETWEEN CAST(40.5 AS DOUBLE) AND CAST(40.56 AS DOUBLE)
+  AND pickup_longitude BETWEEN CAST(-74.2 AS DOUBLE) AND CAST(-74.05 AS DOUBLE)""",
     "raw_append": f"{_RAW_TABLE} UNION ALL SELECT {_RAW_COLUMNS} FROM rides",
     "table_overwrite": f"{_RAW_TABLE} WHERE pickup_latitude IS NOT NULL AND pickup_longitude IS NOT NULL",
     "schema_evolution": f"""WITH {_REGION_RIDES},

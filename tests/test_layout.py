@@ -1,0 +1,83 @@
+"""Tables laid out by time and place: the same rows, of which a box reads few."""
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from helpers import bag, largest_task, plan
+from pyspark.sql import functions as F
+
+from ridelake.schemas import RAW
+from ridelake.sources import layout
+from ridelake.sources.lake import append_partitioned, read_table
+from ridelake.sources.layout import append_by_place, curve_number, in_box
+
+BOX = ("2024-01-01 06:00:00", "2024-01-01 09:00:00", 40.2, 40.4, -73.9, -73.7)
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    """Rides of one day and a few of another, spread evenly over time and place, in no order."""
+    draw = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10_000)) / 10_000 for i in range(3)]
+    time = F.timestamp_micros((F.unix_micros(F.lit("2024-01-01").cast("timestamp")) + draw[0] * 86_400_000_000 * 1.05).cast("bigint"))
+    place = {"pickup_latitude": 40 + draw[1], "pickup_longitude": -74 + draw[2]}
+    missing = F.col("id") % 50 == 0
+    values = {f.name: F.lit(None).cast(f.dataType) for f in RAW}
+    values |= {"key": F.sha1(F.col("id").cast("string")), "pickup_datetime": time, "fare_amount": F.col("id").cast("float")}
+    values |= {name: F.when(~missing, value) for name, value in place.items()}
+    values |= {"year": F.year(time).cast("smallint"), "month": F.month(time).cast("tinyint"), "day": F.day(time).cast("tinyint")}
+    return spark.range(60_000).select(*[values[n].alias(n) for n in RAW.names]).cache()
+
+
+def rows_read(df):
+    """The rows as a multiset, and how many the scan itself gave for them."""
+    found = Counter(map(tuple, df.collect()))
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return found, scan.metrics().apply("numOutputRows").value()
+
+
+def test_a_box_and_a_key_read_few_rows(spark, many, folder):
+    options = {"parquet.block.size": 64 << 10, "parquet.page.row.count.limit": 500}
+    for name, value in options.items():
+        spark.conf.set(name, str(value))
+    many.repartition(4).write.partitionBy("year", "month", "day").option("parquet.block.size", 64 << 10).parquet(f"{folder}/plain")
+    append_by_place(many, f"{folder}/laid", row_group_bytes=64 << 10, keys_in_a_file=20_000)
+    for name in options:
+        spark.conf.unset(name)
+    plain, laid = (read_table(spark, f"{folder}/{name}", RAW) for name in ("plain", "laid"))
+    assert bag(laid) == bag(plain) == bag(many)
+    (rows, few), (same, all_of_them) = (rows_read(in_box(table, *BOX)) for table in (laid, plain))
+    assert rows == same and 100 < sum(rows.values())
+    assert few < 0.35 * all_of_them, (few, all_of_them)
+    key = many.select("key").first()["key"]
+    (one, read), (also, plainly) = (rows_read(table.filter(F.col("key") == key)) for table in (laid, plain))
+    assert one == also and sum(one.values()) == 1 and read < 0.5 * plainly, (read, plainly)
+
+
+def test_the_scan_gets_the_whole_box(spark, many, folder):
+    append_partitioned(many.limit(100), folder)
+    text = plan(in_box(read_table(spark, folder, RAW), *BOX))
+    assert "GreaterThanOrEqual(pickup_latitude,40.2)" in text and "LessThanOrEqual(pickup_longitude,-73.7)" in text
+    assert "PartitionFilters: [isnotnull(year" in text
+
+
+def test_a_hot_day_is_cut_into_ranges(spark, many, folder):
+    one_place = many.withColumns({"pickup_latitude": F.lit(40.0), "pickup_longitude": F.lit(-74.0), "pickup_datetime": F.lit("2024-01-01").cast("timestamp")})
+    append_by_place(one_place, folder)
+    assert len(list(Path(folder).rglob("*.parquet"))) >= 3
+    assert largest_task(read_table(spark, folder, RAW)) < 60_000
+
+
+def test_the_curve_interleaves_bits(spark, monkeypatch):
+    monkeypatch.setattr(layout, "BITS", 2)
+    rows = spark.createDataFrame([(x, y) for x in range(4) for y in range(4)], "x long, y long")
+    found = {(r["x"], r["y"]): r["n"] for r in rows.select("x", "y", curve_number([F.col("x"), F.col("y")]).alias("n")).collect()}
+    assert found == {(x, y): (x & 1) | (y & 1) << 1 | (x >> 1) << 2 | (y >> 1) << 3 for x in range(4) for y in range(4)}
+
+
+def test_rides_without_place_or_time_and_an_empty_table(spark, many, folder):
+    gone = many.limit(20).withColumns({n: F.lit(None).cast(RAW[n].dataType) for n in ("pickup_latitude", "pickup_datetime", "year", "month", "day", "key")})
+    odd = gone.unionAll(many.limit(5).withColumn("pickup_latitude", F.lit(float("nan"))))
+    append_by_place(odd, folder)
+    append_by_place(many.limit(0), folder)
+    assert read_table(spark, folder, RAW).count() == 25
