@@ -31,6 +31,7 @@ from ridelake.plans.pipeline import run_pipeline
 from ridelake.plans.region_sets import SETS, rides_in_any, write_ride_sets
 from ridelake.schemas import CURATED, DATE_PARTS, NEIGHBORHOODS, RAW
 from ridelake.session import use_zone
+from ridelake.sources.compaction import compact, read_compacted
 from ridelake.sources.driver_tables import (
     broken_events,
     closing_ride,
@@ -66,6 +67,7 @@ TIME_PARTS = 3
 WRONG_DAY = "2024-01-09"
 HISTORY_BUCKETS = 8
 SET_BUCKETS = 3
+COMPACT_BYTES = 32 << 10
 PLACE_ROWS, PLACE_COLUMNS = 61, 67
 
 
@@ -384,6 +386,19 @@ def stream_land(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{folder}/raw", RAW)
 
 
+@_query
+def compacted_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table that a stream has landed in many files, compacted, with what the stream landed after that."""
+    folder = new_folder(spark, "compacted")
+    events = to_events(rides(spark, sf_dir))
+    for number in replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, F.xxhash64("key")):
+        stream = read_event_stream(spark, f"{folder}/log", max_files=1)
+        finish(land(stream, f"{folder}/raw", f"{folder}/checkpoint", available_now=True))
+        if number == TIME_PARTS - 2:
+            compact(spark, f"{folder}/raw", f"{folder}/versions", target_bytes=COMPACT_BYTES)
+    return read_compacted(spark, f"{folder}/raw", f"{folder}/versions")
+
+
 @_query
 def stream_curate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table curated as a stream."""

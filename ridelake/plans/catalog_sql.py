@@ -188,6 +188,7 @@ kept AS (SELECT {_RAW_COLUMNS} FROM twice WHERE CAST(key AS BIGINT) % 97 <> 0)
 SELECT * FROM kept
 UNION ALL
 SELECT key, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM twice WHERE CAST(key AS BIGINT) % 97 = 0""",
+    "compacted_raw": _RAW_TABLE,
     "stream_curate": _CURATED_TABLE,
     "stream_window_fare": f"""WITH {_REGION_RIDES}
 SELECT date_trunc('hour', pickup_datetime) AS window_start,

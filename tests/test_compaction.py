@@ -1,0 +1,86 @@
+"""Many small files made few, in versions that readers go over to."""
+
+from collections import defaultdict
+from pathlib import Path
+
+import pytest
+from helpers import bag
+
+from ridelake.operators.events import parse_events, to_events
+from ridelake.schemas import RAW
+from ridelake.sources import compaction, driver_tables
+from ridelake.sources.compaction import compact, drop_versions, read_compacted
+from ridelake.sources.lake import in_date_range
+from ridelake.streaming.landing import land
+from ridelake.streaming.sinks import finish
+
+TABLES = "/root/testdata/sf0.01"
+TARGET = 16 << 10
+
+
+def sizes(folder):
+    """Bytes of the files of each day."""
+    found = defaultdict(list)
+    for file in Path(folder).rglob("*.parquet"):
+        found[str(file).split("/year=")[1].split("/part")[0].rsplit("/day=", 1)[0] + file.as_posix().split("/day=")[1].split("/")[0]].append(file.stat().st_size)
+    return found
+
+
+@pytest.fixture
+def source(spark):
+    return driver_tables.rides(spark, TABLES).filter("pickup_datetime < '2024-01-05'")
+
+
+def test_a_stream_is_compacted_while_it_goes_on(spark, source, folder):
+    def landed(rows):
+        to_events(rows).repartition(6).write.mode("append").parquet(f"{folder}/log")
+        stream = spark.readStream.schema("key string, value string").parquet(f"{folder}/log")
+        finish(land(stream, f"{folder}/raw", f"{folder}/c", available_now=True))
+
+    def now():
+        return read_compacted(spark, f"{folder}/raw", f"{folder}/v")
+
+    first, later = source.filter("key % 10 < 9"), source.filter("key % 10 = 9")
+    landed(first)
+    assert bag(now()) == bag(parse_events(to_events(first)))
+    assert compact(spark, f"{folder}/raw", f"{folder}/v", target_bytes=TARGET) == 1
+    assert bag(now()) == bag(parse_events(to_events(first)))
+    landed(later)
+    whole = bag(parse_events(to_events(source)))
+    assert bag(now()) == whole
+    before, after = sizes(f"{folder}/raw"), sizes(f"{folder}/v/v1")
+    assert sum(map(len, after.values())) < 0.6 * sum(map(len, before.values()))
+    assert compact(spark, f"{folder}/raw", f"{folder}/v", target_bytes=TARGET) == 2
+    assert bag(now()) == whole and now().columns == RAW.names
+    assert "PartitionFilters: [isnotnull(year" in in_date_range(now(), "2024-01-02", "2024-01-03")._jdf.queryExecution().executedPlan().toString()
+    drop_versions(spark, f"{folder}/v")
+    assert bag(now()) == whole and not Path(folder, "v/v1").exists()
+
+
+@pytest.mark.parametrize("files", [1, 40])
+def test_files_are_near_the_target(spark, source, folder, files):
+    raw = parse_events(to_events(source.filter("pickup_datetime < '2024-01-03'")))
+    raw.repartition(files).write.partitionBy("year", "month", "day").parquet(f"{folder}/raw")
+    given = sizes(f"{folder}/raw")
+    # Small enough that a single file is cut, and large enough that forty are put together.
+    target = max(1, min(map(sum, given.values())) // (3 if files == 1 else 5))
+    compact(spark, f"{folder}/raw", f"{folder}/v", target_bytes=target)
+    made = sizes(f"{folder}/v/v1")
+    assert made.keys() == given.keys()
+    for day, found in made.items():
+        assert len(found) == round(sum(given[day]) / target)
+        # Small files carry much of their bytes in footers, which go when they are put together.
+        assert max(found) <= 2 * min(found) and max(found) <= 2 * target
+    assert bag(read_compacted(spark, f"{folder}/raw", f"{folder}/v")) == bag(raw)
+
+
+def test_an_unfinished_version_is_not_read(spark, source, folder, monkeypatch):
+    raw = parse_events(to_events(source.limit(300)))
+    raw.write.partitionBy("year", "month", "day").parquet(f"{folder}/raw")
+    compact(spark, f"{folder}/raw", f"{folder}/v")
+    raw.limit(5).write.parquet(f"{folder}/v/v2")
+    Path(folder, "v/v2/_SUCCESS").unlink()
+    assert bag(read_compacted(spark, f"{folder}/raw", f"{folder}/v")) == bag(raw)
+    monkeypatch.setattr(compaction, "BROADCAST_FILES", 0)
+    assert compact(spark, f"{folder}/raw", f"{folder}/v") == 2
+    assert bag(read_compacted(spark, f"{folder}/raw", f"{folder}/v")) == bag(raw)
