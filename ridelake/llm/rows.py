@@ -26,8 +26,3 @@ def fresh_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
-
-
-def packed(df: DataFrame) -> Column:
-    """Whole rows as one struct, so that an operator's own columns cannot clash with theirs."""
-    return F.struct(*[F.col(f"`{name.replace('`', '``')}`") for name in df.columns])
