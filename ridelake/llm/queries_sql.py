@@ -5,6 +5,27 @@ _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _BLANKS = r"chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _draw(identity: str) -> str:
+    """A number from 0 up to 1 by hash."""
+    return f"CAST('0x' || substr(md5('0:' || {identity}), 1, 13) AS BIGINT) / 4503599627370496.0"
+
+
+def _level(k: int) -> str:
+    """The documents of a level, taken where the running sum of the chance passes a whole number; the next level makes up for what they miss."""
+    return f"""drawn_{k} AS (
+  SELECT placed.*, chance, floor(start + place * chance) > floor(start + (place - 1) * chance) AS passed
+  FROM placed JOIN state_{k - 1} s ON placed.source IS NOT DISTINCT FROM s.source WHERE level = {k}),
+sums_{k} AS (
+  SELECT source, sum(size) AS words, max(size) AS longest, sum(CASE WHEN passed THEN size ELSE 0 END) AS got FROM drawn_{k} GROUP BY source),
+state_{k} AS (
+  SELECT s.source, CASE WHEN words IS NULL THEN room ELSE room / 2 END AS room, others - coalesce(words, 0) AS others,
+         chance - CASE WHEN others - words > 0 THEN least(CAST(1 AS DOUBLE), room / 2 * (others - words) / longest)
+                            * ((got - chance * words) / (others - words)) ELSE 0 END AS chance
+  FROM state_{k - 1} s LEFT JOIN sums_{k} ON s.source IS NOT DISTINCT FROM sums_{k}.source),
+"""
+
+
 OP6 = f"""
 WITH sized AS (SELECT doc_id, text, source, {_WORDS} AS size FROM documents),
 sources AS (
@@ -31,18 +52,22 @@ targets AS (
               ELSE least(CAST(words - fixed AS DOUBLE) / weights * weight, CAST(3 * source_size AS DOUBLE)) END AS target
   FROM weighted, rest),
 rated AS (
-  SELECT doc_id, sized.source, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text), '') AS identity
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source),
-drawn AS (
-  SELECT *, floor(rate) + CASE WHEN CAST('0x' || substr(md5(seed || ':' || identity), 1, 13) AS BIGINT) / 4503599627370496.0
-                                    < rate - floor(rate) THEN 1 ELSE 0 END AS copies
-  FROM rated CROSS JOIN (SELECT unnest(range(0, 32)) AS seed)),
-misses AS (SELECT source, seed, abs(sum(size * copies) - any_value(target)) AS miss FROM drawn GROUP BY source, seed),
-chosen AS (
-  SELECT source, seed FROM misses QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, seed) = 1)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * copies AS BIGINT) AS taken
-FROM drawn JOIN chosen ON drawn.seed = chosen.seed AND drawn.source IS NOT DISTINCT FROM chosen.source
+  SELECT doc_id, sized.source, size, source_size, target, floor(rate) AS whole, rate - floor(rate) AS fraction,
+         CASE WHEN size = 0 THEN NULL {" ".join(f"WHEN size * {8**k} >= source_size THEN {k}" for k in range(1, 5))} END AS level,
+         {_draw("coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(text), '')")} AS draw
+  FROM sized JOIN (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets) t
+    ON sized.source IS NOT DISTINCT FROM t.source),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source, level ORDER BY size DESC, draw, CAST(doc_id AS VARCHAR)) AS place,
+         {_draw("concat_ws(':', 'source', level, source)")} AS start FROM rated),
+state_0 AS (
+  SELECT source, any_value(fraction) AS chance, any_value(least(fraction, 1 - fraction)) AS room, any_value(source_size) AS others
+  FROM rated GROUP BY source),
+{"".join(_level(k) for k in range(1, 5))}
+passed AS ({" UNION ALL ".join(f"SELECT doc_id, source, size, source_size, target, whole, passed AS more FROM drawn_{k}" for k in range(1, 5))}
+  UNION ALL SELECT doc_id, placed.source, size, source_size, target, whole, draw < chance
+  FROM placed JOIN state_4 ON placed.source IS NOT DISTINCT FROM state_4.source WHERE level IS NULL)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(size * (whole + CAST(more AS INT)) AS BIGINT) AS taken FROM passed
 """
 
 OP10 = f"""

@@ -113,6 +113,64 @@ def test_mix_takes_what_it_says(spark):
     assert mixing.mix(docs.limit(0), "text", "source", "doc_id").count() == 0
 
 
+@pytest.mark.parametrize("rate", [0.25, 0.43])
+def test_the_chance_is_the_fraction(spark, monkeypatch, rate):
+    # Two long documents among short ones, in many sources: each is a draw of its own.
+    sizes, count = [900, 400] + [10] * 120, 400
+    monkeypatch.setattr(mixing, "LEVELS", 1)
+    sources = spark.range(count).selectExpr("cast(id as string) source")
+    each = spark.createDataFrame([(n, str(i)) for i, n in enumerate(sizes)], "size long, identity string")
+    rows = sources.join(each, F.lit(True))
+    rates = sources.withColumns({"source_size": F.lit(sum(sizes)).cast("long"), "target": F.lit(rate * sum(sizes)), "whole": F.lit(0), "fraction": F.lit(rate)})
+    names = {r["identity"]: r["name"] for r in each.select("identity", mixing._name().alias("name")).collect()}
+    draws = [(set(r["taken"]), r["chance"]) for r in mixing._drawn(rows, rates, 0).collect()]
+    error = 3 * (rate * (1 - rate) / count) ** 0.5
+    for place in "01":
+        assert abs(sum(names[place] in taken for taken, _ in draws) / count - rate) < error
+    assert all(0 <= chance <= 1 for _, chance in draws) and len({chance for _, chance in draws}) > 1
+    assert abs(sum(chance for _, chance in draws) / count - rate) < error
+    # The short ones make up for the long ones, as far as their chance allows.
+    share = min(1, min(rate, 1 - rate) / 2 * 1200 / 900)
+    for taken, chance in draws:
+        missed = sum(sizes[int(place)] for place in "01" if names[place] in taken) - rate * 1300
+        assert missed + (chance - rate) * 1200 == pytest.approx((1 - share) * missed, abs=1e-6)
+
+
+def test_a_lone_document_is_drawn_by_its_fraction(spark):
+    # A thousand sources of one document and the rate of 0.43: each is a draw of its own.
+    count = 1000
+    rows = spark.range(count).selectExpr("cast(id as string) source", "100L size", "'1' identity")
+    rates = spark.range(count).selectExpr("cast(id as string) source", "100L source_size", "143d target", "1L whole", "0.43d fraction")
+    taken = mixing._drawn(rows, rates, 0).filter("size(taken) > 0").count()
+    assert abs(taken / count - 0.43) < 3 * (0.43 * 0.57 / count) ** 0.5
+
+
+def test_sources_come_near_their_targets(spark):
+    lengths = {"a": [7 + i % 90 for i in range(400)] + [9000], "b": [300 + i % 60 for i in range(60)], "c": [2000] + [5] * 3000}
+    texts, sources = zip(*[("w " * n, s) for s, sizes in lengths.items() for n in sizes])
+    docs = documents(spark, list(texts), sources=list(sources))
+    takes, target, longest = Counter(), {}, {s: max(sizes) for s, sizes in lengths.items()}
+    for row in mixing.with_copies(docs, "text", "source", "doc_id").collect():
+        source = row["row"]["source"]
+        takes[source] += row["copies"] * row["size"]
+        target[source] = row["target"]
+    for source in lengths:
+        assert abs(takes[source] - target[source]) < max(longest[source], 0.02 * target[source])
+
+
+def test_many_parts_give_the_same_targets(spark):
+    sizes = {f"s{i:04}": (i * 7919) % 1013 for i in range(500)}
+    rows = spark.createDataFrame([*sizes.items()], "source string, size long")
+    conf, found = spark.conf, {}
+    old = conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r["source"]: r["target"] for r in mixing.targets(rows).collect()}
+    finally:
+        conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert found == pytest.approx({s: float(t) for s, t in targets_by_hand(sizes).items()})
+
+
 def test_slots_are_level_and_gapless(spark):
     texts = [None, ""] + ["é" * (i % 90) for i in range(4000)] + ["x" * 9000] * 3
     docs = documents(spark, texts, ids=[None if i % 9 == 0 else i // 2 for i in range(len(texts))])
