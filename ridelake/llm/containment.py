@@ -14,8 +14,9 @@ an item holds one of any so many of its shingles as it may lack and one more, an
 The windows' minima come from minima over blocks of u shingles, and those of
 larger sizes from the smaller ones, so a document is hashed once, whatever its length.
 
-Items are sent to the tasks in parts of at most ``PART_BYTES``; each part is one pass over a document
-within the same task. Nothing is shuffled and no document leaves its row.
+Items are sent to the tasks in parts of about ``PART_BYTES``, one after the other: each part is one pass over the documents, which is
+written before the next part is sent, so the driver and a worker hold one part at a time. Nothing is shuffled and no document
+leaves its row. Keys of items may be of any type, and null.
 
 Items without words (null, empty, blank) are found nowhere. An item of fewer than five words is
 one shingle, and only found in a document of the same words. Equal items are all reported. Documents
@@ -25,17 +26,22 @@ side give no pairs. Columns of any name stay as they are.
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import LongType, StructField, StructType
+
 from ridelake.llm.shingles import MinHash, Shingler
+from ridelake.sources.workspace import written
 
 ORDERS = 48
 SEED = 11
 PART_BYTES = 8_000_000
+# ``item`` is its number in its part.
 HITS = "array<struct<item long, shared long, size long>>"
 _HITS_ARROW = pa.list_(pa.struct([("item", pa.int64()), ("shared", pa.int64()), ("size", pa.int64())]))
 SMALLEST = 8
@@ -140,44 +146,71 @@ class ItemIndex:
         return {number for key in found for number in self._owners[width][key]}
 
 
-def _searcher(parts: list, share: int, of: int):
+def _searcher(part, share: int, of: int):
     def search(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        indexes = [ItemIndex(part.value, share, of) for part in parts]
+        index = ItemIndex(part.value, share, of)
         for texts in batches:
-            found = [[hit for index in indexes for hit in index.find(text)] for text in texts.to_pylist()]
-            yield pa.array(found, _HITS_ARROW)
+            yield pa.array([index.find(text) for text in texts.to_pylist()], _HITS_ARROW)
 
     return search
 
 
-def item_parts(items: DataFrame, key: str, text: str) -> list:
-    """The items as broadcast parts of a bounded size; the driver holds one part at a time."""
-    spark = items.sparkSession
-    plain = items.select(F.col(key).cast("long").alias("item"), F.col(text).alias("text")).filter("text is not null")
+def item_parts(items: DataFrame, key: str, text: str) -> list[DataFrame]:
+    """The items as ``item`` and ``text``, in parts of about ``PART_BYTES``; one part if there are none."""
+    plain = items.select(F.col(key).alias("item"), F.col(text).alias("text")).filter("text is not null")
     total = plain.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    count = -(-total // PART_BYTES)
-    part = F.pmod(F.xxhash64("item", "text"), F.lit(max(1, count)))
-    parts = []
-    for number in range(count):
-        rows = [(row["item"], row["text"]) for row in plain.filter(part == number).collect()]
-        parts.append(spark.sparkContext.broadcast(rows))
-    return parts
+    count = max(1, -(-total // PART_BYTES))
+    if count == 1:
+        return [plain]
+    plain = written(plain, "items")
+    part = F.pmod(F.xxhash64(F.col("item").cast("string"), "text"), F.lit(count))
+    return [plain.filter(part == number) for number in range(count)]
 
 
-def contained(text, parts: list, share: int = 80, of: int = 100):
-    """A column of the items that a text holds: item, shingles shared, shingles of the item."""
-    return F.arrow_udf(_searcher(parts, share, of), HITS)(F.coalesce(text, F.lit("")))
+class SentItems:
+    """One part of the items, sent to the tasks until it is dropped."""
 
+    def __init__(self, part: DataFrame):
+        spark, rows = part.sparkSession, part.collect()
+        kind = StructType([StructField("number", LongType()), part.schema["item"]])
+        self.names = spark.createDataFrame([(number, row["item"]) for number, row in enumerate(rows)], kind)
+        self._rows = spark.sparkContext.broadcast([(number, row["text"]) for number, row in enumerate(rows)])
 
-def found_items(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
-    """``item``, ``id`` of the document, ``shared`` and ``size`` for every item that a document holds."""
-    parts = item_parts(items, item_key, item_text)
-    hits = docs.select(F.col(key).alias("id"), F.explode(contained(F.col(text), parts)).alias("hit"))
-    return hits.select("hit.item", "id", "hit.shared", "hit.size")
+    def contained(self, text: Column, share: int, of: int) -> Column:
+        """A column of the items that a text holds: item's number, shingles shared, shingles of the item."""
+        return F.arrow_udf(_searcher(self._rows, share, of), HITS)(F.coalesce(text, F.lit("")))
 
+    def drop(self) -> None:
+        self._rows.destroy()
 
-def without_items(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
+
+def found_items(
+    docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, share: int = 80, of: int = 100
+) -> DataFrame:
+    """``item``, ``id`` of the document, ``shared`` and ``size`` for every item that a document holds."""
+    parts, found = item_parts(items, item_key, item_text), []
+    for part in parts:
+        sent = SentItems(part)
+        hits = docs.select(F.col(key).alias("id"), F.explode(sent.contained(F.col(text), share, of)).alias("hit"))
+        hits = hits.join(F.broadcast(sent.names), F.col("hit.item") == F.col("number"))
+        hits = hits.select("item", "id", "hit.shared", "hit.size")
+        if len(parts) == 1:
+            return hits
+        found.append(written(hits, "found-items"))
+        sent.drop()
+    return reduce(DataFrame.union, found)
+
+
+def without_items(
+    docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text: str, share: int = 80, of: int = 100
+) -> DataFrame:
     """The documents that hold no item, with their columns."""
     parts = item_parts(items, item_key, item_text)
-    hits = docs.select(F.struct("*").alias("row"), contained(F.col(text), parts).alias("hits"))
-    return hits.filter(F.size("hits") == 0).select("row.*")
+    for part in parts:
+        sent = SentItems(part)
+        hits = docs.select(F.struct("*").alias("row"), sent.contained(F.col(text), share, of).alias("hits"))
+        docs = hits.filter(F.size("hits") == 0).select("row.*")
+        if len(parts) > 1:
+            docs = written(docs, "unseen")
+            sent.drop()
+    return docs

@@ -3,6 +3,7 @@
 import random
 import re
 from collections import defaultdict
+from decimal import Decimal
 
 import numpy as np
 import pytest
@@ -197,11 +198,34 @@ def test_items_come_in_parts(spark, monkeypatch):
     monkeypatch.setattr(containment, "PART_BYTES", 500)
     assert len(containment.item_parts(items, "item_id", "text")) > 5
     assert {tuple(r) for r in containment.found_items(docs, "doc_id", "text", items, "item_id", "text").collect()} == whole
+    left = containment.without_items(docs, "text", items, "item_id", "text")
+    assert {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in docs.collect()} - {d for _, d, _, _ in whole}
+    # A part is dropped before the next one is sent.
+    events, sent, drop = [], containment.SentItems, containment.SentItems.drop
+    monkeypatch.setattr(sent, "drop", lambda self: events.append("drop") or drop(self))
+    monkeypatch.setattr(containment, "SentItems", lambda part: events.append("send") or sent(part))
+    containment.found_items(docs, "doc_id", "text", items, "item_id", "text")
+    assert events == ["send", "drop"] * (len(events) // 2) and len(events) > 10
     none = items.limit(0)
     assert containment.found_items(docs, "doc_id", "text", none, "item_id", "text").count() == 0
     assert containment.without_items(docs.limit(0), "text", items, "item_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("kind, keys", [("string", ["q1", None, "q1", "é"]), ("decimal(30,2)", [Decimal("1.50"), None, Decimal(2), Decimal(3)]), ("struct<a: int, b: string>", [(1, "x"), (2, None), None, (1, "x")])])
+@pytest.mark.parametrize("part_bytes", [8_000_000, 200])
+def test_keys_of_items_are_of_any_type(spark, monkeypatch, kind, keys, part_bytes):
+    monkeypatch.setattr(containment, "PART_BYTES", part_bytes)
+    texts = prose(3, 20, seed=3)
+    texts.append(texts[0])
+    items = spark.createDataFrame(list(zip(keys, texts)), f"item_id {kind}, text string")
+    docs = documents(spark, [f"so {texts[0]} it is", texts[1], "none of them", texts[2]], ids=[7, None, 9, 9])
+    found = containment.found_items(docs, "doc_id", "text", items, "item_id", "text")
+    assert found.schema["item"].dataType == items.schema["item_id"].dataType
+    rows = sorted(((r["id"], r["item"]) for r in found.collect()), key=str)
+    assert rows == sorted([(7, keys[0]), (7, keys[3]), (None, keys[1]), (9, keys[2])], key=str)
+    assert [r["text"] for r in containment.without_items(docs, "text", items, "item_id", "text").collect()] == ["none of them"]
+
+
 def cuts_by_hand(data):
     """A cut where the hash of the last bytes is the least nearby, straight from the definition."""
     size, hashes = len(data), []
