@@ -32,6 +32,8 @@ from ridelake.sources.workspace import written
 
 WINDOW, REACH, LONGEST, PASSAGE = 8, 20, 4096, 128
 GEAR = np.random.default_rng(3).integers(0, 2**32, 256, dtype=np.uint32)
+# A document's name, 128 bits in two halves.
+NAME = ["r1", "r2"]
 CHUNKS = "array<struct<start int, length int, h1 long, h2 long>>"
 
 
@@ -94,42 +96,40 @@ def _chunks(texts: list) -> pa.Array:
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``row``, ``id``, ``text`` and ``rid``, a hash that rows alike in id and text share."""
+    """``row``, ``id``, ``text`` and the two halves of a name that rows alike in id and text share."""
     content = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(
-        F.struct("*").alias("row"), F.col(key).alias("id"), content.alias("text"), F.xxhash64(key, content).alias("rid")
-    )
+    names = F.xxhash64(key, content).alias("r1"), F.xxhash64(content, key).alias("r2")
+    return docs.select(F.struct("*").alias("row"), F.col(key).alias("id"), content.alias("text"), *names)
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
-    """``id``, ``rid``, ``start``, ``length`` and ``first`` (it stays) of all chunks found in several documents.
+    """``id``, its name, ``start``, ``length`` and ``first`` (it stays) of all chunks found in several documents.
 
     Chunks are cut twice rather than kept in between: they take more room than the texts. Only half
     of the digest goes through the first grouping; what it lets through is told apart by all of it.
     """
     chunk = F.explode(F.arrow_udf(by_pieces(_chunks), CHUNKS)("text")).alias("chunk")
-    every = rows.select("rid", chunk).select("rid", "chunk.*")
-    several = F.min("rid") != F.max("rid")
+    every = rows.select(*NAME, chunk).select(*NAME, "chunk.*")
+    several = (F.min("r1") != F.max("r1")) | (F.min("r2") != F.max("r2"))
     shared = every.groupBy("h1").agg(several.alias("several")).filter("several").select("h1")
     near = written(every.join(shared, "h1", "left_semi"), "repeated-chunks")
     digest = ["h1", "h2"]
-    owned = near.join(rows.select("rid", "id").distinct(), "rid")
-    origin = owned.groupBy(*digest).agg(several.alias("several"), F.min(F.struct("id", "rid", "start")).alias("origin"))
+    owned = near.join(rows.select(*NAME, "id").distinct(), NAME)
+    place = F.struct("id", *NAME, "start")
+    origin = owned.groupBy(*digest).agg(several.alias("several"), F.min(place).alias("origin"))
     origin = origin.filter("several").drop("several")
-    return owned.join(origin, digest).select(
-        "id", "rid", "start", "length", (F.struct("id", "rid", "start") == F.col("origin")).alias("first")
-    )
+    return owned.join(origin, digest).select("id", *NAME, "start", "length", (place == F.col("origin")).alias("first"))
 
 
 def _passages(rows: DataFrame) -> DataFrame:
     """Repeated chunks with ``passage``, the start of the passage they are in, and its ``size``."""
     # Rows alike in id and text have the same chunks; one of each will do. Windows go over one document.
     repeated = _repeated(rows).distinct()
-    along = Window.partitionBy("rid").orderBy("start")
+    along = Window.partitionBy(*NAME).orderBy("start")
     opens = F.coalesce(F.col("start") != F.lag(F.col("start") + F.col("length")).over(along), F.lit(True))
     marked = repeated.withColumn("opened", F.when(opens, F.col("start")))
     marked = marked.withColumn("passage", F.max("opened").over(along))
-    size = F.sum("length").over(Window.partitionBy("rid", "passage"))
+    size = F.sum("length").over(Window.partitionBy(*NAME, "passage"))
     return marked.withColumn("size", size).filter(F.col("size") >= PASSAGE)
 
 
@@ -137,7 +137,7 @@ def repeated_passages(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``id``, ``start``, ``n_bytes`` and ``n_dropped`` bytes of all passages that several documents share."""
     parts = _passages(_rows(docs, key, text))
     dropped = F.sum(F.when(F.col("first"), 0).otherwise(F.col("length"))).alias("n_dropped")
-    groups = parts.groupBy("rid", "passage").agg(F.min("id").alias("id"), F.sum("length").alias("n_bytes"), dropped)
+    groups = parts.groupBy(*NAME, "passage").agg(F.min("id").alias("id"), F.sum("length").alias("n_bytes"), dropped)
     return groups.select("id", F.col("passage").alias("start"), "n_bytes", "n_dropped")
 
 
@@ -156,7 +156,7 @@ def _rest(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 def without_repeats(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``row`` (the whole input row) and the ``kept`` text, without passages that stay in another document."""
     rows = _rows(docs, key, text)
-    dropped = _passages(rows).filter("not first").groupBy("rid")
+    dropped = _passages(rows).filter("not first").groupBy(*NAME)
     dropped = dropped.agg(F.collect_list(F.struct("start", "length")).alias("dropped"))
     rest = F.arrow_udf(_rest, "string")
-    return rows.join(dropped, "rid", "left").select("row", rest("text", "dropped").alias("kept"))
+    return rows.join(dropped, NAME, "left").select("row", rest("text", "dropped").alias("kept"))

@@ -279,6 +279,39 @@ def test_shared_passages_are_found_and_clean_documents_left_alone(spark):
             assert kept[i] == (text or "")
 
 
+def passages_by_hand(docs, cuts):
+    """``(id, start, bytes, dropped bytes)`` of the passages that documents ``(id, text)`` share, straight from the definition."""
+    docs = sorted({(i, text or "") for i, text in docs})
+    pieces, owners = [], defaultdict(dict)
+    for n, (_, text) in enumerate(docs):
+        data = text.encode()
+        bounds = cuts(data) if data else [0]
+        pieces.append([(a, data[a:b]) for a, b in zip(bounds, bounds[1:])])
+        for a, piece in pieces[-1]:
+            owners[piece].setdefault(n, a)
+    found = []
+    for n, (i, _) in enumerate(docs):
+        run = []
+        for a, piece in [*pieces[n], (None, None)]:
+            if piece is not None and len(owners[piece]) > 1:
+                run.append((a, len(piece), min(owners[piece].items()) != (n, a)))
+                continue
+            size = sum(length for _, length, _ in run)
+            if size >= chunks.PASSAGE:
+                found.append((i, run[0][0], size, sum(length for _, length, gone in run if gone)))
+            run = []
+    return sorted(found)
+
+
+def test_passages_as_by_hand(spark):
+    passages, hosts = prose(5, 70, seed=31, vocabulary=900), prose(30, 90, seed=32, vocabulary=900)
+    texts = [f"{host[: 11 * i]} {passages[i % 5]}{host[11 * i :]}" if i % 4 else host for i, host in enumerate(hosts)]
+    texts += [None, "", "", hosts[1], hosts[1], "été " * 90, "Été " * 90 + passages[0], f"{passages[2]} | {passages[2]}"]
+    found = chunks.repeated_passages(documents(spark, texts), "doc_id", "text").collect()
+    expected = passages_by_hand(enumerate(texts), cuts_by_hand)
+    assert len(expected) > 20 and sorted((r["id"], r["start"], r["n_bytes"], r["n_dropped"]) for r in found) == expected
+
+
 def test_copies_keep_one_and_repeated_rows_are_one(spark):
     text = prose(1, 200)[0]
     docs = documents(spark, [text] * 6 + ["other " * 3], ids=[5, 4, 4, 8, None, 9, 1])

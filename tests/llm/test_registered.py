@@ -11,8 +11,8 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline  # noqa: E402
-from llm.test_near import components_by_hand, shingles  # noqa: E402
-from ridelake.llm import queries, queries_sql  # noqa: E402
+from llm.test_near import components_by_hand, passages_by_hand, shingles  # noqa: E402
+from ridelake.llm import chunks, queries, queries_sql  # noqa: E402
 
 TABLES = Path("/root/testdata/sf0.001")
 
@@ -90,6 +90,13 @@ def test_near_components_of_the_table(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_passages_of_the_table(spark):
+    rows = queries.QUERIES["op8_repeated_passages"](spark, str(TABLES)).collect()
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{TABLES}/documents.parquet'").fetchall()
+    assert sorted((r["doc_id"], r["start"], r["n_bytes"], r["n_dropped"]) for r in rows) == passages_by_hand(docs, chunks.cuts)
+    assert all(r["kept"] == (r["n_dropped"] == 0) for r in rows)
+
+
 def test_stages_of_the_pipeline(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
