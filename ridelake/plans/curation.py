@@ -26,6 +26,8 @@ from ridelake.streaming.sinks import start_append
 
 CLUSTER_PARTS = [*DATE_PARTS, "pickup_cluster"]
 SLOT = "_slot"
+# Tasks that write one day and cluster of a re-attached stream's micro-batch; the number of files does not follow the state's partitions.
+REATTACHED_TASKS = 4
 NEAR = {"key": "near_key", "pickup_datetime": "near_time"}
 
 
@@ -155,7 +157,8 @@ def curate(
     midnight are told from these alone. A stream is started and its query
     returned; its regions are fitted once, kept beside the checkpoint, and used
     again on restart. ``every`` is its trigger; ``files_per_region`` bounds the files a
-    micro-batch adds to one day and region, at the price of a shuffle. ``distinct``,
+    micro-batch adds to one day and region, at the price of a shuffle. A distinct stream with ``by_interval`` is always so bounded
+    (default: ``REATTACHED_TASKS``): its joins deal each day and region to all their tasks, and each would write its own file. ``distinct``,
     ``by_interval``, ``minutes``, ``delay``, ``more`` and ``spread_over`` are those of ``curated``.
 
     Rides are gathered by day and cluster, before the fan-out: their regions' rows
@@ -185,6 +188,8 @@ def curate(
         raise ValueError("a stream needs a checkpoint folder")
     regions = load_or_build_regions(neighborhoods, f"{checkpoint.rstrip('/')}_regions", k, seed)
     layout = None
+    if files_per_region is None and distinct and by_interval:
+        files_per_region = REATTACHED_TASKS
     if files_per_region is not None:
         layout = partial(gathered, cols=CLUSTER_PARTS, tasks=files_per_region)
     rows = curated(raw, regions, distinct, by_interval, minutes, layout, delay, more, spread_over)

@@ -2,14 +2,16 @@
 
 import random
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
-from helpers import bag
+from helpers import bag, places, rides
 from pyspark.sql import functions as F
 
+from ridelake.operators.events import parse_events, to_events
 from ridelake.operators.joins import reattach, reattach_stream
 from ridelake.operators.regions import build_regions
-from ridelake.plans.curation import curated
+from ridelake.plans.curation import REATTACHED_TASKS, curate, curated
 from ridelake.schemas import CURATED
 from ridelake.sources import driver_tables
 from ridelake.streaming.landing import with_lateness
@@ -94,3 +96,25 @@ def test_a_stream_with_shared_regions_equals_batch(spark, folder):
         finish(start_append(rows, f"{folder}/out", f"{folder}/c", available_now=True))
     found = spark.read.schema(CURATED).parquet(f"{folder}/out").filter("key <> 'closing'")
     assert bag(found) == bag(curated(raw, shared, by_interval=True))
+
+
+def test_files_do_not_follow_the_partitions_of_the_state(spark, folder):
+    near = [(f"k{i}", 1.0, f"2024-01-01 10:{i % 60:02}:00", -74.0, 40.0) for i in range(90)]
+    raw = parse_events(to_events(rides(spark, *near, *near[:9])))
+    closing = parse_events(to_events(rides(spark, ("closing", 1.0, "2024-01-03 00:00:00", -74.0, 40.0))))
+    nations = places(spark, ("here", 40.0, -74.0), ("there", 41.0, -75.0))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        for part in (raw, closing):
+            part.write.mode("append").parquet(f"{folder}/raw")
+            stream = spark.readStream.schema(raw.schema).parquet(f"{folder}/raw")
+            options = {"k": 2, "distinct": True, "by_interval": True, "available_now": True}
+            finish(curate(stream, nations, f"{folder}/out", f"{folder}/c", **options))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = spark.read.schema(CURATED).parquet(f"{folder}/out").filter("key <> 'closing'")
+    assert bag(found) == bag(curated(raw, build_regions(nations, 2), by_interval=True))
+    # Two micro-batches at most give rows of that day.
+    files = list(Path(folder, "out/year=2024/month=1/day=1/pickup_region=here").glob("*.parquet"))
+    assert 0 < len(files) <= 2 * REATTACHED_TASKS
