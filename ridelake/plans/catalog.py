@@ -47,7 +47,7 @@ from ridelake.sources.files import read_neighborhoods_csv, require_rides_csv
 from ridelake.sources.history import KeyHistory
 from ridelake.sources.lake import append_partitioned, overwrite_table, read_date_range, read_table
 from ridelake.sources.layout import append_by_place, in_box
-from ridelake.sources.workspace import new_folder
+from ridelake.sources.workspace import new_folder, written
 from ridelake.streaming.counts import counted, totals
 from ridelake.streaming.fares import window_fares
 from ridelake.streaming.landing import first_deliveries, land, read_raw_stream, with_lateness
@@ -337,7 +337,8 @@ def land_against_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def curate_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The curated table after a day with wrong rides was curated twice and then corrected."""
     folder = new_folder(spark, "rerun")
-    raw, places = _raw(spark, sf_dir), neighborhoods(spark, sf_dir)
+    # Each curation reads its rides and, besides, their days: the events are made and parsed once for all of them.
+    raw, places = written(_raw(spark, sf_dir), "rerun-raw"), neighborhoods(spark, sf_dir)
     wrong = F.to_date("pickup_datetime") == WRONG_DAY
     moved = {
         "fare_amount": F.when(wrong, F.lit(-1.0)).otherwise(F.col("fare_amount")).cast("float"),

@@ -154,7 +154,8 @@ def curate(
 
     A batch frame is appended and None returned. With ``replace`` it becomes all that the table holds of its ``days``
     (default: those of its rows), so a batch can be run again; give all raw rides of those days, and with ``by_interval`` those around
-    midnight are told from these alone. A stream is started and its query
+    midnight are told from these alone. Without ``days`` the rides are read twice, first for their date parts: give a table's
+    rides, not some that are parsed as they are read. A stream is started and its query
     returned; its regions are fitted once, kept beside the checkpoint, and used
     again on restart. ``every`` is its trigger; ``files_per_region`` bounds the files a
     micro-batch adds to one day and region, at the price of a shuffle. A distinct stream with ``by_interval`` is always so bounded

@@ -1,9 +1,10 @@
 """Days of a table replaced by a batch that may be run again."""
 
+from datetime import datetime
 from pathlib import Path
 
 import pytest
-from helpers import bag, rides
+from helpers import bag, plan, rides
 from pyspark.sql import functions as F
 
 from ridelake.operators.events import parse_events, to_events
@@ -107,3 +108,24 @@ def test_a_stream_does_not_replace(spark, source, nations, folder):
     stream = spark.readStream.schema(RAW).parquet(f"{folder}/raw")
     with pytest.raises(ValueError, match="only a batch"):
         curate(stream, nations, f"{folder}/out", f"{folder}/c", replace=True)
+
+
+def test_a_rerun_parses_its_events_once(spark, folder, monkeypatch):
+    from ridelake.plans import catalog
+
+    names = "event_id bigint, user_id bigint, ts timestamp, value double"
+    rows = [(i, i % 7, datetime(2024, 1, 8 + i % 3, i % 24), 1.0 + i) for i in range(60)]
+    spark.createDataFrame(rows, names).write.parquet(f"{folder}/events.parquet")
+    nations = [(i, f"place {i}") for i in range(25)]
+    spark.createDataFrame(nations, "n_nationkey bigint, n_name string").write.parquet(f"{folder}/nation.parquet")
+    plans = []
+
+    def watched(rides, *args, **more):
+        plans.append(plan(rides))
+        return curate(rides, *args, **more)
+
+    monkeypatch.setattr(catalog, "curate", watched)
+    found = catalog.curate_rerun(spark, folder)
+    # The days of the rides and the rides themselves are read three times each.
+    assert len(plans) == 3 and not any("from_json" in p for p in plans)
+    assert bag(found) == bag(catalog.curate_batch(spark, folder))
