@@ -13,16 +13,19 @@ grows with the logarithm of the rows. The cell width is fitted on ``SAMPLE`` row
 hash of the key: the smallest of a ladder that finds ``GOAL`` of the sample's own neighbours. All
 rows are indexed. A query that finds too few is searched against all rows, in blocks.
 
-Buckets are dealt to parts of about ``PART`` entries, and a bucket with more is cut into several, each visited
-by its queries. Of equal vectors only the k + 1 smallest keys can be among anyone's k nearest, so no others
-are indexed, and equal queries are searched once.
+Rows are dealt by their key to parts of about ``PART``, each with its share of every bucket of all tables, and queries to blocks of
+about ``ASKED`` (fewer if vectors are longer than ``COMPONENTS``); a task searches one part for one block, so what it holds follows neither
+the number of rows nor the size of a bucket. It scores ``SCORES`` pairs at a time and keeps the k best of a query. Of equal vectors only the k + 1
+smallest keys can be among anyone's k nearest, so no others are indexed, and equal queries are searched once.
 
 Vectors that are null, empty, zero, of another length than most, or hold null or non-finite
-components take no part, neither do rows with a null key. Repeated rows are one. Ties go to the smaller key. An empty
+components take no part, neither do rows with a null key. Repeated rows are one; of a key with several vectors a query
+gets the best. Ties go to the smaller key. An empty
 table gives an empty result. Only the two named columns are read.
 """
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +37,8 @@ from ridelake.sources.workspace import written
 
 TABLES, PROBES = 16, 100
 SAMPLE, SAMPLE_QUERIES, GOAL = 4096, 128, 0.95
-PART = 50_000
+PART, ASKED, COMPONENTS = 25_000, 16_384, 64
+SCORES = 500_000
 BLOCK = 1024
 LADDER = [0.75 * 1.1**i for i in range(40)]
 SEED = 5
@@ -69,36 +73,31 @@ class Tables:
         self._shifts = rng.random((TABLES, m)) * width
         self._names = rng.integers(-(2**63), 2**63, (TABLES, m), dtype=np.int64) | 1
         self._width, self._longest, self._m = width, longest, m
-        self._sets = perturbations(m, PROBES)
+        # For every number of borders, the ranks that the sets of so many cross.
+        sets = perturbations(m, PROBES)
+        self._sets = [np.array([x for x in sets if len(x) == n]) for n in sorted({len(x) for x in sets})]
 
     def _places(self, table: int, vectors: np.ndarray, lift: bool) -> np.ndarray:
         rest = np.maximum(0, self._longest**2 - (vectors**2).sum(axis=1)) if lift else np.zeros(len(vectors))
         whole = np.concatenate([vectors, np.sqrt(rest)[:, None]], axis=1)
         return (whole @ self._directions[table] + self._shifts[table]) / self._width
 
-    def buckets(self, vectors: np.ndarray) -> np.ndarray:
-        """The bucket of every vector in every table, as one number."""
-        columns = []
-        for table in range(TABLES):
-            cells = np.floor(self._places(table, vectors, True)).astype(np.int64)
-            columns.append((cells * self._names[table]).sum(axis=1) + table)
-        return np.stack(columns, axis=1)
-
-    def probes(self, queries: np.ndarray) -> np.ndarray:
-        """The buckets that every query visits, all tables one after another."""
-        rows = np.arange(len(queries))
-        visited = []
-        for table in range(TABLES):
-            places = self._places(table, queries, False)
-            cells = np.floor(places).astype(np.int64)
-            within = places - cells
-            own = (cells * self._names[table]).sum(axis=1) + table
-            order = np.argsort(np.concatenate([within, 1 - within], axis=1), axis=1, kind="stable")
-            # What crossing the border of each rank adds to the bucket's number.
-            step = np.where(order < self._m, -1, 1) * self._names[table][order % self._m]
-            for ranks in self._sets:
-                visited.append(own + sum((step[rows, rank] for rank in ranks), np.zeros(len(rows), dtype=np.int64)))
-        return np.stack(visited, axis=1)
+    def buckets(self, table: int, vectors: np.ndarray) -> np.ndarray:
+        """The bucket of every vector in a table, as one number."""
+        cells = np.floor(self._places(table, vectors, True)).astype(np.int64)
+        return (cells * self._names[table]).sum(axis=1)
+
+    def probes(self, table: int, queries: np.ndarray) -> np.ndarray:
+        """The buckets that every query visits in a table."""
+        places = self._places(table, queries, False)
+        cells = np.floor(places).astype(np.int64)
+        within = places - cells
+        own = (cells * self._names[table]).sum(axis=1)
+        order = np.argsort(np.concatenate([within, 1 - within], axis=1), axis=1, kind="stable")
+        # What crossing the border of each rank adds to the bucket's number.
+        step = np.where(order < self._m, -1, 1) * self._names[table][order % self._m]
+        visited = [own[:, None] + sum(step[:, sets[:, i]] for i in range(sets.shape[1])) for sets in self._sets]
+        return np.concatenate([np.broadcast_to(v, (len(queries), len(sets))) for v, sets in zip(visited, self._sets)], axis=1)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -117,142 +116,130 @@ def _fitted_width(vectors: np.ndarray, k: int, m: int, longest: float) -> float:
     true = np.argpartition(-scores, count - 1, axis=1)[:, :count]
     for step in LADDER:
         tables = Tables(vectors.shape[1], m, step * longest, longest)
-        buckets, probes = tables.buckets(vectors), tables.probes(queries).reshape(len(queries), TABLES, -1)
         found = np.zeros((len(queries), len(vectors)), dtype=bool)
-        for q in range(len(queries)):
-            for table in range(TABLES):
-                found[q] |= np.isin(buckets[:, table], probes[q, table])
+        for table in range(TABLES):
+            buckets, probes = tables.buckets(table, vectors), tables.probes(table, queries)
+            for q in range(len(queries)):
+                found[q] |= np.isin(buckets, probes[q])
         if np.take_along_axis(found, true, axis=1).mean() >= GOAL:
             return step * longest
     return LADDER[-1] * longest
 
 
-def _best(queries: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best rows of every query; ties to the smaller row."""
-    order = np.lexsort((rows, -scores, queries))
-    queries = queries[order]
-    nth = np.arange(len(queries)) - np.searchsorted(queries, queries, side="left")
-    return order[nth < k]
+class _Best:
+    """The k best rows met so far for every query of a block, by the exact measure; ties to the smaller key."""
+
+    def __init__(self, asked: np.ndarray, k: int):
+        self._asked, self._k = asked, k
+        self._least = np.full(len(asked), -np.inf)
+        self._lengths = np.sqrt((asked**2).sum(axis=1))
+        self._fresh: list[tuple] = []
+        self._waiting = 0
+        self.queries, self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def offer(self, queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, longest: float, copies: int) -> None:
+        """All pairs of some queries and rows. No row is longer than ``longest``, no key has more than ``copies`` rows."""
+        for first in range(0, len(ids), SCORES):
+            rows, keys = vectors[first : first + SCORES], ids[first : first + SCORES]
+            high = max(1, SCORES // len(keys))
+            for start in range(0, len(queries), high):
+                self._meet(queries[start : start + high], rows, keys, longest, self._k * copies)
+
+    def _meet(self, block: np.ndarray, rows: np.ndarray, keys: np.ndarray, longest: float, enough: int) -> None:
+        asked = self._asked[block]
+        scores = asked @ rows.T
+        # A product of matrices sums in an order of its own: by this much it may differ from the measure.
+        slack = 1e-12 * longest * self._lengths[block]
+        least = self._least[block] - slack
+        a, b = np.nonzero(scores >= least[:, None])
+        if len(keys) > enough and len(a) > enough * len(block):
+            least = np.fmax(least, np.partition(scores, -enough, axis=1)[:, -enough] - 2 * slack)
+            a, b = np.nonzero(scores >= least[:, None])
+        few = max(1, 4 * SCORES // asked.shape[1])
+        for start in range(0, len(a), few):
+            x, y = a[start : start + few], b[start : start + few]
+            # The measure itself, summed in one order whatever the block.
+            self._fresh.append((block[x], keys[y], (asked[x] * rows[y]).sum(axis=1)))
+        self._waiting += len(a)
+        if self._waiting > SCORES:
+            self.settle()
+
+    def settle(self) -> None:
+        q, i, s = (np.concatenate(x) for x in zip((self.queries, self.ids, self.scores), *self._fresh))
+        self._fresh, self._waiting = [], 0
+        order = np.lexsort((i, -s, q))
+        q, i, s = q[order], i[order], s[order]
+        # A row is met in several tables, and a key may have several rows: only its best pair counts.
+        by_key = np.lexsort((i, q))
+        again = (np.diff(q[by_key]) == 0) & (np.diff(i[by_key]) == 0)
+        single = np.ones(len(q), dtype=bool)
+        single[by_key[1:][again]] = False
+        q, i, s = q[single], i[single], s[single]
+        nth = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+        self.queries, self.ids, self.scores = q[nth < self._k], i[nth < self._k], s[nth < self._k]
+        full = nth == self._k - 1
+        self._least[q[full]] = s[full]
+
+    def table(self, names: pa.Array) -> pa.Table:
+        found = [names.take(pa.array(self.queries)), pa.array(self.ids), pa.array(self.scores)]
+        return pa.Table.from_arrays(found, schema=RESULT)
 
 
 RESULT = pa.schema([("query", pa.binary()), ("id", pa.int64()), ("score", pa.float64())])
 FOUND = "query binary, id long, score double"
 
 
-def _part_search(k: int):
-    """The k best rows for every query among the buckets of one part."""
-
-    def search(entries: pa.Table, visits: pa.Table) -> pa.Table:
-        if not entries.num_rows or not visits.num_rows:
-            return RESULT.empty_table()
-        vectors, asked = _matrix(entries["vector"]), _matrix(visits["vector"])
-        ids = entries["id"].to_numpy()
-        cells = list(zip(entries["bucket"].to_pylist(), entries["salt"].to_pylist()))
-        members: dict = {}
-        for i, cell in enumerate(cells):
-            members.setdefault(cell, []).append(i)
-        guests: dict = {}
-        for q, cell_list in enumerate(visits["cells"].to_pylist()):
-            for cell in cell_list:
-                guests.setdefault((cell["bucket"], cell["salt"]), []).append(q)
-        least = np.full(len(asked), -np.inf)
-        kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        fresh: list[list[np.ndarray]] = [[], [], []]
-        waiting = 0
-
-        def settle():
-            q, i, s = (np.concatenate([old, *new]) for old, new in zip(kept, fresh))
-            # A row may be met in several tables.
-            pair = np.unique(np.stack([q, ids[i]]), axis=1, return_index=True)[1]
-            q, i, s = q[pair], i[pair], s[pair]
-            best = _best(q, ids[i], s, k)
-            kept[:] = [q[best], i[best], s[best]]
-            count = np.bincount(kept[0], minlength=len(asked))
-            full = np.flatnonzero(count == k)
-            low = np.full(len(asked), np.inf)
-            np.minimum.at(low, kept[0], kept[2])
-            least[full] = low[full]
-            for new in fresh:
-                new.clear()
-
-        for cell, queries in guests.items():
-            rows = members.get(cell)
-            if not rows:
-                continue
-            queries, rows = np.array(queries), np.array(rows)
-            for start in range(0, len(queries), BLOCK):
-                block = queries[start : start + BLOCK]
-                scores = asked[block] @ vectors[rows].T
-                a, b = np.nonzero(scores >= least[block][:, None])
-                fresh[0].append(block[a])
-                fresh[1].append(rows[b])
-                fresh[2].append(scores[a, b])
-                waiting += len(a)
-                if waiting > 2_000_000:
-                    settle()
-                    waiting = 0
-        settle()
-        names = visits["query"].combine_chunks().take(pa.array(kept[0]))
-        # The measure itself, summed in one order whatever the block.
-        exact = (asked[kept[0]] * vectors[kept[1]]).sum(axis=1)
-        return pa.Table.from_arrays([names, pa.array(ids[kept[1]]), pa.array(exact)], schema=RESULT)
-
-    return search
-
+def _facts(vectors: np.ndarray, ids: np.ndarray) -> tuple[float, int]:
+    """The longest row, and the most rows that a key has."""
+    return np.sqrt((vectors**2).sum(axis=1).max()), np.unique(ids, return_counts=True)[1].max()
 
-def _hashed(tables: Tables):
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            buckets = tables.buckets(_matrix(batch.column("vector")))
-            take = pa.array(np.repeat(np.arange(batch.num_rows), TABLES))
-            repeated = [batch.column(x).take(take) for x in ("id", "vector")]
-            yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), *repeated], names=["bucket", "id", "vector"])
-
-    return hashed
 
+def _part_search(tables: Tables, k: int):
+    """The k best rows of a part, in the buckets that each query of a block visits."""
 
-def _bucketed(tables: Tables):
-    def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                buckets = tables.buckets(_matrix(batch.column("vector")))
-                yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel())], names=["bucket"])
-
-    return bucketed
-
-
-def _probed(tables: Tables):
-    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                probes = tables.probes(_matrix(part.column("vector")))
-                names = part.column("query").take(pa.array(np.repeat(np.arange(part.num_rows), probes.shape[1])))
-                yield pa.RecordBatch.from_arrays([names, pa.array(probes.ravel())], names=["query", "bucket"])
+    def search(part: pa.Table, block: pa.Table) -> pa.Table:
+        if not part.num_rows or not block.num_rows:
+            return RESULT.empty_table()
+        vectors, asked = _matrix(part["vector"]), _matrix(block["vector"])
+        ids, names = part["id"].to_numpy(), block["query"].combine_chunks()
+        longest, copies = _facts(vectors, ids)
+        best = _Best(asked, k)
+        for table in range(TABLES):
+            buckets = tables.buckets(table, vectors)
+            order = np.argsort(buckets, kind="stable")
+            rows, keys = vectors[order], ids[order]
+            buckets, first = np.unique(buckets[order], return_index=True)
+            last = np.append(first[1:], len(order))
+            probes = tables.probes(table, asked)
+            place = np.searchsorted(buckets, probes.ravel())
+            place[place == len(buckets)] = 0
+            met = np.flatnonzero(buckets[place] == probes.ravel())
+            visited, guests = place[met], met // probes.shape[1]
+            order = np.argsort(visited, kind="stable")
+            visited, guests = visited[order], guests[order]
+            cuts = np.append(np.flatnonzero(np.diff(visited, prepend=-1)), len(visited))
+            for start, end in zip(cuts[:-1], cuts[1:]):
+                bucket = visited[start]
+                cell = slice(first[bucket], last[bucket])
+                best.offer(guests[start:end], rows[cell], keys[cell], longest, copies)
+        best.settle()
+        return best.table(names)
 
-    return probed
+    return search
 
 
 def _whole_search(queries: list, k: int):
     """The k best rows of a partition for a block of queries."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [name for name, _ in queries]
-        asked = np.array([vector for _, vector in queries], dtype=np.float64)
-        kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        best = _Best(np.array([vector for _, vector in queries], dtype=np.float64), k)
+        everyone = np.arange(len(queries))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors, ids = _matrix(batch.column("vector")), batch.column("id").to_numpy()
-            scores = np.stack([(vectors * one).sum(axis=1) for one in asked])
-            q, i = np.indices(scores.shape).reshape(2, -1)
-            q, i, s = (np.concatenate(pair) for pair in zip(kept, (q, ids[i], scores.ravel())))
-            best = _best(q, i, s, k)
-            kept = [q[best], i[best], s[best]]
-        found = [pa.array([names[q] for q in kept[0]], pa.binary()), pa.array(kept[1]), pa.array(kept[2])]
-        yield pa.RecordBatch.from_arrays(found, schema=RESULT)
+            if batch.num_rows:
+                vectors, ids = _matrix(batch.column("vector")), batch.column("id").to_numpy()
+                best.offer(everyone, vectors, ids, *_facts(vectors, ids))
+        best.settle()
+        yield from best.table(pa.array([name for name, _ in queries], pa.binary())).to_batches()
 
     return search
 
@@ -296,26 +283,22 @@ def nearest(vectors: DataFrame, key: str, vector: str, asks: Column, k: int) ->
     sample = np.array([row["vector"] for row in sample], dtype=np.float64)
     m = max(6, round(0.75 * np.log2(rows)))
     tables = Tables(size, m, _fitted_width(sample, k, m, longest), longest)
-    found = written(_searched(indexed, asked, tables, rows, k + 1), "found")
+    found = written(_searched(indexed, asked, tables, rows, size, k + 1), "found")
     found = found.union(_exact(indexed, asked, found, min(rows, k + 1), k + 1))
     return _answers(plain.filter(asks), found, k)
 
 
-def _searched(indexed: DataFrame, asked: DataFrame, tables: Tables, rows: int, k: int) -> DataFrame:
-    kind = indexed.schema["vector"].dataType.simpleString()
-    sizes = indexed.select("vector").mapInArrow(_bucketed(tables), "bucket long").groupBy("bucket").count()
-    salts = F.ceil(F.col("count") / PART).cast("int").alias("salts")
-    sizes = written(sizes.select("bucket", salts), "buckets")
-    parts = max(1, -(-rows * TABLES // PART))
-    part = F.pmod(F.xxhash64("bucket", "salt"), F.lit(parts)).alias("part")
-    entries = indexed.select("id", "vector").mapInArrow(_hashed(tables), f"bucket long, id long, vector {kind}")
-    entries = entries.join(sizes, "bucket").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
-    visits = asked.mapInArrow(_probed(tables), "query binary, bucket long").join(sizes, "bucket")
-    visits = visits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    visits = visits.groupBy("query", part).agg(F.collect_list(F.struct("bucket", "salt")).alias("cells"))
-    visits = visits.join(asked, "query")
-    dealt = entries.select("bucket", "salt", "id", "vector", part).groupBy("part")
-    return dealt.cogroup(visits.groupBy("part")).applyInArrow(_part_search(k), FOUND)
+def _searched(indexed: DataFrame, asked: DataFrame, tables: Tables, rows: int, size: int, k: int) -> DataFrame:
+    weight = max(1, size / COMPONENTS)
+    parts, blocks = (max(1, math.ceil(count * weight / most)) for count, most in ((rows, PART), (asked.count(), ASKED)))
+
+    def each(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    part, block = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"), F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")
+    dealt = indexed.select("id", "vector", part.alias("part"), each(blocks).alias("block")).groupBy("part", "block")
+    asking = asked.select("query", "vector", each(parts).alias("part"), block.alias("block")).groupBy("part", "block")
+    return dealt.cogroup(asking).applyInArrow(_part_search(tables, k), FOUND)
 
 
 def _exact(indexed: DataFrame, asked: DataFrame, found: DataFrame, enough: int, k: int) -> DataFrame:
