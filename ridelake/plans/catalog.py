@@ -52,7 +52,7 @@ from ridelake.streaming.counts import counted, totals
 from ridelake.streaming.fares import window_fares
 from ridelake.streaming.landing import first_deliveries, land, read_raw_stream, with_lateness
 from ridelake.streaming.late import run_window_fares, window_fares_now
-from ridelake.streaming.replay import random_part, replay, replay_parts, time_part
+from ridelake.streaming.replay import random_part, replay, replay_parts, time_part, time_slices
 from ridelake.streaming.sinks import finish, start_append
 from ridelake.streaming.state import pending_windows
 
@@ -64,6 +64,8 @@ RANGE = ("2024-01-05 06:30:00", "2024-01-12 18:00:00")
 PLACE_BOX = (40.5, 40.56, -74.2, -74.05)
 PARTS = 10
 TIME_PARTS = 3
+# Rides of one micro-batch where a stream's state holds all of them until their time has passed.
+SLICE_ROWS = 2_000_000
 WRONG_DAY = "2024-01-09"
 HISTORY_BUCKETS = 8
 SET_BUCKETS = 3
@@ -96,10 +98,16 @@ def _regions(spark: SparkSession, sf_dir: str) -> Regions:
     return build_regions(neighborhoods(spark, sf_dir))
 
 
-def _published_in_time_order(source: DataFrame, folder: str) -> Iterator[int]:
-    """Adds the rides to the log, one span of time after the other, and at last a ride long after them."""
+def _published_in_time_order(source: DataFrame, folder: str, slice_rows: int | None = None) -> Iterator[int]:
+    """Adds the rides to the log, one span of time after the other, and at last a ride long after them.
+
+    With ``slice_rows`` each span is one file or more of at most about so many rides, also in order of time.
+    """
     events = to_events(source, keep=("pickup_datetime",))
-    yield from replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, time_part(source, TIME_PARTS))
+    by, slices = time_part(source, TIME_PARTS), None
+    if slice_rows is not None:
+        by, slices = time_slices(source, TIME_PARTS, slice_rows)
+    yield from replay_parts(events, f"{folder}/log", f"{folder}/staged", TIME_PARTS, by, slices=slices)
     write_events(to_events(closing_ride(source)), f"{folder}/log")
     yield TIME_PARTS
 
@@ -520,9 +528,10 @@ def stream_reattach(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users' rides, some of them delivered twice or without a time, curated as a stream by the interval join."""
     folder = new_folder(spark, "reattach")
     source = delivered_twice(untimed(rides_by_user(spark, sf_dir), "ride"))
-    for _ in _published_in_time_order(source, folder):
+    # The state holds the rides of a micro-batch or two: a file at a time, however many rides there are.
+    for _ in _published_in_time_order(source, folder, SLICE_ROWS):
         query = curate(
-            parse_events(read_event_stream(spark, f"{folder}/log")),
+            parse_events(read_event_stream(spark, f"{folder}/log", max_files=1)),
             neighborhoods(spark, sf_dir),
             f"{folder}/out",
             f"{folder}/checkpoint",
